@@ -31,17 +31,22 @@ def to_seconds_text(ts: Column) -> Column:
     return F.substring(ts.cast("string"), 1, 19)
 
 
+def _reads_as(text: Column, pattern: str) -> Column:
+    """Match a number-like pattern; a plain comparison first spares most texts the pattern."""
+    return F.when((text >= "+") & (text < ":"), text.rlike(pattern)).otherwise(F.lit(False))
+
+
 def is_integer_text(text: Column) -> Column:
-    return text.rlike(INTEGER_PATTERN)
+    return _reads_as(text, INTEGER_PATTERN)
 
 
 def is_number_text(text: Column) -> Column:
-    return text.rlike(NUMBER_PATTERN)
+    return _reads_as(text, NUMBER_PATTERN)
 
 
 def is_date_text(text: Column) -> Column:
     """True when the text reads as a date or date-time; the cheap pattern goes first."""
-    return F.when(text.rlike(DATE_PATTERN), text.try_cast("timestamp_ntz").isNotNull()).otherwise(F.lit(False))
+    return F.when(_reads_as(text, DATE_PATTERN), text.try_cast("timestamp_ntz").isNotNull()).otherwise(F.lit(False))
 
 
 def convert_column(col: Column, data_type: T.DataType, null_text: str | None = None) -> Column:

@@ -17,6 +17,9 @@ BOOLEAN, OBJECT_ID, DATE, LIST = "BOOLEAN", "OBJECT_ID", "DATE", "LIST"
 BINARY, NULL, OTHER = "BINARY", "NULL", "OTHER"
 EMPTY, OBJECT = "EMPTY", "OBJECT"
 
+# A whole number too wide for 64 bits; narrower ones of scale 0 were written as 6.0.
+WIDE_WHOLE = r"^DECIMAL\((19|[23][0-9]),0\)$"
+
 # Extended JSON keys and the kinds they stand for.
 EXTENDED_KINDS = {
     "$oid": OBJECT_ID,
@@ -63,8 +66,8 @@ def kind_of(shape: Column) -> Column:
     kind = (
         F.when(shape == "STRING", STRING)
         .when(shape == "BIGINT", INT)
-        .when(shape.rlike(r"^DECIMAL\(\d+,0\)$"), DECIMAL)
-        .when(shape.startswith("DECIMAL") | shape.isin("DOUBLE", "FLOAT"), DOUBLE)
+        .when(shape.startswith("DECIMAL"), F.when(shape.rlike(WIDE_WHOLE), DECIMAL).otherwise(DOUBLE))
+        .when(shape.isin("DOUBLE", "FLOAT"), DOUBLE)
         .when(shape == "BOOLEAN", BOOLEAN)
         .when(shape == "VOID", NULL)
         .when(shape.startswith("ARRAY"), LIST)
@@ -100,22 +103,25 @@ def binary_value(value: Column) -> Column:
     return F.coalesce(F.try_to_binary(encoded, F.lit("base64")), F.try_variant_get(value, "$", "binary"))
 
 
-def number_text(value: Column, key: str) -> Column:
+def number_text(value: Column, key: str, plain_type: str = "string") -> Column:
     """Text of a number written as ``{key: "..."}`` or as a plain number."""
-    return F.coalesce(member(value, key, "string"), F.try_variant_get(value, "$", "string"))
+    return F.coalesce(member(value, key, "string"), F.try_variant_get(value, "$", plain_type).cast("string"))
 
 
 def text_of(value: Column, kind: Column) -> Column:
-    """Text form of a leaf as a relational text column would hold it; NULL for null."""
+    """Text form of a leaf as a relational text column would hold it; NULL for null.
+
+    Pass ``kind`` as a column of its own: it is looked at once per branch.
+    """
     return (
-        F.when(kind.isin(STRING), F.try_variant_get(value, "$", "string"))
+        F.when(kind == STRING, F.try_variant_get(value, "$", "string"))
         .when(kind == BOOLEAN, F.when(F.try_variant_get(value, "$", "boolean"), "1").otherwise("0"))
         .when(kind.isin(NULL, EMPTY), F.lit(None).cast("string"))
         .when(kind == OBJECT_ID, member(value, "$oid", "string"))
         .when(kind == DATE, to_seconds_text(date_value(value)))
         .when(kind == INT, number_text(value, "$numberInt"))
         .when(kind == LONG, number_text(value, "$numberLong"))
-        .when(kind == DOUBLE, number_text(value, "$numberDouble"))
+        .when(kind == DOUBLE, number_text(value, "$numberDouble", "double"))
         .when(kind == DECIMAL, number_text(value, "$numberDecimal"))
         .when(kind == BINARY, F.base64(binary_value(value)))
         .otherwise(F.to_json(value, KEEP_NULLS))

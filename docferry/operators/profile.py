@@ -19,18 +19,17 @@ DEFAULT_DEPTH = 6
 INT_LIMIT = 2_147_483_647
 
 
-def document_order(doc: Column, order_by: str) -> Column:
-    """Sort key of a document: numbers by value, then anything else by text, missing last."""
-    value = at_path(doc, [order_by])
-    kind = kind_of(shape_of(value))
-    text = text_of(value, kind)
+def with_order(docs: DataFrame, order_by: str, name: str = "ord") -> DataFrame:
+    """Add the sort key of each document: numbers by value, then anything else by text, missing last."""
+    doc, kind, text = F.col(docs.columns[0]), F.col("_kind"), F.col("_text")
     number = F.when(kind.isin(leaves.INT, leaves.LONG, leaves.DOUBLE, leaves.DECIMAL), text.try_cast("decimal(38,9)"))
-    return F.struct(
-        text.isNull().alias("missing"),
-        number.isNull().alias("not_number"),
-        number.alias("number"),
-        text.alias("text"),
+    order = F.struct(
+        text.isNull().alias("missing"), number.isNull().alias("not_number"), number.alias("number"), text.alias("text")
     )
+    staged = docs.select(*docs.columns, at_path(doc, [order_by]).alias("_value"))
+    staged = staged.withColumn("_kind", kind_of(shape_of(F.col("_value"))))
+    staged = staged.withColumn("_text", text_of(F.col("_value"), kind))
+    return staged.select(*docs.columns, order.alias(name))
 
 
 def unfold(docs: DataFrame, depth: int = DEFAULT_DEPTH, order_by: str | None = None) -> DataFrame:
@@ -43,7 +42,9 @@ def unfold(docs: DataFrame, depth: int = DEFAULT_DEPTH, order_by: str | None = N
     if not isinstance(docs.schema[0].dataType, T.VariantType):
         raise TypeError("expected documents in one VARIANT column; read_collection(as_variant=True) gives one")
     extra = ", ord" if order_by else ""
-    base = docs.select(doc.alias("doc"), *([document_order(doc, order_by).alias("ord")] if order_by else []))
+    base = docs.select(doc.alias("doc"))
+    if order_by:
+        base = with_order(base, order_by)
     rows = spark.sql(
         f"SELECT array(e.key) AS path, e.value AS v{extra} FROM {{base}}, LATERAL variant_explode(doc) AS e",
         base=base,
@@ -60,61 +61,65 @@ def unfold(docs: DataFrame, depth: int = DEFAULT_DEPTH, order_by: str | None = N
     return rows
 
 
-def measures(with_first: bool) -> list[Column]:
-    """Aggregates behind sizing and demotion; each is partial-aggregable."""
-    kind, text, octets = F.col("type_tag"), F.col("text"), F.col("octets")
+def measures() -> list[Column]:
+    """Aggregates behind sizing and demotion; all fit a hash aggregate with map-side partial sums."""
+    kind, text = F.col("type_tag"), F.col("text")
     is_text = kind == leaves.STRING
-    out = [
+    return [
         F.count(F.lit(1)).alias("n_docs"),
         F.count_if(kind == leaves.NULL).alias("n_null"),
         F.max(F.length(text)).alias("max_chars"),
-        F.max(octets).alias("max_bytes"),
+        F.max(F.col("octets")).alias("max_bytes"),
         F.count_if(F.col("is_wide")).alias("n_wide_int"),
         F.count_if(F.when(is_text, ~is_integer_text(text))).alias("n_bad_int"),
         F.count_if(F.when(is_text, ~is_number_text(text))).alias("n_bad_number"),
         F.count_if(F.when(is_text, ~is_date_text(text))).alias("n_bad_date"),
         F.count_if(F.col("is_hoist")).alias("n_hoist"),
     ]
-    if with_first:
-        first = F.struct(F.col("ord"), F.length(text).alias("chars"), F.col("is_hoist").alias("is_hoist"))
-        no_date = ~kind.isin(leaves.DATE, leaves.NULL, leaves.EMPTY) & ~(is_text & is_date_text(text))
-        bad = F.when(no_date, F.struct(F.col("ord"), F.length(text).alias("chars")))
-        out += [F.min(first).alias("first"), F.min(bad).alias("first_bad_date")]
-    return out
 
 
-def profile_documents(docs: DataFrame, depth: int = DEFAULT_DEPTH, order_by: str | None = None) -> DataFrame:
-    """Count and measure every (path, kind) of VARIANT documents.
-
-    Columns: ``path`` (array of keys), ``type_tag``, ``n_docs``, ``n_null``, ``max_chars`` and
-    ``max_bytes`` of the text form (bytes of the content for binaries), ``n_wide_int`` (integers
-    beyond 32 bits), ``n_bad_int`` / ``n_bad_number`` / ``n_bad_date`` (texts an integer, number or
-    datetime column would refuse), ``n_hoist`` (values equal to the key two levels up). With ``order_by`` also the
-    first document's facts, in that order. Objects below ``depth`` levels show as kind OBJECT;
-    :func:`docferry.plans.infer.collect_profile` goes deeper until none is left.
-    """
+def leaf_rows(docs: DataFrame, depth: int = DEFAULT_DEPTH, order_by: str | None = None) -> DataFrame:
+    """One row per leaf with its kind and text: ``path, type_tag, text, is_hoist`` (and ``ord``)."""
     rows = unfold(docs, depth, order_by)
     rows = rows.withColumn("type_tag", kind_of(F.col("shape")))
     rows = rows.withColumn("text", text_of(F.col("v"), F.col("type_tag")))
-    whole = F.col("type_tag").isin(leaves.INT, leaves.LONG) | (
-        (F.col("type_tag") == leaves.STRING) & is_integer_text(F.col("text"))
-    )
     hoist = F.when(
         (F.col("type_tag") == leaves.STRING) & (F.size("path") >= 3),
         F.try_element_at("path", F.lit(-2)) == F.col("text"),
     )
-    rows = rows.select(
-        "path",
-        "type_tag",
-        "text",
-        F.when(F.col("type_tag") == leaves.BINARY, F.octet_length(F.unbase64("text")))
-        .otherwise(F.octet_length("text"))
-        .alias("octets"),
-        F.when(whole, F.abs(F.col("text").try_cast("decimal(20,0)")) > INT_LIMIT).alias("is_wide"),
-        F.coalesce(hoist, F.lit(False)).alias("is_hoist"),
-        *(["ord"] if order_by else []),
-    )
-    return rows.groupBy("path", "type_tag").agg(*measures(order_by is not None))
+    return rows.select("path", "type_tag", "text", F.coalesce(hoist, F.lit(False)).alias("is_hoist"), *(["ord"] if order_by else []))
+
+
+def profile_documents(docs: DataFrame, depth: int = DEFAULT_DEPTH) -> DataFrame:
+    """Count and measure every (path, kind) of VARIANT documents.
+
+    Columns: ``path`` (array of keys), ``type_tag``, ``n_docs``, ``n_null``, ``max_chars`` and
+    ``max_bytes`` of the text form (bytes of the content for binaries), ``n_wide_int`` (integers
+    beyond 32 bits), ``n_bad_int`` / ``n_bad_number`` / ``n_bad_date`` (texts an integer, number or
+    datetime column would refuse), ``n_hoist`` (values equal to the key of the object they are in).
+    Objects below ``depth`` levels show as kind OBJECT;
+    :func:`docferry.plans.infer.collect_profile` goes deeper until none is left.
+    """
+    kind, text = F.col("type_tag"), F.col("text")
+    content = F.when(kind == leaves.BINARY, F.octet_length(F.unbase64(text))).otherwise(F.octet_length(text))
+    whole = kind.isin(leaves.INT, leaves.LONG) | ((kind == leaves.STRING) & is_integer_text(text))
+    wide = F.when(whole, F.abs(text.try_cast("decimal(20,0)")) > INT_LIMIT)
+    rows = leaf_rows(docs, depth).withColumns({"octets": content, "is_wide": wide})
+    return rows.groupBy("path", "type_tag").agg(*measures())
+
+
+def first_values(docs: DataFrame, depth: int, order_by: str, wanted: Column) -> DataFrame:
+    """First leaf of each path among the ``wanted`` ones, by document order: ``path, is_bad, first``.
+
+    ``is_bad`` splits values a datetime column would refuse from the others. A minimum over
+    structs sorts its input, so ask for the few paths that need it, not for all.
+    """
+    kind, text = F.col("type_tag"), F.col("text")
+    is_date = (kind == leaves.DATE) | ((kind == leaves.STRING) & is_date_text(text))
+    bad = ~is_date & ~kind.isin(leaves.NULL, leaves.EMPTY)
+    rows = leaf_rows(docs, depth, order_by).where(wanted & (kind != leaves.EMPTY)).withColumn("is_bad", bad)
+    first = F.struct("ord", "type_tag", F.length(text).alias("chars"), "is_hoist")
+    return rows.groupBy("path", "is_bad").agg(F.min(first).alias("first"))
 
 
 def _typed_leaves(schema: T.StructType, col: Column | None = None, path: tuple[str, ...] = ()):

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from docferry.functions.values import to_seconds_text
 from docferry.operators import leaves
-from docferry.operators.leaves import at_path, binary_value, date_value, is_nested, kind_of, member, shape_of, text_of
+from docferry.operators.leaves import at_path, binary_value, date_value, kind_of, member, shape_of, text_of
 from docferry.plans.infer import KEY, LEAF, PARENT
 
 
@@ -17,62 +19,79 @@ def _source(doc: Column, paths: list) -> Column:
     return values[0] if len(values) == 1 else F.coalesce(*values)
 
 
-def _leaf_text(value: Column, kinds: set[str]) -> Column:
-    """Text of a leaf; one known kind needs no look at each value's type."""
-    kinds = kinds - {leaves.NULL}
+def _kinds(row: Row) -> set[str]:
+    return set(row.kinds) - {leaves.NULL}
+
+
+def _is_mixed(row: Row) -> bool:
+    """True when each value's own kind decides how it is read."""
+    kinds = _kinds(row)
+    if row.role == PARENT:
+        return True
+    if row.spark_type == "string":
+        return bool(kinds) and kinds not in ({leaves.STRING}, {leaves.OBJECT_ID}, {leaves.LIST})
+    return row.spark_type in ("int", "bigint", "double", "decimal(38,3)") and not kinds <= {
+        leaves.INT,
+        leaves.LONG,
+        leaves.DOUBLE,
+        leaves.DECIMAL,
+        leaves.BOOLEAN,
+        leaves.OBJECT,
+    }
+
+
+def _text(row: Row, value: Column) -> Column:
+    """Text column whose values are all of one kind."""
+    kinds = _kinds(row)
     if not kinds:
         return F.lit(None).cast("string")
     if kinds == {leaves.STRING}:
         return F.try_variant_get(value, "$", "string")
     if kinds == {leaves.OBJECT_ID}:
         return member(value, "$oid", "string")
-    if kinds == {leaves.LIST}:
-        return F.when(~F.is_variant_null(value), F.to_json(value))
-    shape = shape_of(value)
-    return F.when(~is_nested(shape), text_of(value, kind_of(shape)))
+    return F.when(~F.is_variant_null(value), F.to_json(value))
 
 
-def _object_text(value: Column) -> Column:
-    shape = shape_of(value)
-    return F.when(shape.startswith("OBJECT"), F.to_json(value)).otherwise(text_of(value, kind_of(shape)))
+def _mixed_text(row: Row, value: Column, kind: Column) -> Column:
+    """Text of values of several kinds; objects only where the column is for them."""
+    if row.role == PARENT:
+        return F.when(kind.isin(leaves.OBJECT, leaves.EMPTY), F.to_json(value)).otherwise(text_of(value, kind))
+    return F.when(kind != leaves.OBJECT, text_of(value, kind))
 
 
-def _typed(value: Column, kinds: set[str], spark_type: str) -> Column:
-    plain = kinds - {leaves.NULL}
-    if spark_type == "binary":
+def _typed(row: Row, value: Column) -> Column:
+    """Column of a type other than text, values of fitting kinds."""
+    kinds = _kinds(row)
+    if row.spark_type == "binary":
         return binary_value(value)
-    if spark_type == "boolean":
+    if row.spark_type == "boolean":
         return F.try_variant_get(value, "$", "boolean")
-    if spark_type == "timestamp_ntz":
+    if row.spark_type == "timestamp_ntz":
         dates = date_value(value)
-        if leaves.STRING in plain:
+        if leaves.STRING in kinds:
             dates = F.coalesce(dates, F.try_variant_get(value, "$", "string").try_cast("timestamp_ntz"))
         return to_seconds_text(dates).cast("timestamp_ntz")
-    if plain <= {leaves.INT, leaves.LONG, leaves.DOUBLE} and not spark_type.startswith("decimal"):
-        wrapped = [k for k, kind in leaves.EXTENDED_KINDS.items() if kind in plain]
-        return F.coalesce(
-            F.try_variant_get(value, "$", spark_type),
-            *(member(value, k, "string").try_cast(spark_type) for k in wrapped),
-        )
-    return _leaf_text(value, kinds).try_cast(spark_type)
+    wrapped = [k for k, kind in leaves.EXTENDED_KINDS.items() if kind in kinds]
+    return F.coalesce(
+        F.try_variant_get(value, "$", row.spark_type),
+        *(member(value, k, "string").try_cast(row.spark_type) for k in wrapped),
+    )
 
 
-def planned_columns(docs: DataFrame, plan: DataFrame, null_text: str | None = None) -> list[tuple]:
-    """(plan row, value as stored, value as typed) of every column taken from the documents."""
+def _stage(docs: DataFrame, rows: list[Row], mixed: Callable[[Row], bool]) -> tuple[DataFrame, dict[str, tuple]]:
+    """Work out the kind of each mixed column's values once, as a column next to the documents."""
     doc = F.col(docs.columns[0])
-    out = []
-    for row in plan.where(F.col("role") != KEY).orderBy("position").collect():
-        value, kinds = _source(doc, row.paths), set(row.kinds)
-        if row.role == PARENT:
-            typed = _object_text(value)
-        elif row.spark_type == "string":
-            typed = _leaf_text(value, kinds)
-            if null_text is not None and leaves.NULL in kinds:
-                typed = F.when(F.is_variant_null(value), F.lit(null_text)).otherwise(typed)
-        else:
-            typed = _typed(value, kinds, row.spark_type)
-        out.append((row, value, typed))
-    return out
+    wanted = [r for r in rows if mixed(r)]
+    staged = docs.select(*docs.columns, *(_source(doc, r.paths).alias(f"_v{r.position}") for r in wanted))
+    shapes = {f"_s{r.position}": shape_of(F.col(f"_v{r.position}")) for r in wanted}
+    staged = staged.withColumns(shapes) if shapes else staged
+    kinds = {f"_k{r.position}": kind_of(F.col(f"_s{r.position}")) for r in wanted}
+    staged = staged.withColumns(kinds) if kinds else staged
+    return staged, {r["column"]: (F.col(f"_v{r.position}"), F.col(f"_k{r.position}")) for r in wanted}
+
+
+def _plan_rows(plan: DataFrame) -> list[Row]:
+    return plan.where(F.col("role") != KEY).orderBy("position").collect()
 
 
 def apply_plan(docs: DataFrame, plan: DataFrame, null_text: str | None = None) -> DataFrame:
@@ -80,7 +99,21 @@ def apply_plan(docs: DataFrame, plan: DataFrame, null_text: str | None = None) -
 
     A missing field is NULL; an explicit null too, or ``null_text`` in text columns.
     """
-    return docs.select(*(typed.alias(row["column"]) for row, _, typed in planned_columns(docs, plan, null_text)))
+    rows = _plan_rows(plan)
+    staged, mixed = _stage(docs, rows, _is_mixed)
+    out = []
+    for row in rows:
+        value, kind = mixed.get(row["column"], (_source(F.col(docs.columns[0]), row.paths), None))
+        if kind is not None:
+            col = _mixed_text(row, value, kind).try_cast(row.spark_type)
+        elif row.spark_type == "string":
+            col = _text(row, value)
+        else:
+            col = _typed(row, value)
+        if null_text is not None and row.spark_type == "string" and leaves.NULL in row.kinds:
+            col = F.when(F.is_variant_null(value), F.lit(null_text)).otherwise(col)
+        out.append(col.alias(row["column"]))
+    return staged.select(*out)
 
 
 def reject_rows(docs: DataFrame, plan: DataFrame) -> DataFrame:
@@ -88,13 +121,16 @@ def reject_rows(docs: DataFrame, plan: DataFrame) -> DataFrame:
 
     Returns the document and ``rejected``, an array of (column, value).
     """
+    rows = [r for r in _plan_rows(plan) if r.role == LEAF and r.spark_type != "string"]
+    if not rows:
+        rejected = F.expr("CAST(NULL AS array<struct<column:string,value:string>>)")
+        return docs.where(F.lit(False)).withColumn("rejected", rejected)
+    staged, found = _stage(docs, rows, lambda _: True)
     checks = []
-    for row, value, typed in planned_columns(docs, plan):
-        if row.role != LEAF or row.spark_type == "string":
-            continue
-        text = text_of(value, kind_of(shape_of(value)))
-        bad = text.isNotNull() & typed.isNull()
+    for row in rows:
+        value, kind = found[row["column"]]
+        text = text_of(value, kind)
+        bad = text.isNotNull() & _typed(row, value).isNull()
         checks.append(F.when(bad, F.struct(F.lit(row["column"]).alias("column"), text.alias("value"))))
-    if not checks:
-        return docs.where(F.lit(False)).withColumn("rejected", F.expr("CAST(NULL AS array<struct<column:string,value:string>>)"))
-    return docs.withColumn("rejected", F.array_compact(F.array(*checks))).where(F.size("rejected") > 0)
+    checked = staged.select(*docs.columns, F.array_compact(F.array(*checks)).alias("rejected"))
+    return checked.where(F.size("rejected") > 0)

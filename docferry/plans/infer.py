@@ -7,7 +7,9 @@ It is bounded by the number of columns a table can have, never by the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +17,7 @@ from docferry.functions.naming import join_parts, snake_case
 from docferry.functions.widths import TEXT_BYTES, text_type, varchar, varchar_type, varchar_width, widen
 from docferry.operators import leaves
 from docferry.operators.leaves import at_path
-from docferry.operators.profile import DEFAULT_DEPTH, INT_LIMIT, profile_columns, profile_documents
+from docferry.operators.profile import DEFAULT_DEPTH, INT_LIMIT, first_values, leaf_rows, profile_columns, profile_documents, with_order
 
 # A relational table holds no more columns than this, so a plan cannot either.
 MAX_COLUMNS = 4096
@@ -48,11 +50,14 @@ def collect_profile(docs: DataFrame, order_by: str | None = None) -> DataFrame:
     """Profile a collection to its full depth, as a small local DataFrame.
 
     Documents nested deeper than one pass unfolds are rare; only then the pass is
-    repeated with more levels.
+    repeated with more levels. ``order_by`` names the key that says which document is the sample
+    and which one brings a field first; it adds ``in_sample, first_rank, first_chars,
+    first_hoist`` (set on the kind that came first) and ``bad_chars``.
     """
-    depth, limit = DEFAULT_DEPTH, MAX_COLUMNS * 4
+    spark, depth, limit = docs.sparkSession, DEFAULT_DEPTH, MAX_COLUMNS * 4
     while True:
-        rows = profile_documents(docs, depth, order_by).limit(limit + 1).collect()
+        found = profile_documents(docs, depth)
+        rows = found.limit(limit + 1).collect()
         if len(rows) > limit:
             raise ValueError(f"more than {limit} distinct paths and kinds; no table can hold them as columns")
         if not any(r.type_tag == leaves.OBJECT for r in rows):
@@ -60,8 +65,54 @@ def collect_profile(docs: DataFrame, order_by: str | None = None) -> DataFrame:
         if depth >= MAX_DEPTH:
             raise ValueError(f"documents are nested deeper than {MAX_DEPTH} levels")
         depth = min(MAX_DEPTH, depth * 3)
-    schema = profile_documents(docs, DEFAULT_DEPTH, order_by).schema
-    return docs.sparkSession.createDataFrame(rows, schema)
+    if order_by is None:
+        return spark.createDataFrame(rows, found.schema)
+    firsts, bad_chars, sample_ord = _first_facts(docs, rows, depth, order_by)
+    ranks = {o: i for i, o in enumerate(sorted({f.ord for f in firsts.values()}))}
+
+    def facts(row: Row) -> tuple:
+        first = firsts.get(tuple(row.path))
+        if first is None or first.type_tag != row.type_tag:
+            return (*row, False, None, None, False, None)
+        bad = bad_chars.get(tuple(row.path))
+        return (*row, first.ord == sample_ord, ranks[first.ord], first.chars, first.is_hoist, bad)
+
+    more = "in_sample boolean, first_rank long, first_chars int, first_hoist boolean, bad_chars int"
+    schema = T.StructType(found.schema.fields + T._parse_datatype_string(more).fields)
+    return spark.createDataFrame([facts(r) for r in rows], schema)
+
+
+def _first_facts(docs: DataFrame, rows: list[Row], depth: int, order_by: str) -> tuple[dict, dict, Row | None]:
+    """First value of every path, length of the first bad value of date paths, order of the sample.
+
+    The sample document answers most paths; one further pass looks only at the paths it lacks
+    and at date paths that also hold something else.
+    """
+    doc = docs.columns[0]
+    first = with_order(docs, order_by).orderBy("ord").limit(1)
+    sample = first.select(F.to_json(doc).alias("text"), "ord").collect()
+    if not sample:
+        return {}, {}, None
+    one = docs.sparkSession.createDataFrame([(sample[0]["text"],)], "text string").select(F.parse_json("text").alias(doc))
+    own = leaf_rows(one, depth, order_by).where(F.col("type_tag") != leaves.EMPTY)
+    own = own.select("path", "ord", "type_tag", F.length("text").alias("chars"), "is_hoist").collect()
+    firsts = {tuple(r.path): r for r in own}
+    kinds: dict[tuple, set] = {}
+    for r in rows:
+        kinds.setdefault(tuple(r.path), set()).add(r.type_tag)
+    late = [p for p in kinds if p not in firsts]
+    dates = [p for p, f in firsts.items() if f.type_tag == leaves.DATE and kinds[p] - {leaves.DATE, leaves.NULL}]
+    bad_chars = {}
+    if late or dates:
+        name = F.to_json("path")
+        as_json = lambda paths: [json.dumps(list(p), ensure_ascii=False, separators=(",", ":")) for p in paths]
+        for r in first_values(docs, depth, order_by, name.isin(as_json(late + dates))).collect():
+            path = tuple(r.path)
+            if path not in dates and (path not in firsts or r.first.ord < firsts[path].ord):
+                firsts[path] = r.first
+            if path in dates and r.is_bad:
+                bad_chars[path] = r.first.chars
+    return firsts, bad_chars, sample[0]["ord"]
 
 
 def _column_names(paths: set[tuple[str, ...]], hoisted: set[tuple[str, ...]], sep: str) -> dict[tuple[str, ...], str]:
@@ -81,13 +132,13 @@ def _column_names(paths: set[tuple[str, ...]], hoisted: set[tuple[str, ...]], se
     return names
 
 
-def _hoisted_paths(rows: list, hoist: str, sample_ord) -> set[tuple[str, ...]]:
+def _hoisted_paths(rows: list[Row], hoist: str) -> set[tuple[str, ...]]:
     if hoist == "never":
         return set()
     if hoist == "any":
         return {tuple(r.path[:-1]) for r in rows if r.n_hoist}
     if hoist == "sample":
-        return {tuple(r.path[:-1]) for r in rows if r.first.ord == sample_ord and r.first.is_hoist}
+        return {tuple(r.path[:-1]) for r in rows if r.in_sample and r.first_hoist}
     raise ValueError(f"unknown hoist {hoist!r}")
 
 
@@ -207,11 +258,10 @@ def infer_plan(
         raise ValueError(f"unknown mode {mode!r}")
     spark = profile.sparkSession
     rows = [r for r in profile.collect() if r.path[0] not in skip]
-    with_first = "first" in profile.columns
+    with_first = "first_rank" in profile.columns
     if not with_first and (mode == "sample" or hoist == "sample"):
         raise ValueError("this needs a profile taken with order_by")
-    sample_ord = min((r.first.ord for r in rows), default=None) if with_first else None
-    hoisted = _hoisted_paths(rows, hoist, sample_ord)
+    hoisted = _hoisted_paths(rows, hoist)
     kept = [r for r in rows if r.type_tag not in (leaves.EMPTY, leaves.OBJECT)]
     # Paths that hold an object in some documents; a column for other values there skips these.
     holds_object = {tuple(r.path[:i]) for r in rows for i in range(1, len(r.path))}
@@ -228,8 +278,6 @@ def infer_plan(
     if len(sources) > MAX_COLUMNS:
         raise ValueError(f"{len(sources)} columns; a table holds at most {MAX_COLUMNS}")
 
-    # Position of each row's first document among the first documents of all rows.
-    ranks = {o: i for i, o in enumerate(sorted({r.first.ord for r in rows}))} if with_first else {}
     facts = [
         (
             names[tuple(r.path)],
@@ -243,10 +291,7 @@ def infer_plan(
             getattr(r, "n_bad_number", 0),
             getattr(r, "n_bad_date", 0),
             tuple(r.path) in ((m,) for m in SKIP_METADATA),
-            with_first and r.first.ord == sample_ord,
-            ranks[r.first.ord] if with_first else 0,
-            r.first.chars if with_first else None,
-            r.first_bad_date.chars if with_first and r.first_bad_date else None,
+            *((r.in_sample, r.first_rank, r.first_chars, r.bad_chars) if with_first else (None,) * 4),
         )
         for r in kept
     ]
@@ -341,8 +386,7 @@ def plan_documents(
     needs_order = mode == "sample" or hoist == "sample"
     profile = collect_profile(docs, order_by if needs_order else None)
     rows = profile.collect()
-    sample_ord = min((r.first.ord for r in rows), default=None) if needs_order else None
-    hoisted = _hoisted_paths(rows, hoist, sample_ord)
+    hoisted = _hoisted_paths(rows, hoist)
     inner = {tuple(r.path[: i + 1]) for r in rows for i in range(len(r.path) - 1)}
     whole = {p for p in inner if p[:-1] in hoisted}
     if keep_parent:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docferry.functions.values import field as column
+from docferry.operators.profile import with_order
 from docferry.operators.shape import pack_documents
 from docferry.session import list_names, make_dir, path_exists
 
@@ -77,9 +78,7 @@ def has_documents(spark: SparkSession, store: DocumentStore, name: str) -> bool:
 def sample_document(df: DataFrame, order_by: str = "_id") -> DataFrame:
     """The first document by key; no row when the collection is empty."""
     if isinstance(df.schema[0].dataType, T.VariantType) and len(df.columns) == 1:
-        from docferry.operators.profile import document_order
-
-        return df.orderBy(document_order(F.col(df.columns[0]), order_by)).limit(1)
+        return with_order(df, order_by).orderBy("ord").limit(1).drop("ord")
     return df.orderBy(column(order_by).asc_nulls_last()).limit(1)
 
 
