@@ -202,5 +202,20 @@ def _write_staged(
     namespace = _namespace(spark, conn)
     if table in list_tables(spark, conn):
         spark.sql(f"DROP TABLE {namespace}.{quote(table)}")
+    if conn.url.startswith("jdbc:derby:"):
+        # Spark leaves the new name unquoted for this database, which would fold it to upper case.
+        _execute(spark, conn, f"RENAME TABLE {conn.name(side)} TO {quote(table, '"')}")
+        return
     new_name = ".".join(quote(p) for p in ([conn.schema] if conn.schema else []) + [table])
     spark.sql(f"ALTER TABLE {namespace}.{quote(side)} RENAME TO {new_name}")
+
+
+def _execute(spark: SparkSession, conn: JdbcConnection, statement: str) -> None:
+    properties = spark._jvm.java.util.Properties()
+    for key, value in conn.properties().items():
+        properties.setProperty(key, value)
+    connection = spark._jvm.java.sql.DriverManager.getConnection(conn.url, properties)
+    try:
+        connection.createStatement().execute(statement)
+    finally:
+        connection.close()
