@@ -78,9 +78,16 @@ def measures() -> list[Column]:
     ]
 
 
-def leaf_rows(docs: DataFrame, depth: int = DEFAULT_DEPTH, order_by: str | None = None) -> DataFrame:
-    """One row per leaf with its kind and text: ``path, type_tag, text, is_hoist`` (and ``ord``)."""
+def leaf_rows(
+    docs: DataFrame, depth: int = DEFAULT_DEPTH, order_by: str | None = None, wanted: Column | None = None
+) -> DataFrame:
+    """One row per leaf with its kind and text: ``path, type_tag, text, is_hoist`` (and ``ord``).
+
+    ``wanted`` is a condition on ``path``. Filters on the other columns are better avoided: they
+    would be pushed below the steps here and repeat their work.
+    """
     rows = unfold(docs, depth, order_by)
+    rows = rows if wanted is None else rows.where(wanted)
     rows = rows.withColumn("type_tag", kind_of(F.col("shape")))
     rows = rows.withColumn("text", text_of(F.col("v"), F.col("type_tag")))
     hoist = F.when(
@@ -111,15 +118,15 @@ def profile_documents(docs: DataFrame, depth: int = DEFAULT_DEPTH) -> DataFrame:
 def first_values(docs: DataFrame, depth: int, order_by: str, wanted: Column) -> DataFrame:
     """First leaf of each path among the ``wanted`` ones, by document order: ``path, is_bad, first``.
 
-    ``is_bad`` splits values a datetime column would refuse from the others. A minimum over
+    ``wanted`` is a condition on ``path``. ``is_bad`` splits values a datetime column would refuse from the others. A minimum over
     structs sorts its input, so ask for the few paths that need it, not for all.
     """
     kind, text = F.col("type_tag"), F.col("text")
     is_date = (kind == leaves.DATE) | ((kind == leaves.STRING) & is_date_text(text))
     bad = ~is_date & ~kind.isin(leaves.NULL, leaves.EMPTY)
-    rows = leaf_rows(docs, depth, order_by).where(wanted & (kind != leaves.EMPTY)).withColumn("is_bad", bad)
-    first = F.struct("ord", "type_tag", F.length(text).alias("chars"), "is_hoist")
-    return rows.groupBy("path", "is_bad").agg(F.min(first).alias("first"))
+    rows = leaf_rows(docs, depth, order_by, wanted).withColumn("is_bad", bad)
+    first = F.when(kind != leaves.EMPTY, F.struct("ord", "type_tag", F.length(text).alias("chars"), "is_hoist"))
+    return rows.groupBy("path", "is_bad").agg(F.min(first).alias("first")).where("first IS NOT NULL")
 
 
 def _typed_leaves(schema: T.StructType, col: Column | None = None, path: tuple[str, ...] = ()):

@@ -117,20 +117,15 @@ def apply_plan(docs: DataFrame, plan: DataFrame, null_text: str | None = None) -
 
 
 def reject_rows(docs: DataFrame, plan: DataFrame) -> DataFrame:
-    """Documents holding a value the planned column cannot take, with those columns and values.
-
-    Returns the document and ``rejected``, an array of (column, value).
-    """
+    """Values the planned columns cannot take: the document, ``column`` and ``value``, one row each."""
     rows = [r for r in _plan_rows(plan) if r.role == LEAF and r.spark_type != "string"]
-    if not rows:
-        rejected = F.expr("CAST(NULL AS array<struct<column:string,value:string>>)")
-        return docs.where(F.lit(False)).withColumn("rejected", rejected)
     staged, found = _stage(docs, rows, lambda _: True)
-    checks = []
+    checks = [F.expr("CAST(NULL AS struct<column:string,value:string>)")]
     for row in rows:
         value, kind = found[row["column"]]
         text = text_of(value, kind)
         bad = text.isNotNull() & _typed(row, value).isNull()
         checks.append(F.when(bad, F.struct(F.lit(row["column"]).alias("column"), text.alias("value"))))
-    checked = staged.select(*docs.columns, F.array_compact(F.array(*checks)).alias("rejected"))
-    return checked.where(F.size("rejected") > 0)
+    # The generator drops documents without a rejected value; a filter would be pushed below the
+    # stages above and evaluate their expressions over and over.
+    return staged.select(*docs.columns, F.inline(F.array_compact(F.array(*checks))))

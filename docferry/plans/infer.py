@@ -94,9 +94,8 @@ def _first_facts(docs: DataFrame, rows: list[Row], depth: int, order_by: str) ->
     if not sample:
         return {}, {}, None
     one = docs.sparkSession.createDataFrame([(sample[0]["text"],)], "text string").select(F.parse_json("text").alias(doc))
-    own = leaf_rows(one, depth, order_by).where(F.col("type_tag") != leaves.EMPTY)
-    own = own.select("path", "ord", "type_tag", F.length("text").alias("chars"), "is_hoist").collect()
-    firsts = {tuple(r.path): r for r in own}
+    own = leaf_rows(one, depth, order_by).select("path", "ord", "type_tag", F.length("text").alias("chars"), "is_hoist")
+    firsts = {tuple(r.path): r for r in own.collect() if r.type_tag != leaves.EMPTY}
     kinds: dict[tuple, set] = {}
     for r in rows:
         kinds.setdefault(tuple(r.path), set()).add(r.type_tag)

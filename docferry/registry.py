@@ -404,9 +404,7 @@ def reject_mixed(spark, sf_dir):
     events = mixed_documents(spark, sf_dir)
     clean = events.where("try_variant_get(doc, '$.mixed', 'string') <> 'click' AND try_variant_get(doc, '$.seenAt', 'string') <> 'view'")
     rejected = reject_rows(events, plan_documents(clean))
-    return rejected.select(
-        F.try_variant_get("doc", "$._id", "bigint").alias("event_id"), F.inline("rejected")
-    ).select("event_id", "column", "value")
+    return rejected.select(F.try_variant_get("doc", "$._id", "bigint").alias("event_id"), "column", "value")
 
 
 @query(
