@@ -103,19 +103,24 @@ def add_surrogate_key(
     numbered = calm.withColumn(name, offset + F.row_number().over(within))
     out = _finish(numbered, df, name)
     if hot:
-        out = out.unionByName(_number_copies(placed.where(F.col(BUCKET).isin(hot)), df, offset, name))
+        parts = min(MAX_BUCKETS, max(parts, sum(counts[b] for b in hot) // CHUNK))
+        out = out.unionByName(_number_copies(placed.where(F.col(BUCKET).isin(hot)), df, offset, name, parts))
     return out
 
 
-def _number_copies(rows: DataFrame, df: DataFrame, offset: Column, name: str) -> DataFrame:
-    """Number buckets made up of equal rows: collapse, running total, unfold in chunks."""
+def _number_copies(rows: DataFrame, df: DataFrame, offset: Column, name: str, parts: int) -> DataFrame:
+    """Number buckets made up of equal rows: collapse, running total, unfold in chunks.
+
+    The chunks are few and small before they unfold, so the number of tasks is set and not left
+    to be worked out from their size.
+    """
     columns = [field(c) for c in df.columns]
     groups = rows.groupBy(BUCKET, KEY, *columns).agg(F.count(F.lit(1)).alias("_copies"))
     before = W.partitionBy(BUCKET).orderBy(KEY).rowsBetween(W.unboundedPreceding, -1)
     first = offset + F.coalesce(F.sum("_copies").over(before), F.lit(0)) + 1
     ranged = groups.withColumn("_first", first).withColumn("_last", F.col("_first") + F.col("_copies") - 1)
     chunks = ranged.withColumn("_start", F.explode(F.sequence("_first", "_last", F.lit(CHUNK).cast("long"))))
-    spread = chunks.repartition(F.col("_start"))
+    spread = chunks.repartition(parts, F.col("_start"))
     ids = F.sequence("_start", F.least(F.col("_start") + CHUNK - 1, F.col("_last")))
     return _finish(spread.withColumn(name, F.explode(ids)), df, name)
 
