@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from docferry.functions.naming import database_name
 from docferry.operators.keys import add_surrogate_key
-from docferry.operators.shape import map_fields
+from docferry.operators.shape import ID_FIELD, map_fields
 from docferry.plans.apply import apply_plan
 from docferry.plans.ddl import writer_types
 from docferry.plans.infer import KEY, PLAN_SCHEMA, plan_documents, table_name
@@ -50,7 +50,7 @@ def documents_to_rows(
     docs: DataFrame,
     mode: str = "full",
     *,
-    order_by: str = "_id",
+    order_by: str = ID_FIELD,
     null_text: str | None = None,
     **options,
 ) -> tuple[DataFrame, DataFrame, str | None]:
@@ -67,7 +67,9 @@ def documents_to_rows(
         return rows, plan, None
     typed, path = written(rows, "typed")
     by = [r["column"] for r in plan.orderBy("position").collect() if [order_by] in [list(p) for p in r.paths]]
-    return add_surrogate_key(typed, by or typed.columns, keyed["column"]), plan, path
+    # The store keeps its own key unique; any other order may have ties.
+    unique = bool(by) and order_by == ID_FIELD
+    return add_surrogate_key(typed, by or typed.columns, keyed["column"], unique=unique), plan, path
 
 
 def migrate_collection(
@@ -82,11 +84,11 @@ def migrate_collection(
     """One collection into one table; returns its report row."""
     began, target = time.time(), table_name(name)
     docs = read_collection(spark, store, name, as_variant=True)
-    rows_in = docs.count()
-    if not rows_in:
+    if docs.isEmpty():
         return name, target, SKIPPED_EMPTY, 0, 0, 0, time.time() - began
     rows, plan, scratch = documents_to_rows(docs, **options)
     try:
+        rows_in = (spark.read.parquet(scratch) if scratch else docs).count()
         write_table(rows, conn, target, staged=True, expected_rows=rows_in, column_types=writer_types(plan))
     finally:
         if scratch:

@@ -34,6 +34,11 @@ class JdbcConnection:
         given = {"user": self.user, "password": self.password, "driver": self.driver}
         return {**self.options, **{k: v for k, v in given.items() if v is not None}, "preferTimestampNTZ": "true"}
 
+    @property
+    def is_derby(self) -> bool:
+        """The embedded database. It refuses the writer's NULL for a sized text column."""
+        return self.url.startswith("jdbc:derby:")
+
     def name(self, table: str, mark: str = '"') -> str:
         """Quoted table name for the SQL the connection's dialect builds."""
         mark = "`" if self.url.startswith(("jdbc:mysql", "jdbc:mariadb")) else mark
@@ -191,6 +196,7 @@ def _write_staged(
         rename_path(spark, conn.path(side), conn.path(table))
         return
     wanted = df.count() if expected_rows is None else expected_rows
+    column_types = "" if conn.is_derby else column_types
     for _ in range(STAGED_ATTEMPTS):
         # A JDBC write commits per partition; one repeated after a lost executor leaves extra rows.
         write_table(df, conn, side, "overwrite", batch_size=batch_size, column_types=column_types)
@@ -202,7 +208,7 @@ def _write_staged(
     namespace = _namespace(spark, conn)
     if table in list_tables(spark, conn):
         spark.sql(f"DROP TABLE {namespace}.{quote(table)}")
-    if conn.url.startswith("jdbc:derby:"):
+    if conn.is_derby:
         # Spark leaves the new name unquoted for this database, which would fold it to upper case.
         _execute(spark, conn, f"RENAME TABLE {conn.name(side)} TO {quote(table, '"')}")
         return
