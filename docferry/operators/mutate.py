@@ -123,8 +123,24 @@ def _flagged(df: DataFrame, query: dict[str, Any], first_only: bool, order_by: s
 
 
 def _assign(df: DataFrame, name: str, value: Any) -> Column:
-    known = df.schema[name].dataType if name in df.columns else None
-    return F.lit(value).cast(known) if known is not None else F.lit(value)
+    """The new value in the type the field has, if it is there already."""
+    known = _lookup(df, name)[1]
+    return F.lit(value) if isinstance(known, (T.NullType, T.VariantType)) else F.lit(value).cast(known)
+
+
+def _changed(df: DataFrame, changes: dict[str, Any]) -> dict[str, Column]:
+    """Top-level columns after setting the fields; a dotted name sets a member of an object."""
+    new: dict[str, Column] = {}
+    for name, value in changes.items():
+        top, _, inner = name.partition(".")
+        if name in df.columns or not inner:
+            new[name] = _assign(df, name, value)
+            continue
+        if top not in df.columns or not isinstance(df.schema[top].dataType, T.StructType):
+            raise ValueError(f"{name!r} is no member of an object")
+        whole = new.get(top, field(top))
+        new[top] = F.coalesce(whole, F.from_json(F.lit("{}"), df.schema[top].dataType)).withField(inner, _assign(df, name, value))
+    return new
 
 
 def update(
@@ -137,8 +153,8 @@ def update(
     """The collection after setting fields on the first match (or on all); a new field is added."""
     flagged = _flagged(df, query, first_only, order_by)
     new = {
-        name: F.when(F.col(_FLAG), _assign(df, name, value)).otherwise(field(name) if name in df.columns else F.lit(None))
-        for name, value in changes.items()
+        name: F.when(F.col(_FLAG), value).otherwise(field(name) if name in df.columns else F.lit(None))
+        for name, value in _changed(df, changes).items()
     }
     kept = [new.get(c, field(c)).alias(c) for c in df.columns]
     return flagged.select(*kept, *(c.alias(n) for n, c in new.items() if n not in df.columns))
@@ -152,11 +168,13 @@ def modified_count(
     order_by: str | list[str] = ID_FIELD,
 ) -> int:
     """How many documents an update changes; a match that already holds the values does not count."""
-    differs = [
-        ~field(n).eqNullSafe(_assign(df, n, v)) if n in df.columns else F.lit(True) for n, v in changes.items()
-    ]
+    differs = F.lit(False)
+    for name, value in changes.items():
+        now, data_type = _lookup(df, name)
+        same = F.lit(False) if isinstance(data_type, T.NullType) else now.eqNullSafe(_assign(df, name, value))
+        differs = differs | ~same
     flagged = _flagged(df, query, first_only, order_by)
-    return flagged.where(F.col(_FLAG) & reduce(lambda a, b: a | b, differs, F.lit(False))).count()
+    return flagged.where(F.col(_FLAG) & differs).count()
 
 
 def delete(

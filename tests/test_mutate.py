@@ -79,6 +79,14 @@ def test_update_adds_a_field_and_counts_changes(people):
     assert modified_count(people, {"name": "ann"}, {"age": 30}, first_only=False) == 1
 
 
+def test_update_of_a_member(people):
+    rows = {r._id: r.address and r.address.zip for r in update(people, {"age": {"$gte": 40}}, {"address.zip": "Z"}, first_only=False).collect()}
+    assert rows == {1: "X", 2: "Y", 3: "Z", 4: "Z"}
+    assert modified_count(people, {"name": "ann"}, {"address.zip": "X"}, first_only=False) == 0
+    with pytest.raises(ValueError, match="member"):
+        update(people, {}, {"name.first": "x"})
+
+
 def test_delete(people):
     assert sorted(r._id for r in delete(people, {"name": "ann"}).collect()) == [2, 3, 4]
     assert sorted(r._id for r in delete(people, {"name": "ann"}, first_only=False).collect()) == [2, 3]
