@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
-EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
 # What counts as a good value in an integer or datetime column.
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
@@ -20,12 +19,6 @@ def field(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def utc_wall_time(ts: Column) -> Column:
-    """A TIMESTAMP as UTC wall time without zone, whatever the session zone."""
-    seconds = (F.unix_micros(ts) / F.lit(1_000_000).cast("decimal(18,0)")).cast("decimal(18,6)")
-    return F.expr(EPOCH) + F.make_dt_interval(secs=seconds)
-
-
 def to_seconds_text(ts: Column) -> Column:
     """``2024-01-31 23:59:59``, the fraction cut. Plain cast: a wall time must not pass through a zone."""
     return F.substring(ts.cast("string"), 1, 19)

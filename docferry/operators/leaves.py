@@ -9,17 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docferry.functions.values import KEEP_NULLS, to_seconds_text, utc_wall_time
-
 # Leaf kinds, named after what the value is in the document store.
 STRING, INT, LONG, DOUBLE, DECIMAL = "STRING", "INT", "LONG", "DOUBLE", "DECIMAL"
 BOOLEAN, OBJECT_ID, DATE, LIST = "BOOLEAN", "OBJECT_ID", "DATE", "LIST"
 BINARY, NULL, OTHER = "BINARY", "NULL", "OTHER"
 EMPTY, OBJECT = "EMPTY", "OBJECT"
 
-# A whole number too wide for 64 bits; narrower ones of scale 0 were written as 6.0.
-WIDE_WHOLE = r"^DECIMAL\((19|[23][0-9]),0\)$"
-
 # Extended JSON keys and the kinds they stand for.
 EXTENDED_KINDS = {
     "$oid": OBJECT_ID,
@@ -31,6 +26,72 @@ EXTENDED_KINDS = {
     "$binary": BINARY,
 }
 
+# The expressions below are SQL text over column names: they are large, and the plan they end
+# up in names each of their inputs as a column, so that no input is worked out twice.
+
+# Kind out of the schema text of a value. A whole decimal too wide for 64 bits is kept exact;
+# narrower ones of scale 0 were written as 6.0.
+KIND_SQL = (
+    """CASE
+    WHEN {shape} = 'STRING' THEN 'STRING'
+    WHEN {shape} = 'BIGINT' THEN 'INT'
+    WHEN startswith({shape}, 'DECIMAL') THEN
+        if({shape} RLIKE '^DECIMAL[(](19|[23][0-9]),0[)]$', 'DECIMAL', 'DOUBLE')
+    WHEN {shape} IN ('DOUBLE', 'FLOAT') THEN 'DOUBLE'
+    WHEN {shape} = 'BOOLEAN' THEN 'BOOLEAN'
+    WHEN {shape} = 'VOID' THEN 'NULL'
+    WHEN startswith({shape}, 'ARRAY') THEN 'LIST'
+    WHEN startswith({shape}, 'TIMESTAMP') OR {shape} = 'DATE' THEN 'DATE'
+    WHEN {shape} = 'BINARY' THEN 'BINARY'
+    WHEN {shape} = 'OBJECT<>' THEN 'EMPTY'
+    """
+    + "\n    ".join(f"WHEN startswith({{shape}}, 'OBJECT<`{key}`: ') THEN '{kind}'" for key, kind in EXTENDED_KINDS.items())
+    + """
+    WHEN startswith({shape}, 'OBJECT<`$') THEN 'OTHER'
+    WHEN startswith({shape}, 'OBJECT') THEN 'OBJECT'
+    ELSE 'OTHER' END"""
+)
+
+# UTC wall time of a date: milliseconds, ISO text or a native timestamp.
+DATE_SQL = """coalesce(
+    timestampadd(MICROSECOND, unix_micros(coalesce(
+        timestamp_millis(try_cast(try_variant_get({value}, '$.$date.$numberLong', 'string') AS BIGINT)),
+        CASE schema_of_variant(try_variant_get({value}, '$.$date', 'variant'))
+            WHEN 'BIGINT' THEN timestamp_millis(try_variant_get({value}, '$.$date', 'bigint'))
+            WHEN 'STRING' THEN try_cast(try_variant_get({value}, '$.$date', 'string') AS TIMESTAMP) END
+    )), TIMESTAMP_NTZ '1970-01-01 00:00:00'),
+    try_variant_get({value}, '$', 'timestamp_ntz'))"""
+
+# Bytes of a binary, in the current or the older Extended JSON form.
+BINARY_SQL = """coalesce(
+    try_to_binary(coalesce(
+        try_variant_get({value}, '$.$binary.base64', 'string'),
+        CASE WHEN schema_of_variant(try_variant_get({value}, '$.$binary', 'variant')) = 'STRING'
+            THEN try_variant_get({value}, '$.$binary', 'string') END), 'base64'),
+    try_variant_get({value}, '$', 'binary'))"""
+
+# Text of a leaf as a relational text column would hold it; NULL for null.
+TEXT_SQL = (
+    """CASE {kind}
+    WHEN 'STRING' THEN try_variant_get({value}, '$', 'string')
+    WHEN 'INT' THEN coalesce(try_variant_get({value}, '$.$numberInt', 'string'), try_variant_get({value}, '$', 'string'))
+    WHEN 'DOUBLE' THEN coalesce(
+        CAST(try_variant_get({value}, '$', 'double') AS STRING), try_variant_get({value}, '$.$numberDouble', 'string'))
+    WHEN 'BOOLEAN' THEN if(try_variant_get({value}, '$', 'boolean'), '1', '0')
+    WHEN 'NULL' THEN NULL
+    WHEN 'EMPTY' THEN NULL
+    WHEN 'OBJECT_ID' THEN try_variant_get({value}, '$.$oid', 'string')
+    WHEN 'DATE' THEN substring(CAST("""
+    + DATE_SQL
+    + """ AS STRING), 1, 19)
+    WHEN 'LONG' THEN coalesce(try_variant_get({value}, '$.$numberLong', 'string'), try_variant_get({value}, '$', 'string'))
+    WHEN 'DECIMAL' THEN coalesce(try_variant_get({value}, '$.$numberDecimal', 'string'), try_variant_get({value}, '$', 'string'))
+    WHEN 'BINARY' THEN base64("""
+    + BINARY_SQL
+    + """)
+    ELSE to_json({value}, map('ignoreNullFields', 'false')) END"""
+)
+
 
 def member(doc: Column, key: str, as_type: str = "variant") -> Column:
     """One member of an object by its literal key; any key is allowed."""
@@ -51,78 +112,31 @@ def at_path(doc: Column, path: list[str], as_type: str = "variant") -> Column:
     return member(doc, path[-1], as_type)
 
 
-def shape_of(value: Column) -> Column:
-    """Schema text of a variant, the base of the two functions below."""
-    return F.schema_of_variant(value)
+def shape_of(value: str) -> Column:
+    """Schema text of a variant column, the base of the two functions below."""
+    return F.expr(f"schema_of_variant({value})")
 
 
-def is_nested(shape: Column) -> Column:
+def is_nested(shape: str) -> Column:
     """True for an object with members to walk into."""
-    return shape.startswith("OBJECT<") & ~shape.startswith("OBJECT<`$") & (shape != "OBJECT<>")
-
-
-def kind_of(shape: Column) -> Column:
-    """Leaf kind out of the schema text; number widths are folded away."""
-    kind = (
-        F.when(shape == "STRING", STRING)
-        .when(shape == "BIGINT", INT)
-        .when(shape.startswith("DECIMAL"), F.when(shape.rlike(WIDE_WHOLE), DECIMAL).otherwise(DOUBLE))
-        .when(shape.isin("DOUBLE", "FLOAT"), DOUBLE)
-        .when(shape == "BOOLEAN", BOOLEAN)
-        .when(shape == "VOID", NULL)
-        .when(shape.startswith("ARRAY"), LIST)
-        .when(shape.startswith("TIMESTAMP") | (shape == "DATE"), DATE)
-        .when(shape == "BINARY", BINARY)
-        .when(shape == "OBJECT<>", EMPTY)
-    )
-    for key, name in EXTENDED_KINDS.items():
-        kind = kind.when(shape.startswith(f"OBJECT<`{key}`: "), name)
-    return kind.when(shape.startswith("OBJECT<`$"), OTHER).when(shape.startswith("OBJECT"), OBJECT).otherwise(OTHER)
-
-
-def date_value(value: Column) -> Column:
-    """UTC wall time of a date leaf: native timestamp, ISO text or milliseconds."""
-    inner = member(value, "$date")
-    millis = F.coalesce(
-        member(inner, "$numberLong", "string").try_cast("long"),
-        F.when(F.schema_of_variant(inner) == "BIGINT", F.try_variant_get(inner, "$", "long")),
-    )
-    iso = F.when(F.schema_of_variant(inner) == "STRING", F.try_variant_get(inner, "$", "string"))
-    return F.coalesce(
-        utc_wall_time(F.coalesce(F.timestamp_millis(millis), iso.try_cast("timestamp"))),
-        F.try_variant_get(value, "$", "timestamp_ntz"),
-    )
-
-
-def binary_value(value: Column) -> Column:
-    """Bytes of a binary leaf, in the current or the older Extended JSON form."""
-    encoded = F.coalesce(
-        at_path(value, ["$binary", "base64"], "string"),
-        F.when(F.schema_of_variant(member(value, "$binary")) == "STRING", member(value, "$binary", "string")),
-    )
-    return F.coalesce(F.try_to_binary(encoded, F.lit("base64")), F.try_variant_get(value, "$", "binary"))
-
-
-def number_text(value: Column, key: str, plain_type: str = "string") -> Column:
-    """Text of a number written as ``{key: "..."}`` or as a plain number."""
-    return F.coalesce(member(value, key, "string"), F.try_variant_get(value, "$", plain_type).cast("string"))
-
-
-def text_of(value: Column, kind: Column) -> Column:
-    """Text form of a leaf as a relational text column would hold it; NULL for null.
-
-    Pass ``kind`` as a column of its own: it is looked at once per branch.
-    """
-    return (
-        F.when(kind == STRING, F.try_variant_get(value, "$", "string"))
-        .when(kind == BOOLEAN, F.when(F.try_variant_get(value, "$", "boolean"), "1").otherwise("0"))
-        .when(kind.isin(NULL, EMPTY), F.lit(None).cast("string"))
-        .when(kind == OBJECT_ID, member(value, "$oid", "string"))
-        .when(kind == DATE, to_seconds_text(date_value(value)))
-        .when(kind == INT, number_text(value, "$numberInt"))
-        .when(kind == LONG, number_text(value, "$numberLong"))
-        .when(kind == DOUBLE, number_text(value, "$numberDouble", "double"))
-        .when(kind == DECIMAL, number_text(value, "$numberDecimal"))
-        .when(kind == BINARY, F.base64(binary_value(value)))
-        .otherwise(F.to_json(value, KEEP_NULLS))
-    )
+    return F.expr(f"startswith({shape}, 'OBJECT<') AND NOT startswith({shape}, 'OBJECT<`$') AND {shape} <> 'OBJECT<>'")
+
+
+def kind_of(shape: str) -> Column:
+    """Leaf kind out of the schema text in a column."""
+    return F.expr(KIND_SQL.format(shape=shape))
+
+
+def date_value(value: str) -> Column:
+    """UTC wall time of the date leaves in a column."""
+    return F.expr(DATE_SQL.format(value=value))
+
+
+def binary_value(value: str) -> Column:
+    """Bytes of the binary leaves in a column."""
+    return F.expr(BINARY_SQL.format(value=value))
+
+
+def text_of(value: str, kind: str) -> Column:
+    """Text form of the leaves in a column, given their kinds in another."""
+    return F.expr(TEXT_SQL.format(value=value, kind=kind))

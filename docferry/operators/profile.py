@@ -27,8 +27,8 @@ def with_order(docs: DataFrame, order_by: str, name: str = "ord") -> DataFrame:
         text.isNull().alias("missing"), number.isNull().alias("not_number"), number.alias("number"), text.alias("text")
     )
     staged = docs.select(*docs.columns, at_path(doc, [order_by]).alias("_value"))
-    staged = staged.withColumn("_kind", kind_of(shape_of(F.col("_value"))))
-    staged = staged.withColumn("_text", text_of(F.col("_value"), kind))
+    staged = staged.withColumn("_shape", shape_of("_value")).withColumn("_kind", kind_of("_shape"))
+    staged = staged.withColumn("_text", text_of("_value", "_kind"))
     return staged.select(*docs.columns, order.alias(name))
 
 
@@ -48,9 +48,9 @@ def unfold(docs: DataFrame, depth: int = DEFAULT_DEPTH, order_by: str | None = N
     rows = spark.sql(
         f"SELECT array(e.key) AS path, e.value AS v{extra} FROM {{base}}, LATERAL variant_explode(doc) AS e",
         base=base,
-    ).withColumn("shape", shape_of(F.col("v")))
+    ).withColumn("shape", shape_of("v"))
     for _ in range(depth - 1):
-        step = rows.withColumn("inner", F.when(is_nested(F.col("shape")), F.col("v")))
+        step = rows.withColumn("inner", F.when(is_nested("shape"), F.col("v")))
         rows = spark.sql(
             f"""SELECT if(e.key IS NULL, path, array_append(path, e.key)) AS path,
                        coalesce(e.value, v) AS v,
@@ -88,8 +88,8 @@ def leaf_rows(
     """
     rows = unfold(docs, depth, order_by)
     rows = rows if wanted is None else rows.where(wanted)
-    rows = rows.withColumn("type_tag", kind_of(F.col("shape")))
-    rows = rows.withColumn("text", text_of(F.col("v"), F.col("type_tag")))
+    rows = rows.withColumn("type_tag", kind_of("shape"))
+    rows = rows.withColumn("text", text_of("v", "type_tag"))
     hoist = F.when(
         (F.col("type_tag") == leaves.STRING) & (F.size("path") >= 3),
         F.try_element_at("path", F.lit(-2)) == F.col("text"),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -52,22 +50,24 @@ def _text(row: Row, value: Column) -> Column:
     return F.when(~F.is_variant_null(value), F.to_json(value))
 
 
-def _mixed_text(row: Row, value: Column, kind: Column) -> Column:
+def _mixed_text(row: Row) -> Column:
     """Text of values of several kinds; objects only where the column is for them."""
+    value, kind = f"_v{row.position}", F.col(f"_k{row.position}")
+    text = text_of(value, f"_k{row.position}")
     if row.role == PARENT:
-        return F.when(kind.isin(leaves.OBJECT, leaves.EMPTY), F.to_json(value)).otherwise(text_of(value, kind))
-    return F.when(kind != leaves.OBJECT, text_of(value, kind))
+        return F.when(kind.isin(leaves.OBJECT, leaves.EMPTY), F.to_json(value)).otherwise(text)
+    return F.when(kind != leaves.OBJECT, text)
 
 
 def _typed(row: Row, value: Column) -> Column:
     """Column of a type other than text, values of fitting kinds."""
     kinds = _kinds(row)
     if row.spark_type == "binary":
-        return binary_value(value)
+        return binary_value(f"_v{row.position}")
     if row.spark_type == "boolean":
         return F.try_variant_get(value, "$", "boolean")
     if row.spark_type == "timestamp_ntz":
-        dates = date_value(value)
+        dates = date_value(f"_v{row.position}")
         if leaves.STRING in kinds:
             dates = F.coalesce(dates, F.try_variant_get(value, "$", "string").try_cast("timestamp_ntz"))
         return to_seconds_text(dates).cast("timestamp_ntz")
@@ -78,16 +78,15 @@ def _typed(row: Row, value: Column) -> Column:
     )
 
 
-def _stage(docs: DataFrame, rows: list[Row], mixed: Callable[[Row], bool]) -> tuple[DataFrame, dict[str, tuple]]:
-    """Work out the kind of each mixed column's values once, as a column next to the documents."""
+def _stage(docs: DataFrame, rows: list[Row], kinds_of: list[Row]) -> DataFrame:
+    """Put the values of ``rows``, and the kinds of some of them, next to the documents as columns
+    ``_v<position>`` and ``_k<position>``, so that each is worked out once."""
     doc = F.col(docs.columns[0])
-    wanted = [r for r in rows if mixed(r)]
-    staged = docs.select(*docs.columns, *(_source(doc, r.paths).alias(f"_v{r.position}") for r in wanted))
-    shapes = {f"_s{r.position}": shape_of(F.col(f"_v{r.position}")) for r in wanted}
-    staged = staged.withColumns(shapes) if shapes else staged
-    kinds = {f"_k{r.position}": kind_of(F.col(f"_s{r.position}")) for r in wanted}
-    staged = staged.withColumns(kinds) if kinds else staged
-    return staged, {r["column"]: (F.col(f"_v{r.position}"), F.col(f"_k{r.position}")) for r in wanted}
+    staged = docs.select(*docs.columns, *(_source(doc, r.paths).alias(f"_v{r.position}") for r in rows))
+    if not kinds_of:
+        return staged
+    staged = staged.withColumns({f"_s{r.position}": shape_of(f"_v{r.position}") for r in kinds_of})
+    return staged.withColumns({f"_k{r.position}": kind_of(f"_s{r.position}") for r in kinds_of})
 
 
 def _plan_rows(plan: DataFrame) -> list[Row]:
@@ -100,12 +99,13 @@ def apply_plan(docs: DataFrame, plan: DataFrame, null_text: str | None = None) -
     A missing field is NULL; an explicit null too, or ``null_text`` in text columns.
     """
     rows = _plan_rows(plan)
-    staged, mixed = _stage(docs, rows, _is_mixed)
+    mixed = [r for r in rows if _is_mixed(r)]
+    named = mixed + [r for r in rows if r.spark_type in ("binary", "timestamp_ntz")]
     out = []
     for row in rows:
-        value, kind = mixed.get(row["column"], (_source(F.col(docs.columns[0]), row.paths), None))
-        if kind is not None:
-            col = _mixed_text(row, value, kind).try_cast(row.spark_type)
+        value = F.col(f"_v{row.position}") if row in named else _source(F.col(docs.columns[0]), row.paths)
+        if row in mixed:
+            col = _mixed_text(row).try_cast(row.spark_type)
         elif row.spark_type == "string":
             col = _text(row, value)
         else:
@@ -113,18 +113,17 @@ def apply_plan(docs: DataFrame, plan: DataFrame, null_text: str | None = None) -
         if null_text is not None and row.spark_type == "string" and leaves.NULL in row.kinds:
             col = F.when(F.is_variant_null(value), F.lit(null_text)).otherwise(col)
         out.append(col.alias(row["column"]))
-    return staged.select(*out)
+    return _stage(docs, named, mixed).select(*out)
 
 
 def reject_rows(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """Values the planned columns cannot take: the document, ``column`` and ``value``, one row each."""
     rows = [r for r in _plan_rows(plan) if r.role == LEAF and r.spark_type != "string"]
-    staged, found = _stage(docs, rows, lambda _: True)
+    staged = _stage(docs, rows, rows)
     checks = [F.expr("CAST(NULL AS struct<column:string,value:string>)")]
     for row in rows:
-        value, kind = found[row["column"]]
-        text = text_of(value, kind)
-        bad = text.isNotNull() & _typed(row, value).isNull()
+        text = text_of(f"_v{row.position}", f"_k{row.position}")
+        bad = text.isNotNull() & _typed(row, F.col(f"_v{row.position}")).isNull()
         checks.append(F.when(bad, F.struct(F.lit(row["column"]).alias("column"), text.alias("value"))))
     # The generator drops documents without a rejected value; a filter would be pushed below the
     # stages above and evaluate their expressions over and over.
