@@ -141,22 +141,27 @@ def _hoisted_paths(rows: list[Row], hoist: str) -> set[tuple[str, ...]]:
     raise ValueError(f"unknown hoist {hoist!r}")
 
 
+def _array(kinds: tuple[str, ...]) -> str:
+    return "array(" + ", ".join(f"'{k}'" for k in kinds) + ")"
+
+
 def _has(*kinds: str) -> Column:
-    return F.arrays_overlap("kinds", F.array(*map(F.lit, kinds)))
+    return F.expr(f"arrays_overlap(kinds, {_array(kinds)})")
 
 
 def _only(*kinds: str) -> Column:
-    return (F.size("values") > 0) & (F.size(F.array_except("values", F.array(*map(F.lit, kinds)))) == 0)
+    return F.expr(f"size(values) > 0 AND size(array_except(values, {_array(kinds)})) = 0")
 
 
 def _number_type(floating: str) -> Column:
     """Narrowest numeric type that holds all numeric kinds seen."""
-    return (
-        F.when(_has(leaves.DECIMAL), "DECIMAL(38, 3)")
-        .when(_has(leaves.DOUBLE), floating)
-        .when(_has(leaves.LONG) | (F.col("n_wide_int") > 0), "BIGINT")
-        .when(_has(leaves.INT, leaves.STRING), "INT")
-        .otherwise("BOOLEAN")
+    return F.expr(
+        f"""CASE
+        WHEN array_contains(kinds, '{leaves.DECIMAL}') THEN 'DECIMAL(38, 3)'
+        WHEN array_contains(kinds, '{leaves.DOUBLE}') THEN '{floating}'
+        WHEN array_contains(kinds, '{leaves.LONG}') OR n_wide_int > 0 THEN 'BIGINT'
+        WHEN arrays_overlap(kinds, {_array((leaves.INT, leaves.STRING))}) THEN 'INT'
+        ELSE 'BOOLEAN' END"""
     )
 
 
