@@ -138,9 +138,10 @@ def migrate_table(
     began, target = time.time(), target or table
     rows = read_table(spark, conn, table, partition_on)
     packed = map_fields(rows, mapping) if mapping else rows
+    held = lambda: read_collection(spark, store, target, as_variant=True).count()
+    before = held() if mode == "append" else 0
     write_collection(packed, store, target, mode)
-    n_rows = rows.count()
-    written_back = read_collection(spark, store, target, as_variant=True).count()
+    n_rows, written_back = rows.count(), held() - before
     status = MIGRATED if n_rows else SKIPPED_EMPTY
     return table, target, status, n_rows, written_back, len(packed.columns), time.time() - began
 
@@ -184,13 +185,19 @@ def job_from_message(store_of: Callable[[dict], DocumentStore], conn_of: Callabl
     return job
 
 
-def target_database(message: dict, key: str = "database") -> str:
-    """Name of the target database a message asks for, usable without quoting."""
-    return database_name(message[key])
+def documents_database(message: dict) -> str:
+    """Database the documents go to: the one the message names, else the source's name."""
+    return message.get("mongo_db_name") or message["sql_database"]
+
+
+def relational_database(message: dict) -> str:
+    """Database the tables go to, in a form that needs no quoting."""
+    return database_name(message["database"])
 
 
 __all__ = [
     "PLAN_SCHEMA",
+    "documents_database",
     "documents_to_rows",
     "job_from_message",
     "load_csv_to_collection",
@@ -200,7 +207,7 @@ __all__ = [
     "migrate_collections",
     "migrate_table",
     "migrate_tables",
+    "relational_database",
     "run_report",
     "sample_document",
-    "target_database",
 ]

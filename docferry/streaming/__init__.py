@@ -8,6 +8,7 @@ from docferry.streaming.control import (
     parse_control,
     quarantine,
     run_on_messages,
+    run_when_ready,
 )
 
 __all__ = [
@@ -20,4 +21,5 @@ __all__ = [
     "parse_control",
     "quarantine",
     "run_on_messages",
+    "run_when_ready",
 ]

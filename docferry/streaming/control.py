@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docferry.session import list_names, path_exists
+from docferry.session import list_names, path_exists, scratch_dir
 
 MESSAGE_SCHEMA = "topic string, partition int, offset long, value string"
 
@@ -71,38 +71,46 @@ def _per_topic(choices: dict[str, Column], otherwise: Column) -> Column:
     return otherwise if out is None else out.otherwise(otherwise)
 
 
-def parse_control(
-    messages: DataFrame,
-    required: dict[str, Iterable[str]] = REQUIRED_KEYS,
-    shown: dict[str, Iterable[str]] = SHOWN_KEYS,
-) -> DataFrame:
-    """Check each message against the keys its topic needs.
-
-    Returns ``topic, partition, offset, status, reason, shown``: ``shown`` maps the keys that
-    may be seen to their values, and is the only part of the value that is passed on.
-    """
+def _checked(messages: DataFrame, required: dict[str, Iterable[str]], shown: dict[str, Iterable[str]]) -> DataFrame:
+    """Messages with ``status, reason, shown`` and still their ``value``; not for passing on."""
+    no_texts = F.expr("CAST(array() AS array<string>)")
     members = F.from_json("value", "map<string,string>")
     valid = F.coalesce(F.try_parse_json("value").isNotNull() & F.ltrim("value").startswith("{"), F.lit(False))
     present = F.transform(F.filter(F.map_entries(members), lambda e: e["value"].isNotNull()), lambda e: e["key"])
-    texts = {t: F.array(*map(F.lit, keys)) for t, keys in required.items()}
-    missing = F.array_except(_per_topic(texts, F.expr("CAST(NULL AS array<string>)")), F.coalesce(present, F.expr("CAST(array() AS array<string>)")))
-    open_keys = _per_topic({t: F.array(*map(F.lit, k)) for t, k in shown.items()}, F.expr("CAST(array() AS array<string>)"))
-    status = (
-        F.when(~F.col("topic").isin(*required), UNKNOWN_TOPIC)
-        .when(~F.col("_valid"), BAD_JSON)
-        .when(F.size("_missing") > 0, MISSING_KEY)
-        .otherwise(ACCEPTED)
-    )
+    needed = _per_topic({t: F.array(*map(F.lit, keys)) for t, keys in required.items()}, no_texts)
+    open_keys = _per_topic({t: F.array(*map(F.lit, keys)) for t, keys in shown.items()}, no_texts)
     checked = messages.select(
         "topic",
         "partition",
         "offset",
+        "value",
         valid.alias("_valid"),
-        F.when(valid, missing).alias("_missing"),
+        F.when(valid, F.array_except(needed, F.coalesce(present, no_texts))).alias("_missing"),
         F.when(valid, F.map_filter(members, lambda k, _: F.array_contains(open_keys, k))).alias("shown"),
     )
+    status = (
+        F.when(~F.col("topic").isin(*required), UNKNOWN_TOPIC)
+        .when(~F.col("_valid"), BAD_JSON)
+        .when(F.size("_missing") > 0, MISSING_KEY)
+        .otherwise(ACCEPTED)
+    )
     reason = F.when(status == MISSING_KEY, F.array_join("_missing", ",")).when(status != ACCEPTED, status)
-    return checked.select("topic", "partition", "offset", status.alias("status"), reason.alias("reason"), "shown")
+    return checked.select(
+        "topic", "partition", "offset", "value", status.alias("status"), reason.alias("reason"), "shown"
+    )
+
+
+def parse_control(
+    messages: DataFrame,
+    required: dict[str, Iterable[str]] = REQUIRED_KEYS,
+    shown: dict[str, Iterable[str]] = SHOWN_KEYS,
+) -> DataFrame:
+    """Check each message against the keys its topic needs.
+
+    Returns ``topic, partition, offset, status, reason, shown``: ``shown`` maps the keys that
+    may be seen to their values, and is the only part of the value that is passed on.
+    """
+    return _checked(messages, required, shown).drop("value")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -170,19 +178,17 @@ def run_on_messages(
     A table of processed messages, kept at ``processed``, makes a restarted stream skip what is
     done. A failing job is recorded there and does not stop the stream; bad messages neither.
     """
+    coordinates = ["topic", "partition", "offset"]
+    required = {BOTH_TOPIC: REQUIRED_KEYS[BOTH_TOPIC]}
 
     def run_batch(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        coordinates = ["topic", "partition", "offset"]
-        good = accepted(parse_control(batch, {BOTH_TOPIC: REQUIRED_KEYS[BOTH_TOPIC]})).select(*coordinates)
-        new = good.join(_done(spark, processed), coordinates, "left_anti")
-        todo = batch.join(new, coordinates, "left_semi").select(*coordinates, F.from_json("value", "map<string,string>").alias("spec"))
+        good = accepted(_checked(batch, required, {})).select(*coordinates, F.from_json("value", "map<string,string>").alias("spec"))
+        todo = good.join(_done(spark, processed), coordinates, "left_anti")
         for row in todo.orderBy("partition", "offset").toLocalIterator():
-            status = _run_one(spark, job, row)
-            record = [(row.topic, row.partition, row.offset, status)]
-            spark.createDataFrame(record, "topic string, partition int, offset long, status string").coalesce(1).write.mode(
-                "append"
-            ).json(processed)
+            record = [(row.topic, row.partition, row.offset, _run_one(spark, job, row))]
+            done = spark.createDataFrame(record, "topic string, partition int, offset long, status string")
+            done.coalesce(1).write.mode("append").json(processed)
 
     writer = messages.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
@@ -194,3 +200,32 @@ def _run_one(spark: SparkSession, job: Callable[[SparkSession, dict], None], row
         return "done"
     except Exception as e:  # noqa: BLE001 - the stream goes on; the kind of error is recorded, not its text
         return f"failed: {type(e).__name__}"
+
+
+def run_when_ready(
+    messages: DataFrame,
+    job: Callable[[SparkSession, dict[str, dict]], None],
+    sides: Iterable[str] = (DOCUMENTS_TOPIC, RELATIONAL_TOPIC),
+) -> bool:
+    """Run ``job(spark, {topic: message})`` once when every side has sent a complete message.
+
+    Reads the messages there are now, from the earliest, and stops; the last complete message of a
+    side counts. Returns whether the job ran; while a side is missing, call again later.
+    """
+    spark, sides, known = messages.sparkSession, list(sides), {}
+    required = {t: REQUIRED_KEYS[t] for t in sides}
+
+    def take(batch: DataFrame, _: int) -> None:
+        last = accepted(_checked(batch, required, {})).groupBy("topic").agg(
+            F.max("offset").alias("offset"), F.max_by("value", "offset").alias("value")
+        )
+        for row in last.select("topic", "offset", F.from_json("value", "map<string,string>").alias("spec")).collect():
+            if row.topic not in known or row.offset > known[row.topic][0]:
+                known[row.topic] = (row.offset, dict(row.spec))
+
+    writer = messages.writeStream.foreachBatch(take).option("checkpointLocation", scratch_dir(spark, "control"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    ready = set(known) == set(sides)
+    if ready:
+        job(spark, {topic: spec for topic, (_, spec) in known.items()})
+    return ready

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from docferry.streaming import control_stream, job_ready, keep_table, latest_per_topic, parse_control, quarantine, run_on_messages
+from docferry.streaming import control_stream, job_ready, keep_table, latest_per_topic, parse_control, quarantine, run_on_messages, run_when_ready
 from docferry.streaming.control import BOTH_TOPIC, DOCUMENTS_TOPIC, RELATIONAL_TOPIC, ControlSource
 
 
@@ -114,3 +114,21 @@ def test_one_run_per_message(spark, inbox, tmp_path):
     assert ran[3:] == ["three"]
     status = {r.offset: r.status for r in spark.read.json(done).select("offset", F.col("status")).collect()}
     assert status == {1: "done", 3: "failed: RuntimeError", 4: "done", 5: "done"}
+
+
+def test_job_runs_when_both_sides_are_known(spark, inbox):
+    ran = []
+    job = lambda session, sides: ran.append({t: m.get("database") or m["collection"] for t, m in sides.items()})
+    source = inbox(MESSAGES[:4])
+    assert run_when_ready(control_stream(spark, source), job) is False and ran == []
+    inbox(MESSAGES[4:])
+    assert run_when_ready(control_stream(spark, source), job) is True
+    assert ran == [{RELATIONAL_TOPIC: "d", DOCUMENTS_TOPIC: "docs"}]
+
+
+def test_database_names():
+    from docferry.plans.jobs import documents_database, relational_database
+
+    assert relational_database({"database": "a-b-1"}) == "a_b_1"
+    assert documents_database({"mongo_db_name": "m", "sql_database": "s"}) == "m"
+    assert documents_database({"mongo_db_name": "", "sql_database": "s"}) == "s"

@@ -208,6 +208,7 @@ def test_migrate_tables_and_back(spark, conn, tmp_path):
     report = {r.source: r for r in migrate_tables(spark, conn, store, partition_on={"first": "k"}).collect()}
     assert report["first"].rows_out == 40 and report["first"].columns == 4
     assert report["second"].status == "skipped_empty" and report["second"].rows_out == 0
+    assert migrate_table(spark, conn, "first", store)[3:5] == (40, 40)
     docs = read_collection(spark, store, "first", as_variant=True)
     types = {r["column"]: r.sql_type for r in plan_documents(docs, key=None).collect()}
     assert types == {"at": "DATETIME", "k": "BIGINT", "name_text": "VARCHAR(25)", "v": "DOUBLE"}
