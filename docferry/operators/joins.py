@@ -27,11 +27,14 @@ def hot_keys(df: DataFrame, key: list[str], n_rows: int) -> list:
 
 
 def is_one_of(df: DataFrame, key: list[str], keys: list) -> Column:
-    """True for rows whose key is one of a short list, or is NULL and so matches nothing."""
+    """True for rows whose key is one of a short list; never for a key with a NULL."""
     struct = F.struct(*(field(c) for c in key))
     wanted = [F.struct(*(F.lit(v).cast(df.schema[c].dataType) for c, v in zip(key, k))) for k in keys]
-    missing = reduce(lambda a, b: a | b, [field(c).isNull() for c in key])
-    return missing | F.coalesce(struct.isin(*wanted), F.lit(False))
+    return ~has_null(key) & (struct.isin(*wanted) if wanted else F.lit(False))
+
+
+def has_null(key: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [field(c).isNull() for c in key])
 
 
 def join_unique(df: DataFrame, right: DataFrame, key: list[str], how: str) -> DataFrame:
@@ -39,14 +42,13 @@ def join_unique(df: DataFrame, right: DataFrame, key: list[str], how: str) -> Da
 
     Small right sides are left to Spark's own size check, which broadcasts them. Rows of
     hot keys join the few right rows of just these keys, bounded by their number, so they are
-    never gathered in one task; all other rows take the normal shuffled join.
+    never gathered in one task; rows with a NULL in the key match nothing and go the same way.
+    All other rows take the normal shuffled join.
     """
     n_rows = df.count()
     if n_rows < NEVER_HOT:
         return df.join(right, key, how)
-    hot = hot_keys(df, key, n_rows)
-    if not hot:
-        return df.join(right, key, how)
-    hot_left, hot_right = df.where(is_one_of(df, key, hot)), right.where(is_one_of(right, key, hot))
-    calm = df.where(~is_one_of(df, key, hot)).join(right.where(~is_one_of(right, key, hot)), key, how)
-    return calm.unionByName(hot_left.join(F.broadcast(hot_right), key, how))
+    hot = [k for k in hot_keys(df, key, n_rows) if None not in k]
+    apart = is_one_of(df, key, hot) | has_null(key)
+    calm = df.where(~apart).join(right.where(~has_null(key) & ~is_one_of(right, key, hot)), key, how)
+    return calm.unionByName(df.where(apart).join(F.broadcast(right.where(is_one_of(right, key, hot))), key, how))

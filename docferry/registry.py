@@ -451,10 +451,8 @@ EVENT_ROWS_SQL = (
     "CAST(json_extract(props, '$.k') AS INT) AS props_inner_twice_k FROM events"
 )
 def flatten_events(spark, sf_dir):
-    parsed = F.from_json("props", "k int")
-    events = table(spark, sf_dir, "events").withColumn(
-        "props", F.struct(parsed["k"].alias("k"), F.struct(parsed["k"].alias("twiceK")).alias("Inner"))
-    )
+    doubled = F.concat(F.rtrim("props", F.lit("}")), F.lit(',"Inner":{"twiceK":'), F.get_json_object("props", "$.k"), F.lit("}}"))
+    events = table(spark, sf_dir, "events").withColumn("props", F.from_json(doubled, "k int, Inner struct<twiceK:int>"))
     return flatten(events)
 
 
@@ -584,7 +582,7 @@ def schema_report_orders(spark, sf_dir):
 
 @query("SELECT row_number() OVER (ORDER BY o_orderkey) AS id, * FROM orders")
 def surrogate_key_orders(spark, sf_dir):
-    return add_surrogate_key(table(spark, sf_dir, "orders"), "o_orderkey")
+    return add_surrogate_key(table(spark, sf_dir, "orders"), "o_orderkey", unique=True)
 
 
 @query("SELECT row_number() OVER (ORDER BY c_name) AS id, * FROM customer")

@@ -124,3 +124,15 @@ def test_hot_keys_take_their_own_way_to_the_same_rows(spark, monkeypatch, how):
     monkeypatch.setattr(joins, "NEVER_HOT", 10**9)
     plain = joins.join_unique(df, right, ["k"], how)
     assert joined.exceptAll(plain).count() == 0 and joined.count() == plain.count()
+
+
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+def test_hot_keys_of_several_columns_with_nulls(spark, monkeypatch, how):
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 3 > 0, 1).cast("long").alias("a"), F.when(F.col("id") % 2 > 0, F.col("id") % 5).alias("b"), F.col("id").alias("v")
+    )
+    right = spark.createDataFrame([(1, 1, "x"), (1, 3, "y"), (None, 1, "z"), (1, None, "w")], "a long, b long, w string")
+    plain = joins.join_unique(df, right, ["a", "b"], how)
+    monkeypatch.setattr(joins, "NEVER_HOT", 10)
+    split = joins.join_unique(df, right, ["a", "b"], how)
+    assert split.exceptAll(plain).count() == 0 and split.count() == plain.count()
