@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import functools
+import pathlib
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -133,3 +136,21 @@ def file_system(path: str) -> tuple[pafs.FileSystem, str]:
 def make_folder(path: str) -> None:
     fs, at = file_system(path)
     fs.create_dir(at, recursive=True)
+
+
+#: By application, the folder of the archive that its tasks fetch; it goes when the driver ends.
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this library importable in the tasks, wherever the driver found it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = pathlib.Path(__file__).resolve().parents[1]
+    folder = _shipped[context.applicationId] = tempfile.TemporaryDirectory()
+    archive = f"{folder.name}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    context.addPyFile(archive)
