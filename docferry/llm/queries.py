@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docferry.llm import chunked_bpe, decontaminate, prefix_counts, sharding, token_files, topk, warc
+from docferry.llm import chunked_bpe, decontaminate, prefix_counts, sharding, token_files, topk, toxicity, warc
 from docferry.llm.common import read_table, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,12 @@ def op3_histogram_top_k(spark, sf_dir):
     return topk.exact_top_k(read_table(spark, sf_dir, "embeddings"), k=TOP_K, is_query=F.col("vec_id") % 100 == 0)
 
 
+@query()
+def op4_subword_toxicity(spark, sf_dir):
+    """How toxic every document is, learned from the labelled ones."""
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query()
 def op5_token_files(spark, sf_dir):
     """Token ids of all documents in bit-packed files, read back."""
