@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docferry.llm import chunked_bpe, decontaminate, prefix_counts, sharding, token_files, topk, toxicity, warc
+from docferry.llm import chunked_bpe, decontaminate, prefix_counts, sharding, signature_join, token_files, topk, toxicity, warc
 from docferry.llm.common import read_table, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,9 +83,9 @@ def op5_token_files(spark, sf_dir):
     return token_files.encode_and_check(read_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), end_id=END_ID)
 
 
-def _words_sql(text: str) -> str:
+def _words_sql(text: str, between: str = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+") -> str:
     lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    return f"list_filter(regexp_split_to_array({lower}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
+    return f"list_filter(regexp_split_to_array({lower}, '{between}'), lambda w: w <> '')"
 
 
 @query(f"""
@@ -133,3 +133,18 @@ def op8_chunked_bpe(spark, sf_dir):
 def op9_prefix_counts(spark, sf_dir):
     """Token counts of all documents, and how much of each fits the limit."""
     return prefix_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), limit=TOKEN_LIMIT)
+
+
+@query(f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_words_sql("text", "[\\x09-\\x0D\\x20]+")} AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, w[s : s + 4] AS x FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS s FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS o FROM shingles p JOIN shingles q ON p.x = q.x AND p.doc_id <> q.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN sizes m ON m.doc_id = a JOIN sizes n ON n.doc_id = b WHERE 100 * o >= 75 * (m.n + n.n - o)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(b) AS component_id
+FROM d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id
+""")
+def op10_signature_trees(spark, sf_dir):
+    """The group of near duplicates of every document."""
+    return signature_join.near_duplicates(read_table(spark, sf_dir, "documents"))
