@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docferry.llm import chunked_bpe, decontaminate, prefix_counts, sharding, signature_join, token_files, topk, toxicity, warc
+from docferry.llm import chunked_bpe, decontaminate, lattice_lm, prefix_counts, sharding, signature_join, token_files, topk, toxicity, warc
 from docferry.llm.common import read_table, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,12 @@ def op1_extendible_shards(spark, sf_dir):
     return sharding.shard(docs, key=F.col("doc_id"), size=size, limit=SHARD_BYTES).select("doc_id", "shard_id", "shard_depth", "shard_bytes", "shard_rows")
 
 
+@query()
+def op2_lattice_lm(spark, sf_dir):
+    """log10 probability of every document under subword lattices learned from nine tenths of them."""
+    return lattice_lm.score_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
 @query(f"""
 WITH usable AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
