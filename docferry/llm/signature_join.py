@@ -2,17 +2,20 @@
 
 Documents with the same word sequence form a class; the class's least id stands for them from then on.
 
-1. *Stars.* Classes that agree in MinHash values are compared with the least class of their bucket; true pairs (exact sets
-   are compared) give the first components. This decides nothing but how much work is left.
+1. *Stars.* Classes that agree in MinHash values are compared with the most typical class of their bucket; true pairs (exact
+   sets are compared) give the first components. This decides nothing but how much work is left.
 2. *Buckets.* Two sets of similarity 0.75 or more share a shingle among the first ``n - ceil(0.75 n) + 1`` of each, in any
    order common to all documents. The order is by hash, very frequent shingles last. Buckets of such shingles that
    hold classes of more than one component are kept, no other pair can be missing.
 3. *Signature trees.* Within a bucket, classes become the leaves of a tree whose nodes hold the OR of their bitmaps of
-   tokens, the range of their sizes, of their components, and how many tokens share bits. A traversal of the tree against itself
-   drops pairs of nodes whose largest possible overlap is too small for the smallest sizes below them, or that lie in one
-   component. Pairs of leaves that remain are candidates.
-4. *Exact comparison.* Candidates between two components are compared by their sets, the most promising first; once two
-   components are joined, their other candidates are settled. This goes on until none is left between components.
+   tokens, the range of their sizes and of their components, and how many tokens share bits. A traversal of the tree against
+   itself drops pairs of nodes whose largest possible overlap is too small for the smallest sizes below them, or that lie
+   in one component. A pair of leaves that remains puts its two components into one group, and they count as one
+   for the rest of the traversal; so a bucket gives less rows than it has members, whatever its pairs.
+4. *Exact comparison.* All members of a group's components are dealt in blocks of about BLOCK, and each two blocks meet in a
+   task with their exact sets (blocks of one large component do not meet each other). A tree with wide bitmaps finds the
+   pairs that may link, their sets decide, and pairs within what is already joined are skipped: again less links
+   than members.
 
 No step collects documents, links or components on the driver; buckets are dealt by their shingle and read in
 its order, so a task holds one bucket at a time. Frequent shingles (at least one of 1000 documents, the
@@ -51,8 +54,11 @@ COUNT_ROWS = 1 << 21
 PER_MILLE = 1
 #: Widest bitmap, in bits.
 WIDEST = 8192
-#: Members of a bucket up to which all pairs are one leaf.
+#: Members of a bucket up to which it needs no tree.
 SMALL = 12
+#: Members of a block in exact comparison, and bits for each token there.
+BLOCK = 256
+WIDE = 8
 #: Node pairs worked on at once.
 FRONTIER = 100_000
 #: Rows of an id table that goes to all tasks; larger ones are joined by a shuffle.
@@ -115,9 +121,9 @@ def _sequence_keys(words: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def bitmap(hashes: np.ndarray) -> bytes:
-    """Bits of a set; about two a token, a power of two in number."""
-    width = min(WIDEST, max(64, 1 << int(3 * len(hashes) // 2).bit_length()))
+def bitmap(hashes: np.ndarray, per_token: int = 1, widest: int = WIDEST) -> bytes:
+    """Bits of a set: ``per_token`` to twice as many for each token, a power of two in all."""
+    width = min(widest, max(64, 1 << (per_token * len(hashes) - 1).bit_length()))
     bits = np.zeros(width, np.uint8)
     bits[(hashes & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -276,22 +282,60 @@ class Members:
         return a[keep], b[keep], most[keep]
 
 
+class Unions:
+    """Which components are one by now."""
+
+    def __init__(self, comps: np.ndarray):
+        self.names, self.number = np.unique(comps, return_inverse=True)
+        self.parent = list(range(len(self.names)))
+
+    def find(self, x: int) -> int:
+        while self.parent[x] != x:
+            self.parent[x] = self.parent[self.parent[x]]
+            x = self.parent[x]
+        return x
+
+    def join_numbers(self, x: int, y: int) -> bool:
+        """Whether these two components were two until now."""
+        x, y = self.find(x), self.find(y)
+        self.parent[max(x, y)] = min(x, y)
+        return x != y
+
+    def join(self, a: int, b: int) -> bool:
+        """The same for the components of members a and b."""
+        return self.join_numbers(self.number[a], self.number[b])
+
+    def labels(self) -> np.ndarray:
+        """The present component of every member."""
+        return np.asarray([self.find(x) for x in range(len(self.parent))])[self.number]
+
+
 class SignatureTree:
-    """A binary tree over the members ``order`` of a bucket: OR of bitmaps, ranges of sizes and components per node."""
+    """A binary tree over the members ``order``: OR of bitmaps, ranges of sizes and components per node."""
 
     def __init__(self, members: Members, order: np.ndarray):
         self.members, self.order = members, order
-        self.width = int(members.widths[order].min())
-        bits, beyond = members.at(self.width)
-        self.levels = [(bits[order], beyond[order], members.sizes[order], members.sizes[order], members.comps[order], members.comps[order])]
+        bits, beyond = members.at(int(members.widths[order].min()))
+        self.levels = [(bits[order], beyond[order], members.sizes[order], members.sizes[order])]
         while len(self.levels[-1][0]) > 1:
-            level, starts = self.levels[-1], np.arange(0, len(self.levels[-1][0]), 2)
-            joins = (np.bitwise_or, np.maximum, np.minimum, np.maximum, np.minimum, np.maximum)
-            self.levels.append(tuple(f.reduceat(values, starts, axis=0) for f, values in zip(joins, level, strict=True)))
+            joins = (np.bitwise_or, np.maximum, np.minimum, np.maximum)
+            self.levels.append(self._above(self.levels[-1], joins))
+        self.relabel(members.comps)
+
+    @staticmethod
+    def _above(level: tuple, joins: tuple) -> tuple:
+        starts = np.arange(0, len(level[0]), 2)
+        return tuple(f.reduceat(values, starts, axis=0) for f, values in zip(joins, level, strict=True))
+
+    def relabel(self, comps: np.ndarray) -> None:
+        """Use these components from now on."""
+        self.comps = [(comps[self.order], comps[self.order])]
+        while len(self.comps) < len(self.levels):
+            self.comps.append(self._above(self.comps[-1], (np.minimum, np.maximum)))
 
     def _open(self, depth: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Node pairs below which two members of different components may overlap enough."""
-        bits, beyond, low, high, first, last = self.levels[depth]
+        (bits, beyond, low, high), (first, last) = self.levels[depth], self.comps[depth]
         one = (first[a] == last[a]) & (first[b] == last[b]) & (first[a] == first[b])
         sizes = (high[a] >= needed(low[b])) & (high[b] >= needed(low[a])) & ~one
         a, b = a[sizes], b[sizes]
@@ -301,7 +345,7 @@ class SignatureTree:
         return sizes
 
     def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of members (places in the bucket) that the traversal could not rule out."""
+        """Pairs of members that the traversal could not rule out."""
         stack = [(len(self.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
         while stack:
             depth, a, b = stack.pop()
@@ -331,70 +375,123 @@ def _in_order(members: Members, rows: np.ndarray) -> np.ndarray:
     return rows[np.lexsort((members.sizes[rows], np.where(several, members.comps[rows], 0), ~several))]
 
 
-def bucket_candidates(members: Members, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidates (places, places, largest overlap) of all buckets; ``buckets`` is sorted."""
+def bucket_candidates(members: Members, buckets: np.ndarray) -> np.ndarray:
+    """Pairs of components that may link in some bucket, as many as join all that may; ``buckets`` is sorted."""
     starts = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]])
     sizes = np.diff(np.append(starts, len(buckets)))
-    found = []
+    found = [np.zeros((0, 2), np.int64)]
     for n in np.unique(sizes[sizes <= SMALL]):
-        if n < 2:
-            continue
         i, j = np.triu_indices(n, 1)
         own = starts[sizes == n]
-        for part in np.array_split(own, -(-len(own) * len(i) // FRONTIER)):
-            found.append(members.candidates((part[:, None] + i).reshape(-1), (part[:, None] + j).reshape(-1)))
+        for part in np.array_split(own, max(1, -(-len(own) * len(i) // FRONTIER))):
+            a, b, _ = members.candidates((part[:, None] + i).reshape(-1), (part[:, None] + j).reshape(-1))
+            found.append(np.stack([members.comps[a], members.comps[b]], axis=1))
     for start, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
-        tree = SignatureTree(members, _in_order(members, np.arange(start, start + n)))
+        rows = np.arange(start, start + n)
+        tree, unions = SignatureTree(members, _in_order(members, rows)), Unions(members.comps[rows])
         for a, b in tree.pairs():
-            found.append(members.candidates(a, b))
-    if not found:
-        return (np.zeros(0, np.int64),) * 3
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
-
-
-def _traverse(batches) -> Iterator[pa.RecordBatch]:
-    """Candidates of the buckets (bucket, id, comp, n, bits), which come in order."""
-
-    def done(table: pa.Table) -> pa.RecordBatch:
-        ids, comps = table.column("id").to_numpy(), table.column("comp").to_numpy()
-        members = Members(ids, table.column("n").to_numpy(), comps, table.column("bits").to_pylist())
-        a, b, most = bucket_candidates(members, table.column("bucket").to_numpy())
-        swap = ids[a] > ids[b]
-        a, b = np.where(swap, b, a), np.where(swap, a, b)
-        pairs = np.unique(np.stack([ids[a], ids[b], most, members.sizes[a] + members.sizes[b]], axis=1), axis=0)
-        share = pairs[:, 2] / np.maximum(pairs[:, 3] - pairs[:, 2], 1)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(share)], ["a", "b", "share"])
-
+            a, b, _ = members.candidates(a, b)
+            x, y = unions.number[a - start], unions.number[b - start]
+            joined = [(unions.names[i], unions.names[j]) for i, j in np.unique(np.stack([x, y], axis=1), axis=0) if unions.join_numbers(i, j)]
+            if joined:
+                found.append(np.asarray(joined, np.int64))
+                labels = np.empty(len(members.ids), np.int64)
+                labels[rows] = unions.labels()
+                tree.relabel(labels)
+    pairs = np.concatenate(found)
+    return np.unique(np.stack([pairs.min(axis=1), pairs.max(axis=1)], axis=1), axis=0) if len(pairs) else pairs
+
+
+def _groups_of(batches, *key: str) -> Iterator[pa.Table]:
+    """The rows of sorted batches, cut only where the key changes."""
     kept: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        kept.append(batch)
-        buckets = batch.column("bucket").to_numpy()
-        last = int(np.searchsorted(buckets, buckets[-1]))
-        if last == 0 and kept[0].column("bucket")[0].as_py() == buckets[-1]:
-            continue  # still the same bucket
-        yield done(pa.Table.from_batches([*kept[:-1], batch.slice(0, last)]))
+        columns = [np.asarray(batch.column(k)) for k in key]
+        change = np.zeros(batch.num_rows, bool)
+        for k, values in zip(key, columns, strict=True):
+            change[1:] |= values[1:] != values[:-1]
+            change[0] |= bool(kept) and kept[-1].column(k)[-1].as_py() != values[0]
+        cuts = np.flatnonzero(change)
+        if kept and not len(cuts):
+            kept.append(batch)
+            continue
+        last = int(cuts[-1]) if len(cuts) else 0
+        if kept or last:
+            yield pa.Table.from_batches([*kept, batch.slice(0, last)])
         kept = [batch.slice(last)]
     if kept:
-        yield done(pa.Table.from_batches(kept))
+        yield pa.Table.from_batches(kept)
+
+
+def _traverse(batches) -> Iterator[pa.RecordBatch]:
+    """Pairs of components from buckets (bucket, id, comp, n, bits), which come in order."""
+    for table in _groups_of(batches, "bucket"):
+        members = Members(*(table.column(c).to_numpy() for c in ("id", "n", "comp")), table.column("bits").to_pylist())
+        pairs = bucket_candidates(members, table.column("bucket").to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
+def _compare(batches) -> Iterator[pa.RecordBatch]:
+    """Links from meetings of blocks (meeting, own: in the first block, whole: the blocks are one, id, comp, items), in order."""
+    for table in _groups_of(batches, "meeting"):
+        meetings = table.column("meeting").to_numpy()
+        starts = np.flatnonzero(np.r_[True, meetings[1:] != meetings[:-1]])
+        found = []
+        for start, stop in zip(starts, np.append(starts[1:], len(meetings)), strict=True):
+            found += _exact(table.slice(start, stop - start))
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+
+
+def _exact(table: pa.Table) -> list[tuple[int, int]]:
+    """As many links as join all of a meeting that link."""
+    sets = [np.frombuffer(i, np.uint64) for i in table.column("items").to_pylist()]
+    ids, comps, own = (table.column(c).to_numpy() for c in ("id", "comp", "own"))
+    sizes = np.asarray([len(x) for x in sets], np.int64)
+    members = Members(ids, sizes, comps, [bitmap(x, WIDE, WIDE * WIDEST) for x in sets])
+    whole, unions, out = table.column("whole")[0].as_py(), Unions(comps), []
+    rows = np.flatnonzero(sizes > 0)
+    if len(rows) < 2:
+        return out
+    tree = None if len(rows) <= SMALL else SignatureTree(members, _in_order(members, rows))
+    i, j = np.triu_indices(len(rows), 1) if tree is None else (None, None)
+    for a, b in [(rows[i], rows[j])] if tree is None else tree.pairs():
+        if not whole:
+            across = own[a] != own[b]
+            a, b = a[across], b[across]
+        a, b, most = members.candidates(a, b)
+        joined = False
+        for k in np.argsort(-most / np.maximum(sizes[a] + sizes[b], 1), kind="stable").tolist():
+            x, y = int(a[k]), int(b[k])
+            if unions.find(unions.number[x]) != unions.find(unions.number[y]) and links(_overlap(sets[x], sets[y]), len(sets[x]), len(sets[y])):
+                joined = unions.join(x, y)
+                out.append((int(ids[x]), int(ids[y])))
+        if joined and tree is not None:
+            tree.relabel(unions.labels())
+    return out
 
 
 # --- the join --------------------------------------------------------------------------------
 
 
 def _stars(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links of classes with the least classes of their MinHash buckets (step 1)."""
+    """Links of classes with the most typical classes of their MinHash buckets (step 1)."""
     bands = classes.select("id", F.posexplode("least").alias("band", "value"))
-    centers = bands.groupBy("band", "value").agg(F.min("id").alias("center"), F.max("id").alias("top")).where("center < top").drop("top")
-    met = bands.join(centers, ["band", "value"]).where("id <> center").select("id", "center").distinct()
+    counts = bands.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
+    shared, _ = written(bands.join(counts, ["band", "value"]), "star-bands")
+    # a class whose values are those of many is near the middle of its group
+    typical = shared.groupBy("id").agg(F.sum("n").alias("weight"))
+    ranked = shared.drop("n").join(typical, "id")
+    centers = ranked.groupBy("band", "value").agg(F.max(F.struct("weight", (-F.col("id")).alias("other"))).alias("top"))
+    centers = centers.select("band", "value", (-F.col("top.other")).alias("center"), F.col("top.weight").alias("weight"))
+    met = shared.drop("n").join(centers, ["band", "value"]).where("id <> center").groupBy("id", "center").agg(F.max("weight").alias("weight"))
     mine, theirs = classes.select("id", "least", "n"), classes.select(F.col("id").alias("center"), F.col("least").alias("other"), F.col("n").alias("m"))
     agree = F.aggregate(F.zip_with("least", "other", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     sized = F.least("n", "m") * WHOLE >= F.greatest("n", "m") * PARTS
-    alike = met.join(mine, "id").join(theirs, "center").where(sized).select("id", "center", agree.alias("agree")).where(F.col("agree") >= ALIKE)
-    # the least one that is much alike ties a group together, the most alike one is the likeliest link
-    best = alike.groupBy("id").agg(F.min(F.when(F.col("agree") >= ALIKE + 3, F.col("center"))).alias("first"), F.max_by("center", "agree").alias("best"))
-    pairs = best.select(F.explode(F.array_distinct(F.array("first", "best"))).alias("a"), F.col("id").alias("b")).where("a IS NOT NULL")
+    alike = met.join(mine, "id").join(theirs, "center").where(sized).select("id", "center", "weight", agree.alias("agree")).where(F.col("agree") >= ALIKE)
+    best = alike.groupBy("id").agg(F.max(F.struct("weight", "center"))["center"].alias("first"), F.max(F.struct("agree", "center"))["center"].alias("best"))
+    pairs = best.select(F.explode(F.array_distinct(F.array("first", "best"))).alias("a"), F.col("id").alias("b"))
     pairs, _ = written(pairs, "star-pairs")
     return _verified(docs, pairs)
 
@@ -433,13 +530,35 @@ def _entries(docs: DataFrame, classes: DataFrame, frequent: np.ndarray) -> DataF
 
 
 def _candidates(docs: DataFrame, classes: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Pairs of classes of different components that may link (steps 2 and 3): a, b, share."""
+    """Pairs of components that may link, as many as join all that may (steps 2 and 3): a, b."""
     bucket = Window.partitionBy("bucket")
     entries = _entries(docs, classes, frequent)
     ranged = entries.withColumn("low", F.min("comp").over(bucket)).withColumn("high", F.max("comp").over(bucket))
     mixed = ranged.where("low <> high").select("bucket", "id", "comp")
     full = mixed.join(classes.select("id", "n", "bits"), "id").select("bucket", "id", "comp", "n", "bits")
-    return full.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_traverse, "a long, b long, share double").groupBy("a", "b").agg(F.max("share").alias("share"))
+    return full.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_traverse, "a long, b long").distinct()
+
+
+def _group_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Links (a, b) within the groups that pairs of components make, as many as join all that link (step 4)."""
+    groups = components(pairs).select(F.col("node").alias("comp"), F.col("label").alias("grp"))
+    members, _ = written(classes.select("id", "comp").join(small(groups), "comp"), "group-members")
+    counts = members.groupBy("grp", "comp").agg(F.count("*").alias("n"))
+    rest = counts.groupBy("grp").agg(F.sum(F.when(F.col("n") <= BLOCK, F.col("n")).otherwise(0)).alias("rest"))
+    counts, _ = written(counts.join(rest, "grp").select("comp", "n", "rest"), "group-sizes")
+    large = F.col("n") > BLOCK
+    salt = F.when(large, F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK))).otherwise(F.pmod(F.xxhash64("comp"), F.ceil(F.col("rest") / BLOCK)))
+    dealt = members.join(counts, "comp").select("grp", "id", "comp", F.when(large, F.col("comp")).alias("of"), salt.alias("salt"))
+    dealt, _ = written(dealt.withColumn("block", F.xxhash64("grp", F.coalesce("of", F.lit(-1)), "salt")), "group-blocks")
+    blocks = dealt.select("grp", "block", "of").distinct()
+    one, two = blocks.select("grp", F.col("block").alias("p"), F.col("of").alias("of_p")), blocks.select("grp", F.col("block").alias("q"), F.col("of").alias("of_q"))
+    meet = one.join(two, "grp").where("p <= q AND NOT coalesce(of_p = of_q, false)").select("p", "q", F.xxhash64("grp", "p", "q").alias("meeting"))
+    sides = meet.select(F.col("p").alias("block"), "meeting", F.lit(True).alias("own"), (F.col("p") == F.col("q")).alias("whole")).unionByName(
+        meet.where("p <> q").select(F.col("q").alias("block"), "meeting", F.lit(False).alias("own"), F.lit(False).alias("whole"))
+    )
+    sets = _sets(docs, members.select("id").distinct())
+    rows = dealt.select("block", "id", "comp").join(sides, "block").join(sets, "id").select("meeting", "own", "whole", "id", "comp", "items")
+    return rows.repartition("meeting").sortWithinPartitions("meeting").mapInArrow(_compare, "a long, b long")
 
 
 def _with_component(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -466,21 +585,10 @@ def near_duplicates(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
 
     named, _ = written(_with_component(classes, labels), "shingle-classes")
     pairs, _ = written(_candidates(docs, named, _frequent(info)), "candidates")
-    for most in (2, 32, None):
-        comp = named.select("id", "comp")
-        apart = pairs.join(comp.select(F.col("id").alias("a"), F.col("comp").alias("ca")), "a").join(comp.select(F.col("id").alias("b"), F.col("comp").alias("cb")), "b").where("ca <> cb")
-        apart, _ = written(apart, "candidates")
-        if apart.isEmpty():
-            break
-        chosen = apart
-        if most is not None:
-            order = Window.partitionBy(F.least("ca", "cb"), F.greatest("ca", "cb")).orderBy(F.col("share").desc(), "a", "b")
-            chosen, _ = written(apart.withColumn("k", F.row_number().over(order)).where(F.col("k") <= most).drop("k"), "candidates")
-        new, _ = written(_verified(docs, chosen.select("a", "b")), "links")
-        pairs = apart.select("a", "b", "share").join(chosen.select("a", "b"), ["a", "b"], "left_anti")
+    if not pairs.isEmpty():
+        new, _ = written(_group_links(docs, named, pairs), "links")
         if not new.isEmpty():
-            labels = _relabel(labels, new)
-            named, _ = written(_with_component(classes, labels), "shingle-classes")
+            named = _with_component(classes, _relabel(labels, new))
 
     found = named.select("key1", "key2", F.col("comp").alias("found"))
     return rows.join(found, ["key1", "key2"], "left").select(
