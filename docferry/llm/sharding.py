@@ -144,5 +144,6 @@ def shard(df: DataFrame, *, key: Column, size: Column, limit: int) -> DataFrame:
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder per shard below ``path``; a shard's rows meet in one task, which its byte limit bounds."""
-    sharded.repartition("shard_id").write.partitionBy("shard_id").parquet(path)
+    """One folder per shard below ``path`` (``shard=s`` and its id); a shard's rows meet in one task, which its byte limit bounds."""
+    named = sharded.withColumn("shard", F.concat(F.lit("s"), "shard_id"))
+    named.repartition("shard").write.partitionBy("shard").parquet(path)

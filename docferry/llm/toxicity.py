@@ -42,8 +42,10 @@ class Settings:
     passage: int = 8
     #: Rounds over the rows, more where they have fewer than ``least_steps`` steps of ``batch`` rows.
     epochs: int = 5
-    least_steps: int = 600
+    least_steps: int = 300
     rate: float = 0.5
+    #: Steps in which a text counts as a whole, before its passages do.
+    whole_steps: int = 40
     batch: int = 64
     seed: int = 7
 
@@ -141,11 +143,12 @@ def fit(texts: list[str], labels: np.ndarray, settings: Settings) -> Model:
         docs.append((buckets.astype(np.int32), first.astype(np.int32)))
     balance = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) ** 0.5
     steps = -(-len(docs) // settings.batch)
-    for _ in range(max(settings.epochs, -(-settings.least_steps // steps))):
+    for epoch in range(max(settings.epochs, -(-settings.least_steps // steps))):
         order = rng.permutation(len(docs))
         odds = table @ (weights[:, 1] - weights[:, 0])
         for start in range(0, len(order), settings.batch):
             chosen = order[start : start + settings.batch]
+            passage = settings.passage if epoch * steps + start // settings.batch >= settings.whole_steps else 1 << 30
             if start // settings.batch % 8 == 0:
                 odds = table @ (weights[:, 1] - weights[:, 0])
             ids, shares, owner = [], [], []
@@ -154,9 +157,9 @@ def fit(texts: list[str], labels: np.ndarray, settings: Settings) -> Model:
                 n = len(first) - 1
                 if n == 0:
                     continue
-                at = passages(n, settings.passage)
-                best = at[int(np.argmax(passage_scores(_word_means(odds[buckets], first), settings.passage)))] if len(at) > 1 else 0
-                stop = min(best + settings.passage, n)
+                at = passages(n, passage)
+                best = at[int(np.argmax(passage_scores(_word_means(odds[buckets], first), passage)))] if len(at) > 1 else 0
+                stop = min(best + passage, n)
                 own = first[best : stop + 1]
                 sizes = np.diff(own)
                 ids.append(buckets[own[0] : own[-1]])
@@ -188,30 +191,33 @@ def fit(texts: list[str], labels: np.ndarray, settings: Settings) -> Model:
 
 
 def training_rows(df: DataFrame, labels: DataFrame, *, doc_id: str, text: str, label: str, usable: Column | None, max_rows: int, max_bytes: int) -> tuple[list[str], np.ndarray]:
-    """At most ``max_rows`` labelled texts, half of the rarer class if there are as many, in order of the hash of their ids."""
+    """At most ``max_rows`` labelled texts, half of the rarer class if there are as many, in order of the hash of their ids.
+
+    Ids are chosen first, from narrow columns; texts are read for the chosen ones only.
+    """
+    spark, docs = df.sparkSession, df if usable is None else df.where(usable)
     marks = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("id")).agg(F.max(label).cast("int").alias("mark"))
-    docs = df if usable is None else df.where(usable)
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("value")).where("value IS NOT NULL").join(marks, "id")
-    rows = rows.select("mark", "value", F.xxhash64(F.col("id").cast("string"), F.lit("fit")).alias("order"))
-    # the first rows of either class by a hash: Spark keeps only as many per task
-    taken = [r for m in (0, 1) for r in rows.where(F.col("mark") == m).orderBy("order", "value").limit(max_rows).select(F.octet_length("value").alias("size"), "mark", "order").collect()]
-    counts = [sum(r.mark == m for r in taken) for m in (0, 1)]
+    known = marks.join(docs.select(F.col(doc_id).alias("id")).distinct(), "id")
+    ranked = known.select("id", "mark", F.xxhash64(F.col("id").cast("string"), F.lit("fit")).alias("order"))
+    by_class = [ranked.where(F.col("mark") == m).orderBy("order", "id").limit(max_rows).collect() for m in (0, 1)]
     half = max_rows // 2
-    allowed = [max(half, max_rows - counts[1]), max(half, max_rows - counts[0])]
-    cut = []
-    for m in (0, 1):
-        left, last = max_bytes * allowed[m] // max_rows, None
-        for r in sorted((r for r in taken if r.mark == m), key=lambda r: r.order)[: allowed[m]]:
-            left -= r.size
-            if left < 0:
-                break
-            last = r.order
-        cut.append(last)
-    wanted = [(F.col("mark") == m) & (F.col("order") <= cut[m]) for m in (0, 1) if cut[m] is not None]
-    if not wanted:
+    chosen = [r for m in (0, 1) for r in by_class[m][: max(half, max_rows - len(by_class[1 - m]))]]
+    if not chosen:
+        return [], np.zeros(0, np.int64)
+    ids = spark.createDataFrame(chosen, ranked.schema)
+    # at most max_rows ids, so they go to all tasks
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("value")).join(F.broadcast(ids), "id").where("value IS NOT NULL")
+    sizes = rows.select("order", F.octet_length("value").alias("size")).orderBy("order", "size").limit(max_rows).collect()
+    room, last = max_bytes, None
+    for r in sizes:
+        room -= r.size
+        if room < 0:
+            break
+        last = r.order
+    if last is None:
         return [], np.zeros(0, np.int64)
-    chosen = rows.where(wanted[0] if len(wanted) == 1 else wanted[0] | wanted[1]).orderBy("order", "value").select("mark", "value").toArrow()
-    return chosen.column("value").to_pylist(), chosen.column("mark").to_numpy()
+    texts = rows.where(F.col("order") <= last).orderBy("order", F.octet_length("value"), "value").limit(max_rows).select("mark", "value").toArrow()
+    return texts.column("value").to_pylist(), texts.column("mark").to_numpy()
 
 
 def train(df: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", usable: Column | None = None, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, settings: Settings = Settings()) -> Model:
