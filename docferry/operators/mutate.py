@@ -1,28 +1,45 @@
 """Finds, updates and deletes of a document store, as whole-table operations.
 
 A DataFrame is not changed in place: each change gives the collection after it, and the
-matching count function says how many documents it touched.
+matching count function says how many documents it touched. :func:`docferry.sources.replace_collection`
+puts the result in the store.
+
+Frames of typed columns and documents as stored (one VARIANT column) are treated alike: names are fields of
+the document, dotted names fields of objects in it. Values in documents keep their kind, so 5 is not "5" and true is not 1.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docferry.functions.values import field
 from docferry.operators.joins import join_unique
-from docferry.operators.leaves import at_path
+from docferry.operators.leaves import EXTENDED_KINDS, INT, LONG, DOUBLE, DECIMAL, at_path, member
+from docferry.operators.profile import with_order
 
 ID_FIELD = "_id"
 _FLAG = "_matched"
+EXTENDED_NUMBERS = [key for key, kind in EXTENDED_KINDS.items() if kind in (INT, LONG, DOUBLE, DECIMAL)]
+
+
+def _is_stored(df: DataFrame) -> bool:
+    """Documents as stored: one VARIANT column."""
+    return len(df.columns) == 1 and isinstance(df.schema[0].dataType, T.VariantType)
 
 
 def _lookup(df: DataFrame, path: str) -> tuple[Column, T.DataType]:
     """Column and type of a dotted field; a missing field is an untyped NULL."""
+    if _is_stored(df):
+        parts = path.split(".")
+        parts = parts[1:] if parts[0] == df.columns[0] and len(parts) > 1 else parts
+        return at_path(field(df.columns[0]), parts), T.VariantType()
     col, data_type = None, df.schema
     for part in path.split("."):
         if isinstance(data_type, T.StructType) and part in data_type.names:
@@ -35,12 +52,24 @@ def _lookup(df: DataFrame, path: str) -> tuple[Column, T.DataType]:
     return col, data_type
 
 
-def _operand(col: Column, data_type: T.DataType, value: Any) -> Column:
-    """The field ready for comparison with ``value``: variants are read as the value's type."""
-    if not isinstance(data_type, T.VariantType):
-        return col
-    kind = {bool: "boolean", int: "decimal(38,9)", float: "double"}.get(type(value), "string")
-    return F.try_variant_get(col, "$", kind)
+def _scalar(col: Column, value: Any) -> Column:
+    """A variant read as the type of ``value``; NULL if it is of another kind."""
+    shape = F.schema_of_variant(col)
+    if isinstance(value, bool):
+        return F.when(shape == "BOOLEAN", F.try_variant_get(col, "$", "boolean"))
+    if isinstance(value, (int, float)):
+        as_type = "double" if isinstance(value, float) else "decimal(38,9)"
+        plain = shape.isin("BIGINT", "DOUBLE", "FLOAT") | shape.startswith("DECIMAL")
+        wrapped = [member(col, k, "string").try_cast(as_type) for k in EXTENDED_NUMBERS]
+        return F.coalesce(F.when(plain, F.try_variant_get(col, "$", as_type)), *wrapped)
+    return F.when(shape == "STRING", F.try_variant_get(col, "$", "string"))
+
+
+def _holds(col: Column, value: Any, test: Callable[[Column], Column]) -> Column:
+    """Whether a variant, or a member of the list it is, passes a comparison with ``value``."""
+    members = F.when(F.schema_of_variant(col).startswith("ARRAY"), F.try_variant_get(col, "$", "array<variant>"))
+    either = F.coalesce(test(_scalar(col, value)), F.lit(False))
+    return either | F.coalesce(F.exists(members, lambda m: F.coalesce(test(_scalar(m, value)), F.lit(False))), F.lit(False))
 
 
 def _equals(col: Column, data_type: T.DataType, value: Any) -> Column:
@@ -49,9 +78,13 @@ def _equals(col: Column, data_type: T.DataType, value: Any) -> Column:
         return F.is_variant_null(col) | col.isNull() if isinstance(data_type, T.VariantType) else col.isNull()
     if isinstance(data_type, T.ArrayType) and not isinstance(value, (list, tuple)):
         return F.coalesce(F.array_contains(col, value), F.lit(False))
+    if isinstance(data_type, T.VariantType):
+        if isinstance(value, (list, tuple)):
+            return F.coalesce(F.to_json(col) == F.to_json(F.parse_json(F.lit(json.dumps(value)))), F.lit(False))
+        return _holds(col, value, lambda c: c == F.lit(value))
     if isinstance(value, (list, tuple)):
         return F.coalesce(col == F.array(*map(F.lit, value)), F.lit(False))
-    return _operand(col, data_type, value) == F.lit(value)
+    return col == F.lit(value)
 
 
 def _condition(df: DataFrame, path: str, operator: str, value: Any) -> Column:
@@ -63,10 +96,11 @@ def _condition(df: DataFrame, path: str, operator: str, value: Any) -> Column:
         "$lte": lambda c: c <= F.lit(value),
     }
     if operator in compare:
-        ranged = _operand(col, data_type, value)
+        if isinstance(data_type, T.VariantType):
+            return _holds(col, value, compare[operator])
         if isinstance(data_type, T.ArrayType):
             return F.exists(col, compare[operator])
-        return compare[operator](ranged)
+        return compare[operator](col)
     if operator == "$eq":
         return _equals(col, data_type, value)
     if operator == "$ne":
@@ -102,24 +136,31 @@ def find(df: DataFrame, query: dict[str, Any] | None = None) -> DataFrame:
     return df.where(matches(df, query)) if query else df
 
 
-def _first_match(df: DataFrame, query: dict[str, Any], order_by: list[str]) -> DataFrame:
-    """Key of the first match: a top-1, one row per task and one in the end."""
-    return find(df, query).select(*map(field, order_by)).orderBy(*map(field, order_by)).limit(1)
-
-
 def _flagged(df: DataFrame, query: dict[str, Any], first_only: bool, order_by: str | list[str]) -> DataFrame:
     """``df`` with a flag on the rows a change applies to.
 
-    The first match is one row, so it is joined by broadcast; ``order_by`` must be a unique key.
+    The first match is the first by ``order_by``; matches that tie in it are told apart by a hash of the whole
+    document, and of documents equal in all fields one is taken. It is found as a top-1 and joined back by broadcast.
     """
+    match = F.coalesce(matches(df, query), F.lit(False))
     if not first_only:
-        return df.withColumn(_FLAG, F.coalesce(matches(df, query), F.lit(False)))
+        return df.withColumn(_FLAG, match)
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
-    first = _first_match(df, query, order_by).toDF(*(f"_first_{i}" for i in range(len(order_by))))
-    first = F.broadcast(first.withColumn(_FLAG, F.lit(True)))
-    same = [field(c).eqNullSafe(F.col(f"_first_{i}")) for i, c in enumerate(order_by)]
-    joined = df.join(first, same, "left")
-    return joined.select(*map(field, df.columns), F.coalesce(_FLAG, F.lit(False)).alias(_FLAG))
+    whole = F.xxhash64(F.to_json(F.struct(*map(field, df.columns)), {"ignoreNullFields": "false"}))
+    if _is_stored(df):
+        known = reduce(lambda d, i: with_order(d, order_by[i], f"_order_{i}"), range(len(order_by)), df)
+    else:
+        known = df.select("*", *(field(c).alias(f"_order_{i}") for i, c in enumerate(order_by)))
+    marked = known.select(
+        *map(field, df.columns), F.struct(*(f"_order_{i}" for i in range(len(order_by)))).alias("_order"), whole.alias("_whole"), match.alias("_match")
+    )
+    first = marked.where("_match").orderBy("_order", "_whole").limit(1).select(F.col("_order").alias("_first"), F.col("_whole").alias("_one"))
+    same = F.col("_match") & F.col("_order").eqNullSafe(F.col("_first")) & (F.col("_whole") == F.col("_one"))
+    joined = marked.join(F.broadcast(first), same, "left").select(*map(field, df.columns), "_whole", F.col("_one").isNotNull().alias("_same"))
+    one = Window.partitionBy("_whole").orderBy(F.lit(1))
+    equal = joined.where("_same").withColumn(_FLAG, F.row_number().over(one) == 1)
+    rest = joined.where("NOT _same").withColumn(_FLAG, F.lit(False))
+    return rest.unionByName(equal).drop("_whole", "_same")
 
 
 def _assign(df: DataFrame, name: str, value: Any) -> Column:
@@ -128,9 +169,22 @@ def _assign(df: DataFrame, name: str, value: Any) -> Column:
     return F.lit(value) if isinstance(known, (T.NullType, T.VariantType)) else F.lit(value).cast(known)
 
 
+def _set_member(doc: Column, path: list[str], value: Any) -> Column:
+    """A stored document with one member set, the objects on the way made where they are missing."""
+    members = F.coalesce(F.try_variant_get(doc, "$", "map<string,variant>"), F.expr("CAST(map() AS map<string,variant>)"))
+    inner = _set_member(F.try_element_at(members, F.lit(path[0])), path[1:], value) if path[1:] else F.parse_json(F.lit(json.dumps(value)))
+    others = F.map_filter(members, lambda k, _: k != path[0])
+    return F.to_variant_object(F.map_concat(others, F.create_map(F.lit(path[0]), inner)))
+
+
 def _changed(df: DataFrame, changes: dict[str, Any]) -> dict[str, Column]:
     """Top-level columns after setting the fields; a dotted name sets a member of an object."""
     new: dict[str, Column] = {}
+    if _is_stored(df):
+        top = df.columns[0]
+        paths = {name: name.split(".") for name in changes}
+        paths = {name: p[1:] if p[0] == top and len(p) > 1 else p for name, p in paths.items()}
+        return {top: reduce(lambda doc, name: _set_member(doc, paths[name], changes[name]), changes, field(top))}
     for name, value in changes.items():
         top, _, inner = name.partition(".")
         if name in df.columns or not inner:
@@ -171,7 +225,10 @@ def modified_count(
     differs = F.lit(False)
     for name, value in changes.items():
         now, data_type = _lookup(df, name)
-        same = F.lit(False) if isinstance(data_type, T.NullType) else now.eqNullSafe(_assign(df, name, value))
+        if isinstance(data_type, T.VariantType):
+            same = F.to_json(now).eqNullSafe(F.to_json(F.parse_json(F.lit(json.dumps(value)))))
+        else:
+            same = F.lit(False) if isinstance(data_type, T.NullType) else now.eqNullSafe(_assign(df, name, value))
         differs = differs | ~same
     flagged = _flagged(df, query, first_only, order_by)
     return flagged.where(F.col(_FLAG) & differs).count()

@@ -6,7 +6,10 @@ and the shuffle does not grow with the data, however the documents are spread.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,9 +17,12 @@ from docferry.functions.values import convert_column, is_date_text, is_integer_t
 from docferry.operators import leaves
 from docferry.operators.leaves import at_path, is_nested, kind_of, shape_of, text_of
 
-# Levels of nesting one pass unfolds before it reports deeper objects as OBJECT.
+# Levels of nesting the first pass unfolds; only documents that go deeper make it go on.
 DEFAULT_DEPTH = 6
 INT_LIMIT = 2_147_483_647
+LONG_LIMIT = 9_223_372_036_854_775_807
+# Integers up to here are exact in a double.
+DOUBLE_LIMIT = 9_007_199_254_740_992
 
 
 def with_order(docs: DataFrame, order_by: str, name: str = "ord") -> DataFrame:
@@ -32,10 +38,17 @@ def with_order(docs: DataFrame, order_by: str, name: str = "ord") -> DataFrame:
     return staged.select(*docs.columns, order.alias(name))
 
 
-def unfold(docs: DataFrame, depth: int = DEFAULT_DEPTH, order_by: str | None = None) -> DataFrame:
+def kept_whole(as_json: Iterable[Iterable[str]]) -> Column:
+    """Condition on ``path``: one of the objects that stay whole."""
+    return reduce(lambda a, b: a | b, (F.col("path") == F.array(*map(F.lit, p)) for p in as_json), F.lit(False))
+
+
+def unfold(
+    docs: DataFrame, depth: int = DEFAULT_DEPTH, order_by: str | None = None, as_json: Iterable[Iterable[str]] = ()
+) -> DataFrame:
     """One row per leaf: ``path``, ``v`` (variant), ``shape`` and, on request, the document's ``ord``.
 
-    ``docs`` holds one VARIANT column.
+    ``docs`` holds one VARIANT column; objects at the paths ``as_json`` are not unfolded.
     """
     spark = docs.sparkSession
     doc = F.col(docs.columns[0])
@@ -50,7 +63,7 @@ def unfold(docs: DataFrame, depth: int = DEFAULT_DEPTH, order_by: str | None = N
         base=base,
     ).withColumn("shape", shape_of("v"))
     for _ in range(depth - 1):
-        step = rows.withColumn("inner", F.when(is_nested("shape"), F.col("v")))
+        step = rows.withColumn("inner", F.when(is_nested("shape") & ~kept_whole(as_json), F.col("v")))
         rows = spark.sql(
             f"""SELECT if(e.key IS NULL, path, array_append(path, e.key)) AS path,
                        coalesce(e.value, v) AS v,
@@ -71,6 +84,10 @@ def measures() -> list[Column]:
         F.max(F.length(text)).alias("max_chars"),
         F.max(F.col("octets")).alias("max_bytes"),
         F.count_if(F.col("is_wide")).alias("n_wide_int"),
+        F.count_if(F.col("is_beyond")).alias("n_beyond_long"),
+        F.count_if(F.col("is_inexact")).alias("n_inexact"),
+        F.max("digits").alias("max_digits"),
+        F.max("scale").alias("max_scale"),
         F.count_if(F.when(is_text, ~is_integer_text(text))).alias("n_bad_int"),
         F.count_if(F.when(is_text, ~is_number_text(text))).alias("n_bad_number"),
         F.count_if(F.when(is_text, ~is_date_text(text))).alias("n_bad_date"),
@@ -79,16 +96,23 @@ def measures() -> list[Column]:
 
 
 def leaf_rows(
-    docs: DataFrame, depth: int = DEFAULT_DEPTH, order_by: str | None = None, wanted: Column | None = None
+    docs: DataFrame,
+    depth: int = DEFAULT_DEPTH,
+    order_by: str | None = None,
+    wanted: Column | None = None,
+    as_json: Iterable[Iterable[str]] = (),
 ) -> DataFrame:
     """One row per leaf with its kind and text: ``path, type_tag, text, is_hoist`` (and ``ord``).
 
     ``wanted`` is a condition on ``path``. Filters on the other columns are better avoided: they
     would be pushed below the steps here and repeat their work.
     """
-    rows = unfold(docs, depth, order_by)
+    rows = unfold(docs, depth, order_by, as_json)
     rows = rows if wanted is None else rows.where(wanted)
     rows = rows.withColumn("type_tag", kind_of("shape"))
+    if as_json:
+        whole = kept_whole(as_json) & F.col("type_tag").isin(leaves.OBJECT, leaves.EMPTY)
+        rows = rows.withColumn("type_tag", F.when(whole, leaves.OTHER).otherwise(F.col("type_tag")))
     rows = rows.withColumn("text", text_of("v", "type_tag"))
     hoist = F.when(
         (F.col("type_tag") == leaves.STRING) & (F.size("path") >= 3),
@@ -97,25 +121,56 @@ def leaf_rows(
     return rows.select("path", "type_tag", "text", F.coalesce(hoist, F.lit(False)).alias("is_hoist"), *(["ord"] if order_by else []))
 
 
-def profile_documents(docs: DataFrame, depth: int = DEFAULT_DEPTH) -> DataFrame:
-    """Count and measure every (path, kind) of VARIANT documents.
+def profile_documents(docs: DataFrame, depth: int | None = None, as_json: Iterable[Iterable[str]] = ()) -> DataFrame:
+    """Count and measure every (path, kind) of VARIANT documents, at whatever level they are.
 
     Columns: ``path`` (array of keys), ``type_tag``, ``n_docs``, ``n_null``, ``max_chars`` and
-    ``max_bytes`` of the text form (bytes of the content for binaries), ``n_wide_int`` (integers
-    beyond 32 bits), ``n_bad_int`` / ``n_bad_number`` / ``n_bad_date`` (texts an integer, number or
+    ``max_bytes`` of the text form (bytes of the content for binaries), ``n_wide_int`` and
+    ``n_beyond_long`` (integers beyond 32 and 64 bits), ``n_inexact`` (integers a double may not hold), ``max_digits`` and
+    ``max_scale`` (digits before and after the decimal point), ``n_bad_int`` / ``n_bad_number`` / ``n_bad_date`` (texts an integer, number or
     datetime column would refuse), ``n_hoist`` (values equal to the key of the object they are in).
-    Objects below ``depth`` levels show as kind OBJECT;
-    :func:`docferry.plans.infer.collect_profile` goes deeper until none is left.
+
+    The result is one row per path and kind, already computed, as it takes another pass for each documents that are
+    deeper than the last one went. With a ``depth`` it is one lazy pass, and objects below show as kind OBJECT. Objects used
+    as maps, whose keys are data, have no end of paths: name them in ``as_json`` and each is one value of kind OTHER, its JSON text.
     """
+    if depth is None:
+        rows, schema, _ = complete_profile(docs, as_json)
+        return docs.sparkSession.createDataFrame(rows, schema)
     kind, text = F.col("type_tag"), F.col("text")
     content = F.when(kind == leaves.BINARY, F.octet_length(F.unbase64(text))).otherwise(F.octet_length(text))
     whole = kind.isin(leaves.INT, leaves.LONG) | ((kind == leaves.STRING) & is_integer_text(text))
-    wide = F.when(whole, F.abs(text.try_cast("decimal(20,0)")) > INT_LIMIT)
-    rows = leaf_rows(docs, depth).withColumns({"octets": content, "is_wide": wide})
+    exact = F.abs(text.try_cast("decimal(38,0)"))
+    number = kind.isin(leaves.INT, leaves.LONG, leaves.DOUBLE, leaves.DECIMAL) | ((kind == leaves.STRING) & is_number_text(text))
+    # digits of plain and of exponential forms: 1.5E3 has four and none after the point
+    exponent = F.coalesce(F.regexp_extract(text, "[eE]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
+    before = F.length(F.regexp_extract(text, "^[+-]?0*([0-9]*)", 1))
+    after = F.length(F.regexp_extract(text, "[.]([0-9]*?)0*([eE]|$)", 1))
+    rows = leaf_rows(docs, depth, as_json=as_json).withColumns({
+        "octets": content,
+        "is_wide": F.when(whole, F.coalesce(exact > INT_LIMIT, F.lit(True))),
+        "is_beyond": F.when(whole, F.coalesce(exact > LONG_LIMIT, F.lit(True))),
+        "is_inexact": F.when(whole, F.coalesce(exact > DOUBLE_LIMIT, F.lit(True))),
+        "digits": F.when(number, F.greatest(F.lit(0), before + exponent)),
+        "scale": F.when(number, F.greatest(F.lit(0), after - exponent)),
+    })
     return rows.groupBy("path", "type_tag").agg(*measures())
 
 
-def first_values(docs: DataFrame, depth: int, order_by: str, wanted: Column) -> DataFrame:
+def complete_profile(docs: DataFrame, as_json: Iterable[Iterable[str]] = ()) -> tuple[list[Row], T.StructType, int]:
+    """Rows and schema of the profile to the full depth of the documents, and that depth."""
+    depth = DEFAULT_DEPTH
+    while True:
+        found = profile_documents(docs, depth, as_json)
+        rows = found.collect()
+        if not any(r.type_tag == leaves.OBJECT for r in rows):
+            return rows, found.schema, depth
+        depth *= 3
+
+
+def first_values(
+    docs: DataFrame, depth: int, order_by: str, wanted: Column, as_json: Iterable[Iterable[str]] = ()
+) -> DataFrame:
     """First leaf of each path among the ``wanted`` ones, by document order: ``path, is_bad, first``.
 
     ``wanted`` is a condition on ``path``. ``is_bad`` splits values a datetime column would refuse from the others. A minimum over
@@ -124,7 +179,7 @@ def first_values(docs: DataFrame, depth: int, order_by: str, wanted: Column) ->
     kind, text = F.col("type_tag"), F.col("text")
     is_date = (kind == leaves.DATE) | ((kind == leaves.STRING) & is_date_text(text))
     bad = ~is_date & ~kind.isin(leaves.NULL, leaves.EMPTY)
-    rows = leaf_rows(docs, depth, order_by, wanted).withColumn("is_bad", bad)
+    rows = leaf_rows(docs, depth, order_by, wanted, as_json).withColumn("is_bad", bad)
     first = F.when(kind != leaves.EMPTY, F.struct("ord", "type_tag", F.length(text).alias("chars"), "is_hoist"))
     return rows.groupBy("path", "is_bad").agg(F.min(first).alias("first")).where("first IS NOT NULL")
 

@@ -28,7 +28,7 @@ def _is_mixed(row: Row) -> bool:
         return True
     if row.spark_type == "string":
         return bool(kinds) and kinds not in ({leaves.STRING}, {leaves.OBJECT_ID}, {leaves.LIST})
-    return row.spark_type in ("int", "bigint", "double", "decimal(38,3)") and not kinds <= {
+    return row.spark_type.startswith(("int", "bigint", "double", "decimal")) and not kinds <= {
         leaves.INT,
         leaves.LONG,
         leaves.DOUBLE,
@@ -54,9 +54,9 @@ def _mixed_text(row: Row) -> Column:
     """Text of values of several kinds; objects only where the column is for them."""
     value, kind = f"_v{row.position}", F.col(f"_k{row.position}")
     text = text_of(value, f"_k{row.position}")
-    if row.role == PARENT:
+    if row.role == PARENT or (leaves.OTHER in row.kinds and leaves.OBJECT not in row.kinds):
         return F.when(kind.isin(leaves.OBJECT, leaves.EMPTY), F.to_json(value)).otherwise(text)
-    return F.when(kind != leaves.OBJECT, text)
+    return F.when(kind != leaves.OBJECT, text) if leaves.OBJECT in row.kinds else text
 
 
 def _typed(row: Row, value: Column) -> Column:

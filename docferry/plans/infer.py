@@ -2,12 +2,13 @@
 
 A plan is a DataFrame with one row per target column, in column order:
 ``position, column, paths, kinds, role, sql_type, spark_type, max_chars, max_bytes``.
-It is bounded by the number of columns a table can have, never by the data.
+It has as many rows as the table has columns. Objects whose keys are data would make a column of each key; such
+objects are named in ``as_json`` and become one text column each.
 """
 
 from __future__ import annotations
 
-import json
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +18,7 @@ from docferry.functions.naming import join_parts, snake_case
 from docferry.functions.widths import TEXT_BYTES, text_type, varchar, varchar_type, varchar_width, widen
 from docferry.operators import leaves
 from docferry.operators.leaves import at_path
-from docferry.operators.profile import DEFAULT_DEPTH, INT_LIMIT, first_values, leaf_rows, profile_columns, profile_documents, with_order
-
-# A relational table holds no more columns than this, so a plan cannot either.
-MAX_COLUMNS = 4096
-MAX_DEPTH = 100
+from docferry.operators.profile import INT_LIMIT, complete_profile, first_values, leaf_rows, profile_columns, with_order
 
 SKIP_METADATA = ("_id", "_class")
 KEY_COLUMN = "id"
@@ -34,7 +31,6 @@ SPARK_TYPES = {
     "BIGINT": "bigint",
     "FLOAT": "double",
     "DOUBLE": "double",
-    "DECIMAL(38, 3)": "decimal(38,3)",
     "DATETIME": "timestamp_ntz",
     "BLOB": "binary",
 }
@@ -46,7 +42,14 @@ PLAN_SCHEMA = (
 )
 
 
-def collect_profile(docs: DataFrame, order_by: str | None = None) -> DataFrame:
+def spark_type(sql_type: str) -> str:
+    """Spark type of a relational type in a plan."""
+    if sql_type.startswith("DECIMAL("):
+        return sql_type.lower().replace(" ", "")
+    return SPARK_TYPES.get(sql_type, "string")
+
+
+def collect_profile(docs: DataFrame, order_by: str | None = None, as_json: Iterable[Iterable[str]] = ()) -> DataFrame:
     """Profile a collection to its full depth, as a small local DataFrame.
 
     Documents nested deeper than one pass unfolds are rare; only then the pass is
@@ -54,20 +57,11 @@ def collect_profile(docs: DataFrame, order_by: str | None = None) -> DataFrame:
     and which one brings a field first; it adds ``in_sample, first_rank, first_chars,
     first_hoist`` (set on the kind that came first) and ``bad_chars``.
     """
-    spark, depth, limit = docs.sparkSession, DEFAULT_DEPTH, MAX_COLUMNS * 4
-    while True:
-        found = profile_documents(docs, depth)
-        rows = found.limit(limit + 1).collect()
-        if len(rows) > limit:
-            raise ValueError(f"more than {limit} distinct paths and kinds; no table can hold them as columns")
-        if not any(r.type_tag == leaves.OBJECT for r in rows):
-            break
-        if depth >= MAX_DEPTH:
-            raise ValueError(f"documents are nested deeper than {MAX_DEPTH} levels")
-        depth = min(MAX_DEPTH, depth * 3)
+    spark = docs.sparkSession
+    rows, found, depth = complete_profile(docs, as_json)
     if order_by is None:
-        return spark.createDataFrame(rows, found.schema)
-    firsts, bad_chars, sample_ord = _first_facts(docs, rows, depth, order_by)
+        return spark.createDataFrame(rows, found)
+    firsts, bad_chars, sample_ord = _first_facts(docs, rows, depth, order_by, as_json)
     ranks = {o: i for i, o in enumerate(sorted({f.ord for f in firsts.values()}))}
 
     def facts(row: Row) -> tuple:
@@ -78,11 +72,11 @@ def collect_profile(docs: DataFrame, order_by: str | None = None) -> DataFrame:
         return (*row, first.ord == sample_ord, ranks[first.ord], first.chars, first.is_hoist, bad)
 
     more = "in_sample boolean, first_rank long, first_chars int, first_hoist boolean, bad_chars int"
-    schema = T.StructType(found.schema.fields + T._parse_datatype_string(more).fields)
+    schema = T.StructType(found.fields + T._parse_datatype_string(more).fields)
     return spark.createDataFrame([facts(r) for r in rows], schema)
 
 
-def _first_facts(docs: DataFrame, rows: list[Row], depth: int, order_by: str) -> tuple[dict, dict, Row | None]:
+def _first_facts(docs: DataFrame, rows: list[Row], depth: int, order_by: str, as_json: Iterable[Iterable[str]]) -> tuple[dict, dict, Row | None]:
     """First value of every path, length of the first bad value of date paths, order of the sample.
 
     The sample document answers most paths; one further pass looks only at the paths it lacks
@@ -94,7 +88,7 @@ def _first_facts(docs: DataFrame, rows: list[Row], depth: int, order_by: str) ->
     if not sample:
         return {}, {}, None
     one = docs.sparkSession.createDataFrame([(sample[0]["text"],)], "text string").select(F.parse_json("text").alias(doc))
-    own = leaf_rows(one, depth, order_by).select("path", "ord", "type_tag", F.length("text").alias("chars"), "is_hoist")
+    own = leaf_rows(one, depth, order_by, as_json=as_json).select("path", "ord", "type_tag", F.length("text").alias("chars"), "is_hoist")
     firsts = {tuple(r.path): r for r in own.collect() if r.type_tag != leaves.EMPTY}
     kinds: dict[tuple, set] = {}
     for r in rows:
@@ -103,9 +97,8 @@ def _first_facts(docs: DataFrame, rows: list[Row], depth: int, order_by: str) ->
     dates = [p for p, f in firsts.items() if f.type_tag == leaves.DATE and kinds[p] - {leaves.DATE, leaves.NULL}]
     bad_chars = {}
     if late or dates:
-        name = F.to_json("path")
-        as_json = lambda paths: [json.dumps(list(p), ensure_ascii=False, separators=(",", ":")) for p in paths]
-        for r in first_values(docs, depth, order_by, name.isin(as_json(late + dates))).collect():
+        wanted = F.col("path").isin(*(F.array(*map(F.lit, p)) for p in late + dates))
+        for r in first_values(docs, depth, order_by, wanted, as_json).collect():
             path = tuple(r.path)
             if path not in dates and (path not in firsts or r.first.ord < firsts[path].ord):
                 firsts[path] = r.first
@@ -153,8 +146,24 @@ def _only(*kinds: str) -> Column:
     return F.expr(f"size(values) > 0 AND size(array_except(values, {_array(kinds)})) = 0")
 
 
+def _exact_type() -> Column:
+    """Type for all numeric values seen, without loss: the narrowest that holds them, NULL if only text does."""
+    decimal, double = f"array_contains(kinds, '{leaves.DECIMAL}')", f"array_contains(kinds, '{leaves.DOUBLE}')"
+    least = f"greatest(coalesce(max_scale, 0), if({decimal}, 3, 0))"
+    scale = f"if(coalesce(max_digits, 0) + {least} <= 38, {least}, coalesce(max_scale, 0))"
+    return F.expr(
+        f"""CASE
+        WHEN {decimal} OR n_beyond_long > 0 OR ({double} AND n_inexact > 0) THEN
+            if(coalesce(max_digits, 0) + {scale} <= 38, concat('DECIMAL(38, ', {scale}, ')'), NULL)
+        WHEN {double} THEN 'DOUBLE'
+        WHEN array_contains(kinds, '{leaves.LONG}') OR n_wide_int > 0 THEN 'BIGINT'
+        WHEN arrays_overlap(kinds, {_array((leaves.INT, leaves.STRING))}) THEN 'INT'
+        ELSE 'BOOLEAN' END"""
+    )
+
+
 def _number_type(floating: str) -> Column:
-    """Narrowest numeric type that holds all numeric kinds seen."""
+    """Numeric type by the kinds seen, as a column that starts with a sample evolves."""
     return F.expr(
         f"""CASE
         WHEN array_contains(kinds, '{leaves.DECIMAL}') THEN 'DECIMAL(38, 3)'
@@ -174,18 +183,19 @@ def _sized_text() -> Column:
 def _full_type() -> Column:
     """Type from all documents: the narrowest that keeps every value."""
     texts_are = lambda bad: ~_has(leaves.STRING) | (F.col(bad) == 0)
+    number = F.coalesce(_exact_type(), _sized_text())
     blob = F.when(F.col("max_bytes") > TEXT_BYTES, F.lit(None).cast("string")).otherwise(F.lit("BLOB"))
     return (
         F.when(F.size("values") == 0, F.lit("TEXT"))
-        .when(_only(*NUMERIC), _number_type("DOUBLE"))
+        .when(_only(*NUMERIC), number)
         .when(
             _only(*NUMERIC, leaves.STRING) & _has(leaves.INT, leaves.LONG) & ~_has(leaves.DOUBLE, leaves.DECIMAL)
             & texts_are("n_bad_int"),
-            _number_type("DOUBLE"),
+            number,
         )
         .when(
             _only(*NUMERIC, leaves.STRING) & _has(leaves.DOUBLE, leaves.DECIMAL) & texts_are("n_bad_number"),
-            _number_type("DOUBLE"),
+            number,
         )
         .when(_only(leaves.DATE, leaves.STRING) & _has(leaves.DATE) & texts_are("n_bad_date"), F.lit("DATETIME"))
         .when(_only(leaves.OBJECT_ID), widen(F.lit("VARCHAR(24)"), "max_chars", "max_bytes"))
@@ -279,8 +289,6 @@ def infer_plan(
     clashes = sorted(n for n, paths in sources.items() if len(paths) > 1)
     if clashes and on_collision != "last":
         raise ValueError(f"several fields share the name(s) {clashes}; pass on_collision='last' to keep the last")
-    if len(sources) > MAX_COLUMNS:
-        raise ValueError(f"{len(sources)} columns; a table holds at most {MAX_COLUMNS}")
 
     facts = [
         (
@@ -291,6 +299,10 @@ def infer_plan(
             r.max_chars,
             r.max_bytes,
             getattr(r, "n_wide_int", 0),
+            getattr(r, "n_beyond_long", 0),
+            getattr(r, "n_inexact", 0),
+            getattr(r, "max_digits", None),
+            getattr(r, "max_scale", None),
             getattr(r, "n_bad_int", 0),
             getattr(r, "n_bad_number", 0),
             getattr(r, "n_bad_date", 0),
@@ -301,7 +313,7 @@ def infer_plan(
     ]
     fact_schema = (
         "column string, path array<string>, kind string, n_docs long, max_chars long, max_bytes long, n_wide_int long, "
-        "n_bad_int long, n_bad_number long, n_bad_date long, is_metadata boolean, in_sample boolean, rank long, "
+        "n_beyond_long long, n_inexact long, max_digits long, max_scale long, n_bad_int long, n_bad_number long, n_bad_date long, is_metadata boolean, in_sample boolean, rank long, "
         "chars long, bad_chars long"
     )
     null_chars = F.when(F.lit(null_text is not None) & (F.col("kind") == leaves.NULL), F.lit(len(null_text or "")))
@@ -313,7 +325,8 @@ def infer_plan(
             F.array_sort(F.collect_set("kind")).alias("kinds"),
             F.greatest(F.max("max_chars"), F.max(null_chars)).alias("max_chars"),
             F.greatest(F.max("max_bytes"), F.max(null_chars)).alias("max_bytes"),
-            *(F.sum(c).alias(c) for c in ("n_wide_int", "n_bad_int", "n_bad_number", "n_bad_date")),
+            *(F.sum(c).alias(c) for c in ("n_wide_int", "n_beyond_long", "n_inexact", "n_bad_int", "n_bad_number", "n_bad_date")),
+            *(F.max(c).alias(c) for c in ("max_digits", "max_scale")),
             F.bool_or("is_metadata").alias("is_metadata"),
             F.bool_or("in_sample").alias("in_sample"),
             F.min_by("kind", "rank").alias("first_kind"),
@@ -358,7 +371,7 @@ def infer_plan(
         n_docs = max((r.n_docs for r in rows), default=0)
         plan.insert(0, (key, [], [], KEY, "BIGINT" if n_docs > INT_LIMIT else "INT", None, None))
     return spark.createDataFrame(
-        [(i, c, p, k, role, t, "bigint" if role == KEY else SPARK_TYPES.get(t, "string"), n, b)
+        [(i, c, p, k, role, t, "bigint" if role == KEY else spark_type(t), n, b)
          for i, (c, p, k, role, t, n, b) in enumerate(plan)],
         PLAN_SCHEMA,
     )
@@ -384,11 +397,15 @@ def plan_documents(
     hoist: str = "never",
     keep_parent: bool = False,
     order_by: str = "_id",
+    as_json: Iterable[str] = (),
     **options,
 ) -> DataFrame:
-    """Profile a collection and infer its plan, object columns included."""
+    """Profile a collection and infer its plan, object columns included.
+
+    ``as_json`` names objects (dotted) that are kept whole, as the JSON text of one column.
+    """
     needs_order = mode == "sample" or hoist == "sample"
-    profile = collect_profile(docs, order_by if needs_order else None)
+    profile = collect_profile(docs, order_by if needs_order else None, [p.split(".") for p in as_json])
     rows = profile.collect()
     hoisted = _hoisted_paths(rows, hoist)
     inner = {tuple(r.path[: i + 1]) for r in rows for i in range(len(r.path) - 1)}

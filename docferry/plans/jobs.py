@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ def run_report(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
-def _each(names: list[str], one: Callable[[str], tuple], concurrency: int) -> list[tuple]:
+def _each(names: list, one: Callable[..., tuple], concurrency: int) -> list[tuple]:
     """Run the work of every name, several Spark jobs at a time when asked."""
     if concurrency <= 1:
         return [one(n) for n in names]
@@ -75,15 +76,18 @@ def documents_to_rows(
 def migrate_collection(
     spark: SparkSession,
     store: DocumentStore,
-    name: str,
+    name: str | list[str],
     conn: Connection,
     *,
     archive: str | None = None,
+    on_malformed: str = "error",
     **options,
 ) -> tuple:
-    """One collection into one table; returns its report row."""
-    began, target = time.time(), table_name(name)
-    docs = read_collection(spark, store, name, as_variant=True)
+    """One collection, or several that share a table, into one table; returns its report row."""
+    names = [name] if isinstance(name, str) else list(name)
+    began, target, name = time.time(), table_name(names[0]), ", ".join(names)
+    parts = [read_collection(spark, store, n, as_variant=True, on_malformed=on_malformed) for n in names]
+    docs = reduce(DataFrame.union, parts)
     if docs.isEmpty():
         return name, target, SKIPPED_EMPTY, 0, 0, 0, time.time() - began
     rows, plan, scratch = documents_to_rows(docs, **options)
@@ -108,15 +112,26 @@ def migrate_collections(
     reset: bool = False,
     archive: str | None = None,
     concurrency: int = 1,
+    on_same_name: str = "merge",
     **options,
 ) -> DataFrame:
-    """Every collection into a table of its own; empty ones are skipped.
+    """Every collection, or the named ones, into a table of its own; empty ones are skipped.
 
+    Collections whose table names are the same (``userEvents``, ``user_events``) fill one table together, and share
+    a row of the report; ``on_same_name="error"`` refuses them. That is settled before anything is written.
     ``reset`` empties the target first and is destructive, so it is off by default. ``archive``
     also writes each table as CSV below that path. Other options go to
     :func:`docferry.plans.infer.plan_documents`.
     """
-    names = list_collections(spark, store, collections)
+    if on_same_name not in ("merge", "error"):
+        raise ValueError(f"unknown on_same_name {on_same_name!r}")
+    by_table: dict[str, list[str]] = {}
+    for n in list_collections(spark, store, collections):
+        by_table.setdefault(table_name(n), []).append(n)
+    shared = {t: n for t, n in by_table.items() if len(n) > 1}
+    if shared and on_same_name == "error":
+        raise ValueError(f"collections share a table: {shared}")
+    names = list(by_table.values())
     if reset:
         reset_target(spark, conn)
     work = lambda n: migrate_collection(spark, store, n, conn, archive=archive, **options)
@@ -161,19 +176,21 @@ def migrate_tables(
     return run_report(spark, _each(tables or list_tables(spark, conn), work, concurrency))
 
 
-def load_csv_to_table(spark: SparkSession, path: str, conn: Connection, table: str, mode: str = "overwrite") -> None:
+def load_csv_to_table(
+    spark: SparkSession, path: str, conn: Connection, table: str, mode: str = "overwrite", line_ends: str = "quoted"
+) -> None:
     """CSV file(s) into a table, all columns as text."""
-    write_table(read_csv(spark, path), conn, table, mode)
+    write_table(read_csv(spark, path, line_ends), conn, table, mode)
 
 
-def load_csv_to_collection(spark: SparkSession, path: str, store: DocumentStore, name: str) -> None:
+def load_csv_to_collection(spark: SparkSession, path: str, store: DocumentStore, name: str, line_ends: str = "quoted") -> None:
     """CSV file(s) appended to a collection, all values as text."""
-    write_collection(read_csv(spark, path), store, name)
+    write_collection(read_csv(spark, path, line_ends), store, name)
 
 
-def load_json_to_collection(spark: SparkSession, path: str, store: DocumentStore, name: str) -> None:
+def load_json_to_collection(spark: SparkSession, path: str, store: DocumentStore, name: str, on_malformed: str = "error") -> None:
     """JSON Lines documents appended to a collection, values as they are."""
-    write_collection(read_json_documents(spark, path), store, name)
+    write_collection(read_json_documents(spark, path, on_malformed=on_malformed), store, name)
 
 
 def job_from_message(store_of: Callable[[dict], DocumentStore], conn_of: Callable[[dict], Connection]):

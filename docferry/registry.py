@@ -65,9 +65,12 @@ from docferry.sources import (
     documents_of,
     list_collections,
     list_tables,
+    malformed_lines,
     read_collection,
     read_csv,
+    read_json_documents,
     read_table,
+    replace_collection,
     sample_document,
     write_collection,
     write_table,
@@ -720,21 +723,39 @@ def sample_document_events(spark, sf_dir):
 def csv_round_trip(spark, sf_dir):
     path = scratch_dir(spark, "parts")
     archive_csv(table(spark, sf_dir, "part"), path)
-    return read_csv(spark, path)
+    return read_csv(spark, path, line_ends="escaped")
+
+
+@query("SELECT CAST(COLUMNS(*) AS VARCHAR) FROM documents")
+def csv_round_trip_documents(spark, sf_dir):
+    """Texts with line ends, quotes and backslashes, through an archive into a table."""
+    path, target = scratch_dir(spark, "documents"), file_tables(spark, "tables")
+    archive_csv(table(spark, sf_dir, "documents"), path)
+    load_csv_to_table(spark, path, target, "documents", line_ends="escaped")
+    return read_table(spark, target, "documents")
+
+
+@query("SELECT CAST(page_id AS VARCHAR) AS page_id, url, html FROM pages")
+def csv_quoted_pages(spark, sf_dir):
+    """The same with line ends kept within quotes, into a collection."""
+    path, store = scratch_dir(spark, "pages"), document_store(spark, "collections")
+    archive_csv(table(spark, sf_dir, "pages"), path, line_ends="quoted")
+    load_csv_to_collection(spark, path, store, "pages")
+    return read_collection(spark, store, "pages").select("page_id", "url", "html")
 
 
 @query("SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, json_extract_string(props, '$.k') AS props_k FROM events")
 def csv_archive_flattens(spark, sf_dir):
     path = scratch_dir(spark, "events")
     archive_csv(table(spark, sf_dir, "events").select("event_id", "ts", F.from_json("props", "k int").alias("props")), path)
-    return read_csv(spark, path)
+    return read_csv(spark, path, line_ends="escaped")
 
 
 @query("SELECT CAST(COLUMNS(*) AS VARCHAR) FROM supplier")
 def csv_to_table(spark, sf_dir):
     path, target = scratch_dir(spark, "suppliers"), file_tables(spark, "tables")
     archive_csv(table(spark, sf_dir, "supplier"), path)
-    load_csv_to_table(spark, path, target, "supplier")
+    load_csv_to_table(spark, path, target, "supplier", line_ends="escaped")
     return read_table(spark, target, "supplier")
 
 
@@ -742,7 +763,7 @@ def csv_to_table(spark, sf_dir):
 def csv_to_collection(spark, sf_dir):
     path, store = scratch_dir(spark, "nations"), document_store(spark, "collections")
     archive_csv(table(spark, sf_dir, "nation"), path)
-    load_csv_to_collection(spark, path, store, "nation")
+    load_csv_to_collection(spark, path, store, "nation", line_ends="escaped")
     return read_collection(spark, store, "nation").select("n_nationkey", "n_name", "n_regionkey")
 
 
@@ -781,16 +802,20 @@ EVENT_TOPICS = ("click", "view", "purchase", "error")
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a stream of messages: the type is the topic, the id the offset. Views are cut short,
-    so they are no JSON; errors lack the key."""
+    so they are no JSON; errors lack the key. The table may be one file or a folder of files."""
     schema = table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")  # a pattern may be a file or a folder
     value = (
         F.when(F.col("event_type") == "view", F.rtrim(F.col("props"), F.lit("}")))
         .when(F.col("event_type") == "error", F.replace("props", F.lit('"k"'), F.lit('"other"')))
         .otherwise(F.col("props"))
     )
     return events.select(
-        F.col("event_type").alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), value.alias("value")
+        F.col("event_type").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.timestamp_micros(F.col("event_id")).alias("timestamp"),
+        value.alias("value"),
     )
 
 
@@ -831,6 +856,20 @@ def control_quarantine(spark, sf_dir):
     return drained(quarantine(parsed_events(spark, sf_dir)), "quarantine", "append").drop("partition")
 
 
+@query(
+    f"SELECT topic, arg_max(event_id, (o_time, event_id % 2, event_id)) AS \"offset\" FROM (SELECT event_type AS topic, event_id, -(event_id % 1000) AS o_time FROM events WHERE {USABLE_SQL}) GROUP BY topic"
+)
+def control_latest_by_time(spark, sf_dir):
+    """Messages of two partitions, sent in another order than their offsets: time decides."""
+    keys = {t: ("k",) for t in EVENT_TOPICS}
+    sent = event_messages(spark, sf_dir).withColumns({
+        "partition": F.pmod("offset", F.lit(2)).cast("int"),
+        "timestamp": F.timestamp_micros(F.lit(10**9) - F.pmod("offset", F.lit(1000))),
+    })
+    latest = drained(latest_per_topic(parse_control(sent, keys, keys)), "latest", "complete")
+    return latest.select("topic", "offset")
+
+
 @query(
     f"SELECT event_type AS topic, event_id AS \"offset\", CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events WHERE {USABLE_SQL}"
 )
@@ -896,19 +935,102 @@ def migrate_events_archive(spark, sf_dir):
     store, target, archive = document_store(spark, "events"), file_tables(spark, "target"), scratch_dir(spark, "archive")
     write_collection(event_documents(spark, sf_dir), store, "webEvents")
     migrate_collections(spark, store, target, archive=archive)
-    return read_csv(spark, f"{archive}/web_events")
+    return read_csv(spark, f"{archive}/web_events", line_ends="escaped")
+
+
+COLUMNS_OF = {
+    "benchmark": 2, "conversations": 4, "customer": 5, "documents": 5, "embeddings": 3, "events": 6, "labels": 3,
+    "lineitem": 11, "nation": 3, "orders": 6, "pages": 3, "part": 6, "region": 2, "supplier": 4,
+}
 
 
 @query(
-    "SELECT 'region' AS source, 'region' AS target, 'migrated' AS status, count(*) AS rows_in, count(*) AS rows_out, 2 AS columns FROM region "
-    "UNION ALL SELECT 'nation', 'nation', 'migrated', count(*), count(*), 3 FROM nation "
-    "UNION ALL SELECT 'orders', 'orders', 'migrated', count(*), count(*), 6 FROM orders"
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS source, '{t}' AS target, 'migrated' AS status, count(*) AS rows_in, count(*) AS rows_out, {n} AS columns FROM {t}"
+        for t, n in COLUMNS_OF.items()
+    )
 )
 def migrate_tables_report(spark, sf_dir):
-    report = migrate_tables(spark, FileTables(sf_dir), document_store(spark, "store"), tables=["region", "nation", "orders"])
+    """All tables of a database into collections."""
+    return migrate_tables(spark, FileTables(sf_dir), document_store(spark, "store"), concurrency=4).drop("seconds")
+
+
+def stored_lines(spark: SparkSession, lines: DataFrame, name: str) -> DocumentStore:
+    """A new store with one collection of the given JSON lines."""
+    store = document_store(spark, "lines")
+    lines.toDF("value").write.text(store.path(name))
+    return store
+
+
+def migrated(spark: SparkSession, lines: DataFrame, **options) -> DataFrame:
+    """The table that a collection of JSON lines becomes, its values as text."""
+    store, target = stored_lines(spark, lines, "things"), file_tables(spark, "target")
+    migrate_collections(spark, store, target, **options)
+    rows = read_table(spark, target, "things").drop("id")
+    return rows.select(*(F.col(c).cast("string").alias(c) for c in rows.columns))
+
+
+@query(
+    "SELECT CAST(event_id AS VARCHAR) AS _id, event_id || if(event_id % 2 = 0, '', repeat('0', 18)) || '.000' AS wide, "
+    "event_id || if(event_id % 2 = 0, '', repeat('7', 40)) AS wider FROM events"
+)
+def migrate_wide_numbers(spark, sf_dir):
+    """Integers, and texts of integers, beyond 64 bits and beyond any decimal: every digit stays."""
+    wide = "concat(event_id, if(event_id % 2 = 0, '', repeat('{0}', {1})))"
+    quoted = lambda text: f"if(event_id % 2 = 0, {text}, concat('\"', {text}, '\"'))"
+    parts = f"""concat('{{"_id":', event_id, ',"wide":', {wide.format(0, 18)}, ',"wider":', {quoted(wide.format(7, 40))}, '}}')"""
+    return migrated(spark, table(spark, sf_dir, "events").select(F.expr(parts)))
+
+
+@query(
+    "SELECT CAST(event_id AS VARCHAR) AS _id, event_id || if(event_id % 2 = 0, '.00001', '.50000') AS exact, "
+    "CASE event_id % 2 WHEN 0 THEN '9007199254740993.0' ELSE event_id || '.5' END AS mixed FROM events"
+)
+def migrate_mixed_decimals(spark, sf_dir):
+    """Decimals with more places than usual next to doubles, and integers that no double holds."""
+    parts = """concat('{"_id":', event_id, ',"exact":', if(event_id % 2 = 0, concat('{"$numberDecimal":"', event_id, '.00001"}'), concat(event_id, '.5')),
+        ',"mixed":', if(event_id % 2 = 0, '9007199254740993', concat(event_id, '.5')), '}')"""
+    return migrated(spark, table(spark, sf_dir, "events").select(F.expr(parts)))
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS _id, '{\"u' || user_id || '\":' || event_id || '}' AS by_user FROM events")
+def migrate_map_like(spark, sf_dir):
+    """An object whose keys are data is one column, not one for each key."""
+    parts = """concat('{"_id":', event_id, ',"byUser":{"u', user_id, '":', event_id, '}}')"""
+    return migrated(spark, table(spark, sf_dir, "events").select(F.expr(parts)), as_json=["byUser"])
+
+
+@query("SELECT o_orderkey AS _id, o_totalprice AS total_price, o_orderstatus AS status FROM orders")
+def migrate_same_name(spark, sf_dir):
+    """Two collections whose names become one table name fill one table."""
+    store, target = document_store(spark, "store"), file_tables(spark, "target")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("_id"), F.col("o_totalprice").alias("totalPrice"), F.col("o_orderstatus").alias("status"))
+    write_collection(orders.where("status = 'F'"), store, "orderList")
+    write_collection(orders.where("status <> 'F'"), store, "order_list")
+    migrate_collections(spark, store, target)
+    return read_table(spark, target, "order_list").select(F.col("_id").cast("long").alias("_id"), "total_price", "status")
+
+
+@query(
+    "SELECT 'customer' AS source, 'customer' AS target, 'migrated' AS status, count(*) AS rows_in, count(*) AS rows_out, 6 AS columns FROM customer "
+    "UNION ALL SELECT 'supplier', 'supplier', 'migrated', count(*), count(*), 5 FROM supplier"
+)
+def migrate_chosen_collections(spark, sf_dir):
+    """Only the named collections."""
+    report = migrate_collections(spark, collections_of(spark, sf_dir), file_tables(spark, "target"), collections=["supplier", "customer"])
     return report.drop("seconds")
 
 
+@query("SELECT rtrim(props, '}') AS value, 'malformed' AS found FROM events WHERE event_type = 'view' UNION ALL SELECT CAST(event_id AS VARCHAR), 'document' FROM events WHERE event_type <> 'view'")
+def reject_malformed(spark, sf_dir):
+    """Lines that hold no document are told apart from those that do."""
+    value = "if(event_type = 'view', rtrim('}', props), concat('{\"_id\":', event_id, '}'))"
+    store = stored_lines(spark, table(spark, sf_dir, "events").select(F.expr(value)), "things")
+    bad = malformed_lines(spark, store.path("things")).select("value", F.lit("malformed").alias("found"))
+    good = read_json_documents(spark, store.path("things"), on_malformed="skip")
+    return bad.unionByName(good.select(F.try_variant_get("doc", "$._id", "string").alias("value"), F.lit("document").alias("found")))
+
+
 @query("SELECT c_name AS name, c_custkey AS id FROM customer")
 def migrate_table_by_map(spark, sf_dir):
     store = document_store(spark, "store")
@@ -939,3 +1061,63 @@ def migrate_on_message(spark, sf_dir):
 def collections_listing(spark, sf_dir):
     names = list_collections(spark, collections_of(spark, sf_dir))
     return spark.createDataFrame([(n,) for n in names], "collection string")
+
+
+# --- documents as stored ------------------------------------------------------------------------
+
+
+def kinds_by_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose k is a number, a text or a list by turns."""
+    k = "get_json_object(props, '$.k')"
+    value = f"""concat('{{"_id":', event_id, ',"k":', CASE event_id % 3 WHEN 0 THEN {k} WHEN 1 THEN concat('"', {k}, '"') ELSE concat('[', {k}, ',-1]') END, '}}')"""
+    return table(spark, sf_dir, "events").select(F.parse_json(F.expr(value)).alias("doc"))
+
+
+def stored_ids(docs: DataFrame) -> DataFrame:
+    return docs.select(F.try_variant_get("doc", "$._id", "long").alias("event_id"))
+
+
+@query("SELECT event_id FROM events WHERE event_id % 3 <> 1 AND CAST(json_extract_string(props, '$.k') AS INT) = 5")
+def find_mixed_kinds(spark, sf_dir):
+    """A number is found as a number and in lists, not as text."""
+    return stored_ids(find(kinds_by_turns(spark, sf_dir), {"k": 5}))
+
+
+@query("SELECT event_id AS _id, CASE WHEN event_type = 'click' THEN 'seen' ELSE event_type END AS event_type, CASE WHEN event_type = 'click' THEN 1 END AS mark FROM events")
+def update_event_documents(spark, sf_dir):
+    """Documents as stored, changed and put back into their collection."""
+    store = document_store(spark, "events")
+    write_collection(event_documents(spark, sf_dir), store, "webEvents")
+    docs = read_collection(spark, store, "webEvents", as_variant=True)
+    replace_collection(update(docs, {"eventType": "click"}, {"eventType": "seen", "more.mark": 1}, first_only=False), store, "webEvents")
+    back = read_collection(spark, store, "webEvents", as_variant=True)
+    return back.select(
+        F.try_variant_get("doc", "$._id", "long").alias("_id"), F.try_variant_get("doc", "$.eventType", "string").alias("event_type"), F.try_variant_get("doc", "$.more.mark", "int").alias("mark")
+    )
+
+
+def ordered_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with nothing but their status and priority: nearly all of them tie."""
+    return table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderstatus")
+
+
+FIRST_TIED = "(SELECT min(o_orderpriority) FROM orders WHERE o_orderstatus = 'O')"
+
+
+@query(
+    f"SELECT o_orderpriority, o_orderstatus, count(*) - CASE WHEN o_orderstatus = 'O' AND o_orderpriority = {FIRST_TIED} THEN 1 ELSE 0 END AS n "
+    f"FROM orders GROUP BY o_orderpriority, o_orderstatus UNION ALL SELECT {FIRST_TIED}, 'changed', 1"
+)
+def update_first_tied(spark, sf_dir):
+    """One of many equal first matches is changed, and no other row."""
+    changed = update(ordered_by_priority(spark, sf_dir), {"o_orderstatus": "O"}, {"o_orderstatus": "changed"}, order_by="o_orderpriority")
+    return changed.groupBy("o_orderpriority", "o_orderstatus").agg(F.count("*").alias("n"))
+
+
+@query(
+    f"SELECT o_orderpriority, o_orderstatus, count(*) - CASE WHEN o_orderstatus = 'O' AND o_orderpriority = {FIRST_TIED} THEN 1 ELSE 0 END AS n FROM orders GROUP BY o_orderpriority, o_orderstatus"
+)
+def delete_first_tied(spark, sf_dir):
+    """One of many equal first matches goes, and no other row."""
+    kept = delete(ordered_by_priority(spark, sf_dir), {"o_orderstatus": "O"}, order_by="o_orderpriority")
+    return kept.groupBy("o_orderpriority", "o_orderstatus").agg(F.count("*").alias("n"))

@@ -2,8 +2,10 @@ from docferry.sources.documents import (
     DocumentStore,
     documents_of,
     list_collections,
+    malformed_lines,
     read_collection,
     read_json_documents,
+    replace_collection,
     sample_document,
     write_collection,
 )
@@ -29,10 +31,12 @@ __all__ = [
     "documents_of",
     "list_collections",
     "list_tables",
+    "malformed_lines",
     "read_collection",
     "read_csv",
     "read_json_documents",
     "read_table",
+    "replace_collection",
     "reset_target",
     "sample_document",
     "write_collection",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,18 +10,59 @@ from docferry.functions.values import convert_values
 from docferry.functions.values import field as column
 from docferry.operators.shape import flatten
 
-# Quotes doubled as in RFC 4180, so that a quoted value may hold quotes and line ends.
-CSV_OPTIONS = {"header": "true", "escape": '"'}
+# Quotes doubled as in RFC 4180, so that a quoted value may hold quotes and line ends; blanks around values are kept.
+CSV_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
-def read_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
-    """CSV with a header; every column is text. Without ``multi_line`` files split into blocks."""
-    return spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path)
+# How line ends inside values are written. "escaped": as \\n and \\r, a backslash as two, so that a row is one line
+# and files can be split; "quoted": as they are, within quotes, so that a file is read by one task.
+LINE_ENDS = ("escaped", "quoted")
 
 
-def archive_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def _escaped(text: Column) -> Column:
+    for raw, mark in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(raw), F.lit(mark))
+    return text
+
+
+def _unescaped(text: Column) -> Column:
+    # a pair of backslashes must not meet the letter after it: it is set aside under a character no line can hold
+    text = F.replace(text, F.lit("\\\\"), F.lit("\n"))
+    for mark, raw in (("\\r", "\r"), ("\\n", "\x00n")):
+        text = F.replace(text, F.lit(mark), F.lit(raw))
+    return F.replace(F.replace(text, F.lit("\n"), F.lit("\\")), F.lit("\x00n"), F.lit("\n"))
+
+
+def _check(line_ends: str) -> None:
+    if line_ends not in LINE_ENDS:
+        raise ValueError(f"unknown line_ends {line_ends!r}")
+
+
+def read_csv(spark: SparkSession, path: str | list[str], line_ends: str = "quoted") -> DataFrame:
+    """CSV with a header; every column is text.
+
+    By default quoted values may hold line ends, as in any CSV. Files of :func:`archive_csv` have none
+    (``line_ends="escaped"``) and split into blocks.
+    """
+    _check(line_ends)
+    if line_ends == "quoted":
+        return spark.read.options(**CSV_OPTIONS).option("multiLine", True).csv(path)
+    rows = spark.read.options(**CSV_OPTIONS).csv(path)
+    return rows.select(*(F.when(F.contains(column(c), F.lit("\\")), _unescaped(column(c))).otherwise(column(c)).alias(c) for c in rows.columns))
+
+
+def archive_csv(df: DataFrame, path: str, mode: str = "overwrite", line_ends: str = "escaped") -> None:
     """Rows as CSV with a header; nested fields are flattened and converted first, as CSV has none."""
+    _check(line_ends)
     flat = convert_values(flatten(df))
     binary = {f.name for f in flat.schema if isinstance(f.dataType, T.BinaryType)}
-    plain = flat.select(*((F.base64(column(c)) if c in binary else column(c)).alias(c) for c in flat.columns))
+    texts = {f.name for f in flat.schema if isinstance(f.dataType, T.StringType)} if line_ends == "escaped" else set()
+    plain = flat.select(
+        *((F.base64(column(c)) if c in binary else _escaped(column(c)) if c in texts else column(c)).alias(c) for c in flat.columns)
+    )
     plain.write.mode(mode).options(**CSV_OPTIONS).csv(path)

@@ -42,6 +42,7 @@ SHOWN_KEYS = {
     BOTH_TOPIC: ("sql_database", "mongo_db_name"),
 }
 
+STARTED, DONE = "started", "done"
 ACCEPTED, BAD_JSON, MISSING_KEY, UNKNOWN_TOPIC = "accepted", "bad json", "missing key", "unknown topic"
 
 
@@ -59,7 +60,7 @@ def control_stream(spark: SparkSession, source: ControlSource) -> DataFrame:
     if source.format == "kafka":
         options = {"startingOffsets": "earliest", **source.options}
         messages = spark.readStream.format("kafka").options(**options).load()
-        return messages.select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
+        return messages.select("topic", "partition", "offset", "timestamp", F.col("value").cast("string").alias("value"))
     reader = spark.readStream.format(source.format).schema(MESSAGE_SCHEMA).options(**source.options)
     return reader.load(source.path)
 
@@ -79,10 +80,12 @@ def _checked(messages: DataFrame, required: dict[str, Iterable[str]], shown: dic
     present = F.transform(F.filter(F.map_entries(members), lambda e: e["value"].isNotNull()), lambda e: e["key"])
     needed = _per_topic({t: F.array(*map(F.lit, keys)) for t, keys in required.items()}, no_texts)
     open_keys = _per_topic({t: F.array(*map(F.lit, keys)) for t, keys in shown.items()}, no_texts)
+    sent = F.col("timestamp") if "timestamp" in messages.columns else F.lit(None).cast("timestamp")
     checked = messages.select(
         "topic",
         "partition",
         "offset",
+        sent.alias("timestamp"),
         "value",
         valid.alias("_valid"),
         F.when(valid, F.array_except(needed, F.coalesce(present, no_texts))).alias("_missing"),
@@ -96,7 +99,7 @@ def _checked(messages: DataFrame, required: dict[str, Iterable[str]], shown: dic
     )
     reason = F.when(status == MISSING_KEY, F.array_join("_missing", ",")).when(status != ACCEPTED, status)
     return checked.select(
-        "topic", "partition", "offset", "value", status.alias("status"), reason.alias("reason"), "shown"
+        "topic", "partition", "offset", "timestamp", "value", status.alias("status"), reason.alias("reason"), "shown"
     )
 
 
@@ -107,7 +110,7 @@ def parse_control(
 ) -> DataFrame:
     """Check each message against the keys its topic needs.
 
-    Returns ``topic, partition, offset, status, reason, shown``: ``shown`` maps the keys that
+    Returns ``topic, partition, offset, timestamp, status, reason, shown``: ``shown`` maps the keys that
     may be seen to their values, and is the only part of the value that is passed on.
     """
     return _checked(messages, required, shown).drop("value")
@@ -122,17 +125,22 @@ def quarantine(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("status") != ACCEPTED).select("topic", "partition", "offset", "status", "reason")
 
 
+def _order() -> Column:
+    """When a message was sent; offsets only order the messages of one partition."""
+    return F.struct("timestamp", "partition", "offset")
+
+
 def latest_per_topic(parsed: DataFrame) -> DataFrame:
-    """Last accepted message of each topic; the whole message counts, so there are no half updates."""
+    """Last accepted message of each topic, by the time it was sent (messages without one come first), then by
+    partition and offset; the whole message counts, so there are no half updates."""
     return (
         accepted(parsed)
         .groupBy("topic")
         .agg(
-            F.max("offset").alias("offset"),
-            F.max_by(F.struct("partition", "shown"), "offset").alias("last"),
+            F.max_by(F.struct("partition", "offset", "shown"), _order()).alias("last"),
             F.count(F.lit(1)).alias("n_messages"),
         )
-        .select("topic", "last.partition", "offset", "last.shown", "n_messages")
+        .select("topic", "last.partition", "last.offset", "last.shown", "n_messages")
     )
 
 
@@ -175,8 +183,10 @@ def run_on_messages(
 ) -> StreamingQuery:
     """Run ``job(spark, message)`` once for each complete message on the combined topic.
 
-    A table of processed messages, kept at ``processed``, makes a restarted stream skip what is
-    done. A failing job is recorded there and does not stop the stream; bad messages neither.
+    A table of messages and what became of them, kept at ``processed``, makes a restarted stream skip what is
+    done. A failing job is recorded there and does not stop the stream; bad messages neither. Only a job that is done
+    counts as done: run the stream again with a new ``checkpoint`` to try the failed and the interrupted ones
+    again (those are recorded as started). So a job may run twice; let it replace what it writes.
     """
     coordinates = ["topic", "partition", "offset"]
     required = {BOTH_TOPIC: REQUIRED_KEYS[BOTH_TOPIC]}
@@ -184,12 +194,17 @@ def run_on_messages(
     def run_batch(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         good = accepted(_checked(batch, required, {})).select(*coordinates, F.from_json("value", "map<string,string>").alias("spec"))
-        todo = good.join(_done(spark, processed), coordinates, "left_anti")
-        for row in todo.orderBy("partition", "offset").toLocalIterator():
-            record = [(row.topic, row.partition, row.offset, _run_one(spark, job, row))]
-            done = spark.createDataFrame(record, "topic string, partition int, offset long, status string")
+        todo = good.join(_done(spark, processed).where(F.col("status") == DONE), coordinates, "left_anti")
+
+        def record(row: Row, status: str) -> None:
+            rows = [(row.topic, row.partition, row.offset, status)]
+            done = spark.createDataFrame(rows, "topic string, partition int, offset long, status string")
             done.coalesce(1).write.mode("append").json(processed)
 
+        for row in todo.orderBy("partition", "offset").toLocalIterator():
+            record(row, STARTED)
+            record(row, _run_one(spark, job, row))
+
     writer = messages.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
@@ -197,7 +212,7 @@ def run_on_messages(
 def _run_one(spark: SparkSession, job: Callable[[SparkSession, dict], None], row: Row) -> str:
     try:
         job(spark, dict(row.spec))
-        return "done"
+        return DONE
     except Exception as e:  # noqa: BLE001 - the stream goes on; the kind of error is recorded, not its text
         return f"failed: {type(e).__name__}"
 
@@ -217,11 +232,12 @@ def run_when_ready(
 
     def take(batch: DataFrame, _: int) -> None:
         last = accepted(_checked(batch, required, {})).groupBy("topic").agg(
-            F.max("offset").alias("offset"), F.max_by("value", "offset").alias("value")
+            F.max(_order()).alias("at"), F.max_by("value", _order()).alias("value")
         )
-        for row in last.select("topic", "offset", F.from_json("value", "map<string,string>").alias("spec")).collect():
-            if row.topic not in known or row.offset > known[row.topic][0]:
-                known[row.topic] = (row.offset, dict(row.spec))
+        for row in last.select("topic", "at", F.from_json("value", "map<string,string>").alias("spec")).collect():
+            at = (row.at.timestamp is not None, row.at.timestamp, row.at.partition, row.at.offset)
+            if row.topic not in known or at > known[row.topic][0]:
+                known[row.topic] = (at, dict(row.spec))
 
     writer = messages.writeStream.foreachBatch(take).option("checkpointLocation", scratch_dir(spark, "control"))
     writer.trigger(availableNow=True).start().awaitTermination()

@@ -136,3 +136,45 @@ def test_hot_keys_of_several_columns_with_nulls(spark, monkeypatch, how):
     monkeypatch.setattr(joins, "NEVER_HOT", 10)
     split = joins.join_unique(df, right, ["a", "b"], how)
     assert split.exceptAll(plain).count() == 0 and split.count() == plain.count()
+
+
+STORED = ['{"_id":1,"a":5}', '{"_id":2,"a":"5"}', '{"_id":3,"a":[5,6]}', '{"_id":4,"a":true}', '{"_id":5,"a":{"$numberLong":"5"}}', '{"_id":6,"a":1}', '{"_id":7}', '{"_id":10,"o":{"x":1}}']
+
+
+def stored_ids(docs):
+    return sorted(r[0] for r in docs.selectExpr("try_variant_get(doc, '$._id', 'int')").collect())
+
+
+@pytest.mark.parametrize(
+    ("query", "ids"),
+    [
+        ({"a": 5}, [1, 3, 5]), ({"a": "5"}, [2]), ({"a": True}, [4]), ({"a": 1}, [6]), ({"a": {"$gte": 2}}, [1, 3, 5]), ({"a": [5, 6]}, [3]), ({"a": None}, [7, 10]),
+        ({"o.x": 1}, [10]), ({"doc.a": 5}, [1, 3, 5]), ({"a": {"$exists": False}}, [7, 10]), ({"a": {"$ne": 5}}, [2, 4, 6, 7, 10]), ({"a": {"$in": [1, "5"]}}, [2, 6]),
+    ],
+)
+def test_stored_values_keep_their_kind(docs_of, query, ids):
+    assert stored_ids(find(docs_of(STORED), query)) == ids
+
+
+def test_stored_documents_change(spark, docs_of, tmp_path):
+    docs = docs_of(STORED)
+    changed = update(docs, {"a": 5}, {"a": 7, "o.y": "z"})
+    assert sorted(r[0] for r in changed.selectExpr("to_json(doc)").collect()) == sorted(['{"_id":1,"a":7,"o":{"y":"z"}}', *STORED[1:]])
+    assert modified_count(docs, {"a": 5}, {"a": 7}) == 1 and modified_count(docs, {"a": 5}, {"a": 5}, first_only=False) == 2
+    assert deleted_count(docs, {"a": 5}, first_only=False) == 3 and stored_ids(delete(docs, {"a": 5})) == [2, 3, 4, 5, 6, 7, 10]
+
+
+def test_documents_go_back_to_the_store(spark, tmp_path):
+    from docferry.sources import DocumentStore, read_collection, replace_collection, write_collection
+
+    store = DocumentStore(str(tmp_path / "store"))
+    write_collection(spark.createDataFrame([(1, "x"), (2, "y")], "_id int, s string"), store, "things")
+    docs = read_collection(spark, store, "things", as_variant=True)
+    replace_collection(update(docs, {"_id": 2}, {"s": "z"}), store, "things")
+    assert sorted((r._id, r.s) for r in read_collection(spark, store, "things").collect()) == [(1, "x"), (2, "z")]
+
+
+def test_ties_change_one_matching_row(spark):
+    rows = spark.createDataFrame([(1, "F"), (1, "O"), (1, "F"), (2, "F")], "k int, s string")
+    assert sorted(map(tuple, update(rows, {"s": "F"}, {"s": "X"}, order_by="k").collect())) == [(1, "F"), (1, "O"), (1, "X"), (2, "F")]
+    assert sorted(map(tuple, delete(rows, {"s": "F"}, order_by="k").collect())) == [(1, "F"), (1, "O"), (2, "F")]

@@ -199,7 +199,7 @@ def test_deep_nesting_is_followed_to_the_end(docs_of):
     for _ in range(20):
         inner = {"k": inner}
     docs = docs_of([json.dumps({"_id": 1, **inner})])
-    assert "OBJECT" in {r.type_tag for r in profile_documents(docs).collect()}
+    assert "OBJECT" in {r.type_tag for r in profile_documents(docs, 6).collect()}
     plan = plan_documents(docs)
     assert "_".join(["k"] * 20 + ["leaf"]) in types(plan)
     assert apply_plan(docs, plan).head()[1] == 1 or apply_plan(docs, plan).head()[0] == 1
@@ -295,14 +295,50 @@ def test_plan_of_typed_rows(spark):
     ]
 
 
-def test_too_many_columns(docs_of, monkeypatch):
-    monkeypatch.setattr("docferry.plans.infer.MAX_COLUMNS", 5)
-    with pytest.raises(ValueError, match="distinct paths"):
-        plan_documents(docs_of([json.dumps({f"k{i}": i for i in range(30)})]))
+def test_objects_used_as_maps_stay_whole(docs_of):
+    docs = docs_of([json.dumps({"_id": i, "by": {f"k{i}": {"n": i}}, "o": {"m": {}}}) for i in range(30)])
+    plan = plan_documents(docs, as_json=["by", "o.m"])
+    assert types(plan) == {"id": "INT", "_id": "INT", "by": "VARCHAR(255)", "o_m": "VARCHAR(255)"}
+    rows = {r._id: (json.loads(r.by), r.o_m) for r in apply_plan(docs, plan).collect()}
+    assert rows == {i: ({f"k{i}": {"n": i}}, "{}") for i in range(30)}
+    assert len(types(plan_documents(docs))) == 32
+
+
+def test_deep_documents_are_profiled_to_the_end(docs_of):
+    deep = {"v": 1}
+    for k in range(25):
+        deep = {f"l{k}": deep}
+    rows = profile_documents(docs_of([json.dumps(deep)])).collect()
+    assert [(len(r.path), r.type_tag) for r in rows] == [(26, "INT")]
+
+
+@pytest.mark.parametrize(
+    ("values", "sql_type"),
+    [
+        (["1", '"99999999999999999999"'], "DECIMAL(38, 0)"),
+        (["1", '"' + "9" * 39 + '"'], "VARCHAR(50)"),
+        (["9007199254740993", "1.5"], "DECIMAL(38, 1)"),
+        (["9007199254740992", "1.5"], "DOUBLE"),
+        (['{"$numberDecimal": "0.00001"}', "1.5E10"], "DECIMAL(38, 5)"),
+        (['{"$numberDecimal": "1E-40"}', "1"], "VARCHAR(25)"),
+        (['{"$numberDecimal": "1.5"}'], "DECIMAL(38, 3)"),
+        (["9223372036854775807", "1"], "BIGINT"),
+        (["9223372036854775808", "1"], "DECIMAL(38, 3)"),
+    ],
+)
+def test_numbers_keep_every_digit(docs_of, values, sql_type):
+    from decimal import Decimal as D
+
+    docs = docs_of([f'{{"_id": {i}, "v": {v}}}' for i, v in enumerate(values)])
+    plan = plan_documents(docs)
+    assert types(plan)["v"] == sql_type
+    exact = [D(v.replace('{"$numberDecimal": ', "").strip('"}')) for v in values]
+    assert [D(str(r.v)) for r in apply_plan(docs, plan).orderBy("_id").collect()] == exact
+    assert reject_rows(docs, plan).count() == 0
 
 
 def test_profile_needs_no_python_and_shuffles_partial_sums(docs_of):
-    df = profile_documents(docs_of(PEOPLE))
+    df = profile_documents(docs_of(PEOPLE), 6)
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "partial_max" in text
 
