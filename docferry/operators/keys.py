@@ -31,7 +31,7 @@ TIE, KEY, BUCKET = "_tie", "_order_key", "_bucket"
 
 
 def _with_tie(df: DataFrame, order_by: list[str], unique: bool) -> tuple[DataFrame, list[Column]]:
-    """The rows and the columns they are ordered by; a hash of the other columns breaks ties."""
+    """The rows and the columns they are ordered by; a hash of the other columns breaks ties, and is the order if there is no other."""
     rest = [c for c in df.columns if c not in order_by]
     order = [field(c) for c in order_by]
     if unique or not rest:
@@ -76,7 +76,8 @@ def add_surrogate_key(
     unique: bool = False,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Put a dense key 1..n first, numbering rows by ``order_by`` (NULLs first).
+    """Put a dense key 1..n first, numbering rows by ``order_by`` (NULLs first); without any, by a hash of the row,
+    so that the bounds are 64 bits wide whatever the rows hold.
 
     ``unique`` says that ``order_by`` has no duplicates; the two passes that prepare the keys
     then read its columns alone, otherwise all columns, as these break ties. ``df`` is read three

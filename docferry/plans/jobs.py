@@ -68,9 +68,8 @@ def documents_to_rows(
         return rows, plan, None
     typed, path = written(rows, "typed")
     by = [r["column"] for r in plan.orderBy("position").collect() if [order_by] in [list(p) for p in r.paths]]
-    # The store keeps its own key unique; any other order may have ties.
-    unique = bool(by) and order_by == ID_FIELD
-    return add_surrogate_key(typed, by or typed.columns, keyed["column"], unique=unique), plan, path
+    # Documents may lack the field or share it, so ties are always broken by the rest of the row.
+    return add_surrogate_key(typed, by, keyed["column"]), plan, path
 
 
 def migrate_collection(

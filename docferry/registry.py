@@ -1063,6 +1063,25 @@ def collections_listing(spark, sf_dir):
     return spark.createDataFrame([(n,) for n in names], "collection string")
 
 
+# --- keys of rows that lack them -----------------------------------------------------------------
+
+
+@query(
+    "SELECT has_key, count(*) AS n, count(*) AS n_ids, min(id) AS low, max(id) AS high, count(*) AS in_order FROM ("
+    "SELECT event_id % 2 = 0 AS has_key, row_number() OVER (ORDER BY event_id % 2 DESC, event_id) AS id FROM events) GROUP BY has_key"
+)
+def surrogate_key_missing_ids(spark, sf_dir):
+    """Half of the rows lack the key they are numbered by: they come first, told apart by what else they hold."""
+    events = table(spark, sf_dir, "events").withColumn("key", F.when(F.col("event_id") % 2 == 0, F.col("event_id")))
+    numbered = add_surrogate_key(events, "key", rows_per_bucket=1000)
+    has_key = F.col("key").isNotNull()
+    missing = events.where("key IS NULL").count()
+    place = F.when(has_key, F.floor(F.col("key") / 2) + 1 + missing == F.col("id")).otherwise(F.col("id") <= missing)
+    return numbered.groupBy(has_key.alias("has_key")).agg(
+        F.count("*").alias("n"), F.countDistinct("id").alias("n_ids"), F.min("id").alias("low"), F.max("id").alias("high"), F.count_if(place).alias("in_order")
+    )
+
+
 # --- documents as stored ------------------------------------------------------------------------
 
 

@@ -72,3 +72,19 @@ def test_text_keys(spark):
 def test_name_taken(spark):
     with pytest.raises(ValueError, match="id"):
         add_surrogate_key(spark.range(3), "id")
+
+
+def test_rows_without_a_key_do_not_share_a_bucket(spark):
+    rows = spark.range(40_000).selectExpr("if(id % 2 = 0, NULL, id) AS k", "id AS v", "repeat('x', 2000) AS wide")
+    numbered = add_surrogate_key(rows, "k", rows_per_bucket=2000)
+    per_task = numbered.select(F.spark_partition_id().alias("p")).groupBy("p").count().agg(F.max("count")).head()[0]
+    assert per_task < 15_000
+    ids = numbered.agg(F.countDistinct("id"), F.min("id"), F.max("id"), F.max(F.when(F.col("k").isNull(), F.col("id")))).head()
+    assert tuple(ids) == (40_000, 1, 40_000, 20_000)
+
+
+def test_order_by_nothing_is_by_hash(spark):
+    rows = spark.range(5000).selectExpr("id AS v", "repeat('x', 2000) AS wide")
+    numbered = add_surrogate_key(rows, [], rows_per_bucket=500)
+    assert numbered.agg(F.countDistinct("id"), F.max("id")).head()[:] == (5000, 5000)
+    assert "array<struct<k0:string" not in numbered._jdf.queryExecution().toString()
