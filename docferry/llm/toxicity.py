@@ -29,8 +29,10 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from docferry.llm.common import LOWER, id_remainder, mix64, powers, running_hash, slices, utf8_bytes, word_bounds
 
 MAX_ROWS = 8_000
-MAX_BYTES = 32 << 20
+MAX_BYTES = 24 << 20
 THRESHOLD = 0.3
+#: Bytes of text that are scored together; their n-grams take some 200 times as much.
+SCORE_BYTES = 1 << 18
 
 
 @dataclasses.dataclass(frozen=True)
@@ -57,13 +59,14 @@ _BETWEEN[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = False
 _EDGE = np.uint8(0x20)
 
 
-def grams(column, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of all n-grams in order of their words, the first n-gram of each word (and their number), the first word of each row."""
+def grams(column, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of all n-grams in order of their words, the first n-gram of each word (and their number), the first word of each
+    row, and a hash of each word."""
     data, rows = utf8_bytes(column)
     data = LOWER[data]
     starts, ends, words = word_bounds(data, rows, _BETWEEN)
     if len(starts) == 0:
-        return np.zeros(0, np.int64), np.zeros(1, np.int64), words
+        return np.zeros(0, np.int64), np.zeros(1, np.int64), words, np.zeros(0, np.uint64)
     # every word on its own with a mark on both ends
     sizes = ends - starts + 2
     first = np.concatenate([[0], np.cumsum(sizes)])
@@ -88,7 +91,7 @@ def grams(column, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarra
     owner = np.concatenate(owner)
     order = np.argsort(owner, kind="stable")
     buckets = (np.concatenate(found)[order] & np.uint64(settings.buckets - 1)).astype(np.int64)
-    return buckets, np.searchsorted(owner[order], np.arange(len(starts) + 1)), words
+    return buckets, np.searchsorted(owner[order], np.arange(len(starts) + 1)), words, found[-1]
 
 
 def passages(n_words: int, size: int) -> np.ndarray:
@@ -115,7 +118,7 @@ class Model:
 
     def score(self, column) -> np.ndarray:
         """Probability of class 1 of each row."""
-        buckets, first, rows = grams(column, self.settings)
+        buckets, first, rows, _ = grams(column, self.settings)
         words = _word_means(self.values[buckets].astype(np.float64), first)
         logits = np.asarray([passage_scores(words[a:b], self.settings.passage).max() for a, b in zip(rows, rows[1:], strict=False)]) + self.bias
         return 1 / (1 + np.exp(-logits))
@@ -126,51 +129,82 @@ def _word_means(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return (total[first[1:]] - total[first[:-1]]) / np.maximum(np.diff(first), 1)
 
 
-def fit(texts: list[str], labels: np.ndarray, settings: Settings) -> Model:
+class Words:
+    """The distinct words of the training texts with their n-grams, and each text as numbers of words."""
+
+    def __init__(self, texts: pa.Array, settings: Settings):
+        numbers: dict[int, int] = {}
+        self.texts: list[np.ndarray] = []
+        found_all, sizes = bytearray(), [np.zeros(0, np.int64)]
+        for start in range(0, len(texts), settings.batch):
+            buckets, first, rows, keys = grams(texts[start : start + settings.batch], settings)
+            distinct, at, where = np.unique(keys, return_index=True, return_inverse=True)
+            new = at[[k not in numbers for k in distinct.tolist()]] if len(keys) else at
+            numbers.update(zip(keys[new].tolist(), range(len(numbers), len(numbers) + len(new)), strict=True))
+            found, n = _gathered(buckets, first, new)
+            found_all += found.astype(np.int32).tobytes()
+            sizes.append(n)
+            own = np.asarray([numbers[k] for k in distinct.tolist()], np.int32)[where]
+            self.texts += [own[a:b].copy() for a, b in zip(rows, rows[1:], strict=False)]
+        self.grams = np.frombuffer(found_all, np.int32)
+        self.first = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64)
+
+    def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The n-grams of some words in order, and how many each has."""
+        return _gathered(self.grams, self.first, words)
+
+    def means(self, values: np.ndarray) -> np.ndarray:
+        """The mean over each word's n-grams of a number per bucket."""
+        return np.add.reduceat(values[self.grams], self.first[:-1]) / np.diff(self.first) if len(self.grams) else np.zeros(0)
+
+
+def _gathered(values: np.ndarray, first: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the ranges ``at``, which begin at ``first``, one after the other; and the ranges' sizes."""
+    sizes = first[at + 1] - first[at]
+    ends = np.cumsum(sizes)
+    return values[np.arange(sizes.sum()) + np.repeat(first[at] - ends + sizes, sizes)], sizes
+
+
+#: Steps after which the passages that count are judged by the present weights.
+JUDGE_STEPS = 16
+
+
+def fit(texts: pa.Array, labels: np.ndarray, settings: Settings) -> Model:
     """Embeddings and linear softmax, learned together."""
     share = float(labels.mean()) if len(labels) else 0.0
     constant = Model(settings, np.zeros(settings.buckets, np.float32), float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
     if len(labels) == 0 or share in (0.0, 1.0):
         return constant
+    words = Words(texts, settings)
     rng = np.random.default_rng(settings.seed)
     table = rng.normal(0, 0.1, (settings.buckets, settings.dim)).astype(np.float32)
     weights = rng.normal(0, 0.1, (settings.dim, 2)).astype(np.float32)
     bias = np.log(np.asarray([1 - share, share], np.float32))
     squares = [np.full(settings.buckets, 1e-8, np.float32), np.full_like(weights, 1e-8), np.full_like(bias, 1e-8)]
-    docs = []
-    for text in texts:
-        buckets, first, _ = grams(pa.array([text]), settings)
-        docs.append((buckets.astype(np.int32), first.astype(np.int32)))
     balance = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) ** 0.5
-    steps = -(-len(docs) // settings.batch)
-    for epoch in range(max(settings.epochs, -(-settings.least_steps // steps))):
-        order = rng.permutation(len(docs))
-        odds = table @ (weights[:, 1] - weights[:, 0])
+    steps, step, odds = -(-len(words.texts) // settings.batch), 0, np.zeros(0)
+    for _ in range(max(settings.epochs, -(-settings.least_steps // steps))):
+        order = rng.permutation(len(words.texts))
         for start in range(0, len(order), settings.batch):
             chosen = order[start : start + settings.batch]
-            passage = settings.passage if epoch * steps + start // settings.batch >= settings.whole_steps else 1 << 30
-            if start // settings.batch % 8 == 0:
-                odds = table @ (weights[:, 1] - weights[:, 0])
+            passage = settings.passage if step >= settings.whole_steps else 1 << 30
+            if step % JUDGE_STEPS == 0:
+                odds = words.means(table @ (weights[:, 1] - weights[:, 0]))
+            step += 1
+            hidden = np.zeros((len(chosen), settings.dim), np.float32)
             ids, shares, owner = [], [], []
             for k, d in enumerate(chosen):
-                buckets, first = docs[d]
-                n = len(first) - 1
-                if n == 0:
+                own = words.texts[d]
+                if not len(own):
                     continue
-                at = passages(n, passage)
-                best = at[int(np.argmax(passage_scores(_word_means(odds[buckets], first), passage)))] if len(at) > 1 else 0
-                stop = min(best + passage, n)
-                own = first[best : stop + 1]
-                sizes = np.diff(own)
-                ids.append(buckets[own[0] : own[-1]])
-                shares.append(np.repeat(1.0 / (np.maximum(sizes, 1) * (stop - best)), sizes).astype(np.float32))
-                owner.append(np.full(len(ids[-1]), k))
-            hidden = np.zeros((len(chosen), settings.dim), np.float32)
-            if ids:
-                ids, shares, owner = np.concatenate(ids), np.concatenate(shares), np.concatenate(owner)
-                bounds = np.searchsorted(owner, np.arange(len(chosen)))
-                some = np.diff(np.append(bounds, len(owner))) > 0
-                hidden[some] = np.add.reduceat(table[ids] * shares[:, None], bounds[some], axis=0)
+                at = passages(len(own), passage)
+                best = at[int(np.argmax(passage_scores(odds[own], passage)))] if len(at) > 1 else 0
+                own = own[best : best + passage]
+                found, sizes = words.of(own)
+                ids.append(found)
+                shares.append(np.repeat(1.0 / (sizes * len(own)), sizes).astype(np.float32))
+                owner.append(np.full(len(found), k))
+                hidden[k] = shares[-1] @ table[found]
             logits = hidden @ weights + bias
             logits -= logits.max(axis=1, keepdims=True)
             chance = np.exp(logits)
@@ -181,16 +215,16 @@ def fit(texts: list[str], labels: np.ndarray, settings: Settings) -> Model:
             for value, square, gradient in ((weights, squares[1], hidden.T @ slope), (bias, squares[2], slope.sum(axis=0))):
                 square += gradient**2
                 value -= settings.rate * 0.3 * gradient / np.sqrt(square)
-            if len(ids):
+            if ids:
+                ids, shares, owner = np.concatenate(ids), np.concatenate(shares), np.concatenate(owner)
                 rows, where = np.unique(ids, return_inverse=True)
-                change = np.zeros((len(rows), settings.dim), np.float32)
-                np.add.at(change, where, back[owner] * shares[:, None])
+                change = np.stack([np.bincount(where, weights=back[owner, c] * shares, minlength=len(rows)) for c in range(settings.dim)], axis=1).astype(np.float32)
                 squares[0][rows] += (change**2).mean(axis=1)
                 table[rows] -= settings.rate * change / np.sqrt(squares[0][rows])[:, None]
     return Model(settings, table @ (weights[:, 1] - weights[:, 0]), float(bias[1] - bias[0]))
 
 
-def training_rows(df: DataFrame, labels: DataFrame, *, doc_id: str, text: str, label: str, usable: Column | None, max_rows: int, max_bytes: int) -> tuple[list[str], np.ndarray]:
+def training_rows(df: DataFrame, labels: DataFrame, *, doc_id: str, text: str, label: str, usable: Column | None, max_rows: int, max_bytes: int) -> tuple[pa.Array, np.ndarray]:
     """At most ``max_rows`` labelled texts, half of the rarer class if there are as many, in order of the hash of their ids.
 
     Ids are chosen first, from narrow columns; texts are read for the chosen ones only.
@@ -202,8 +236,9 @@ def training_rows(df: DataFrame, labels: DataFrame, *, doc_id: str, text: str, l
     by_class = [ranked.where(F.col("mark") == m).orderBy("order", "id").limit(max_rows).collect() for m in (0, 1)]
     half = max_rows // 2
     chosen = [r for m in (0, 1) for r in by_class[m][: max(half, max_rows - len(by_class[1 - m]))]]
+    nothing = pa.array([], pa.string()), np.zeros(0, np.int64)
     if not chosen:
-        return [], np.zeros(0, np.int64)
+        return nothing
     ids = spark.createDataFrame(chosen, ranked.schema)
     # at most max_rows ids, so they go to all tasks
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("value")).join(F.broadcast(ids), "id").where("value IS NOT NULL")
@@ -215,9 +250,9 @@ def training_rows(df: DataFrame, labels: DataFrame, *, doc_id: str, text: str, l
             break
         last = r.order
     if last is None:
-        return [], np.zeros(0, np.int64)
+        return nothing
     texts = rows.where(F.col("order") <= last).orderBy("order", F.octet_length("value"), "value").limit(max_rows).select("mark", "value").toArrow()
-    return texts.column("value").to_pylist(), texts.column("mark").to_numpy()
+    return texts.column("value").combine_chunks(), texts.column("mark").to_numpy()
 
 
 def train(df: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", usable: Column | None = None, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, settings: Settings = Settings()) -> Model:
@@ -232,7 +267,7 @@ def score(df: DataFrame, model: Model, *, text: str = "text", into: str = "score
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def add(batches):
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, SCORE_BYTES):
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.score(batch.column(text)))], [*names, into])
 
     return base.mapInArrow(add, StructType([*base.schema, StructField(into, DoubleType())]))
