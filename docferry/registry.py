@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,6 +95,12 @@ ORACLES: dict[str, str] = {}
 
 JDBC_SETTING = "spark.docferry.jdbc.url"
 
+#: The given tables and how many columns each has.
+COLUMNS_OF = {
+    "benchmark": 2, "conversations": 4, "customer": 5, "documents": 5, "embeddings": 3, "events": 6, "labels": 3,
+    "lineitem": 11, "nation": 3, "orders": 6, "pages": 3, "part": 6, "region": 2, "supplier": 4,
+}
+
 
 def query(sql: str | None = None):
     """Register a query under its function name."""
@@ -224,7 +231,7 @@ def varchar_type_conversations(spark, sf_dir):
     + SIZED_SQL.format("max(length(text))", "max(strlen(text))")
     + " AS sql_type FROM documents GROUP BY source"
 )
-def infer_plan_documents(spark, sf_dir):
+def sized_by_source_documents(spark, sf_dir):
     sizes = (
         table(spark, sf_dir, "documents")
         .groupBy("source")
@@ -234,6 +241,19 @@ def infer_plan_documents(spark, sf_dir):
     return sizes.withColumn("sql_type", F.when(sized == "TEXT", text_type("max_bytes")).otherwise(sized))
 
 
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {SIZED_SQL.format(f'max(length({c}))', f'max(strlen({c}))')} AS sql_type, max(length({c})) AS max_chars, max(strlen({c})) AS max_bytes FROM documents"
+        for c in ("lang", "source", "text")
+    )
+    + "".join(f" UNION ALL SELECT '{c}', 'BIGINT', max(length(CAST({c} AS VARCHAR))), max(length(CAST({c} AS VARCHAR))) FROM documents" for c in ("doc_id", "n_chars"))
+)
+def infer_plan_documents(spark, sf_dir):
+    """The plan of a table for all columns of documents, types and sizes from every row."""
+    plan = plan_documents(documents_of(table(spark, sf_dir, "documents")), key=None)
+    return plan.select("column", "sql_type", "max_chars", "max_bytes")
+
+
 @query(
     "WITH g AS (SELECT role, min_by(length(text), (conv_id, turn)) AS n, max(length(text)) AS max_chars, "
     "max(strlen(text)) AS max_bytes FROM conversations GROUP BY role), "
@@ -571,13 +591,15 @@ def map_fields_customer(spark, sf_dir):
 
 
 @query(
-    "SELECT * FROM (VALUES (0, '_id', 'bigint'), (1, 'order', 'struct<P:struct<o_orderstatus:string,orderPriority:string,money:struct<o_totalprice:double>>>'), "
+    "SELECT t.*, n_values FROM (SELECT count(*) AS n_values FROM orders), (VALUES (0, '_id', 'bigint'), (1, 'order', 'struct<P:struct<o_orderstatus:string,orderPriority:string,money:struct<o_totalprice:double>>>'), "
     "(2, 'order.P', 'struct<o_orderstatus:string,orderPriority:string,money:struct<o_totalprice:double>>'), "
     "(3, 'order.P.o_orderstatus', 'string'), (4, 'order.P.orderPriority', 'string'), "
     "(5, 'order.P.money', 'struct<o_totalprice:double>'), (6, 'order.P.money.o_totalprice', 'double')) t(position, path, type)"
 )
 def schema_report_orders(spark, sf_dir):
-    return schema_report(status_documents(spark, sf_dir))
+    """Every field of nested rows with its type, and how many rows have a value there."""
+    rows = status_documents(spark, sf_dir)
+    return with_values(schema_report(rows), rows, "path")
 
 
 # --- surrogate keys --------------------------------------------------------------------------
@@ -779,20 +801,33 @@ def jdbc_round_trip(spark, sf_dir):
     return back.join(copied, "c_custkey").where("c_name = copied_name").select(*customers.columns)
 
 
-@query(
-    "SELECT unnest(['benchmark', 'conversations', 'customer', 'documents', 'embeddings', 'events', 'labels', 'lineitem', 'nation', "
-    "'orders', 'pages', 'part', 'region', 'supplier']) AS table_name"
-)
+@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in COLUMNS_OF))
 def tables_listing(spark, sf_dir):
-    return spark.createDataFrame([(t,) for t in list_tables(spark, FileTables(sf_dir))], "table_name string")
+    """The tables that are found, each with its rows."""
+    names = list_tables(spark, FileTables(sf_dir))
+    counts = (table(spark, sf_dir, t).agg(F.count("*").alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows") for t in names)
+    return reduce(DataFrame.union, counts)
+
+
+def with_values(described: DataFrame, rows: DataFrame, name: str) -> DataFrame:
+    """A description with the number of values of each column or field, named in ``name``."""
+    fields = [r[0] for r in described.select(name).collect()]
+    counts = rows.agg(*(F.count(f).alias(f"n{i}") for i, f in enumerate(fields)))
+    pairs = F.array(*(F.struct(F.lit(f).alias("_field"), F.col(f"n{i}").alias("n_values")) for i, f in enumerate(fields)))
+    return described.join(counts.select(F.inline(pairs)), F.col(name) == F.col("_field")).drop("_field")
+
+
+ORDERS_COLUMNS = ("o_orderkey bigint", "o_custkey bigint", "o_orderstatus string", "o_totalprice double", "o_orderdate timestamp_ntz", "o_orderpriority string")
 
 
 @query(
-    "SELECT * FROM (VALUES (0, 'o_orderkey', 'bigint'), (1, 'o_custkey', 'bigint'), (2, 'o_orderstatus', 'string'), "
-    "(3, 'o_totalprice', 'double'), (4, 'o_orderdate', 'timestamp_ntz'), (5, 'o_orderpriority', 'string')) t(position, name, type)"
+    " UNION ALL ".join(
+        f"SELECT {i} AS position, '{c}' AS name, '{t}' AS type, count({c}) AS n_values FROM orders" for i, (c, t) in enumerate(x.split() for x in ORDERS_COLUMNS)
+    )
 )
 def describe_table_orders(spark, sf_dir):
-    return describe_table(spark, FileTables(sf_dir), "orders")
+    """Columns and types of a table, and how many rows have a value there."""
+    return with_values(describe_table(spark, FileTables(sf_dir), "orders"), table(spark, sf_dir, "orders"), "name")
 
 
 # --- control messages ------------------------------------------------------------------------
@@ -938,12 +973,6 @@ def migrate_events_archive(spark, sf_dir):
     return read_csv(spark, f"{archive}/web_events", line_ends="escaped")
 
 
-COLUMNS_OF = {
-    "benchmark": 2, "conversations": 4, "customer": 5, "documents": 5, "embeddings": 3, "events": 6, "labels": 3,
-    "lineitem": 11, "nation": 3, "orders": 6, "pages": 3, "part": 6, "region": 2, "supplier": 4,
-}
-
-
 @query(
     " UNION ALL ".join(
         f"SELECT '{t}' AS source, '{t}' AS target, 'migrated' AS status, count(*) AS rows_in, count(*) AS rows_out, {n} AS columns FROM {t}"
