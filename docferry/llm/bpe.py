@@ -34,9 +34,10 @@ class Codec:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.path = path
-        self.library = tokenizers.Tokenizer.from_str(json.dumps(spec | {"truncation": None, "padding": None}))
-        self.size = self.library.get_vocab_size(with_added_tokens=True)
         added = spec.get("added_tokens") or []
+        vocab = spec["model"]["vocab"]
+        #: One more than the greatest id.
+        self.size = 1 + max([*(vocab.values() if isinstance(vocab, dict) else range(len(vocab))), *(t["id"] for t in added)])
         self.specials: dict[str, int] = {t["content"]: t["id"] for t in added}
         self.fast: tiktoken.Encoding | None = None
         #: Bytes of each id.
@@ -53,6 +54,14 @@ class Codec:
             longest_first = sorted(self.specials, key=len, reverse=True)
             self.special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
 
+    @functools.cached_property
+    def library(self) -> tokenizers.Tokenizer:
+        """The library's own tokenizer; not loaded where tiktoken does the work."""
+        tokenizer = tokenizers.Tokenizer.from_file(self.path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
     def _is_plain(self, spec: dict, added: list[dict]) -> bool:
         """Byte-level BPE without any option, whose merge order is the order of the ids."""
         model, pre = spec["model"], spec.get("pre_tokenizer") or {}

@@ -33,7 +33,7 @@ WINDOW = 24
 #: A chunk has 2 ** CUT_BITS bytes on average.
 CUT_BITS = 9
 #: Bytes of chunks that a task keeps; when full, it starts anew.
-KEEP_BYTES = 32 << 20
+KEEP_BYTES = 24 << 20
 
 _ANCHOR = re.compile(rb"[A-Za-z](?= [A-Za-z])")
 
@@ -74,7 +74,7 @@ class ChunkEncoder:
             found = (chunk, None, b"")
         else:
             found = (chunk[: places[0]], self.tokens.ordinary(chunk[places[0] : places[-1]].decode()), chunk[places[-1] :])
-        self.kept += 2 * len(chunk) + 200
+        self.kept += 3 * len(chunk) + 500
         if self.kept > self.keep_bytes:
             self.known, self.kept = {}, 0
         self.known[chunk] = found
