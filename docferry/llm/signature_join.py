@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docferry.llm.common import BASE, mix64, powers, slices, word_hashes
+from docferry.llm.common import BASE, mix64, powers, slices, unused, word_hashes
 from docferry.session import written
 
 WORDS = 5
@@ -598,5 +598,6 @@ def near_duplicates(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
 
 def one_of_each(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows with the least id of each group of near duplicates, with their own columns; rows without an id stay."""
-    kept = near_duplicates(df, doc_id=doc_id, text=text).where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
-    return df.join(kept, F.col(doc_id).cast("long") == F.col("_dropped"), "left_anti")
+    name = unused(df, "_dropped")
+    dropped = near_duplicates(df, doc_id=doc_id, text=text).where("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
+    return df.join(dropped, F.col(doc_id).cast("long") == F.col(name), "left_anti")
