@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docferry.llm import chunked_bpe, decontaminate, signature_join, toxicity
-from docferry.llm.common import id_remainder, read_table, ship
+from docferry.llm.common import id_remainder, read_table, ship, unused
 from docferry.llm.queries import BYTE_BPE
 from docferry.session import scratch_dir
 
@@ -19,7 +20,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below the threshold; the model learns from the labelled ones among them."""
     ship(spark)
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), usable=id_remainder("doc_id", 4) != 2)
-    return toxicity.score(docs, model, into="_score").where(f"_score < {toxicity.THRESHOLD}").drop("_score")
+    name = unused(docs, "_score")
+    return toxicity.score(docs, model, into=name).where(F.col(name) < toxicity.THRESHOLD).drop(name)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
