@@ -45,7 +45,12 @@ class PrefixCounter:
         self.tokens, self.keep = tokens, keep
         specials = set(tokens.specials.values())
         self.ids = {p: i for i, p in enumerate(tokens.pieces) if i not in specials}
-        self.longest = max(map(len, self.ids))
+        #: By the last three bytes of a token, the lengths that tokens with that end have, and 2 and 1; longest first.
+        ends: dict[bytes, set[int]] = {}
+        for piece in self.ids:
+            if len(piece) > 2:
+                ends.setdefault(piece[-3:], {1, 2}).add(len(piece))
+        self.lengths = {end: tuple(sorted(own, reverse=True)) for end, own in ends.items()}
         self.steps: dict[str, bytes] = {}
         self.fits: dict[int, bool] = {}
         self.split = pre_tokens().findall
@@ -60,10 +65,11 @@ class PrefixCounter:
 
     def _extend(self, data: bytes, counts: list[int], last: list[int]) -> None:
         """Counts and last tokens of all prefixes of ``data``, given those of the first ones (entry 0: nothing)."""
-        ids, fits, longest = self.ids, self.fits, self.longest
+        ids, fits, lengths = self.ids, self.fits, self.lengths
         for end in range(len(counts), len(data) + 1):
-            for start in range(max(0, end - longest), end):
-                token = ids.get(data[start:end])
+            for length in lengths.get(data[max(end - 3, 0) : end], (2, 1)):
+                start = end - length
+                token = ids.get(data[start:end]) if start >= 0 else None
                 if token is None:
                     continue
                 before = last[start]
