@@ -12,10 +12,12 @@ Documents with the same word sequence form a class; the class's least id stands
    itself drops pairs of nodes whose largest possible overlap is too small for the smallest sizes below them, or that lie
    in one component. A pair of leaves that remains puts its two components into one group, and they count as one
    for the rest of the traversal; so a bucket gives less rows than it has members, whatever its pairs.
-4. *Exact comparison.* All members of a group's components are dealt in blocks of about BLOCK, and each two blocks meet in a
-   task with their exact sets (blocks of one large component do not meet each other). A tree with wide bitmaps finds the
-   pairs that may link, their sets decide, and pairs within what is already joined are skipped: again less links
-   than members.
+   The most promising pair of classes of each such two components is verified with their sets, components are joined,
+   and the buckets that still hold several are traversed again, as long as a quarter of the pairs link.
+4. *Exact comparison.* What then remains is compared in full: members of a group's components are dealt in blocks of about
+   BLOCK, and each two blocks meet in a task with their exact sets (blocks of one large component do not meet each other).
+   A tree with wide bitmaps finds the pairs that may link, their sets decide, and pairs within what is already joined are
+   skipped: again less links than members.
 
 No step collects documents, links or components on the driver; buckets are dealt by their shingle and read in
 its order, so a task holds one bucket at a time. Frequent shingles (at least one of 1000 documents, the
@@ -56,6 +58,8 @@ PER_MILLE = 1
 WIDEST = 8192
 #: Members of a bucket up to which it needs no tree.
 SMALL = 12
+#: Another round of steps 2 and 3 follows where one of so many candidates linked.
+PROGRESS = 4
 #: Members of a block in exact comparison, and bits for each token there.
 BLOCK = 256
 WIDE = 8
@@ -375,31 +379,51 @@ def _in_order(members: Members, rows: np.ndarray) -> np.ndarray:
     return rows[np.lexsort((members.sizes[rows], np.where(several, members.comps[rows], 0), ~several))]
 
 
-def bucket_candidates(members: Members, buckets: np.ndarray) -> np.ndarray:
-    """Pairs of components that may link in some bucket, as many as join all that may; ``buckets`` is sorted."""
+def _likeness(members: Members, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """The largest similarity that pairs of members may have."""
+    return most / np.maximum(members.sizes[a] + members.sizes[b] - most, 1)
+
+
+def bucket_candidates(members: Members, buckets: np.ndarray, own: np.ndarray, whole: np.ndarray) -> pa.RecordBatch:
+    """Pairs of components that may link in some bucket, as many as join all that may, each with its most promising pair
+    of members. ``buckets`` is sorted; members of one side (``own``) of a bucket that is not ``whole`` do not meet."""
     starts = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]])
     sizes = np.diff(np.append(starts, len(buckets)))
-    found = [np.zeros((0, 2), np.int64)]
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+
+    def met(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        across = whole[a] | (own[a] != own[b])
+        a, b, most = members.candidates(a[across], b[across])
+        return a, b, _likeness(members, a, b, most)
+
     for n in np.unique(sizes[sizes <= SMALL]):
         i, j = np.triu_indices(n, 1)
-        own = starts[sizes == n]
-        for part in np.array_split(own, max(1, -(-len(own) * len(i) // FRONTIER))):
-            a, b, _ = members.candidates((part[:, None] + i).reshape(-1), (part[:, None] + j).reshape(-1))
-            found.append(np.stack([members.comps[a], members.comps[b]], axis=1))
+        mine = starts[sizes == n]
+        for part in np.array_split(mine, max(1, -(-len(mine) * len(i) // FRONTIER))):
+            found.append(met((part[:, None] + i).reshape(-1), (part[:, None] + j).reshape(-1)))
     for start, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
         rows = np.arange(start, start + n)
         tree, unions = SignatureTree(members, _in_order(members, rows)), Unions(members.comps[rows])
         for a, b in tree.pairs():
-            a, b, _ = members.candidates(a, b)
-            x, y = unions.number[a - start], unions.number[b - start]
-            joined = [(unions.names[i], unions.names[j]) for i, j in np.unique(np.stack([x, y], axis=1), axis=0) if unions.join_numbers(i, j)]
+            a, b, like = met(a, b)
+            order = np.argsort(-like, kind="stable")
+            x, y = unions.number[a - start][order], unions.number[b - start][order]
+            _, first = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0, return_index=True)
+            joined = [k for k in np.sort(first).tolist() if unions.join_numbers(x[k], y[k])]
             if joined:
-                found.append(np.asarray(joined, np.int64))
+                found.append(tuple(v[order[joined]] for v in (a, b, like)))
                 labels = np.empty(len(members.ids), np.int64)
                 labels[rows] = unions.labels()
                 tree.relabel(labels)
-    pairs = np.concatenate(found)
-    return np.unique(np.stack([pairs.min(axis=1), pairs.max(axis=1)], axis=1), axis=0) if len(pairs) else pairs
+    a, b, like = (np.concatenate(v) for v in zip(*found, strict=True))
+    turned = members.comps[a] > members.comps[b]
+    a, b = np.where(turned, b, a), np.where(turned, a, b)
+    order = np.lexsort((-like, members.comps[b], members.comps[a]))
+    a, b, like = a[order], b[order], like[order]
+    low, high = members.comps[a], members.comps[b]
+    best = np.r_[True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])][: len(a)]
+    columns = (low, high, members.ids[a], members.ids[b], like)
+    return pa.RecordBatch.from_arrays([pa.array(c[best]) for c in columns], ["low", "high", "a", "b", "like"])
 
 
 def _groups_of(batches, *key: str) -> Iterator[pa.Table]:
@@ -426,11 +450,10 @@ def _groups_of(batches, *key: str) -> Iterator[pa.Table]:
 
 
 def _traverse(batches) -> Iterator[pa.RecordBatch]:
-    """Pairs of components from buckets (bucket, id, comp, n, bits), which come in order."""
-    for table in _groups_of(batches, "bucket"):
+    """Pairs of components from meetings in buckets (meeting, own, whole, id, comp, n, bits), which come in order."""
+    for table in _groups_of(batches, "meeting"):
         members = Members(*(table.column(c).to_numpy() for c in ("id", "n", "comp")), table.column("bits").to_pylist())
-        pairs = bucket_candidates(members, table.column("bucket").to_numpy())
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        yield bucket_candidates(members, *(table.column(c).to_numpy() for c in ("meeting", "own", "whole")))
 
 
 def _compare(batches) -> Iterator[pa.RecordBatch]:
@@ -506,61 +529,119 @@ def _frequent(info: DataFrame) -> np.ndarray:
 
 
 def _entries(docs: DataFrame, classes: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """bucket, id, comp: the shingles of each class that a partner must share one of."""
+    """bucket, often, id, comp: the shingles of each class that a partner must share one of; and which are frequent."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def first(batches):
         for batch in slices(batches, "text"):
-            buckets, often = [], shared.value
+            buckets, marks, often = [], [np.zeros(0, bool)], shared.value
             for items in shingle_sets(batch.column("text")):
                 n = len(items) - int(needed(len(items))) + 1 if len(items) else 0
+                mark = np.zeros(n, bool)
                 if len(often) and n:
                     at = np.searchsorted(often, items)
                     at[at == len(often)] = 0
                     last = often[at] == items
                     if last[:n].any():
                         items = np.concatenate([items[~last], items[last]])
+                        mark[(~last).sum() :] = True
                 buckets.append(items[:n])
+                marks.append(mark)
             sizes = [len(b) for b in buckets]
             ids, comps = (np.repeat(batch.column(c).to_numpy(), sizes) for c in ("doc_id", "comp"))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(buckets).view(np.int64)), pa.array(ids), pa.array(comps)], ["bucket", "id", "comp"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(buckets).view(np.int64)), pa.array(np.concatenate(marks)), pa.array(ids), pa.array(comps)], ["bucket", "often", "id", "comp"])
 
     mine = docs.join(small(classes.select(F.col("id").alias("doc_id"), "comp")), "doc_id")
-    return mine.select("doc_id", "text", "comp").mapInArrow(first, "bucket long, id long, comp long")
+    return mine.select("doc_id", "text", "comp").mapInArrow(first, "bucket long, often boolean, id long, comp long")
 
 
-def _candidates(docs: DataFrame, classes: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Pairs of components that may link, as many as join all that may (steps 2 and 3): a, b."""
+def _mixed(docs: DataFrame, classes: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """grp, id, comp: buckets that hold classes of several components (step 2)."""
     bucket = Window.partitionBy("bucket")
-    entries = _entries(docs, classes, frequent)
-    ranged = entries.withColumn("low", F.min("comp").over(bucket)).withColumn("high", F.max("comp").over(bucket))
-    mixed = ranged.where("low <> high").select("bucket", "id", "comp")
-    full = mixed.join(classes.select("id", "n", "bits"), "id").select("bucket", "id", "comp", "n", "bits")
-    return full.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_traverse, "a long, b long").distinct()
-
-
-def _group_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Links (a, b) within the groups that pairs of components make, as many as join all that link (step 4)."""
-    groups = components(pairs).select(F.col("node").alias("comp"), F.col("label").alias("grp"))
-    members, _ = written(classes.select("id", "comp").join(small(groups), "comp"), "group-members")
-    counts = members.groupBy("grp", "comp").agg(F.count("*").alias("n"))
-    rest = counts.groupBy("grp").agg(F.sum(F.when(F.col("n") <= BLOCK, F.col("n")).otherwise(0)).alias("rest"))
-    counts, _ = written(counts.join(rest, "grp").select("comp", "n", "rest"), "group-sizes")
-    large = F.col("n") > BLOCK
-    salt = F.when(large, F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK))).otherwise(F.pmod(F.xxhash64("comp"), F.ceil(F.col("rest") / BLOCK)))
-    dealt = members.join(counts, "comp").select("grp", "id", "comp", F.when(large, F.col("comp")).alias("of"), salt.alias("salt"))
-    dealt, _ = written(dealt.withColumn("block", F.xxhash64("grp", F.coalesce("of", F.lit(-1)), "salt")), "group-blocks")
+    ranged = _entries(docs, classes, frequent).withColumn("low", F.min("comp").over(bucket)).withColumn("high", F.max("comp").over(bucket))
+    return written(ranged.where("low <> high").select(F.col("bucket").alias("grp"), "id", "comp"), "buckets")[0]
+
+
+def _still_mixed(mixed: DataFrame, classes: DataFrame) -> DataFrame:
+    """The buckets that hold several components by now."""
+    labelled, _ = written(mixed.select("grp", "id").join(classes.select("id", "comp"), "id").select("grp", "id", "comp"), "bucket-components")
+    several = labelled.groupBy("grp").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("grp")
+    return written(labelled.join(several, "grp", "left_semi"), "buckets")[0]
+
+
+def _meetings(rows: DataFrame, limit: int) -> DataFrame:
+    """meeting, own, whole, id of rows (grp, id, comp): groups of more than ``limit`` members are dealt in blocks of about as many.
+
+    Each two blocks meet (own: in the first one; whole: the two are one), but for two of one component that fills several.
+    """
+    together = (F.lit(True).alias("own"), F.lit(True).alias("whole"), "id")
+    totals, _ = written(rows.groupBy("grp").agg(F.count("*").alias("total")).where(F.col("total") > limit), "meeting-totals")
+    if totals.isEmpty():
+        return rows.select(F.xxhash64("grp").alias("meeting"), *together)
+    alone = rows.join(small(totals), "grp", "left_anti").select(F.xxhash64("grp").alias("meeting"), *together)
+    split = rows.join(small(totals), "grp")
+    large, _ = written(split.groupBy("grp", "comp").agg(F.count("*").alias("n")).where(F.col("n") > limit), "meeting-large")
+    filled = totals.join(large.groupBy("grp").agg(F.sum("n").alias("filled")), "grp", "left")
+    rests, _ = written(filled.select("grp", (F.col("total") - F.coalesce("filled", F.lit(0))).alias("rest")), "meeting-rests")
+    # tables of groups and components that fill a block: rows / limit at most, so no join moves a group to one task
+    sized = split.drop("total").join(small(rests), "grp").join(small(large), ["grp", "comp"], "left")
+    salt = F.pmod(F.xxhash64("id"), F.ceil(F.coalesce("n", "rest") / limit))
+    of = F.when(F.col("n").isNotNull(), F.col("comp"))
+    dealt, _ = written(sized.select("grp", "id", of.alias("of"), F.xxhash64("grp", F.coalesce(of, F.lit(-1)), salt).alias("block")), "meeting-blocks")
     blocks = dealt.select("grp", "block", "of").distinct()
     one, two = blocks.select("grp", F.col("block").alias("p"), F.col("of").alias("of_p")), blocks.select("grp", F.col("block").alias("q"), F.col("of").alias("of_q"))
     meet = one.join(two, "grp").where("p <= q AND NOT coalesce(of_p = of_q, false)").select("p", "q", F.xxhash64("grp", "p", "q").alias("meeting"))
     sides = meet.select(F.col("p").alias("block"), "meeting", F.lit(True).alias("own"), (F.col("p") == F.col("q")).alias("whole")).unionByName(
         meet.where("p <> q").select(F.col("q").alias("block"), "meeting", F.lit(False).alias("own"), F.lit(False).alias("whole"))
     )
-    sets = _sets(docs, members.select("id").distinct())
-    rows = dealt.select("block", "id", "comp").join(sides, "block").join(sets, "id").select("meeting", "own", "whole", "id", "comp", "items")
+    return alone.unionByName(dealt.select("block", "id").join(sides, "block").select("meeting", "own", "whole", "id"))
+
+
+def _candidates(mixed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of components that may link, as many as join all that may, and of each the most promising pair of classes
+    (step 3): low, high, a, b."""
+    # bitmaps are too wide for a table that goes to all tasks
+    met = mixed.select(F.xxhash64("grp").alias("meeting"), F.lit(True).alias("own"), F.lit(True).alias("whole"), "id")
+    full = met.join(classes.select("id", "comp", "n", "bits").hint("merge"), "id").select("meeting", "own", "whole", "id", "comp", "n", "bits")
+    pairs = full.repartition("meeting").sortWithinPartitions("meeting").mapInArrow(_traverse, "low long, high long, a long, b long, like double")
+    best = pairs.groupBy("low", "high").agg(F.max(F.struct("like", "a", "b")).alias("best"))
+    return best.select("low", "high", "best.a", "best.b")
+
+
+def _group_links(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
+    """Links (a, b) within groups (id, grp) of classes, as many as join all that link (step 4)."""
+    labelled = classes.select("id", "comp").join(small(groups), "id").select("grp", "id", "comp")
+    several = labelled.groupBy("grp").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("grp")
+    members, _ = written(labelled.join(several, "grp", "left_semi"), "group-members")
+    met = _meetings(members, BLOCK).join(members.select("id", "comp"), "id")
+    rows = met.join(_sets(docs, members.select("id").distinct()), "id").select("meeting", "own", "whole", "id", "comp", "items")
     return rows.repartition("meeting").sortWithinPartitions("meeting").mapInArrow(_compare, "a long, b long")
 
 
+def _bucket_links(docs: DataFrame, classes: DataFrame, labels: DataFrame | None, frequent: np.ndarray) -> DataFrame:
+    """The classes with their last component, once no two components hold classes that link (steps 2 to 4)."""
+    named, _ = written(_with_component(classes, labels), "shingle-classes")
+    mixed = _mixed(docs, named, frequent)
+    while True:
+        pairs, _ = written(_candidates(mixed, named), "candidates")
+        n_pairs, n_new, before = pairs.count(), 0, named
+        if n_pairs:
+            new, _ = written(_verified(docs, pairs.select("a", "b")), "links")
+            n_new = new.count()
+        if n_new:
+            labels = _relabel(labels, new)
+            named = _with_component(classes, labels)
+        if n_new * PROGRESS >= n_pairs > 0:
+            mixed = _still_mixed(mixed, named)
+            continue
+        if not n_pairs:
+            return named
+        tied = components(pairs.select(F.col("low").alias("a"), F.col("high").alias("b"))).select(F.col("node").alias("comp"), F.col("label").alias("grp"))
+        groups, _ = written(before.select("id", "comp").join(small(tied), "comp").select("id", "grp"), "groups")
+        new, _ = written(_group_links(docs, named, groups), "links")
+        return named if new.isEmpty() else _with_component(classes, _relabel(labels, new))
+
+
 def _with_component(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return classes.withColumn("comp", F.col("id"))
@@ -583,14 +664,7 @@ def near_duplicates(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     edges, _ = written(_stars(docs, classes).unionByName(same), "star-links")
     labels = None if edges.isEmpty() else components(edges)
 
-    named, _ = written(_with_component(classes, labels), "shingle-classes")
-    pairs, _ = written(_candidates(docs, named, _frequent(info)), "candidates")
-    if not pairs.isEmpty():
-        new, _ = written(_group_links(docs, named, pairs), "links")
-        if not new.isEmpty():
-            named = _with_component(classes, _relabel(labels, new))
-
-    found = named.select("key1", "key2", F.col("comp").alias("found"))
+    found = _bucket_links(docs, classes, labels, _frequent(info)).select("key1", "key2", F.col("comp").alias("found"))
     return rows.join(found, ["key1", "key2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("found"))).otherwise(F.col("doc_id")).alias("component_id")
     )

@@ -121,3 +121,22 @@ def test_components_of_a_path(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, 99), (99, 101)]
     got = {r.node: r.label for r in join.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(61)}, 99: 99, 100: 99, 101: 99}
+
+
+def near_group(n):
+    """Near copies of one text, each at a similarity of about 0.8 to the others."""
+    rng = random.Random(8)
+    base = [f"b{k}" for k in range(200)]
+    return [(k, edited(rng, base, 2)) for k in range(n)]
+
+
+def test_candidates_are_verified_before_blocks_meet(spark, monkeypatch):
+    """A group that the stars missed is joined by single pairs; no sets of whole blocks are copied."""
+    monkeypatch.setattr(join, "ALIKE", 99)
+    monkeypatch.setattr(join, "BLOCK", 8)
+    in_blocks, exact = [], join._group_links
+    monkeypatch.setattr(join, "_group_links", lambda docs, classes, groups: in_blocks.append(groups.count()) or exact(docs, classes, groups))
+    rows = near_group(60)
+    found = join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, found.collect()), key=str) == brute(rows)
+    assert sum(in_blocks) == 0
