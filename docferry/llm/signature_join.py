@@ -14,13 +14,15 @@ Documents with the same word sequence form a class; the class's least id stands
    for the rest of the traversal; so a bucket gives less rows than it has members, whatever its pairs.
    The most promising pair of classes of each such two components is verified with their sets, components are joined,
    and the buckets that still hold several are traversed again, as long as a quarter of the pairs link.
+   Buckets of more than PART members are dealt in parts of that size: alone at first, in the last round each part with each
+   other (parts of one component that fills several do not meet).
 4. *Exact comparison.* What then remains is compared in full: members of a group's components are dealt in blocks of about
    BLOCK, and each two blocks meet in a task with their exact sets (blocks of one large component do not meet each other).
    A tree with wide bitmaps finds the pairs that may link, their sets decide, and pairs within what is already joined are
    skipped: again less links than members.
 
 No step collects documents, links or components on the driver; buckets are dealt by their shingle and read in
-its order, so a task holds one bucket at a time. Frequent shingles (at least one of 1000 documents, the
+its order, so a task holds one bucket, or two parts of one, at a time. Frequent shingles (at least one of 1000 documents, the
 most frequent FREQUENT of them) are the only broadcast besides id tables below a checked number of rows; any choice of
 them gives the same links.
 
@@ -58,8 +60,12 @@ PER_MILLE = 1
 WIDEST = 8192
 #: Members of a bucket up to which it needs no tree.
 SMALL = 12
+#: Members of a bucket that a task holds at once; larger buckets are dealt in parts.
+PART = 1 << 14
 #: Another round of steps 2 and 3 follows where one of so many candidates linked.
 PROGRESS = 4
+#: Salts of a frequent shingle where the components of its bucket are compared.
+SALTS = 64
 #: Members of a block in exact comparison, and bits for each token there.
 BLOCK = 256
 WIDE = 8
@@ -556,10 +562,18 @@ def _entries(docs: DataFrame, classes: DataFrame, frequent: np.ndarray) -> DataF
 
 
 def _mixed(docs: DataFrame, classes: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """grp, id, comp: buckets that hold classes of several components (step 2)."""
-    bucket = Window.partitionBy("bucket")
-    ranged = _entries(docs, classes, frequent).withColumn("low", F.min("comp").over(bucket)).withColumn("high", F.max("comp").over(bucket))
-    return written(ranged.where("low <> high").select(F.col("bucket").alias("grp"), "id", "comp"), "buckets")[0]
+    """grp, id, comp: buckets that hold classes of several components (step 2).
+
+    The bucket of a frequent shingle is dealt by a salt; what its salts hold is put together by a table of those shingles.
+    """
+    salt = F.when(F.col("often"), F.pmod(F.xxhash64("id"), F.lit(SALTS))).otherwise(F.lit(0))
+    bucket = Window.partitionBy("bucket", "salt")
+    entries = _entries(docs, classes, frequent).withColumn("salt", salt)
+    ranged = entries.withColumn("low", F.min("comp").over(bucket)).withColumn("high", F.max("comp").over(bucket))
+    kept, _ = written(ranged.where("often OR low <> high").select(F.col("bucket").alias("grp"), "often", "id", "comp", "low", "high"), "bucket-entries")
+    often = kept.where("often").groupBy("grp").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least <> most").select("grp")
+    # at most FREQUENT rows
+    return kept.where("NOT often").select("grp", "id", "comp").unionByName(kept.where("often").join(F.broadcast(often), "grp", "left_semi").select("grp", "id", "comp"))
 
 
 def _still_mixed(mixed: DataFrame, classes: DataFrame) -> DataFrame:
@@ -569,15 +583,19 @@ def _still_mixed(mixed: DataFrame, classes: DataFrame) -> DataFrame:
     return written(labelled.join(several, "grp", "left_semi"), "buckets")[0]
 
 
-def _meetings(rows: DataFrame, limit: int) -> DataFrame:
+def _meetings(rows: DataFrame, limit: int, deep: bool = True) -> DataFrame:
     """meeting, own, whole, id of rows (grp, id, comp): groups of more than ``limit`` members are dealt in blocks of about as many.
 
     Each two blocks meet (own: in the first one; whole: the two are one), but for two of one component that fills several.
+    Unless ``deep``, blocks stay alone.
     """
     together = (F.lit(True).alias("own"), F.lit(True).alias("whole"), "id")
     totals, _ = written(rows.groupBy("grp").agg(F.count("*").alias("total")).where(F.col("total") > limit), "meeting-totals")
     if totals.isEmpty():
         return rows.select(F.xxhash64("grp").alias("meeting"), *together)
+    if not deep:
+        salt = F.pmod(F.xxhash64("id"), F.ceil(F.coalesce("total", F.lit(1)) / limit))
+        return rows.join(small(totals), "grp", "left").select(F.xxhash64("grp", salt).alias("meeting"), *together)
     alone = rows.join(small(totals), "grp", "left_anti").select(F.xxhash64("grp").alias("meeting"), *together)
     split = rows.join(small(totals), "grp")
     large, _ = written(split.groupBy("grp", "comp").agg(F.count("*").alias("n")).where(F.col("n") > limit), "meeting-large")
@@ -597,12 +615,11 @@ def _meetings(rows: DataFrame, limit: int) -> DataFrame:
     return alone.unionByName(dealt.select("block", "id").join(sides, "block").select("meeting", "own", "whole", "id"))
 
 
-def _candidates(mixed: DataFrame, classes: DataFrame) -> DataFrame:
+def _candidates(mixed: DataFrame, classes: DataFrame, deep: bool) -> DataFrame:
     """Pairs of components that may link, as many as join all that may, and of each the most promising pair of classes
     (step 3): low, high, a, b."""
     # bitmaps are too wide for a table that goes to all tasks
-    met = mixed.select(F.xxhash64("grp").alias("meeting"), F.lit(True).alias("own"), F.lit(True).alias("whole"), "id")
-    full = met.join(classes.select("id", "comp", "n", "bits").hint("merge"), "id").select("meeting", "own", "whole", "id", "comp", "n", "bits")
+    full = _meetings(mixed, PART, deep).join(classes.select("id", "comp", "n", "bits").hint("merge"), "id").select("meeting", "own", "whole", "id", "comp", "n", "bits")
     pairs = full.repartition("meeting").sortWithinPartitions("meeting").mapInArrow(_traverse, "low long, high long, a long, b long, like double")
     best = pairs.groupBy("low", "high").agg(F.max(F.struct("like", "a", "b")).alias("best"))
     return best.select("low", "high", "best.a", "best.b")
@@ -621,9 +638,9 @@ def _group_links(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> Data
 def _bucket_links(docs: DataFrame, classes: DataFrame, labels: DataFrame | None, frequent: np.ndarray) -> DataFrame:
     """The classes with their last component, once no two components hold classes that link (steps 2 to 4)."""
     named, _ = written(_with_component(classes, labels), "shingle-classes")
-    mixed = _mixed(docs, named, frequent)
+    mixed, deep = _mixed(docs, named, frequent), False
     while True:
-        pairs, _ = written(_candidates(mixed, named), "candidates")
+        pairs, _ = written(_candidates(mixed, named, deep), "candidates")
         n_pairs, n_new, before = pairs.count(), 0, named
         if n_pairs:
             new, _ = written(_verified(docs, pairs.select("a", "b")), "links")
@@ -634,6 +651,9 @@ def _bucket_links(docs: DataFrame, classes: DataFrame, labels: DataFrame | None,
         if n_new * PROGRESS >= n_pairs > 0:
             mixed = _still_mixed(mixed, named)
             continue
+        if not deep and not mixed.groupBy("grp").count().where(F.col("count") > PART).isEmpty():
+            mixed, deep = _still_mixed(mixed, named), True
+            continue
         if not n_pairs:
             return named
         tied = components(pairs.select(F.col("low").alias("a"), F.col("high").alias("b"))).select(F.col("node").alias("comp"), F.col("label").alias("grp"))

@@ -140,3 +140,29 @@ def test_candidates_are_verified_before_blocks_meet(spark, monkeypatch):
     found = join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(map(tuple, found.collect()), key=str) == brute(rows)
     assert sum(in_blocks) == 0
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_buckets_in_parts(spark, seed, monkeypatch):
+    """Large buckets are dealt in parts, with and without frequent shingles, and lose no link."""
+    monkeypatch.setattr(join, "PART", 6)
+    monkeypatch.setattr(join, "BLOCK", 8)
+    monkeypatch.setattr(join, "ALIKE", 99 if seed == 4 else join.ALIKE)
+    rows = corpus(seed)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert sorted(map(tuple, join.near_duplicates(df).collect()), key=str) == brute(rows)
+
+
+def test_no_meeting_holds_a_whole_bucket(spark):
+    """A bucket of one large component and some others: meetings are bounded, and any two that may link meet."""
+    rows = [(1, k, 0 if k < 400 else k) for k in range(450)] + [(2, k, k) for k in range(5)]
+    met = join._meetings(spark.createDataFrame(rows, "grp long, id long, comp long"), 40).collect()
+    meetings = {}
+    for r in met:
+        meetings.setdefault(r.meeting, []).append(r)
+    assert max(map(len, meetings.values())) < 3 * 40
+    together = {(a.id, b.id) for rs in meetings.values() for a in rs for b in rs if a.whole or a.own != b.own}
+    comps = {k: c for g, k, c in rows if g == 1}
+    assert {(a, b) for a in comps for b in comps if a != b and comps[a] != comps[b]} <= together
+    # the large component's own parts do not meet: each of its members is there once for each part of the others
+    assert len([r for r in met if r.id == 399]) <= 3
