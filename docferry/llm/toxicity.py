@@ -8,7 +8,8 @@ that counts is chosen anew in every epoch; embeddings and the linear layer are l
 per-weight step sizes.
 
 The model is fitted on the driver from at most ``max_rows`` labelled rows of at most ``max_bytes`` of text (documented
-bounds: the rows with the least hashes of their ids, rows of the rarer class first up to half); scoring covers all rows.
+bounds: the rows with the least hashes of their ids, rows of the rarer class first up to half; a text that exceeds the
+bytes left is passed over, and the next ones are taken); scoring covers all rows.
 Since the output is linear in the mean, a trained n-gram is one number, and scoring needs a table of ``buckets`` numbers.
 
 Defined results: null and empty texts have the score of a passage without words (the bias); labels other than 0 and 1
@@ -19,10 +20,11 @@ a document with several labels is toxic if one says so; null ids are scored like
 from __future__ import annotations
 
 import dataclasses
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -242,16 +244,21 @@ def training_rows(df: DataFrame, labels: DataFrame, *, doc_id: str, text: str, l
     ids = spark.createDataFrame(chosen, ranked.schema)
     # at most max_rows ids, so they go to all tasks
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("value")).join(F.broadcast(ids), "id").where("value IS NOT NULL")
-    sizes = rows.select("order", F.octet_length("value").alias("size")).orderBy("order", "size").limit(max_rows).collect()
-    room, last = max_bytes, None
+    sized = rows.withColumn("size", F.octet_length("value"))
+    sizes = sized.select("order", "size").orderBy("order", "size").limit(max_rows).collect()
+    room, fit_in = max_bytes, []
     for r in sizes:
-        room -= r.size
-        if room < 0:
-            break
-        last = r.order
-    if last is None:
+        # a text that is too long for what is left makes way for those after it
+        if r.size <= room:
+            room -= r.size
+            fit_in.append((r.order, r.size))
+    if not fit_in:
         return nothing
-    texts = rows.where(F.col("order") <= last).orderBy("order", F.octet_length("value"), "value").limit(max_rows).select("mark", "value").toArrow()
+    taken = spark.createDataFrame([(o, n, c) for (o, n), c in Counter(fit_in).items()], "order long, size int, n_taken int")
+    # texts of one id and one size: as many as have room
+    place = F.row_number().over(Window.partitionBy("order", "size").orderBy("value"))
+    found = sized.join(F.broadcast(taken), ["order", "size"]).withColumn("place", place).where((F.col("place") <= max_rows) & (F.col("place") <= F.col("n_taken")))
+    texts = found.orderBy("order", "size", "value").select("mark", "value").toArrow()
     return texts.column("value").combine_chunks(), texts.column("mark").to_numpy()
 
 

@@ -170,6 +170,17 @@ def test_training_is_bounded(spark):
     assert 0 < sum(map(len, texts.to_pylist())) <= 3000
 
 
+def test_a_giant_text_does_not_end_the_sample(spark):
+    """Whatever its place in hash order, a text that exceeds the bytes is passed over and all others are used."""
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, toxic int")
+    for giant in range(6):
+        rows = [(i, "x" * 5000 if i == giant else f"text {i}") for i in range(6)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        texts, marks = toxicity.training_rows(df, labels, doc_id="doc_id", text="text", label="toxic", usable=None, max_rows=100, max_bytes=1000)
+        assert sorted(texts.to_pylist()) == sorted(t for i, t in rows if i != giant)
+        assert sorted(marks.tolist()) == sorted(i % 2 for i in range(6) if i != giant)
+
+
 def test_grams_share_rows_with_misspellings():
     a, first, rows, keys = toxicity.grams(pa.array(["worthless wortless Worthless!"]), SMALL)
     one, two, three = (set(a[x:y]) for x, y in zip(first, first[1:], strict=False))
