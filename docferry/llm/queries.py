@@ -9,13 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docferry.llm import chunked_bpe, decontaminate, lattice_lm, prefix_counts, sharding, signature_join, token_files, topk, toxicity, warc
+from docferry.llm import alignment, chunked_bpe, decontaminate, lattice_lm, prefix_counts, sharding, signature_join, suffix_dedup, token_files, topk, toxicity, warc, whitening
 from docferry.llm.common import read_table, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 END_ID = 2
 TOKEN_LIMIT = 1024
 SHARD_BYTES = 1 << 20
@@ -154,3 +155,37 @@ FROM d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach ON reach.a = d.doc_id
 def op10_signature_trees(spark, sf_dir):
     """The group of near duplicates of every document."""
     return signature_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query(f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n, hex(coalesce(text, '')) AS h FROM documents),
+w AS (SELECT r, s, md5(substr(h, 2 * s + 1, {2 * suffix_dedup.LENGTH})) AS m FROM (SELECT r, h, unnest(range(0, n - {suffix_dedup.LENGTH - 1})) AS s FROM d)),
+marked AS (SELECT r, s, s + {suffix_dedup.LENGTH} AS e FROM (SELECT r, s, count(*) OVER (PARTITION BY m) AS c FROM w) WHERE c > 1),
+runs AS (SELECT r, s, e, sum(new) OVER (PARTITION BY r ORDER BY s) AS run FROM (
+  SELECT r, s, e, CASE WHEN s <= lag(e) OVER (PARTITION BY r ORDER BY s) THEN 0 ELSE 1 END AS new FROM marked)),
+spans AS (SELECT r, min(s) AS s, max(e) AS e FROM runs GROUP BY r, run),
+cuts AS (SELECT r, s, e FROM spans UNION ALL SELECT r, n, n FROM d),
+pieces AS (SELECT r, s, coalesce(lag(e) OVER (PARTITION BY r ORDER BY s, e), 0) AS b FROM cuts),
+kept AS (SELECT r, string_agg(substr(h, 2 * b + 1, 2 * (s - b)), '' ORDER BY s) AS k FROM pieces JOIN d USING (r) GROUP BY r),
+gone AS (SELECT r, count(*) AS n_spans, CAST(sum(e - s) AS BIGINT) AS n_removed FROM spans GROUP BY r)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (r) LEFT JOIN gone USING (r)
+""")
+def op11_suffix_dedup(spark, sf_dir):
+    """Every document without the bytes of strings that stand anywhere else too."""
+    kept = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), keep="none")
+    n_removed = (F.col("n_bytes") - F.octet_length("kept")).cast("long")
+    return kept.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op12_block_whitening(spark, sf_dir):
+    """The whitened components of every vector."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op13_lockstep_alignment(spark, sf_dir):
+    """How the tokens of two tokenizers line up in every document, and how usual its links are."""
+    documents = read_table(spark, sf_dir, "documents")
+    return alignment.alignment_links(documents, public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
