@@ -12,8 +12,9 @@ such strings cover is removed, either all of it or all but the first copy.
    many buckets, cut at LENGTH bytes, in text order of their contexts; the previous and next smaller positions in suffix
    order, with the least common prefix on the way, give the longest previous factor of each start; with positions
    mirrored, the longest next one. From LENGTH on there is an earlier (later) copy.
-4. A bucket of more than MOST contexts splits on more of the bytes around its anchor, again and again where it must, so
-   that every start stays in exactly one bucket; at LENGTH bytes all its contexts are equal and one.
+4. A bucket of more than MOST contexts splits on more of the bytes around its anchor, again and again where it must: its
+   contexts, not their occurrences, become smaller ones, every start stays in exactly one bucket, and at LENGTH bytes
+   all contexts of a bucket are equal and one. What is found for the parts is put together again.
 5. **Back to texts.** Occurrences meet what was found for their context. Contexts with over one in HEAVY of all
    occurrences, at most HEAVY by that, are broadcast; the rest is a shuffled join without a large key.
 
@@ -27,7 +28,6 @@ Empty tables give no rows; other columns of the input do not matter, whatever th
 
 from __future__ import annotations
 
-import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -50,7 +50,6 @@ BLOCK = 1 << 19
 HEAVY = 2000
 
 _PLACE = np.uint64((1 << 24) - 1)
-OCCURRENCE = ("id", "part", "row", "first", "starts", "lo", "bucket", "ctx")
 
 
 def anchor_runs(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -102,7 +101,7 @@ def _anchors(texts: DataFrame, length: int) -> DataFrame:
             pick = pa.array(o["text"])
             columns = [batch.column(c).take(pick) for c in ("id", "part", "row")]
             columns += [pa.array(o["first"]), pa.array(o["starts"].astype(np.int32)), pa.array(o["lo"].astype(np.int32)), pa.array([b.to_bytes(8, "big", signed=True) for b in o["bucket"].tolist()], pa.binary()), pa.array(o["ctx"], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, list(OCCURRENCE))
+            yield pa.RecordBatch.from_arrays(columns, ["id", "part", "row", "first", "starts", "lo", "bucket", "ctx"])
 
     return texts.mapInArrow(run, f"id {kind}, part int, row long, first long, starts int, lo int, bucket binary, ctx binary")
 
@@ -188,32 +187,34 @@ def _with_bytes(path: str, part: pa.Table, length: int) -> Iterator[tuple[pa.Tab
         yield part.slice(i, j - i), [whole[p : p + n + length - 1] for p, n in zip(places, starts[i:j].tolist(), strict=True)]
 
 
-def _split(texts: Texts, occurrences: DataFrame, length: int) -> DataFrame:
-    """Occurrences of buckets that are too large, in two buckets each, by more of the bytes around the anchor.
+def _split(texts: Texts, contexts: DataFrame, length: int) -> DataFrame:
+    """Contexts of buckets that are too large, each as one or two of other buckets, by more of the bytes around the anchor.
 
     ``known`` bytes from ``lo`` on are the same in the whole bucket. Starts at least ``back`` bytes before it go by
     those bytes and the known ones, the others by the known ones and those that the latest of them still covers.
     """
 
     def run(path, part):
-        for rows, contexts in _with_bytes(path, part, length):
-            out = {c: [] for c in ("pick", "first", "starts", "lo", "known", "bucket", "ctx")}
+        for rows, data_of in _with_bytes(path, part, length):
+            out = {c: [] for c in ("pick", "offset", "first", "starts", "lo", "known", "bucket", "ctx")}
             columns = [rows.column(c).to_pylist() for c in ("first", "starts", "lo", "known", "bucket")]
-            for i, (data, first, starts, lo, known, bucket) in enumerate(zip(contexts, *columns, strict=True)):
+            for i, (data, first, starts, lo, known, bucket) in enumerate(zip(data_of, *columns, strict=True)):
                 back = (length - known + 1) // 2
                 far = min(starts, max(0, lo - back + 1))  # starts 0 .. lo - back reach back far enough
                 for side, begin, n, common in ((b"<", 0, far, (lo - back, lo + known)), (b">", far, starts - far, (lo, lo - back + 1 + length))):
                     if n <= 0:
                         continue
                     own = data[begin : begin + n + length - 1]
-                    for k, v in zip(out, (i, first + begin, n, common[0] - begin, common[1] - common[0], hashlib.md5(bucket + side + data[common[0] : common[1]]).digest(), hashlib.md5(own).digest()), strict=True):
+                    for k, v in zip(out, (i, begin, first + begin, n, common[0] - begin, common[1] - common[0], hashlib.md5(bucket + side + data[common[0] : common[1]]).digest(), hashlib.md5(own).digest()), strict=True):
                         out[k].append(v)
             pick = pa.array(out["pick"], pa.int64())
-            columns = [rows.column(c).combine_chunks().take(pick) for c in ("id", "part", "row")]
-            columns += [pa.array(out["first"], pa.int64()), pa.array(out["starts"], pa.int32()), pa.array(out["lo"], pa.int32()), pa.array(out["bucket"], pa.binary()), pa.array(out["ctx"], pa.binary()), pa.array(out["known"], pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, [*OCCURRENCE, "known"])
+            columns = [rows.column(c).combine_chunks().take(pick) for c in ("bucket", "ctx", "n", "id", "part", "row")]
+            columns += [pa.array(out[c], t) for c, t in (("offset", pa.int32()), ("first", pa.int64()), ("starts", pa.int32()), ("lo", pa.int32()), ("known", pa.int32()), ("bucket", pa.binary()), ("ctx", pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, ["of_bucket", "of_ctx", "n", "id", "part", "row", "offset", "first", "starts", "lo", "known", "bucket", "ctx"])
 
-    return texts.visit(occurrences, run, f"id {texts.kind}, part int, row long, first long, starts int, lo int, bucket binary, ctx binary, known int")
+    asked = contexts.select("bucket", "ctx", "n", "since.*", "starts", "lo", "known")
+    made = texts.visit(asked, run, f"of_bucket binary, of_ctx binary, n long, id {texts.kind}, part int, row long, offset int, first long, starts int, lo int, known int, bucket binary, ctx binary")
+    return made.select("of_bucket", "of_ctx", "n", F.struct("id", "part", "row", "first").alias("since"), "offset", "starts", "lo", "known", "bucket", "ctx")
 
 
 def longest_previous(order: np.ndarray, lcp: np.ndarray) -> np.ndarray:
@@ -253,18 +254,21 @@ def suffix_factors(contexts: list[bytes], starts: list[int], length: int) -> tup
     return longest_previous(order, lcp), longest_previous(last - order, lcp)[::-1]
 
 
-FOUND = "bucket binary, ctx binary, n long, since struct<id:{kind},part:int,row:long,first:long>, earlier binary, any binary"
+FOUND = "bucket binary, ctx binary, n long, since struct<id:{kind},part:int,row:long,first:long>, earlier string, any string"
+
+
+def _text(flags: np.ndarray) -> str:
+    return (flags + np.uint8(48)).tobytes().decode()
 
 
 def _factors(texts: Texts, contexts: DataFrame, length: int) -> DataFrame:
-    """Which starts of every context have an earlier copy, and which any other, as bits."""
+    """Which starts of every context have an earlier copy, and which any other, as texts of 0 and 1."""
 
     def run(path, part):
         for rows, data in _with_bytes(path, part, length):
             yield from rows.drop_columns(["path"]).append_column("data", pa.array(data, pa.binary())).combine_chunks().to_batches()
 
-    names = ["bucket", "ctx", "n", "id", "part", "row", "first", "starts"]
-    held = texts.visit(contexts.select(*names), run, f"bucket binary, ctx binary, n long, id {texts.kind}, part int, row long, first long, starts int, data binary")
+    held = texts.visit(contexts.select("bucket", "ctx", "n", "since.*", "starts"), run, f"bucket binary, ctx binary, n long, id {texts.kind}, part int, row long, first long, starts int, data binary")
 
     def settle(rows: list[dict]) -> list[dict]:
         rows.sort(key=lambda r: (r["id"] is not None, r["id"] if r["id"] is not None else 0, r["part"], r["row"], r["first"]))
@@ -275,7 +279,7 @@ def _factors(texts: Texts, contexts: DataFrame, length: int) -> DataFrame:
         for r, before, after in zip(rows, np.split(previous >= length, at), np.split(following >= length, at), strict=True):
             anywhere = np.ones(r["starts"], bool) if r["n"] > 1 else before | after
             since = {k: r[k] for k in ("id", "part", "row", "first")}
-            out.append({"bucket": r["bucket"], "ctx": r["ctx"], "n": r["n"], "since": since, "earlier": np.packbits(before).tobytes(), "any": np.packbits(anywhere).tobytes()})
+            out.append({"bucket": r["bucket"], "ctx": r["ctx"], "n": r["n"], "since": since, "earlier": _text(before), "any": _text(anywhere)})
         return out
 
     def arrays(batches):
@@ -283,7 +287,7 @@ def _factors(texts: Texts, contexts: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             if arrow is None:
                 since = pa.struct([(c, batch.schema.field(c).type) for c in ("id", "part", "row", "first")])
-                arrow = pa.schema([("bucket", pa.binary()), ("ctx", pa.binary()), ("n", pa.int64()), ("since", since), ("earlier", pa.binary()), ("any", pa.binary())])
+                arrow = pa.schema([("bucket", pa.binary()), ("ctx", pa.binary()), ("n", pa.int64()), ("since", since), ("earlier", pa.string()), ("any", pa.string())])
             for r in batch.to_pylist():
                 if size > BLOCK and rows[-1]["bucket"] != r["bucket"]:
                     yield pa.RecordBatch.from_pylist(settle(rows), arrow)
@@ -297,40 +301,50 @@ def _factors(texts: Texts, contexts: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(arrays, FOUND.format(kind=texts.kind))
 
 
+def _settle(texts: Texts, contexts: DataFrame, length: int) -> DataFrame:
+    """FOUND of all contexts with repeated starts; no flags: all starts are, but for the first occurrence's ``earlier``."""
+    buckets = contexts.groupBy("bucket").agg(F.count("*").alias("m"), F.sum("n").alias("n_bucket")).where("n_bucket > 1")
+    buckets, _ = written(buckets, "repeats-buckets")
+    shared = counted_join(contexts, buckets.select("bucket", "m"), ["bucket"], "m")
+    nothing = F.lit(None).cast("string")
+    single = shared.where("m = 1").select("bucket", "ctx", "n", "since", nothing.alias("earlier"), nothing.alias("any"))
+    found = single.unionByName(_factors(texts, shared.where(f"m > 1 AND m <= {MOST}"), length))
+    large = shared.where(F.col("m") > MOST)
+    if not buckets.where(F.col("m") > MOST).isEmpty():
+        parts, _ = written(_split(texts, large, length), "repeats-split")
+        below = parts.groupBy("bucket", "ctx").agg(F.sum("n").alias("n"), F.min("since").alias("since"), *(F.first(c).alias(c) for c in ("starts", "lo", "known")), F.count("*").alias("held"))
+        below, _ = written(below, "repeats-contexts")
+        settled = _settle(texts, below, length).withColumnsRenamed({"since": "part_since", "n": "part_n"})
+        met = counted_join(parts, settled.join(below.select("bucket", "ctx", "held"), ["bucket", "ctx"]), ["bucket", "ctx"], "held")
+        # what is not found below is repeated nowhere
+        met = parts.select("of_bucket", "of_ctx", "n", "since", "offset", "starts", "bucket", "ctx").join(met.select("of_bucket", "of_ctx", "offset", "part_since", "earlier", "any"), ["of_bucket", "of_ctx", "offset"], "left")
+        none, every = F.expr("repeat('0', starts)"), F.expr("repeat('1', starts)")
+        earlier = F.when(F.col("part_since").isNull(), none).when(F.col("part_since") == F.col("since"), F.coalesce("earlier", none)).otherwise(every)
+        anywhere = F.when(F.col("part_since").isNull(), none).otherwise(F.coalesce("any", every))
+        sides = F.sort_array(F.collect_list(F.struct("offset", earlier.alias("earlier"), anywhere.alias("any"), "since")))
+        joined = lambda c: F.concat_ws("", F.col(f"sides.{c}")).alias(c)
+        whole = met.groupBy(F.col("of_bucket").alias("bucket"), F.col("of_ctx").alias("ctx")).agg(F.first("n").alias("n"), sides.alias("sides"))
+        found = found.unionByName(whole.select("bucket", "ctx", "n", F.col("sides")[0]["since"].alias("since"), joined("earlier"), joined("any")))
+    return written(found, "repeats-found")[0]
+
+
 def repeated(texts: Texts, length: int) -> DataFrame:
-    """part, row, first, starts, earlier, any of every occurrence with repeated starts; no bits: all of them."""
-    found = []
+    """part, row, first, starts, earlier, any of every occurrence with repeated starts; no flags: all of them."""
     occurrences, _ = written(_anchors(texts.rows, length), "repeats-anchors")
-    occurrences = occurrences.withColumn("known", F.lit(max(1, length // 4)))
     since = F.struct("id", "part", "row", "first")
-    while True:
-        contexts = occurrences.groupBy("bucket", "ctx").agg(F.count("*").alias("n"), F.min(since).alias("since"), F.first("starts").alias("starts"))
-        contexts, _ = written(contexts, "repeats-contexts")
-        buckets = contexts.groupBy("bucket").agg(F.count("*").alias("m"), F.sum("n").alias("n_bucket")).where("n_bucket > 1")
-        buckets, _ = written(buckets, "repeats-buckets")
-        shared = counted_join(contexts, buckets.select("bucket", "m"), ["bucket"], "m")
-        nothing = F.lit(None).cast("binary")
-        single = shared.where("m = 1").select("bucket", "ctx", "n", "since", nothing.alias("earlier"), nothing.alias("any"))
-        several = shared.where(f"m > 1 AND m <= {MOST}").select("bucket", "ctx", "n", "since.*", "starts")
-        settled, _ = written(single.unionByName(_factors(texts, several, length)), "repeats-found")
-        met = counted_join(occurrences, settled, ["bucket", "ctx"], "n")
-        # a context that is alone in its bucket has no earlier copy where it stands first
-        earlier = F.when(F.col("since") == since, F.coalesce("earlier", F.lit(b"")))
-        found.append(met.select("part", "row", "first", "starts", earlier.alias("earlier"), "any"))
-        large = buckets.where(F.col("m") > MOST).select("bucket", "n_bucket")
-        if large.isEmpty():
-            break
-        again = counted_join(occurrences, large, ["bucket"], "n_bucket").drop("n_bucket")
-        occurrences, _ = written(_split(texts, again, length), "repeats-split")
-    return functools.reduce(DataFrame.unionByName, found)
+    contexts = occurrences.groupBy("bucket", "ctx").agg(F.count("*").alias("n"), F.min(since).alias("since"), *(F.first(c).alias(c) for c in ("starts", "lo")))
+    contexts, _ = written(contexts, "repeats-contexts")
+    settled = _settle(texts, contexts.withColumn("known", F.lit(max(1, length // 4))), length)
+    met = counted_join(occurrences, settled, ["bucket", "ctx"], "n")
+    # a context that is alone in its bucket has no earlier copy where it stands first
+    earlier = F.when(F.col("since") == since, F.coalesce("earlier", F.lit("")))
+    return met.select("part", "row", "first", "starts", earlier.alias("earlier"), "any")
 
 
-def _bits(packed: list, starts: np.ndarray) -> np.ndarray:
-    """Flags of all starts; None means that all are set, an empty value that none is."""
-    out = []
-    for p, n in zip(packed, starts.tolist(), strict=True):
-        out.append(np.ones(n, bool) if p is None else np.unpackbits(np.frombuffer(p, np.uint8), count=n).astype(bool) if p else np.zeros(n, bool))
-    return np.concatenate([np.zeros(0, bool), *out])
+def _flags(listed: list, starts: np.ndarray) -> np.ndarray:
+    """Flags of all starts; None means that all are set, an empty text that none is."""
+    whole = "".join("1" * n if t is None else t or "0" * n for t, n in zip(listed, starts.tolist(), strict=True))
+    return np.frombuffer(whole.encode(), np.uint8) == 49
 
 
 def remove_repeats(df: DataFrame, *, length: int = LENGTH, keep: str = "first", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -353,7 +367,7 @@ def remove_repeats(df: DataFrame, *, length: int = LENGTH, keep: str = "first",
             i, j = np.searchsorted(row, [begin, begin + batch.num_rows])
             n = starts[i:j].astype(np.int64)
             places = np.repeat(at[row[i:j] - begin] + first[i:j] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            places = places[_bits(flags[i:j], n)]
+            places = places[_flags(flags[i:j], n)]
             change = np.zeros(len(data) + 1, np.int32)
             np.add.at(change, places, 1)
             np.add.at(change, places + length, -1)
