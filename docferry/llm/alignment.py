@@ -135,14 +135,24 @@ class Alignment:
     cuts: list[np.ndarray]  # tokens before the end of each group, of A, of B
     groups: np.ndarray  # groups before each text (and in all)
 
-    def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Text, A token and B token of every link, groups in order."""
-        starts = [np.concatenate([[0], c[:-1]]) for c in self.cuts]
-        n = [c - s for c, s in zip(self.cuts, starts, strict=True)]
-        both = n[0] * n[1]
+    def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text, A id, B id and number of links, a row for each different id pair of a group.
+
+        A group's tokens are counted by id before they meet, as a long stretch without a cut can hold many equal ones.
+        """
+        sides = []
+        for ids, cut in zip(self.ids, self.cuts, strict=True):
+            group = np.repeat(np.arange(len(cut)), np.diff(cut, prepend=0))
+            keys, times = np.unique((group << 32) + ids, return_counts=True)
+            at = np.searchsorted(keys >> 32, np.arange(len(cut) + 1))
+            sides.append((keys & 0xFFFFFFFF, times, at))
+        (ids_a, times_a, at_a), (ids_b, times_b, at_b) = sides
+        n_b = np.diff(at_b)
+        both = np.diff(at_a) * n_b
         group = np.repeat(np.arange(len(both)), both)
         place = np.arange(len(group)) - np.repeat(np.cumsum(both) - both, both)
-        return np.searchsorted(self.groups, group, side="right") - 1, starts[0][group] + place // n[1][group], starts[1][group] + place % n[1][group]
+        of_a, of_b = at_a[group] + place // n_b[group], at_b[group] + place % n_b[group]
+        return np.searchsorted(self.groups, group, side="right") - 1, ids_a[of_a], ids_b[of_b], times_a[of_a] * times_b[of_b]
 
 
 def lockstep(ends: list[np.ndarray], lanes: np.ndarray) -> list[np.ndarray]:
@@ -230,25 +240,27 @@ def _linked(df: DataFrame, a: str, b: str, doc_id: str, text: str) -> DataFrame:
     def run(batches):
         for batch in slices(batches, "text"):
             found = align([t or "" for t in batch.column("text").to_pylist()], a, b)
-            doc, of_a, of_b = found.links()
-            pair = (found.ids[0][of_a].astype(np.int64) << 32) + found.ids[1][of_b]
+            doc, of_a, of_b, times = found.links()
+            pair = (of_a << 32) + of_b
             order = np.lexsort((pair, doc))
-            doc, pair = doc[order], pair[order]
+            doc, pair, times = doc[order], pair[order], times[order]
             new = np.ones(len(pair), bool)
             new[1:] = (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])
             first = np.flatnonzero(new)
             at = np.searchsorted(doc[first], np.arange(batch.num_rows + 1))
+            times = np.add.reduceat(times, first) if len(first) else times
+            total = np.concatenate([[0], np.cumsum(times)])[at]
             listed = group_texts(found, max(map(len, sides(a, b).lengths)))
             said = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in listed]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "n_a": pa.array(np.diff(found.rows[0])), "n_b": pa.array(np.diff(found.rows[1])),
-                "n_groups": pa.array(np.diff(found.groups)), "n_links": pa.array(np.bincount(doc, minlength=batch.num_rows).astype(np.int64)),
+                "n_groups": pa.array(np.diff(found.groups)), "n_links": pa.array(np.diff(total)),
                 "groups_sha256": pa.array(said, pa.string()), "pairs": _lists(pair[first], at),
-                "times": _lists(np.diff(np.append(first, len(pair))).astype(np.int32), at),
+                "times": _lists(times, at),
             })
 
     kind = dict(rows.dtypes)["doc_id"]
-    made = rows.mapInArrow(run, f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>")
+    made = rows.mapInArrow(run, f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<long>")
     return made.withColumn("row", F.monotonically_increasing_id())
 
 
@@ -280,7 +292,7 @@ def alignment_links(df: DataFrame, a: str, b: str, *, doc_id: str = "doc_id", te
         for batch in batches:
             at = np.asarray(batch.column("pairs").offsets, np.int64)
             pair = batch.column("pairs").values.to_numpy()[at[0] : at[-1]]
-            times = batch.column("times").values.to_numpy()[at[0] : at[-1]].astype(np.int64)
+            times = batch.column("times").values.to_numpy()[at[0] : at[-1]]
             at = at - at[0]
             place = np.minimum(np.searchsorted(keys, pair), max(len(keys) - 1, 0))
             there = keys[place] == pair if len(keys) else np.zeros(len(pair), bool)
