@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from docferry.llm.bpe import Codec, codec
-from docferry.llm.common import mix64, powers, running_hash, shuffle_partitions, slices, utf8_bytes
+from docferry.llm.common import mix64, named, powers, running_hash, shuffle_partitions, slices, utf8_bytes
 
 WINDOW = 24
 #: A chunk has 2 ** CUT_BITS bytes on average.
@@ -144,7 +144,7 @@ def encode_documents(df: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", t
 
 def decode_documents(df: DataFrame, tokenizer: str, *, ids: str = "ids", text: str = "text") -> DataFrame:
     """The rows with the text that their ids stand for; null ids give null."""
-    names = [c for c in df.columns if c != text]
+    names = [c for c in df.columns if c.lower() != text.lower()]
 
     def decode(batches):
         tokens = codec(tokenizer)
@@ -152,5 +152,5 @@ def decode_documents(df: DataFrame, tokenizer: str, *, ids: str = "ids", text: s
             texts = [None if i is None else tokens.decode(np.asarray(i, np.uint32)) for i in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(texts, pa.string())], [*names, text])
 
-    base = df.select(*names)
+    base = df.select(*named(names))
     return base.mapInArrow(decode, StructType([*base.schema, StructField(text, StringType())]))

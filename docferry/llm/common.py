@@ -15,6 +15,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docferry.functions.naming import quote
+
 #: Bytes of text that one step of a task works on; a longer single text is a step of its own.
 BLOCK_BYTES = 1 << 20
 
@@ -31,12 +33,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def unused(df: DataFrame, name: str) -> str:
-    """A column name that the table does not have."""
-    while name in df.columns:
+    """A column name that the table does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
         name += "_"
     return name
 
 
+def named(names: list[str]) -> list[Column]:
+    """Columns by their whole names, dots and back-ticks included."""
+    return [F.col(quote(n)) for n in names]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -113,16 +121,29 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
 
 
 def running_hash(data: np.ndarray) -> np.ndarray:
-    """Polynomial sums of all prefixes (one more than bytes); see ``range_hash``."""
+    """Polynomial sums of all prefixes (one more than bytes), for windows and short ranges; some long ones collide."""
     out = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_BYTE_VALUES[data] * powers(len(data)), out=out[1:])
     return out
 
 
-def range_hash(running: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def sums_of(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each range of values, ranges in order and apart: a sum of mixed (value, place in the range).
+
+    A polynomial modulo 2 ** 64 would give some different ranges of 1,024 values one hash, whatever its base.
+    """
+    sizes = ends - starts
+    before = np.concatenate([[0], np.cumsum(sizes)])
+    place = np.arange(before[-1]) - np.repeat(before[:-1], sizes)
+    own = values[place + np.repeat(starts, sizes)]
+    mixed = mix64(own + mix64((place.astype(np.uint64) + np.uint64(1)) * np.uint64(BASE)))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
+    return mix64(total[before[1:]] - total[before[:-1]] + sizes.astype(np.uint64) * np.uint64(BASE))
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each byte range; equal bytes have equal hashes wherever they stand."""
-    raw = (running[ends] - running[starts]) * powers(len(running), inverse=True)[starts]
-    return mix64(raw + (ends - starts).astype(np.uint64) * np.uint64(BASE))
+    return sums_of(_BYTE_VALUES[data], starts, ends)
 
 
 def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +151,7 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, rows = utf8_bytes(column)
     data = LOWER[data]
     starts, ends, words = word_bounds(data, rows)
-    return range_hash(running_hash(data), starts, ends), words
+    return range_hashes(data, starts, ends), words
 
 
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:

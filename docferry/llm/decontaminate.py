@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docferry.llm.common import slices
+from docferry.llm.common import named, slices
 
 WINDOW = 10
 #: Words of a block.
@@ -138,8 +138,8 @@ def find_passages(df: DataFrame, benchmark: DataFrame, *, text: str = "text", it
     Input columns of those names are replaced.
     """
     spark = df.sparkSession
-    names = [c for c in df.columns if c not in ("n_words", "hits", "items")]
-    base = df.select(*names)
+    names = [c for c in df.columns if c.lower() not in ("n_words", "hits", "items")]
+    base = df.select(*named(names))
     out = base.select("*", F.lit(0).cast("long").alias("n_words"), F.expr(f"CAST(array() AS {HITS})").alias("hits"), F.expr("CAST(array() AS array<string>)").alias("items"))
     ranges = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
     for part in _parts(benchmark, item_id, item_text, table_bytes):
@@ -178,6 +178,6 @@ def contamination(df: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id"
 def without_passages(df: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows whose text holds no window of the benchmark, with their own columns."""
     text = options.get("text", "text")
-    found = find_passages(df.select(F.struct(*df.columns).alias("row"), F.col(text).alias("text")), benchmark, **{**options, "text": "text"})
+    found = find_passages(df.select(F.struct(*named(df.columns)).alias("row"), F.col(text).alias("text")), benchmark, **{**options, "text": "text"})
     return found.where(F.size("hits") == 0).select("row.*")
 

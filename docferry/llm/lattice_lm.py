@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docferry.llm.bpe import Codec, codec
-from docferry.llm.common import BASE, LOWER, id_remainder, mix64, powers, range_hash, running_hash, slices, utf8_bytes, word_bounds
+from docferry.llm.common import BASE, LOWER, id_remainder, mix64, powers, range_hashes, running_hash, slices, utf8_bytes, word_bounds
 from docferry.session import written
 
 RANK = 100.0
@@ -81,7 +81,9 @@ class Pieces:
 
     @staticmethod
     def _keys(running: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return range_hash(running, starts, ends)
+        # pieces are short: none reaches the lengths at which polynomials of this kind collide
+        raw = (running[ends] - running[starts]) * powers(len(running), inverse=True)[starts]
+        return mix64(raw + (ends - starts).astype(np.uint64) * np.uint64(BASE))
 
     def find(self, running: np.ndarray, inverse: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Of the places ``at``, those where a piece of that length stands; and the pieces."""
@@ -184,7 +186,7 @@ def _distinct_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarra
     data, rows = utf8_bytes(column)
     data = LOWER[data]
     starts, ends, words = word_bounds(data, rows)
-    return data, range_hash(running_hash(data), starts, ends), words, starts, ends
+    return data, range_hashes(data, starts, ends), words, starts, ends
 
 
 def _slices_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -274,7 +276,7 @@ def _word_table(words: DataFrame, path: str, known: tuple[bytes, ...], log_p: np
         table = pieces(path, known)
         for batch in slices(batches, "word", LATTICE_BYTES):
             data, rows = utf8_bytes(batch.column("word"))
-            hashes = range_hash(running_hash(data), rows[:-1], rows[1:])
+            hashes = range_hashes(data, rows[:-1], rows[1:])
             spelled = Lattices(table, batch.column("word").to_pylist()).probabilities(log_p)
             values = mixture.word(batch.column("c").to_numpy(), spelled)
             yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), batch.column("c"), pa.array(values)], ["hash", "c", "lattice"])

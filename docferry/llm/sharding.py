@@ -23,6 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docferry.llm.common import named
 from docferry.session import written
 
 HASH_BITS = 60
@@ -117,7 +118,7 @@ def shard(df: DataFrame, *, key: Column, size: Column, limit: int) -> DataFrame:
     sums, _ = written(weights(df, key, size), "shard-weights")
     bits, cells, deep = directory(sums, limit)
     leaf = F.struct("depth", "prefix", "bytes", "rows", "most")
-    rows = df.select(F.struct(*df.columns).alias("row"), key_hash(key).alias("hash"), F.coalesce(size.cast("long"), F.lit(0)).alias("bytes"))
+    rows = df.select(F.struct(*named(df.columns)).alias("row"), key_hash(key).alias("hash"), F.coalesce(size.cast("long"), F.lit(0)).alias("bytes"))
     rows = rows.withColumn("cell", _prefix(F.col("hash"), bits))
     found = rows.join(cells.select(F.col("cell").alias("of"), leaf.alias("leaf")), F.col("cell") == F.col("of"), "left").drop("of", "cell")
     if deep is not None:
@@ -131,7 +132,7 @@ def shard(df: DataFrame, *, key: Column, size: Column, limit: int) -> DataFrame:
     else:
         parted = found.where(~full).select("row", "hash", "leaf", *plain).unionByName(_overflow(found.where(full), limit))
     name = F.substring(F.lpad(F.bin("hash"), HASH_BITS, "0"), F.lit(1), F.col("leaf.depth"))
-    kept = [F.col("row")[c].alias(c) for c in df.columns if c not in OUTPUT]
+    kept = [F.col("row").getField(c).alias(c) for c in df.columns if c.lower() not in OUTPUT]
     overflow = (F.col("leaf.bytes") > limit) & (F.col("leaf.rows") > 1)
     return parted.select(
         *kept,

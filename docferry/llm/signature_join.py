@@ -26,7 +26,7 @@ its order, so a task holds one bucket, or two parts of one, at a time. Frequent
 most frequent FREQUENT of them) are the only broadcast besides id tables below a checked number of rows; any choice of
 them gives the same links.
 
-Hashes have 64 bits (classes 128): two different shingles fall together with a chance of 2 ** -64.
+Hashes have 64 bits (classes 128) and mix every byte with its place: two different shingles fall together by chance alone, 2 ** -64.
 
 Defined results: a document without words has no shingle and no link; rows that share an id are one document, with
 the links of all its rows; a null id has no links and a null component; an empty table gives no rows.
@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docferry.llm.common import BASE, mix64, powers, slices, unused, word_hashes
+from docferry.llm.common import BASE, mix64, slices, sums_of, unused, word_hashes
 from docferry.session import written
 
 WORDS = 5
@@ -125,9 +125,7 @@ def _sequence_keys(words: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
     """Two 64-bit hashes of each row's word sequence."""
     out = []
     for values in (words, mix64(words ^ _SECOND)):
-        running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers(len(values)), dtype=np.uint64)])
-        raw = (running[rows[1:]] - running[rows[:-1]]) * powers(len(running), inverse=True)[rows[:-1]]
-        out.append(mix64(raw + np.diff(rows).astype(np.uint64) * np.uint64(BASE)).view(np.int64))
+        out.append(sums_of(values, rows[:-1], rows[1:]).view(np.int64))
     return out
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from docferry.llm.common import LOWER, id_remainder, mix64, powers, running_hash, slices, utf8_bytes, word_bounds
+from docferry.llm.common import LOWER, id_remainder, mix64, named, powers, running_hash, slices, utf8_bytes, word_bounds
 
 MAX_ROWS = 8_000
 MAX_BYTES = 24 << 20
@@ -269,8 +269,8 @@ def train(df: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
 
 def score(df: DataFrame, model: Model, *, text: str = "text", into: str = "score") -> DataFrame:
     """The rows with the probability of class 1; a column of that name is replaced."""
-    names = [c for c in df.columns if c != into]
-    base = df.select(*names)
+    names = [c for c in df.columns if c.lower() != into.lower()]
+    base = df.select(*named(names))
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def add(batches):

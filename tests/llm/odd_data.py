@@ -24,4 +24,4 @@ ODD_TEXTS = [
 ]
 
 #: Columns named like those the operators make.
-CLASHING = ("row", "n_tokens", "score", "hits", "items", "bits", "comp", "shard_id", "_alike", "label", "n", "id", "_score", "_dropped")
+CLASHING = ("row", "n_tokens", "score", "hits", "items", "bits", "comp", "shard_id", "_alike", "label", "n", "id", "_SCORE", "_Dropped", "a.b", "tick`s", "Row.ID")

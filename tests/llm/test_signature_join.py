@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from docferry.llm import signature_join as join
@@ -166,3 +167,17 @@ def test_no_meeting_holds_a_whole_bucket(spark):
     assert {(a, b) for a in comps for b in comps if a != b and comps[a] != comps[b]} <= together
     # the large component's own parts do not meet: each of its members is there once for each part of the others
     assert len([r for r in met if r.id == 399]) <= 3
+
+
+def test_words_that_collide_in_polynomials(spark):
+    """A Thue-Morse word of 1,024 letters and its complement, and the same with words for letters."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    texts = ["".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits), " ".join(("on", "off")[b] for b in bits), " ".join(("off", "on")[b] for b in bits)]
+    found = join.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    classes = {r.doc_id: r.component_id for r in found.collect()}
+    assert classes[0] == 0
+    assert classes[1] == 1
+    keys = join.shingles(pa.array(texts, pa.large_string()))[2]
+    assert len(set(keys[:2].tolist())) == 2
+    own = join._sequence_keys(*join.shingles(pa.array(texts))[2:])
+    assert all(len(set(k.tolist())) == 4 for k in own)

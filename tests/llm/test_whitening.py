@@ -48,7 +48,7 @@ def test_scatter_over_many_blocks(spark, monkeypatch):
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (None, [0.0, 2.0]), (2, [0.0, nan]), (3, None), (4, [None, 1.0]), (5, [inf, 0.0]), (6, [3.0]), (7, [0.0, 0.0])]
-    schema = "vec_id long, embedding array<double>, " + ", ".join(f"`{c}` string" for c in [*CLASHING, "x", "index", "y"])
+    schema = "vec_id long, embedding array<double>, " + ", ".join(f"`{c.replace('`', '``')}` string" for c in [*CLASHING, "x", "index", "y"])
     df = spark.createDataFrame([(*r, *("clash" for _ in range(len(CLASHING) + 3))) for r in rows], schema)
     found = whitening.whiten(df).collect()
     assert sorted((r.vec_id or 0, r.component) for r in found) == sorted([(i, c) for i in (1, 1, 0, 6, 7) for c in (1, 2)])
