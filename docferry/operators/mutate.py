@@ -10,6 +10,8 @@ the document, dotted names fields of objects in it. Values in documents keep the
 
 from __future__ import annotations
 
+import datetime
+import decimal
 import json
 from collections.abc import Callable
 from functools import reduce
@@ -72,11 +74,29 @@ def _holds(col: Column, value: Any, test: Callable[[Column], Column]) -> Column:
     return either | F.coalesce(F.exists(members, lambda m: F.coalesce(test(_scalar(m, value)), F.lit(False))), F.lit(False))
 
 
+def _same_kind(data_type: T.DataType, value: Any) -> bool:
+    """Whether a typed column can hold a value like ``value`` at all; times and dates may be given as text."""
+    if isinstance(data_type, T.ArrayType):
+        return _same_kind(data_type.elementType, value)
+    if isinstance(value, bool):
+        return isinstance(data_type, T.BooleanType)
+    if isinstance(value, (int, float, decimal.Decimal)):
+        return isinstance(data_type, T.NumericType)
+    times = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    if isinstance(value, str):
+        return isinstance(data_type, (T.StringType, T.CharType, T.VarcharType, *times))
+    if isinstance(value, datetime.date):
+        return isinstance(data_type, times)
+    return True
+
+
 def _equals(col: Column, data_type: T.DataType, value: Any) -> Column:
     """Equality as a document store means it: null also matches a missing field, a list its members."""
     if value is None:
         return F.is_variant_null(col) | col.isNull() if isinstance(data_type, T.VariantType) else col.isNull()
     if isinstance(data_type, T.ArrayType) and not isinstance(value, (list, tuple)):
+        if not _same_kind(data_type, value):
+            return F.lit(False)
         return F.coalesce(F.array_contains(col, value), F.lit(False))
     if isinstance(data_type, T.VariantType):
         if isinstance(value, (list, tuple)):
@@ -84,7 +104,17 @@ def _equals(col: Column, data_type: T.DataType, value: Any) -> Column:
         return _holds(col, value, lambda c: c == F.lit(value))
     if isinstance(value, (list, tuple)):
         return F.coalesce(col == F.array(*map(F.lit, value)), F.lit(False))
-    return col == F.lit(value)
+    return _compared(col, data_type, value, lambda c, v: c == v)
+
+
+def _compared(col: Column, data_type: T.DataType, value: Any, test: Callable[[Column, Column], Column]) -> Column:
+    """A comparison with a value of the column's kind; no value matches one of another kind, and text that is no time no time."""
+    if not _same_kind(data_type, value):
+        return F.lit(False)
+    wanted = F.lit(value)
+    if isinstance(value, str) and not isinstance(data_type, (T.StringType, T.CharType, T.VarcharType)):
+        wanted = wanted.try_cast(data_type)
+    return test(col, wanted)
 
 
 def _condition(df: DataFrame, path: str, operator: str, value: Any) -> Column:
@@ -99,15 +129,16 @@ def _condition(df: DataFrame, path: str, operator: str, value: Any) -> Column:
         if isinstance(data_type, T.VariantType):
             return _holds(col, value, compare[operator])
         if isinstance(data_type, T.ArrayType):
-            return F.exists(col, compare[operator])
-        return compare[operator](col)
+            return F.exists(col, compare[operator]) if _same_kind(data_type, value) else F.lit(False)
+        return compare[operator](col) if _same_kind(data_type, value) else F.lit(False)
     if operator == "$eq":
         return _equals(col, data_type, value)
     if operator == "$ne":
         return ~F.coalesce(_equals(col, data_type, value), F.lit(False))
     if operator == "$in":
         if value and not isinstance(data_type, (T.ArrayType, T.VariantType)) and None not in value:
-            return col.isin(*value)
+            alike = [v for v in value if _same_kind(data_type, v)]
+            return col.isin(*alike) if alike else F.lit(False)
         return reduce(lambda a, b: a | b, [_equals(col, data_type, v) for v in value], F.lit(False))
     if operator == "$exists":
         return col.isNotNull() if value else col.isNull()

@@ -86,6 +86,7 @@ def measures() -> list[Column]:
         F.count_if(F.col("is_wide")).alias("n_wide_int"),
         F.count_if(F.col("is_beyond")).alias("n_beyond_long"),
         F.count_if(F.col("is_inexact")).alias("n_inexact"),
+        F.count_if(kind.isin(leaves.DOUBLE, leaves.DECIMAL) & ~is_number_text(text)).alias("n_not_finite"),
         F.max("digits").alias("max_digits"),
         F.max("scale").alias("max_scale"),
         F.count_if(F.when(is_text, ~is_integer_text(text))).alias("n_bad_int"),
@@ -126,7 +127,7 @@ def profile_documents(docs: DataFrame, depth: int | None = None, as_json: Iterab
 
     Columns: ``path`` (array of keys), ``type_tag``, ``n_docs``, ``n_null``, ``max_chars`` and
     ``max_bytes`` of the text form (bytes of the content for binaries), ``n_wide_int`` and
-    ``n_beyond_long`` (integers beyond 32 and 64 bits), ``n_inexact`` (integers a double may not hold), ``max_digits`` and
+    ``n_beyond_long`` (integers beyond 32 and 64 bits), ``n_inexact`` (integers a double may not hold), ``n_not_finite`` (NaN and infinities), ``max_digits`` and
     ``max_scale`` (digits before and after the decimal point), ``n_bad_int`` / ``n_bad_number`` / ``n_bad_date`` (texts an integer, number or
     datetime column would refuse), ``n_hoist`` (values equal to the key of the object they are in).
 

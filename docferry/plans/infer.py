@@ -154,7 +154,8 @@ def _exact_type() -> Column:
     return F.expr(
         f"""CASE
         WHEN {decimal} OR n_beyond_long > 0 OR ({double} AND n_inexact > 0) THEN
-            if(coalesce(max_digits, 0) + {scale} <= 38, concat('DECIMAL(38, ', {scale}, ')'), NULL)
+            -- no decimal is infinite or no number
+            if(n_not_finite = 0 AND coalesce(max_digits, 0) + {scale} <= 38, concat('DECIMAL(38, ', {scale}, ')'), NULL)
         WHEN {double} THEN 'DOUBLE'
         WHEN array_contains(kinds, '{leaves.LONG}') OR n_wide_int > 0 THEN 'BIGINT'
         WHEN arrays_overlap(kinds, {_array((leaves.INT, leaves.STRING))}) THEN 'INT'
@@ -301,6 +302,7 @@ def infer_plan(
             getattr(r, "n_wide_int", 0),
             getattr(r, "n_beyond_long", 0),
             getattr(r, "n_inexact", 0),
+            getattr(r, "n_not_finite", 0),
             getattr(r, "max_digits", None),
             getattr(r, "max_scale", None),
             getattr(r, "n_bad_int", 0),
@@ -313,7 +315,7 @@ def infer_plan(
     ]
     fact_schema = (
         "column string, path array<string>, kind string, n_docs long, max_chars long, max_bytes long, n_wide_int long, "
-        "n_beyond_long long, n_inexact long, max_digits long, max_scale long, n_bad_int long, n_bad_number long, n_bad_date long, is_metadata boolean, in_sample boolean, rank long, "
+        "n_beyond_long long, n_inexact long, n_not_finite long, max_digits long, max_scale long, n_bad_int long, n_bad_number long, n_bad_date long, is_metadata boolean, in_sample boolean, rank long, "
         "chars long, bad_chars long"
     )
     null_chars = F.when(F.lit(null_text is not None) & (F.col("kind") == leaves.NULL), F.lit(len(null_text or "")))
@@ -325,7 +327,7 @@ def infer_plan(
             F.array_sort(F.collect_set("kind")).alias("kinds"),
             F.greatest(F.max("max_chars"), F.max(null_chars)).alias("max_chars"),
             F.greatest(F.max("max_bytes"), F.max(null_chars)).alias("max_bytes"),
-            *(F.sum(c).alias(c) for c in ("n_wide_int", "n_beyond_long", "n_inexact", "n_bad_int", "n_bad_number", "n_bad_date")),
+            *(F.sum(c).alias(c) for c in ("n_wide_int", "n_beyond_long", "n_inexact", "n_not_finite", "n_bad_int", "n_bad_number", "n_bad_date")),
             *(F.max(c).alias(c) for c in ("max_digits", "max_scale")),
             F.bool_or("is_metadata").alias("is_metadata"),
             F.bool_or("in_sample").alias("in_sample"),

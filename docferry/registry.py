@@ -748,6 +748,19 @@ def csv_round_trip(spark, sf_dir):
     return read_csv(spark, path, line_ends="escaped")
 
 
+@query(
+    "SELECT CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '\\N' WHEN 3 THEN text || chr(92) || chr(0) || 'n' ELSE chr(92) || chr(92) || 'n' || chr(10) || text END AS text FROM documents"
+)
+def csv_round_trip_empty_texts(spark, sf_dir):
+    """A table of one column through an archive: NULLs, empty texts, backslashes, marks and NUL characters stay as they are."""
+    path, kind = scratch_dir(spark, "texts"), F.pmod("doc_id", F.lit(5))
+    back = F.lit("\\")
+    text = F.when(kind == 1, F.lit("")).when(kind == 2, F.lit("\\N")).when(kind == 3, F.concat("text", back, F.lit("\x00n")))
+    text = text.when(kind == 4, F.concat(back, back, F.lit("n\n"), F.col("text")))
+    archive_csv(table(spark, sf_dir, "documents").select(text.alias("text")), path)
+    return read_csv(spark, path, line_ends="escaped")
+
+
 @query("SELECT CAST(COLUMNS(*) AS VARCHAR) FROM documents")
 def csv_round_trip_documents(spark, sf_dir):
     """Texts with line ends, quotes and backslashes, through an archive into a table."""
@@ -905,6 +918,25 @@ def control_latest_by_time(spark, sf_dir):
     return latest.select("topic", "offset")
 
 
+@query(
+    f"SELECT topic, arg_max(event_id, (o_time, event_id % 2, event_id)) AS \"offset\" FROM (SELECT event_type AS topic, event_id, -(event_id % 1000) AS o_time FROM events WHERE {USABLE_SQL}) GROUP BY topic"
+)
+def control_latest_folder(spark, sf_dir):
+    """The same from a folder of messages that tells when each was sent, in another order than their offsets."""
+    keys, folder = {t: ("k",) for t in EVENT_TOPICS}, scratch_dir(spark, "sent")
+    messages = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("topic"),
+        F.pmod("event_id", F.lit(2)).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.timestamp_millis(F.lit(10**9) - F.pmod("event_id", F.lit(1000))).alias("timestamp"),
+        F.when(F.col("event_type") == "view", F.lit("{{")).when(F.col("event_type") == "error", F.lit("{}")).otherwise(F.col("props")).alias("value"),
+    )
+    messages.write.json(folder)
+    sent = control_stream(spark, ControlSource(path=folder))
+    latest = drained(latest_per_topic(parse_control(sent, keys, keys)), "latest", "complete")
+    return latest.select("topic", "offset")
+
+
 @query(
     f"SELECT event_type AS topic, event_id AS \"offset\", CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events WHERE {USABLE_SQL}"
 )
@@ -922,6 +954,17 @@ def job_ready_events(spark, sf_dir):
     return job_ready(latest, ("click", "purchase"))
 
 
+@query(
+    "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 100000"
+)
+def find_wrong_kind(spark, sf_dir):
+    """Alternatives of another kind than their columns match nothing, and are no error."""
+    orders = table(spark, sf_dir, "orders")
+    other = [{"o_orderstatus": 5}, {"o_orderkey": "five"}, {"o_orderstatus": {"$gt": 1}}, {"o_orderdate": "no date"}, {"o_totalprice": {"$in": ["x", True]}}]
+    wanted = {"o_orderstatus": {"$in": ["F", 5]}, "o_totalprice": {"$gt": 100000, "$ne": "x"}}
+    return find(orders, {"$or": [*other, wanted]}).select("o_orderkey", "o_orderstatus")
+
+
 # --- jobs ------------------------------------------------------------------------------------
 
 COLLECTIONS = ("customer", "supplier", "region")
@@ -1011,6 +1054,22 @@ def migrate_wide_numbers(spark, sf_dir):
     return migrated(spark, table(spark, sf_dir, "events").select(F.expr(parts)))
 
 
+@query(
+    "SELECT CAST(event_id AS VARCHAR) AS _id, "
+    "CASE event_id % 3 WHEN 0 THEN 'Infinity' WHEN 1 THEN '9007199254740993' ELSE CAST(event_id AS VARCHAR) END AS beside_long, "
+    "CASE event_id % 3 WHEN 0 THEN 'NaN' WHEN 1 THEN event_id || '.25' ELSE CAST(event_id AS VARCHAR) END AS beside_decimal, "
+    "CASE event_id % 2 WHEN 0 THEN '-Infinity' ELSE event_id || '.5' END AS beside_double FROM events"
+)
+def migrate_non_finite(spark, sf_dir):
+    """NaN and infinities next to integers, decimals and doubles: no value becomes NULL."""
+    third, wrapped = "event_id % 3", "concat('{{\"$number{0}\":\"', {1}, '\"}}')"
+    beside_long = f"CASE {third} WHEN 0 THEN {wrapped.format('Double', repr('Infinity'))} WHEN 1 THEN '9007199254740993' ELSE string(event_id) END"
+    beside_decimal = f"CASE {third} WHEN 0 THEN {wrapped.format('Decimal', repr('NaN'))} WHEN 1 THEN {wrapped.format('Decimal', 'concat(event_id, ' + repr('.25') + ')')} ELSE string(event_id) END"
+    beside_double = f"if(event_id % 2 = 0, {wrapped.format('Double', repr('-Infinity'))}, concat(event_id, '.5'))"
+    parts = f"""concat('{{"_id":', event_id, ',"beside_long":', {beside_long}, ',"beside_decimal":', {beside_decimal}, ',"beside_double":', {beside_double}, '}}')"""
+    return migrated(spark, table(spark, sf_dir, "events").select(F.expr(parts)))
+
+
 @query(
     "SELECT CAST(event_id AS VARCHAR) AS _id, event_id || if(event_id % 2 = 0, '.00001', '.50000') AS exact, "
     "CASE event_id % 2 WHEN 0 THEN '9007199254740993.0' ELSE event_id || '.5' END AS mixed FROM events"

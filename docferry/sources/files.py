@@ -19,23 +19,29 @@ CSV_OPTIONS = {
 }
 
 
-# How line ends inside values are written. "escaped": as \\n and \\r, a backslash as two, so that a row is one line
-# and files can be split; "quoted": as they are, within quotes, so that a file is read by one task.
+# How line ends inside values are written. "escaped": as \\n and \\r, a backslash as two, and NUL, which parsers drop, as \\0, so that a
+# row is one line and files can be split; "quoted": as they are, within quotes, so that a file is read by one task.
 LINE_ENDS = ("escaped", "quoted")
 
+# NULL in files with escapes, where no value can be a single backslash and a letter N: an empty text stays one, and a NULL
+# in a table of one column is not a blank line.
+NULL_OPTIONS = {"nullValue": "\\N"}
+
 
 def _escaped(text: Column) -> Column:
-    for raw, mark in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+    for raw, mark in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\x00", "\\0")):
         text = F.replace(text, F.lit(raw), F.lit(mark))
     return text
 
 
 def _unescaped(text: Column) -> Column:
-    # a pair of backslashes must not meet the letter after it: it is set aside under a character no line can hold
-    text = F.replace(text, F.lit("\\\\"), F.lit("\n"))
-    for mark, raw in (("\\r", "\r"), ("\\n", "\x00n")):
-        text = F.replace(text, F.lit(mark), F.lit(raw))
-    return F.replace(F.replace(text, F.lit("\n"), F.lit("\\")), F.lit("\x00n"), F.lit("\n"))
+    # between pairs of backslashes, taken from the left, a backslash always begins a mark
+    def raw(part: Column) -> Column:
+        for mark, character in (("\\r", "\r"), ("\\n", "\n"), ("\\0", "\x00")):
+            part = F.replace(part, F.lit(mark), F.lit(character))
+        return part
+
+    return F.array_join(F.transform(F.split(text, r"\\\\"), raw), "\\")
 
 
 def _check(line_ends: str) -> None:
@@ -52,7 +58,7 @@ def read_csv(spark: SparkSession, path: str | list[str], line_ends: str = "quote
     _check(line_ends)
     if line_ends == "quoted":
         return spark.read.options(**CSV_OPTIONS).option("multiLine", True).csv(path)
-    rows = spark.read.options(**CSV_OPTIONS).csv(path)
+    rows = spark.read.options(**CSV_OPTIONS, **NULL_OPTIONS).csv(path)
     return rows.select(*(F.when(F.contains(column(c), F.lit("\\")), _unescaped(column(c))).otherwise(column(c)).alias(c) for c in rows.columns))
 
 
@@ -65,4 +71,4 @@ def archive_csv(df: DataFrame, path: str, mode: str = "overwrite", line_ends: st
     plain = flat.select(
         *((F.base64(column(c)) if c in binary else _escaped(column(c)) if c in texts else column(c)).alias(c) for c in flat.columns)
     )
-    plain.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    plain.write.mode(mode).options(**CSV_OPTIONS, **(NULL_OPTIONS if line_ends == "escaped" else {})).csv(path)

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docferry.session import list_names, path_exists, scratch_dir
 
-MESSAGE_SCHEMA = "topic string, partition int, offset long, value string"
+MESSAGE_SCHEMA = "topic string, partition int, offset long, timestamp timestamp, value string"
 
 # Topics and the keys a message on each must have.
 DOCUMENTS_TOPIC = "send-credential-nosql-topic"
