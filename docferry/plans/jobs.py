@@ -15,6 +15,7 @@ from docferry.operators.keys import add_surrogate_key
 from docferry.operators.shape import ID_FIELD, map_fields
 from docferry.plans.apply import apply_plan
 from docferry.plans.ddl import writer_types
+from docferry.plans.evolve import evolve_plan, next_key, planned_type, side_by_side
 from docferry.plans.infer import KEY, PLAN_SCHEMA, plan_documents, table_name
 from docferry.session import remove_path, written
 from docferry.sources.documents import (
@@ -26,12 +27,12 @@ from docferry.sources.documents import (
     write_collection,
 )
 from docferry.sources.files import archive_csv, read_csv
-from docferry.sources.tables import Connection, list_tables, read_table, reset_target, write_table
+from docferry.sources.tables import Connection, FileTables, list_tables, read_table, reset_target, write_table
 
 REPORT_SCHEMA = (
     "source string, target string, status string, rows_in long, rows_out long, columns int, seconds double"
 )
-MIGRATED, SKIPPED_EMPTY = "migrated", "skipped_empty"
+MIGRATED, SKIPPED_EMPTY, FAILED = "migrated", "skipped_empty", "failed"
 
 
 def run_report(spark: SparkSession, rows: list[tuple]) -> DataFrame:
@@ -102,6 +103,47 @@ def migrate_collection(
     return name, target, MIGRATED, rows_in, landed.count(), len(landed.columns), time.time() - began
 
 
+def append_collection(
+    spark: SparkSession, store: DocumentStore, name: str, conn: FileTables, *, order_by: str = ID_FIELD, on_malformed: str = "error", **options
+) -> tuple[tuple, list[tuple[str, str, str]]]:
+    """A further load of one collection into its table: the report row, and what changed in the table.
+
+    Columns are added and types grow as the new documents need it (:mod:`docferry.plans.evolve`); keys go on after the greatest one. The
+    table is a folder table, whose files are written anew and swapped in; for a database, ``evolve_plan`` with its column
+    types and ``render_changes`` give the statements. Without a table this is its first load.
+    """
+    target = table_name(name)
+    if target not in list_tables(spark, conn):
+        return migrate_collection(spark, store, name, conn, order_by=order_by, on_malformed=on_malformed, **options), []
+    if not isinstance(conn, FileTables):
+        raise TypeError("rows are appended to folder tables; render_changes gives a database's statements")
+    began, docs = time.time(), read_collection(spark, store, name, as_variant=True, on_malformed=on_malformed)
+    if docs.isEmpty():
+        return (name, target, SKIPPED_EMPTY, 0, 0, 0, time.time() - began), []
+    old = read_table(spark, conn, target)
+    plan, changes = evolve_plan(plan_documents(docs, order_by=order_by, **options), {f.name: planned_type(f.dataType) for f in old.schema})
+    typed, scratch = written(apply_plan(docs, plan, options.get("null_text")), "typed")
+    try:
+        rows, keyed = typed, plan.where(F.col("role") == KEY).head()
+        if keyed is not None:
+            by = [r["column"] for r in plan.orderBy("position").collect() if [order_by] in [list(p) for p in r.paths]]
+            key = keyed["column"]
+            last = F.lit(next_key(old, key))
+            rows = add_surrogate_key(typed, by, key).withColumn(key, (F.col(key) + last).cast(old.schema[key].dataType))
+        whole = side_by_side(old, rows, plan)
+        rows_in = typed.count()
+        write_table(whole, conn, target, staged=True)
+    finally:
+        remove_path(spark, scratch)
+    return (name, target, MIGRATED, rows_in, rows_in, len(whole.columns), time.time() - began), changes
+
+
+def _failure(name: str, target: str, began: float, error: Exception) -> tuple:
+    """Report row of a collection or table that could not be migrated; its kind of error, no values."""
+    kind = getattr(error, "getCondition", lambda: None)() or type(error).__name__
+    return name, target, f"{FAILED}: {kind}", 0, 0, 0, time.time() - began
+
+
 def migrate_collections(
     spark: SparkSession,
     store: DocumentStore,
@@ -112,18 +154,22 @@ def migrate_collections(
     archive: str | None = None,
     concurrency: int = 1,
     on_same_name: str = "merge",
+    on_failure: str = "report",
     **options,
 ) -> DataFrame:
     """Every collection, or the named ones, into a table of its own; empty ones are skipped.
 
     Collections whose table names are the same (``userEvents``, ``user_events``) fill one table together, and share
     a row of the report; ``on_same_name="error"`` refuses them. That is settled before anything is written.
-    ``reset`` empties the target first and is destructive, so it is off by default. ``archive``
+    A collection that cannot be migrated does not end the others: its row of the report says ``failed: <kind of error>``
+    (``on_failure="raise"`` raises the error once it occurs). ``reset`` empties the target first and is destructive, so it is off by default. ``archive``
     also writes each table as CSV below that path. Other options go to
     :func:`docferry.plans.infer.plan_documents`.
     """
     if on_same_name not in ("merge", "error"):
         raise ValueError(f"unknown on_same_name {on_same_name!r}")
+    if on_failure not in ("report", "raise"):
+        raise ValueError(f"unknown on_failure {on_failure!r}")
     by_table: dict[str, list[str]] = {}
     for n in list_collections(spark, store, collections):
         by_table.setdefault(table_name(n), []).append(n)
@@ -133,7 +179,16 @@ def migrate_collections(
     names = list(by_table.values())
     if reset:
         reset_target(spark, conn)
-    work = lambda n: migrate_collection(spark, store, n, conn, archive=archive, **options)
+
+    def work(n: list[str]) -> tuple:
+        began = time.time()
+        try:
+            return migrate_collection(spark, store, n, conn, archive=archive, **options)
+        except Exception as error:
+            if on_failure == "raise":
+                raise
+            return _failure(", ".join(n), table_name(n[0]), began, error)
+
     return run_report(spark, _each(names, work, concurrency))
 
 
@@ -213,6 +268,7 @@ def relational_database(message: dict) -> str:
 
 __all__ = [
     "PLAN_SCHEMA",
+    "append_collection",
     "documents_database",
     "documents_to_rows",
     "job_from_message",

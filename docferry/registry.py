@@ -48,6 +48,7 @@ from docferry.plans import (
     render_ddl,
 )
 from docferry.plans.jobs import (
+    append_collection,
     load_csv_to_collection,
     load_csv_to_table,
     load_json_to_collection,
@@ -1070,6 +1071,39 @@ def migrate_non_finite(spark, sf_dir):
     return migrated(spark, table(spark, sf_dir, "events").select(F.expr(parts)))
 
 
+@query(
+    "SELECT CAST(row_number() OVER (ORDER BY event_id % 2, event_id) AS VARCHAR) AS id, CAST(event_id AS VARCHAR) AS _id, "
+    "CAST(event_id * if(event_id % 2 = 0, 1, 10000000000) AS VARCHAR) AS number, "
+    "if(event_id % 2 = 0, CAST(event_id AS VARCHAR), 'n/a ' || event_id) AS mixed, "
+    "if(event_id % 2 = 0, NULL, event_type) AS added, if(event_id % 2 = 0, event_type, NULL) AS gone FROM events"
+)
+def migrate_second_run(spark, sf_dir):
+    """Two loads into one table: the second has longer numbers, texts in a number column, a new field, and lacks one."""
+    target = file_tables(spark, "target")
+    parts = (
+        ("event_id % 2 = 0", """concat('{"_id":', event_id, ',"number":', event_id, ',"mixed":', event_id, ',"gone":"', event_type, '"}')"""),
+        ("event_id % 2 = 1", """concat('{"_id":', event_id, ',"number":', event_id * 10000000000, ',"mixed":"n/a ', event_id, '","added":"', event_type, '"}')"""),
+    )
+    for half, line in parts:
+        lines = table(spark, sf_dir, "events").where(half).select(F.expr(line))
+        append_collection(spark, stored_lines(spark, lines, "things"), "things", target)
+    rows = read_table(spark, target, "things")
+    return rows.select(*(F.col(c).cast("string").alias(c) for c in rows.columns))
+
+
+@query(
+    "SELECT source, target, status, CASE WHEN source = 'broken' THEN 0 ELSE n END AS rows_in FROM (SELECT count(*) AS n FROM events), "
+    "(VALUES ('broken', 'broken', 'failed: ValueError'), ('first', 'first', 'migrated'), ('second', 'second', 'migrated')) AS t(source, target, status)"
+)
+def migrate_with_bad_collection(spark, sf_dir):
+    """Three collections, one with two fields of one name: it is reported, the others are migrated."""
+    store, events = document_store(spark, "lines"), table(spark, sf_dir, "events")
+    for name, field in (("first", "some"), ("broken", "userName"), ("second", "other")):
+        line = f"""concat('{{"_id":', event_id, ',"{field}":1,"user_name":2}}')"""
+        events.select(F.expr(line).alias("value")).write.text(store.path(name))
+    return migrate_collections(spark, store, file_tables(spark, "target")).select("source", "target", "status", "rows_in")
+
+
 @query(
     "SELECT CAST(event_id AS VARCHAR) AS _id, event_id || if(event_id % 2 = 0, '.00001', '.50000') AS exact, "
     "CASE event_id % 2 WHEN 0 THEN '9007199254740993.0' ELSE event_id || '.5' END AS mixed FROM events"

@@ -191,9 +191,18 @@ def _write_staged(
     if isinstance(conn, FileTables):
         # A parquet write is committed as a whole, repeated tasks included.
         write_table(df, conn, side, "overwrite")
+        landed = None if expected_rows is None else spark.read.parquet(conn.path(side)).count()
+        if landed != expected_rows:
+            raise RuntimeError(f"{side} holds {landed} rows instead of {expected_rows}; {table} is unchanged")
+        # the table that was there goes only once the new one is in its place
+        before = f"{conn.path(table)}{STAGING}"
+        if path_exists(spark, before):
+            remove_path(spark, before)
         if path_exists(spark, conn.path(table)):
-            remove_path(spark, conn.path(table))
+            rename_path(spark, conn.path(table), before)
         rename_path(spark, conn.path(side), conn.path(table))
+        if path_exists(spark, before):
+            remove_path(spark, before)
         return
     wanted = df.count() if expected_rows is None else expected_rows
     column_types = "" if conn.is_derby else column_types
