@@ -17,7 +17,7 @@ from collections.abc import Callable
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,8 @@ from docferry.operators.profile import with_order
 
 ID_FIELD = "_id"
 _FLAG = "_matched"
+#: Equal rows that a task unfolds at a time.
+COPIES = 100_000
 EXTENDED_NUMBERS = [key for key, kind in EXTENDED_KINDS.items() if kind in (INT, LONG, DOUBLE, DECIMAL)]
 
 
@@ -177,21 +179,31 @@ def _flagged(df: DataFrame, query: dict[str, Any], first_only: bool, order_by: s
     if not first_only:
         return df.withColumn(_FLAG, match)
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
-    whole = F.xxhash64(F.to_json(F.struct(*map(field, df.columns)), {"ignoreNullFields": "false"}))
+    as_text = F.to_json(F.struct(*map(field, df.columns)), {"ignoreNullFields": "false"})
     if _is_stored(df):
         known = reduce(lambda d, i: with_order(d, order_by[i], f"_order_{i}"), range(len(order_by)), df)
     else:
         known = df.select("*", *(field(c).alias(f"_order_{i}") for i, c in enumerate(order_by)))
+    # only rows that match are written as text, and only their hashes are compared before that
     marked = known.select(
-        *map(field, df.columns), F.struct(*(f"_order_{i}" for i in range(len(order_by)))).alias("_order"), whole.alias("_whole"), match.alias("_match")
+        *map(field, df.columns), F.struct(*(f"_order_{i}" for i in range(len(order_by)))).alias("_order"), match.alias("_match"), F.when(match, F.xxhash64(as_text)).alias("_whole")
     )
-    first = marked.where("_match").orderBy("_order", "_whole").limit(1).select(F.col("_order").alias("_first"), F.col("_whole").alias("_one"))
+    first = marked.where("_match").orderBy("_order", "_whole").limit(1)
+    first = first.select(F.col("_order").alias("_first"), F.col("_whole").alias("_one"), as_text.alias("_text"))
     same = F.col("_match") & F.col("_order").eqNullSafe(F.col("_first")) & (F.col("_whole") == F.col("_one"))
-    joined = marked.join(F.broadcast(first), same, "left").select(*map(field, df.columns), "_whole", F.col("_one").isNotNull().alias("_same"))
-    one = Window.partitionBy("_whole").orderBy(F.lit(1))
-    equal = joined.where("_same").withColumn(_FLAG, F.row_number().over(one) == 1)
-    rest = joined.where("NOT _same").withColumn(_FLAG, F.lit(False))
-    return rest.unionByName(equal).drop("_whole", "_same")
+    joined = marked.join(F.broadcast(first), same, "left").select(*map(field, df.columns), (F.col("_one").isNotNull() & (as_text == F.col("_text"))).alias("_same"))
+    rest = joined.where("NOT _same").drop("_same").withColumn(_FLAG, F.lit(False))
+    return rest.unionByName(_one_of_equal(joined.where("_same").drop("_same")))
+
+
+def _one_of_equal(rows: DataFrame) -> DataFrame:
+    """Rows that are all equal, the first of them flagged: counted where they are, then unfolded in chunks over many tasks."""
+    n_tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    one = rows.agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*map(field, rows.columns))).alias("_row")).where("_n > 0")
+    chunks = one.withColumn("_start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(COPIES).cast("long"))))
+    places = F.sequence("_start", F.least(F.col("_start") + COPIES, F.col("_n")) - 1)
+    unfolded = chunks.repartition(n_tasks, "_start").select("_row", F.explode(places).alias("_place"))
+    return unfolded.select(*(F.col("_row").getField(c).alias(c) for c in rows.columns), (F.col("_place") == 0).alias(_FLAG))
 
 
 def _assign(df: DataFrame, name: str, value: Any) -> Column:

@@ -178,3 +178,24 @@ def test_ties_change_one_matching_row(spark):
     rows = spark.createDataFrame([(1, "F"), (1, "O"), (1, "F"), (2, "F")], "k int, s string")
     assert sorted(map(tuple, update(rows, {"s": "F"}, {"s": "X"}, order_by="k").collect())) == [(1, "F"), (1, "O"), (1, "X"), (2, "F")]
     assert sorted(map(tuple, delete(rows, {"s": "F"}, order_by="k").collect())) == [(1, "F"), (1, "O"), (2, "F")]
+
+
+def test_one_of_many_equal_rows(spark, monkeypatch):
+    """Equal rows are counted and unfolded in chunks; no window gathers them."""
+    monkeypatch.setattr("docferry.operators.mutate.COPIES", 3)
+    df = spark.createDataFrame([(1, "a", None)] * 8 + [(1, "b", None), (2, "a", 5)], "k int, `x.y` string, z int").repartition(4)
+    gone = delete(df, {"k": 1}, order_by="k")
+    assert "Window" not in gone._jdf.queryExecution().optimizedPlan().toString()
+    left = sorted(map(repr, gone.collect()))
+    assert len(left) == 9
+    changed = update(df, {"k": 1}, {"z": 9}, order_by="k")
+    assert sorted(r.z for r in changed.collect() if r.k == 1 and r.z) == [9]
+    assert changed.count() == 10
+    assert delete(df, {"k": 7}, order_by="k").count() == 10
+
+
+def test_find_of_another_kind(spark):
+    df = spark.createDataFrame([(1, "a", True, [1, 2])], "n int, t string, b boolean, l array<int>")
+    for query in ({"n": "1"}, {"t": 1}, {"b": 1}, {"n": True}, {"l": "x"}, {"t": {"$gt": 0}}, {"n": {"$in": ["1", False]}}, {"n": {"$lt": "9"}}):
+        assert find(df, query).isEmpty()
+    assert find(df, {"n": {"$ne": "1"}, "t": {"$in": [1, "a"]}, "l": 2}).count() == 1
