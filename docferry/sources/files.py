@@ -23,8 +23,8 @@ CSV_OPTIONS = {
 # row is one line and files can be split; "quoted": as they are, within quotes, so that a file is read by one task.
 LINE_ENDS = ("escaped", "quoted")
 
-# NULL in files with escapes, where no value can be a single backslash and a letter N: an empty text stays one, and a NULL
-# in a table of one column is not a blank line.
+# What NULL is read as in files with escapes, where no value can be a single backslash and a letter N: nothing between separators
+# is NULL, an empty text ("") stays one. It is written only in a table of one column, where NULL would be a blank line.
 NULL_OPTIONS = {"nullValue": "\\N"}
 
 
@@ -71,4 +71,4 @@ def archive_csv(df: DataFrame, path: str, mode: str = "overwrite", line_ends: st
     plain = flat.select(
         *((F.base64(column(c)) if c in binary else _escaped(column(c)) if c in texts else column(c)).alias(c) for c in flat.columns)
     )
-    plain.write.mode(mode).options(**CSV_OPTIONS, **(NULL_OPTIONS if line_ends == "escaped" else {})).csv(path)
+    plain.write.mode(mode).options(**CSV_OPTIONS, **(NULL_OPTIONS if line_ends == "escaped" and len(plain.columns) == 1 else {})).csv(path)
