@@ -270,14 +270,17 @@ def train(df: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
 def score(df: DataFrame, model: Model, *, text: str = "text", into: str = "score") -> DataFrame:
     """The rows with the probability of class 1; a column of that name is replaced."""
     names = [c for c in df.columns if c.lower() != into.lower()]
-    base = df.select(*named(names))
+    # mapInArrow cannot look up every name that a column may have
+    base = df.select(*(c.alias(f"c{i}") for i, c in enumerate(named(names))))
+    place = base.columns[[n.lower() for n in names].index(text.lower())]
     shared = df.sparkSession.sparkContext.broadcast(model)
+    schema = StructType([*base.schema, StructField("score", DoubleType())])
 
     def add(batches):
-        for batch in slices(batches, text, SCORE_BYTES):
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.score(batch.column(text)))], [*names, into])
+        for batch in slices(batches, place, SCORE_BYTES):
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.score(batch.column(place)))], schema.names)
 
-    return base.mapInArrow(add, StructType([*base.schema, StructField(into, DoubleType())]))
+    return base.mapInArrow(add, schema).toDF(*names, into)
 
 
 def toxicity(df: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
