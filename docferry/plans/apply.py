@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docferry.functions.values import to_seconds_text
 from docferry.operators import leaves
 from docferry.operators.leaves import at_path, binary_value, date_value, kind_of, member, shape_of, text_of
+from docferry.operators.shape import ID_FIELD
 from docferry.plans.infer import KEY, LEAF, PARENT
 
 
@@ -93,6 +94,19 @@ def _plan_rows(plan: DataFrame) -> list[Row]:
     return plan.where(F.col("role") != KEY).orderBy("position").collect()
 
 
+def _column(docs: DataFrame, row: Row, mixed: bool, staged: bool) -> Column:
+    value = F.col(f"_v{row.position}") if staged else _source(F.col(docs.columns[0]), row.paths)
+    if mixed:
+        return _mixed_text(row).try_cast(row.spark_type)
+    return _text(row, value) if row.spark_type == "string" else _typed(row, value)
+
+
+def _with_nulls(row: Row, col: Column, value: Column, null_text: str | None) -> Column:
+    if null_text is not None and row.spark_type == "string" and leaves.NULL in row.kinds:
+        return F.when(F.is_variant_null(value), F.lit(null_text)).otherwise(col)
+    return col
+
+
 def apply_plan(docs: DataFrame, plan: DataFrame, null_text: str | None = None) -> DataFrame:
     """Rows of the planned table, without its surrogate key.
 
@@ -104,18 +118,53 @@ def apply_plan(docs: DataFrame, plan: DataFrame, null_text: str | None = None) -
     out = []
     for row in rows:
         value = F.col(f"_v{row.position}") if row in named else _source(F.col(docs.columns[0]), row.paths)
-        if row in mixed:
-            col = _mixed_text(row).try_cast(row.spark_type)
-        elif row.spark_type == "string":
-            col = _text(row, value)
-        else:
-            col = _typed(row, value)
-        if null_text is not None and row.spark_type == "string" and leaves.NULL in row.kinds:
-            col = F.when(F.is_variant_null(value), F.lit(null_text)).otherwise(col)
-        out.append(col.alias(row["column"]))
+        col = _column(docs, row, row in mixed, row in named)
+        out.append(_with_nulls(row, col, value, null_text).alias(row["column"]))
     return _stage(docs, named, mixed).select(*out)
 
 
+def _holds(row: Row, col: Column, text: Column) -> Column:
+    """True where a typed column has the value whose text is given, and not another one near it."""
+    kinds = _kinds(row)
+    if row.spark_type == "boolean" and not kinds <= {leaves.BOOLEAN}:
+        return col.isNotNull() & (F.col(f"_k{row.position}") == leaves.BOOLEAN)
+    if row.spark_type.startswith(("int", "bigint", "double", "decimal")) and not kinds <= {leaves.INT, leaves.BOOLEAN}:
+        wide = "decimal(38,10)"
+        same = F.coalesce(text.try_cast(wide) == col.try_cast(wide), text.try_cast("double") == col.cast("double"))
+        return col.isNotNull() & F.coalesce(same, F.lit(True))
+    return col.isNotNull()
+
+
+def apply_plan_checked(docs: DataFrame, plan: DataFrame, null_text: str | None = None) -> tuple[DataFrame, str]:
+    """As :func:`apply_plan`, and one more column, whose name is returned too, with the values the row could not take.
+
+    That column is an array of ``document`` (its ``_id`` as JSON), ``column`` and ``value``, empty in most rows. A value either is in its column as it was or is
+    in this array, and its column is NULL then: texts in number columns, fractions in integer columns, integers that
+    a double does not hold, and so on. Objects whose members have columns of their own lose nothing.
+    """
+    rows = _plan_rows(plan)
+    mixed = [r for r in rows if _is_mixed(r)]
+    leaf = [r for r in rows if r.role == LEAF]
+    rest = [r for r in rows if r not in leaf]
+    taken, name = {r["column"].lower() for r in rows}, "_rejected"
+    while name in taken:
+        name = f"_{name}"
+    nothing = "CAST(NULL AS struct<document:string,column:string,value:string>)"
+    document = F.to_json(at_path(F.col(docs.columns[0]), [ID_FIELD])).alias("document")
+    out, checks = [], [F.expr(nothing)]
+    for row in rows:
+        value, col = F.col(f"_v{row.position}"), _column(docs, row, row in mixed, True)
+        if row in leaf:
+            text, kind = text_of(f"_v{row.position}", f"_k{row.position}"), F.col(f"_k{row.position}")
+            asked = text.isNotNull() & (kind != leaves.OBJECT) if leaves.OBJECT in row.kinds else text.isNotNull()
+            holds = _holds(row, col, text)
+            checks.append(F.when(asked & ~holds, F.struct(document, F.lit(row["column"]).alias("column"), text.alias("value"))))
+            col = F.when(holds, col)
+        out.append(_with_nulls(row, col, value, null_text).alias(row["column"]))
+    staged = _stage(docs, leaf + rest, [*leaf, *(r for r in rest if r in mixed)])
+    return staged.select(*out, F.array_compact(F.array(*checks)).alias(name)), name
+
+
 def reject_rows(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """Values the planned columns cannot take: the document, ``column`` and ``value``, one row each."""
     rows = [r for r in _plan_rows(plan) if r.role == LEAF and r.spark_type != "string"]

@@ -74,10 +74,11 @@ def planned_type(data_type: T.DataType) -> str:
     return names.get(type(data_type), "LONGTEXT")
 
 
-def evolve_plan(plan: DataFrame, existing: Mapping[str, str]) -> tuple[DataFrame, list[tuple[str, str, str]]]:
+def evolve_plan(plan: DataFrame, existing: Mapping[str, str], *, grow: bool = True) -> tuple[DataFrame, list[tuple[str, str, str]]]:
     """The plan with types that also keep what an existing table holds, and what must change in that table.
 
     ``existing`` has the planned type of each column. Changes are (``add`` or ``modify``, column, type), in plan order.
+    Without ``grow`` the columns that are there keep their types, and only new ones are added.
     """
     rows, changes = [], []
     for row in plan.orderBy("position").collect():
@@ -89,7 +90,7 @@ def evolve_plan(plan: DataFrame, existing: Mapping[str, str]) -> tuple[DataFrame
             continue
         if name not in existing:
             changes.append((ADD, name, sql_type))
-        elif row.kinds and set(row.kinds) != {leaves.NULL}:
+        elif grow and row.kinds and set(row.kinds) != {leaves.NULL}:
             sql_type = wider(existing[name], sql_type)
             if _sized(sql_type) != _sized(existing[name]):
                 changes.append((MODIFY, name, sql_type))

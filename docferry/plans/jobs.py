@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -13,11 +14,11 @@ from pyspark.sql import functions as F
 from docferry.functions.naming import database_name
 from docferry.operators.keys import add_surrogate_key
 from docferry.operators.shape import ID_FIELD, map_fields
-from docferry.plans.apply import apply_plan
+from docferry.plans.apply import apply_plan, apply_plan_checked
 from docferry.plans.ddl import writer_types
 from docferry.plans.evolve import evolve_plan, next_key, planned_type, side_by_side
 from docferry.plans.infer import KEY, PLAN_SCHEMA, plan_documents, table_name
-from docferry.session import remove_path, written
+from docferry.session import list_names, remove_path, written
 from docferry.sources.documents import (
     DocumentStore,
     list_collections,
@@ -35,9 +36,9 @@ REPORT_SCHEMA = (
 MIGRATED, SKIPPED_EMPTY, FAILED = "migrated", "skipped_empty", "failed"
 
 
-def run_report(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    """One row per collection or table a job went through."""
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
+def run_report(spark: SparkSession, rows: list[tuple], *, rejected: bool = False) -> DataFrame:
+    """One row per collection or table a job went through; with how many values were rejected, where that is counted."""
+    return spark.createDataFrame(rows, REPORT_SCHEMA + ", rejected long" * rejected)
 
 
 def _each(names: list, one: Callable[..., tuple], concurrency: int) -> list[tuple]:
@@ -48,6 +49,38 @@ def _each(names: list, one: Callable[..., tuple], concurrency: int) -> list[tupl
         return list(pool.map(one, names))
 
 
+def _typed_rows(docs: DataFrame, plan: DataFrame, null_text: str | None, checked: bool) -> tuple[DataFrame, str, DataFrame | None]:
+    """The typed rows in the shared folder, their path, and if ``checked`` the values they could not take.
+
+    Those lie next to the rows they come from, so they take no further pass over the documents.
+    """
+    if not checked:
+        return *written(apply_plan(docs, plan, null_text), "typed"), None
+    rows, name = apply_plan_checked(docs, plan, null_text)
+    typed, path = written(rows, "typed")
+    return typed.drop(name), path, typed.select(F.inline(name))
+
+
+def _keep_rejects(rejected: DataFrame | None, rejects: str | None, target: str) -> tuple[int, str | None]:
+    """Write rejected values into the quarantine; how many there are, and the folder of this load.
+
+    Counted from what was written, so a task that is repeated does not count twice.
+    """
+    if rejected is None:
+        return 0, None
+    path = f"{rejects.rstrip('/')}/table={target}/load={uuid.uuid4().hex}"
+    rejected.write.parquet(path)
+    return rejected.sparkSession.read.schema(rejected.schema).parquet(path).count(), path
+
+
+def read_rejects(spark: SparkSession, rejects: str) -> DataFrame:
+    """The quarantine of all loads: ``document`` (its ``_id`` as JSON), ``column``, ``value``, ``table``, ``load``."""
+    schema = "document string, column string, value string, table string, load string"
+    if not list_names(spark, rejects):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", rejects).parquet(f"{rejects.rstrip('/')}/table=*/load=*")
+
+
 def documents_to_rows(
     docs: DataFrame,
     mode: str = "full",
@@ -63,14 +96,19 @@ def documents_to_rows(
     the rows are written (``None`` without a surrogate key).
     """
     plan = plan_documents(docs, mode, order_by=order_by, null_text=null_text, **options)
-    rows = apply_plan(docs, plan, null_text)
+    if plan.where(F.col("role") == KEY).isEmpty():
+        return apply_plan(docs, plan, null_text), plan, None
+    typed, path, _ = _typed_rows(docs, plan, null_text, False)
+    return _keyed(typed, plan, order_by), plan, path
+
+
+def _keyed(typed: DataFrame, plan: DataFrame, order_by: str) -> DataFrame:
     keyed = plan.where(F.col("role") == KEY).head()
     if keyed is None:
-        return rows, plan, None
-    typed, path = written(rows, "typed")
+        return typed
     by = [r["column"] for r in plan.orderBy("position").collect() if [order_by] in [list(p) for p in r.paths]]
     # Documents may lack the field or share it, so ties are always broken by the rest of the row.
-    return add_surrogate_key(typed, by, keyed["column"]), plan, path
+    return add_surrogate_key(typed, by, keyed["column"])
 
 
 def migrate_collection(
@@ -81,48 +119,83 @@ def migrate_collection(
     *,
     archive: str | None = None,
     on_malformed: str = "error",
+    rejects: str | None = None,
     **options,
 ) -> tuple:
-    """One collection, or several that share a table, into one table; returns its report row."""
+    """One collection, or several that share a table, into one table; returns its report row.
+
+    ``rejects`` names a folder for values that the typed columns cannot hold as they are (:func:`read_rejects`); their columns are NULL,
+    and the report row ends with their number.
+    """
     names = [name] if isinstance(name, str) else list(name)
     began, target, name = time.time(), table_name(names[0]), ", ".join(names)
     parts = [read_collection(spark, store, n, as_variant=True, on_malformed=on_malformed) for n in names]
     docs = reduce(DataFrame.union, parts)
     if docs.isEmpty():
-        return name, target, SKIPPED_EMPTY, 0, 0, 0, time.time() - began
-    rows, plan, scratch = documents_to_rows(docs, **options)
+        return name, target, SKIPPED_EMPTY, 0, 0, 0, time.time() - began, *(0,) * bool(rejects)
+    kept, n_rejected = None, 0
+    if rejects:
+        order_by, null_text = options.pop("order_by", ID_FIELD), options.pop("null_text", None)
+        plan = plan_documents(docs, options.pop("mode", "full"), order_by=order_by, null_text=null_text, **options)
+        typed, scratch, rejected = _typed_rows(docs, plan, null_text, True)
+        rows = _keyed(typed, plan, order_by)
+    else:
+        rows, plan, scratch = documents_to_rows(docs, **options)
     try:
         rows_in = (spark.read.parquet(scratch) if scratch else docs).count()
+        if rejects:
+            n_rejected, kept = _keep_rejects(rejected, rejects, target)
         write_table(rows, conn, target, staged=True, expected_rows=rows_in, column_types=writer_types(plan))
+    except Exception:
+        if kept:
+            remove_path(spark, kept)
+        raise
     finally:
         if scratch:
             remove_path(spark, scratch)
     landed = read_table(spark, conn, target)
     if archive:
         archive_csv(landed, f"{archive.rstrip('/')}/{target}")
-    return name, target, MIGRATED, rows_in, landed.count(), len(landed.columns), time.time() - began
+    return name, target, MIGRATED, rows_in, landed.count(), len(landed.columns), time.time() - began, *(n_rejected,) * bool(rejects)
 
 
 def append_collection(
-    spark: SparkSession, store: DocumentStore, name: str, conn: FileTables, *, order_by: str = ID_FIELD, on_malformed: str = "error", **options
+    spark: SparkSession,
+    store: DocumentStore,
+    name: str,
+    conn: FileTables,
+    *,
+    order_by: str = ID_FIELD,
+    on_malformed: str = "error",
+    on_misfit: str = "grow",
+    rejects: str | None = None,
+    **options,
 ) -> tuple[tuple, list[tuple[str, str, str]]]:
     """A further load of one collection into its table: the report row, and what changed in the table.
 
     Columns are added and types grow as the new documents need it (:mod:`docferry.plans.evolve`); keys go on after the greatest one. The
     table is a folder table, whose files are written anew and swapped in; for a database, ``evolve_plan`` with its column
     types and ``render_changes`` give the statements. Without a table this is its first load.
+
+    With ``on_misfit="reject"`` the columns that are there keep their types, and values that these cannot hold go to the
+    folder ``rejects`` as in :func:`migrate_collection`; the report row ends with their number.
     """
+    if on_misfit not in ("grow", "reject"):
+        raise ValueError(f"unknown on_misfit {on_misfit!r}")
+    if on_misfit == "reject" and not rejects:
+        raise ValueError("rejected values need a folder: rejects")
     target = table_name(name)
     if target not in list_tables(spark, conn):
-        return migrate_collection(spark, store, name, conn, order_by=order_by, on_malformed=on_malformed, **options), []
+        return migrate_collection(spark, store, name, conn, order_by=order_by, on_malformed=on_malformed, rejects=rejects, **options), []
     if not isinstance(conn, FileTables):
         raise TypeError("rows are appended to folder tables; render_changes gives a database's statements")
     began, docs = time.time(), read_collection(spark, store, name, as_variant=True, on_malformed=on_malformed)
     if docs.isEmpty():
-        return (name, target, SKIPPED_EMPTY, 0, 0, 0, time.time() - began), []
-    old = read_table(spark, conn, target)
-    plan, changes = evolve_plan(plan_documents(docs, order_by=order_by, **options), {f.name: planned_type(f.dataType) for f in old.schema})
-    typed, scratch = written(apply_plan(docs, plan, options.get("null_text")), "typed")
+        return (name, target, SKIPPED_EMPTY, 0, 0, 0, time.time() - began, *(0,) * bool(rejects)), []
+    old, kept, n_rejected = read_table(spark, conn, target), None, 0
+    planned, existing = plan_documents(docs, order_by=order_by, **options), {f.name: planned_type(f.dataType) for f in old.schema}
+    plan, changes = evolve_plan(planned, existing, grow=on_misfit == "grow")
+    typed, scratch, rejected = _typed_rows(docs, plan, options.get("null_text"), bool(rejects))
     try:
         rows, keyed = typed, plan.where(F.col("role") == KEY).head()
         if keyed is not None:
@@ -132,10 +205,15 @@ def append_collection(
             rows = add_surrogate_key(typed, by, key).withColumn(key, (F.col(key) + last).cast(old.schema[key].dataType))
         whole = side_by_side(old, rows, plan)
         rows_in = typed.count()
+        n_rejected, kept = _keep_rejects(rejected, rejects, target)
         write_table(whole, conn, target, staged=True)
+    except Exception:
+        if kept:
+            remove_path(spark, kept)
+        raise
     finally:
         remove_path(spark, scratch)
-    return (name, target, MIGRATED, rows_in, rows_in, len(whole.columns), time.time() - began), changes
+    return (name, target, MIGRATED, rows_in, rows_in, len(whole.columns), time.time() - began, *(n_rejected,) * bool(rejects)), changes
 
 
 def _failure(name: str, target: str, began: float, error: Exception) -> tuple:
@@ -155,6 +233,7 @@ def migrate_collections(
     concurrency: int = 1,
     on_same_name: str = "merge",
     on_failure: str = "report",
+    rejects: str | None = None,
     **options,
 ) -> DataFrame:
     """Every collection, or the named ones, into a table of its own; empty ones are skipped.
@@ -163,7 +242,8 @@ def migrate_collections(
     a row of the report; ``on_same_name="error"`` refuses them. That is settled before anything is written.
     A collection that cannot be migrated does not end the others: its row of the report says ``failed: <kind of error>``
     (``on_failure="raise"`` raises the error once it occurs). ``reset`` empties the target first and is destructive, so it is off by default. ``archive``
-    also writes each table as CSV below that path. Other options go to
+    also writes each table as CSV below that path. ``rejects`` names a folder for values that the typed columns cannot hold,
+    and adds their number to the report as ``rejected``. Other options go to
     :func:`docferry.plans.infer.plan_documents`.
     """
     if on_same_name not in ("merge", "error"):
@@ -183,13 +263,13 @@ def migrate_collections(
     def work(n: list[str]) -> tuple:
         began = time.time()
         try:
-            return migrate_collection(spark, store, n, conn, archive=archive, **options)
+            return migrate_collection(spark, store, n, conn, archive=archive, rejects=rejects, **options)
         except Exception as error:
             if on_failure == "raise":
                 raise
-            return _failure(", ".join(n), table_name(n[0]), began, error)
+            return *_failure(", ".join(n), table_name(n[0]), began, error), *(0,) * bool(rejects)
 
-    return run_report(spark, _each(names, work, concurrency))
+    return run_report(spark, _each(names, work, concurrency), rejected=bool(rejects))
 
 
 def migrate_table(
@@ -279,6 +359,7 @@ __all__ = [
     "migrate_collections",
     "migrate_table",
     "migrate_tables",
+    "read_rejects",
     "relational_database",
     "run_report",
     "sample_document",

@@ -55,6 +55,7 @@ from docferry.plans.jobs import (
     migrate_collections,
     migrate_table,
     migrate_tables,
+    read_rejects,
 )
 from docferry.session import is_local, make_dir, scratch_dir
 from docferry.sources import (
@@ -1093,6 +1094,42 @@ def migrate_second_run(spark, sf_dir):
     return rows.select(*(F.col(c).cast("string").alias(c) for c in rows.columns))
 
 
+def strict_loads(spark: SparkSession, sf_dir: str) -> tuple[FileTables, str, tuple]:
+    """Even events, then odd ones whose values do not all fit the table that is there: the tables, the quarantine, the second report row."""
+    target, rejects, report = file_tables(spark, "target"), scratch_dir(spark, "rejects"), ()
+    number = "CASE WHEN event_id % 2 = 0 OR event_id % 3 = 0 THEN string(event_id) WHEN event_id % 3 = 1 THEN concat(event_id % 1000, '.5') ELSE concat('\"n/a ', event_id, '\"') END"
+    at = """if(event_id % 2 = 1 AND event_id % 5 = 0, '"soon"', '{"$date":"2024-01-31T00:00:00Z"}')"""
+    flag = "if(event_id % 2 = 1 AND event_id % 7 = 0, '3', 'true')"
+    line = f"""concat('{{"_id":', event_id, ',"number":', {number}, ',"seenAt":', {at}, ',"flag":', {flag}, '}}')"""
+    for half in ("event_id % 2 = 0", "event_id % 2 = 1"):
+        lines = table(spark, sf_dir, "events").where(half).select(F.expr(line))
+        report, _ = append_collection(spark, stored_lines(spark, lines, "things"), "things", target, on_misfit="reject", rejects=rejects)
+    return target, rejects, report
+
+
+@query(
+    "WITH odd AS (SELECT * FROM events WHERE event_id % 2 = 1), found AS ("
+    "SELECT CAST(event_id AS VARCHAR) AS document, 'number' AS \"column\", if(event_id % 3 = 1, (event_id % 1000) || '.5', 'n/a ' || event_id) AS value FROM odd WHERE event_id % 3 <> 0 "
+    "UNION ALL SELECT CAST(event_id AS VARCHAR), 'seen_at', 'soon' FROM odd WHERE event_id % 5 = 0 UNION ALL SELECT CAST(event_id AS VARCHAR), 'flag', '3' FROM odd WHERE event_id % 7 = 0) "
+    "SELECT 'things' AS \"table\", document, \"column\", value, (SELECT count(*) FROM found) AS rejected FROM found"
+)
+def migrate_rejects(spark, sf_dir):
+    """What a table with fixed types could not take of a second load, and the number the report gives."""
+    _, rejects, report = strict_loads(spark, sf_dir)
+    return read_rejects(spark, rejects).drop("load").withColumn("rejected", F.lit(report[-1]).cast("long"))
+
+
+@query(
+    "SELECT CAST(event_id AS VARCHAR) AS _id, CASE WHEN event_id % 2 = 0 OR event_id % 3 = 0 THEN event_id END AS number, "
+    "CASE WHEN event_id % 2 = 0 OR event_id % 5 <> 0 THEN '2024-01-31 00:00:00' END AS seen_at, CASE WHEN event_id % 2 = 0 OR event_id % 7 <> 0 THEN true END AS flag FROM events"
+)
+def migrate_rejects_kept(spark, sf_dir):
+    """The table after those loads: types as they were, every row there, NULL where a value was rejected."""
+    target, _, _ = strict_loads(spark, sf_dir)
+    as_text = lambda c: F.col(c).cast("string").alias(c)
+    return read_table(spark, target, "things").select(as_text("_id"), "number", as_text("seen_at"), "flag")
+
+
 @query(
     "SELECT source, target, status, CASE WHEN source = 'broken' THEN 0 ELSE n END AS rows_in FROM (SELECT count(*) AS n FROM events), "
     "(VALUES ('broken', 'broken', 'failed: ValueError'), ('first', 'first', 'migrated'), ('second', 'second', 'migrated')) AS t(source, target, status)"

@@ -7,7 +7,7 @@ import pytest
 
 from docferry.plans.evolve import ADD, MODIFY, evolve_plan, render_changes, wider
 from docferry.plans.infer import plan_documents
-from docferry.plans.jobs import append_collection, migrate_collections
+from docferry.plans.jobs import append_collection, migrate_collections, read_rejects
 from docferry.sources import DocumentStore, FileTables, read_table
 
 
@@ -85,3 +85,36 @@ def test_a_failing_collection_does_not_end_the_others(spark, tmp_path):
         migrate_collections(spark, store, FileTables(str(tmp_path / "u")), on_failure="raise")
     with pytest.raises(ValueError, match="on_failure"):
         migrate_collections(spark, store, FileTables(str(tmp_path / "u")), on_failure="ignore")
+
+
+def test_values_that_do_not_fit_go_to_the_quarantine(spark, tmp_path):
+    conn, rejects = FileTables(str(tmp_path / "tables")), str(tmp_path / "rejects")
+    first = [{"_id": 1, "n": 1, "big": 1.5, "ok": True, "at": {"$date": "2024-01-31T23:59:59Z"}, "o": {"a": 1}, "_rejected": "x"}]
+    second = [
+        {"_id": "b", "n": 1.5, "big": 9007199254740993, "ok": "true", "at": 5, "o": {"a": "x"}, "_rejected": 3},
+        {"_id": "c", "n": 7, "big": {"$numberDouble": "NaN"}, "ok": False, "at": "2024-05-06", "o": 4, "added": "new"},
+        {"n": None},
+    ]
+    reports = []
+    for i, docs in enumerate((first, second, [])):
+        report, changes = append_collection(spark, store_of(tmp_path / f"s{i}", things=docs), "things", conn, on_misfit="reject", rejects=rejects)
+        reports.append((report[2:5], report[-1]))
+        assert all(kind == ADD for kind, _, _ in changes)
+    assert reports[0] == (("migrated", 1, 1), 0) and reports[2] == (("skipped_empty", 0, 0), 0)
+    kept = read_rejects(spark, rejects)
+    found = {(r.document, r["column"], r.value) for r in kept.collect()}
+    assert reports[1] == (("migrated", 3, 3), kept.count())
+    assert {f for f in found if f[0] == '"b"'} == {
+        ('"b"', "_id", "b"), ('"b"', "n", "1.5"), ('"b"', "big", "9007199254740993"), ('"b"', "ok", "true"), ('"b"', "at", "5"), ('"b"', "o_a", "x")
+    }
+    rows = {(r.n, str(r.big), r.ok, r.added) for r in read_table(spark, conn, "things").where("id > 1").collect()}
+    assert rows == {(None, "None", None, None), (7, "nan", False, "new")}
+    with pytest.raises(ValueError, match="folder"):
+        append_collection(spark, store_of(tmp_path / "s9", things=first), "things", conn, on_misfit="reject")
+
+
+def test_a_full_plan_rejects_nothing(spark, tmp_path):
+    store = store_of(tmp_path / "s", a=[{"_id": 1, "v": 1}, {"_id": 2, "v": "x"}, {"_id": 3, "v": {"w": 2}}], b=[])
+    report = migrate_collections(spark, store, FileTables(str(tmp_path / "t")), rejects=str(tmp_path / "r")).collect()
+    assert {(r.source, r.status, r.rejected) for r in report} == {("a", "migrated", 0), ("b", "skipped_empty", 0)}
+    assert read_rejects(spark, str(tmp_path / "r")).count() == 0
