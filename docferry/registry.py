@@ -87,8 +87,9 @@ from docferry.streaming import (
     parse_control,
     quarantine,
     run_on_messages,
+    run_when_all_known,
 )
-from docferry.streaming.control import BOTH_TOPIC, ControlSource
+from docferry.streaming.control import BOTH_TOPIC, DOCUMENTS_TOPIC, RELATIONAL_TOPIC, ControlSource
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1207,7 +1208,7 @@ def migrate_on_message(spark, sf_dir):
     keys = {k: "x" for k in ("sql_host", "sql_port", "sql_user", "sql_password", "mongo_uri", "mongo_db_name")}
     value = json.dumps({**keys, "sql_database": sf_dir})
     spark.createDataFrame([(BOTH_TOPIC, 0, 1, value)], "topic string, partition int, offset long, value string").write.json(inbox)
-    job = lambda s, message: migrate_tables(s, FileTables(message["sql_database"]), store, tables=["nation"])
+    job = lambda s, message: migrate_tables(s, FileTables(message["sql_database"]), store)
     for _ in range(2):
         run = run_on_messages(
             control_stream(spark, ControlSource(path=inbox)), job, f"{store.location}-done", scratch_dir(spark, "checkpoint")
@@ -1218,6 +1219,50 @@ def migrate_on_message(spark, sf_dir):
     return rows.select(F.expr("stack(2, 'n_nationkey', n_nationkey, 'n_regionkey', n_regionkey) AS (field, value)"))
 
 
+@query(
+    "SELECT event_type AS topic, CAST(json_extract_string(max_by(props, event_id), '$.k') AS INT) AS k, 'None,done,None' AS calls FROM events "
+    "WHERE event_type IN ('click', 'purchase') GROUP BY event_type"
+)
+def control_ready_restarted(spark, sf_dir):
+    """Messages of one side, a restart, those of the other side, another restart: one job, with the last message of each."""
+    inbox, state, out = scratch_dir(spark, "sent"), scratch_dir(spark, "state"), scratch_dir(spark, "told")
+    sides, calls = ("click", "purchase"), []
+
+    def job(session: SparkSession, messages: dict) -> None:
+        told = [(topic, int(message["k"])) for topic, message in messages.items()]
+        session.createDataFrame(told, "topic string, k int").write.mode("append").parquet(out)
+
+    for side in (*sides, None):
+        if side:
+            events = table(spark, sf_dir, "events").where(F.col("event_type") == side)
+            events.select(
+                F.col("event_type").alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"),
+                F.timestamp_micros("event_id").alias("timestamp"), F.col("props").alias("value"),
+            ).write.mode("append").json(inbox)
+        source = ControlSource(path=inbox)
+        calls.append(run_when_all_known(spark, source, job, state, sides, required={t: ("k",) for t in sides}))
+    return spark.read.schema("topic string, k int").parquet(out).withColumn("calls", F.lit(",".join(map(str, calls))))
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS collection, count(*) AS n_docs FROM {t}" for t in COLUMNS_OF))
+def migrate_when_ready(spark, sf_dir):
+    """Where the tables are and where they go come in two messages; with the second one the whole database is migrated."""
+    store, inbox, state = document_store(spark, "store"), scratch_dir(spark, "inbox"), scratch_dir(spark, "state")
+    job = lambda s, sides: migrate_tables(s, FileTables(sides[RELATIONAL_TOPIC]["database"]), DocumentStore(sides[DOCUMENTS_TOPIC]["collection"]), concurrency=4)
+    sent = (
+        (RELATIONAL_TOPIC, {"url": "x", "username": "x", "password": "x", "database": sf_dir}),
+        (DOCUMENTS_TOPIC, {"uri": "x", "collection": store.location}),
+    )
+    for topic, message in sent:
+        spark.createDataFrame([(topic, 0, 1, json.dumps(message))], "topic string, partition int, offset long, value string").write.mode("append").json(inbox)
+        run_when_all_known(spark, ControlSource(path=inbox), job, state)
+    counts = [
+        read_collection(spark, store, n, as_variant=True).agg(F.count("*").alias("n_docs")).select(F.lit(n).alias("collection"), "n_docs")
+        for n in list_collections(spark, store)
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query("SELECT unnest(['customer', 'emptyOne', 'region', 'supplier']) AS collection")
 def collections_listing(spark, sf_dir):
     names = list_collections(spark, collections_of(spark, sf_dir))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR_SETTING = "spark.checkpoint.dir"
@@ -72,3 +74,35 @@ def rename_path(spark: SparkSession, source: str, target: str) -> None:
 def make_dir(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     fs.mkdirs(target)
+
+
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file unless it is there; of several drivers that try at once, one gets True.
+
+    As atomic as the file system: HDFS and local folders are, some object stores are not.
+    """
+    fs, target = _file_system(spark, path)
+    fs.mkdirs(target.getParent())
+    try:
+        if fs.getUri().getScheme() == "file":
+            # Hadoop's local file system looks first and creates then; the system call does both at once.
+            files, attributes = spark._jvm.java.nio.file.Files, spark._jvm.java.nio.file.attribute.FileAttribute
+            local = spark._jvm.java.io.File(fs.makeQualified(target).toUri().getPath()).toPath()
+            files.createFile(local, spark.sparkContext._gateway.new_array(attributes, 0))
+        else:
+            fs.create(target, False).close()
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
+
+
+def seconds_since_touched(spark: SparkSession, path: str) -> float:
+    fs, target = _file_system(spark, path)
+    return time.time() - fs.getFileStatus(target).getModificationTime() / 1000
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.setTimes(target, int(time.time() * 1000), -1)

@@ -7,14 +7,18 @@ message itself when it runs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import hashlib
+import threading
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docferry.session import list_names, path_exists, scratch_dir
+from docferry.session import create_new, list_names, path_exists, scratch_dir, seconds_since_touched, touch
 
 MESSAGE_SCHEMA = "topic string, partition int, offset long, timestamp timestamp, value string"
 
@@ -42,7 +46,11 @@ SHOWN_KEYS = {
     BOTH_TOPIC: ("sql_database", "mongo_db_name"),
 }
 
-STARTED, DONE = "started", "done"
+STARTED, DONE, FAILED = "started", "done", "failed"
+COORDINATES = ("topic", "partition", "offset")
+PROCESSED_SCHEMA = "topic string, partition int, offset long, status string, attempt int"
+#: Seconds after which a job whose driver gave no sign of life may be tried by another one.
+LEASE = 600.0
 ACCEPTED, BAD_JSON, MISSING_KEY, UNKNOWN_TOPIC = "accepted", "bad json", "missing key", "unknown topic"
 
 
@@ -65,6 +73,15 @@ def control_stream(spark: SparkSession, source: ControlSource) -> DataFrame:
     return reader.load(source.path)
 
 
+def control_batch(spark: SparkSession, source: ControlSource) -> DataFrame:
+    """The messages there are now, as a table."""
+    if source.format == "kafka":
+        options = {**source.options, "startingOffsets": "earliest", "endingOffsets": "latest"}
+        messages = spark.read.format("kafka").options(**options).load()
+        return messages.select("topic", "partition", "offset", "timestamp", F.col("value").cast("string").alias("value"))
+    return spark.read.format(source.format).schema(MESSAGE_SCHEMA).options(**source.options).load(source.path)
+
+
 def _per_topic(choices: dict[str, Column], otherwise: Column) -> Column:
     out = None
     for topic, value in choices.items():
@@ -167,10 +184,94 @@ def keep_table(
 
 
 def _done(spark: SparkSession, processed: str) -> DataFrame:
-    schema = "topic string, partition int, offset long, status string"
     if not path_exists(spark, processed) or not list_names(spark, processed):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).json(processed)
+        return spark.createDataFrame([], PROCESSED_SCHEMA)
+    return spark.read.schema(PROCESSED_SCHEMA).json(processed).drop("record")
+
+
+def _claims(processed: str, coordinates: Iterable) -> str:
+    """Folder of the claims on one message; its name starts with a mark that Spark's readers pass over."""
+    name = hashlib.sha256(repr(tuple(coordinates)).encode()).hexdigest()
+    return f"{processed.rstrip('/')}/_claims/{name}"
+
+
+def _claim(spark: SparkSession, folder: str, n_failed: int, lease: float) -> int | None:
+    """Number of the attempt this driver may make now; None while another one is at it.
+
+    An attempt is an empty file that only one driver can create. Its driver touches it while the job runs, so that one that was
+    not touched for ``lease`` seconds and has no outcome belongs to a driver that is gone.
+    """
+    attempts = list_names(spark, folder)
+    if len(attempts) > n_failed and seconds_since_touched(spark, f"{folder}/{attempts[-1]}") < lease:
+        return None
+    attempt = len(attempts) + 1
+    return attempt if create_new(spark, f"{folder}/{attempt:06d}") else None
+
+
+@contextmanager
+def _held(spark: SparkSession, path: str, lease: float) -> Iterator[None]:
+    """Touch a claim a few times per lease until the work is over."""
+    over = threading.Event()
+
+    def beat() -> None:
+        while not over.wait(max(lease / 4, 0.05)):
+            touch(spark, path)
+
+    thread = threading.Thread(target=beat, daemon=True)
+    thread.start()
+    try:
+        yield
+    finally:
+        over.set()
+        thread.join()
+
+
+def _run_claimed(
+    spark: SparkSession, coordinates: tuple, n_failed: int, processed: str, lease: float, work: Callable[[], None]
+) -> str | None:
+    """Claim, run and record one piece of work; its outcome, or None where it is another driver's or done."""
+    folder = _claims(processed, coordinates)
+    attempt = _claim(spark, folder, n_failed, lease)
+    if attempt is None:
+        return None
+    here = F.lit(True)
+    for name, value in zip(COORDINATES, coordinates, strict=True):
+        here = here & (F.col(name) == value)
+
+    def record(status: str) -> None:
+        # a folder of its own: writers into one folder at the same time remove each other's unfinished files
+        row = spark.createDataFrame([(*coordinates, status, attempt)], PROCESSED_SCHEMA).coalesce(1)
+        row.write.json(f"{processed.rstrip('/')}/record={uuid.uuid4().hex}")
+
+    # It may have been done after the table of what is done was read, and before the claim.
+    if not _done(spark, processed).where(here & (F.col("status") == DONE)).isEmpty():
+        return None
+    record(STARTED)
+    with _held(spark, f"{folder}/{attempt:06d}", lease):
+        try:
+            work()
+            status = DONE
+        except Exception as e:  # noqa: BLE001 - the stream goes on; the kind of error is recorded, not its text
+            status = f"{FAILED}: {type(e).__name__}"
+        record(status)
+    return status
+
+
+def _run_all(messages: DataFrame, job: Callable[[SparkSession, dict], None], processed: str, lease: float) -> list[tuple]:
+    """Run the job of each complete message that is not done, oldest first; (coordinates, outcome) of those this driver ran."""
+    spark, names = messages.sparkSession, list(COORDINATES)
+    required = {BOTH_TOPIC: REQUIRED_KEYS[BOTH_TOPIC]}
+    good = accepted(_checked(messages, required, {})).select(*names, F.from_json("value", "map<string,string>").alias("spec"))
+    outcomes = _done(spark, processed).groupBy(*names).agg(
+        F.count_if(F.col("status") == DONE).alias("n_done"), F.count_if(F.col("status").startswith(FAILED)).alias("n_failed")
+    )
+    todo = good.dropDuplicates(names).join(outcomes, names, "left").where("coalesce(n_done, 0) = 0")
+    ran = []
+    for row in todo.orderBy("partition", "offset").toLocalIterator():
+        at = (row.topic, row.partition, row.offset)
+        status = _run_claimed(spark, at, row.n_failed or 0, processed, lease, lambda spec=row.spec: job(spark, dict(spec)))
+        ran += [(at, status)] if status else []
+    return ran
 
 
 def run_on_messages(
@@ -180,41 +281,32 @@ def run_on_messages(
     checkpoint: str,
     *,
     available_now: bool = True,
+    lease: float = LEASE,
 ) -> StreamingQuery:
     """Run ``job(spark, message)`` once for each complete message on the combined topic.
 
     A table of messages and what became of them, kept at ``processed``, makes a restarted stream skip what is
-    done. A failing job is recorded there and does not stop the stream; bad messages neither. Only a job that is done
-    counts as done: run the stream again with a new ``checkpoint`` to try the failed and the interrupted ones
-    again (those are recorded as started). So a job may run twice; let it replace what it writes.
+    done. A failing job is recorded there and does not stop the stream; bad messages neither. Several drivers may read the
+    same messages: each job is claimed by creating a file next to that table, and only one can. A driver that is gone
+    without an outcome loses its claim after ``lease`` seconds. :func:`retry_messages` tries the failed and interrupted
+    jobs again. A job that was interrupted runs again, so let it replace what it writes.
     """
-    coordinates = ["topic", "partition", "offset"]
-    required = {BOTH_TOPIC: REQUIRED_KEYS[BOTH_TOPIC]}
 
     def run_batch(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        good = accepted(_checked(batch, required, {})).select(*coordinates, F.from_json("value", "map<string,string>").alias("spec"))
-        todo = good.join(_done(spark, processed).where(F.col("status") == DONE), coordinates, "left_anti")
-
-        def record(row: Row, status: str) -> None:
-            rows = [(row.topic, row.partition, row.offset, status)]
-            done = spark.createDataFrame(rows, "topic string, partition int, offset long, status string")
-            done.coalesce(1).write.mode("append").json(processed)
-
-        for row in todo.orderBy("partition", "offset").toLocalIterator():
-            record(row, STARTED)
-            record(row, _run_one(spark, job, row))
+        _run_all(batch, job, processed, lease)
 
     writer = messages.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def _run_one(spark: SparkSession, job: Callable[[SparkSession, dict], None], row: Row) -> str:
-    try:
-        job(spark, dict(row.spec))
-        return DONE
-    except Exception as e:  # noqa: BLE001 - the stream goes on; the kind of error is recorded, not its text
-        return f"failed: {type(e).__name__}"
+def retry_messages(
+    spark: SparkSession, source: ControlSource, job: Callable[[SparkSession, dict], None], processed: str, *, lease: float = LEASE
+) -> list[tuple]:
+    """Run the jobs of all messages at the source that failed, were interrupted or never tried; no stream or checkpoint takes part.
+
+    Returns ((topic, partition, offset), outcome) of the jobs that this call ran.
+    """
+    return _run_all(control_batch(spark, source), job, processed, lease)
 
 
 def run_when_ready(
@@ -245,3 +337,43 @@ def run_when_ready(
     if ready:
         job(spark, {topic: spec for topic, (_, spec) in known.items()})
     return ready
+
+
+def run_when_all_known(
+    spark: SparkSession,
+    source: ControlSource,
+    job: Callable[[SparkSession, dict[str, dict]], None],
+    state: str,
+    sides: Iterable[str] = (DOCUMENTS_TOPIC, RELATIONAL_TOPIC),
+    *,
+    required: dict[str, Iterable[str]] = REQUIRED_KEYS,
+    lease: float = LEASE,
+) -> str | None:
+    """Run ``job(spark, {topic: message})`` once for each new set of last messages, one of every side, over any number of restarts.
+
+    Which message of a topic is the last is kept by a streaming aggregation below ``state``: a call reads only messages that
+    came since the one before, by whatever process, and ends. Its table holds coordinates and no values, so secrets stay in
+    the messages; those of the last ones are read again when the job runs. The set is claimed as in :func:`run_on_messages`.
+    Returns the outcome of the job, or None if it did not run: a side is missing, or the set is done or another driver's.
+    """
+    sides, state = sorted(sides), state.rstrip("/")
+    latest = latest_per_topic(parse_control(control_stream(spark, source), {t: required[t] for t in sides}, {}))
+    keep_table(latest, f"{state}/latest", f"{state}/checkpoint", "complete").awaitTermination()
+    if not path_exists(spark, f"{state}/latest"):
+        return None
+    known = spark.read.schema(latest.schema).parquet(f"{state}/latest").select(*COORDINATES)
+    if not job_ready(known, sides).head().ready:
+        return None
+    rows = known.where(F.col("topic").isin(*sides)).orderBy("topic").collect()  # a row per side
+    at = (" ".join(f"{r.topic}/{r.partition}/{r.offset}" for r in rows), 0, 0)
+    processed = f"{state}/processed"
+    outcomes = [r.status for r in _done(spark, processed).where(F.col("topic") == at[0]).collect()]
+    if DONE in outcomes:
+        return None
+
+    def work() -> None:
+        found = control_batch(spark, source).join(F.broadcast(known.where(F.col("topic").isin(*sides))), list(COORDINATES), "left_semi")
+        specs = found.select("topic", F.from_json("value", "map<string,string>").alias("spec")).dropDuplicates(["topic"])
+        job(spark, {r.topic: dict(r.spec) for r in specs.collect()})
+
+    return _run_claimed(spark, at, sum(s.startswith(FAILED) for s in outcomes), processed, lease, work)

@@ -1,10 +1,25 @@
 import json
+import threading
+import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
-from docferry.streaming import control_stream, job_ready, keep_table, latest_per_topic, parse_control, quarantine, run_on_messages, run_when_ready
-from docferry.streaming.control import BOTH_TOPIC, DOCUMENTS_TOPIC, RELATIONAL_TOPIC, ControlSource
+from docferry.session import create_new
+from docferry.streaming import (
+    control_stream,
+    job_ready,
+    keep_table,
+    latest_per_topic,
+    parse_control,
+    quarantine,
+    retry_messages,
+    run_on_messages,
+    run_when_all_known,
+    run_when_ready,
+)
+from docferry.streaming.control import BOTH_TOPIC, DOCUMENTS_TOPIC, RELATIONAL_TOPIC, ControlSource, _claims
 
 
 def sql_message(database, **more):
@@ -143,3 +158,70 @@ def test_time_decides_across_partitions(spark):
     messages = spark.createDataFrame(rows, "topic string, partition int, offset long, timestamp timestamp, value string")
     last = latest_per_topic(parse_control(messages)).head()
     assert (last.partition, last.offset, last.n_messages) == (1, 5, 3)
+
+
+def test_one_of_many_creates_a_file(spark, tmp_path):
+    made, path = [], str(tmp_path / "claims" / "one")
+    threads = [threading.Thread(target=lambda: made.append(create_new(spark, path))) for _ in range(8)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert sorted(made) == [False] * 7 + [True]
+
+
+def test_failed_and_interrupted_jobs_are_tried_again(spark, inbox, tmp_path):
+    ran, broken, done = [], {"two"}, str(tmp_path / "done")
+
+    def job(session, message):
+        ran.append(message["sql_database"])
+        if message["sql_database"] in broken:
+            raise RuntimeError("x")
+
+    source = inbox([(BOTH_TOPIC, i, both(name)) for i, name in enumerate(("one", "two", "three"))])
+    # a driver claimed the third message and was lost before it told what became of it
+    assert create_new(spark, f"{_claims(done, (BOTH_TOPIC, 0, 2))}/000001")
+    run_on_messages(control_stream(spark, source), job, done, str(tmp_path / "cp")).awaitTermination()
+    assert ran == ["one", "two"]
+    broken.clear()
+    assert retry_messages(spark, source, job, done) == [((BOTH_TOPIC, 0, 1), "done")]
+    time.sleep(0.3)
+    assert retry_messages(spark, source, job, done, lease=0.2) == [((BOTH_TOPIC, 0, 2), "done")]
+    assert retry_messages(spark, source, job, done, lease=0.0) == []
+    assert ran == ["one", "two", "two", "three"]
+    told = {(r.offset, r.attempt, r.status) for r in spark.read.json(done).collect() if r.status != "started"}
+    assert told == {(0, 1, "done"), (1, 1, "failed: RuntimeError"), (1, 2, "done"), (2, 2, "done")}
+
+
+def test_two_drivers_run_a_job_once(spark, inbox, tmp_path):
+    ran, done = [], str(tmp_path / "done")
+
+    def job(session, message):
+        ran.append(message["sql_database"])
+        time.sleep(2)  # longer than the lease, which the driver at work renews
+
+    source = inbox([(BOTH_TOPIC, 1, both("one")), (BOTH_TOPIC, 2, both("two"))])
+    with ThreadPoolExecutor(3) as drivers:
+        told = list(drivers.map(lambda _: retry_messages(spark, source, job, done, lease=1.0), range(3)))
+    assert sorted(status for one in told for _, status in one) == ["done", "done"]
+    assert sorted(ran) == ["one", "two"]
+
+
+def test_state_outlives_the_process(spark, inbox, tmp_path):
+    ran, state = [], str(tmp_path / "state")
+    job = lambda session, sides: ran.append({t: m.get("database") or m["collection"] for t, m in sides.items()})
+    source = inbox(MESSAGES[:4])
+    assert run_when_all_known(spark, source, job, state) is None and ran == []
+    inbox(MESSAGES[4:])
+    assert run_when_all_known(spark, source, job, state) == "done"
+    assert run_when_all_known(spark, source, job, state) is None
+    inbox([(RELATIONAL_TOPIC, 11, sql_message("e"))])
+
+    def failing(session, sides):
+        raise RuntimeError("x")
+
+    assert run_when_all_known(spark, source, failing, state) == "failed: RuntimeError"
+    assert run_when_all_known(spark, source, job, state) == "done"
+    assert ran == [{RELATIONAL_TOPIC: "d", DOCUMENTS_TOPIC: "docs"}, {RELATIONAL_TOPIC: "e", DOCUMENTS_TOPIC: "docs"}]
+    kept = [p for p in (tmp_path / "state").rglob("*") if p.is_file() and b"secret" in p.read_bytes()]
+    assert kept == []
