@@ -3,13 +3,16 @@
 A rolling hash over the last WINDOW bytes cuts a text wherever the hash is in one of every ``1 / 2**CUT_BITS`` values,
 so equal passages are cut alike whatever stands around them. A chunk's ids are kept under its bytes. At a join, the end
 of one chunk and the beginning of the next are encoded anew together: the stretch grows to both sides until it ends at
-places where a letter is followed by one blank and a letter. There the tokenizer's pattern always ends a token group,
-whatever the context (a letter's group stops at a blank, and a blank before a letter begins a group), so the ids on
-either side agree exactly with those of the whole text. Chunks without such a place become part of the stretch.
+borders where the tokenizer's pattern always ends a token group, whatever the context, so the ids on either side agree
+exactly with those of the whole text. Such borders are found in any script: before white space, between letters and
+digits, and between either of them and punctuation, apart from an apostrophe before a letter. No group goes on over one, as only
+the first character of a group can be a blank before another kind, and the pattern never looks back; it looks ahead
+within white space alone, and no border has white space on its left. Chunks without a border become part of
+the stretch. Stretches are kept under their bytes too, so copies encode nothing anew.
 
 Documents that resemble each other are brought to the same tasks first: rows are dealt by ranges of (least window hash
-of the text, hash of the id), so that copies share a task's chunks, and a large group of copies is still dealt
-over many tasks. No row leaves its order of work to another; the ids of a text depend on that text alone.
+of the text, mixed once more as long texts have smaller least hashes; hash of the id), so that copies share a task's chunks,
+and a large group of copies is still dealt over many tasks; only rows equal in id and text cannot be told apart and share one. No row leaves its order of work to another; the ids of a text depend on that text alone.
 
 Defined results: null text is empty (no ids); repeated and null ids keep their rows; empty tables give no rows; other
 columns of the input do not matter.
@@ -34,8 +37,19 @@ WINDOW = 24
 CUT_BITS = 9
 #: Bytes of chunks that a task keeps; when full, it starts anew.
 KEEP_BYTES = 24 << 20
+#: Sets the order in which texts are dealt apart from the size of their least window hash.
+SECOND_MIX = np.uint64(0x9E3779B97F4A7C15)
 
-_ANCHOR = re.compile(rb"[A-Za-z](?= [A-Za-z])")
+# Characters whose class is the same in every version of Unicode that a tokenizer may know.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏΑ-ΡΣ-ωА-яЁё一-龥ぁ-ゖァ-ヺ가-힣"
+_DIGITS = "0-9"
+_MARKS = r"!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~，。！？；：、（）「」《》“”…—"
+_SPACES = r" \t\r\n"
+_BORDER = (
+    rf"(?:(?<=[{_LETTERS}{_DIGITS}])(?=[{_SPACES}'{_MARKS}])|(?<=[{_MARKS}])(?=[{_LETTERS}{_DIGITS}{_SPACES}])"
+    rf"|(?<=[{_LETTERS}])(?=[{_DIGITS}])|(?<=[{_DIGITS}])(?=[{_LETTERS}]))"
+)
+_FIRST, _LAST = re.compile(_BORDER), re.compile(f".*{_BORDER}", re.DOTALL)
 
 
 def window_hashes(data: np.ndarray, running: np.ndarray | None = None) -> np.ndarray:
@@ -60,24 +74,48 @@ class ChunkEncoder:
     def __init__(self, tokens: Codec, keep_bytes: int = KEEP_BYTES):
         self.tokens, self.keep_bytes = tokens, keep_bytes
         self.known: dict[bytes, tuple[bytes, np.ndarray | None, bytes]] = {}
+        self.joins: dict[bytes, np.ndarray] = {}
         self.kept = self.n_chunks = self.n_reused = 0
+        #: Characters that went through the tokenizer.
+        self.n_encoded = 0
+
+    def _keep(self, kept: dict, key: bytes, value: object) -> None:
+        size = 3 * len(key) + 500
+        if self.kept + size > self.keep_bytes:
+            self.known.clear()
+            self.joins.clear()
+            self.kept = 0
+        if size <= self.keep_bytes:
+            self.kept += size
+            kept[key] = value
+
+    def _anew(self, text: str) -> np.ndarray:
+        self.n_encoded += len(text)
+        return self.tokens.ordinary(text)
 
     def chunk(self, chunk: bytes) -> tuple[bytes, np.ndarray | None, bytes]:
-        """Bytes before the first safe place, ids from there to the last one, bytes after it; ids None: no such place."""
+        """Bytes before the first border, ids from there to the last one, bytes after it; ids None: no border."""
         self.n_chunks += 1
         found = self.known.get(chunk)
         if found is not None:
             self.n_reused += 1
             return found
-        places = [m.end() for m in _ANCHOR.finditer(chunk)]
-        if not places:
+        text = chunk.decode()
+        first = _FIRST.search(text)
+        if first is None:
             found = (chunk, None, b"")
         else:
-            found = (chunk[: places[0]], self.tokens.ordinary(chunk[places[0] : places[-1]].decode()), chunk[places[-1] :])
-        self.kept += 3 * len(chunk) + 500
-        if self.kept > self.keep_bytes:
-            self.known, self.kept = {}, 0
-        self.known[chunk] = found
+            start, stop = first.end(), _LAST.match(text).end()
+            found = (text[:start].encode(), self._anew(text[start:stop]), text[stop:].encode())
+        self._keep(self.known, chunk, found)
+        return found
+
+    def join(self, stretch: bytes) -> np.ndarray:
+        """Ids of what lies between the chunks' own ids, from border to border."""
+        found = self.joins.get(stretch)
+        if found is None:
+            found = self._anew(stretch.decode())
+            self._keep(self.joins, stretch, found)
         return found
 
     def ordinary(self, text: str) -> list[np.ndarray]:
@@ -89,9 +127,9 @@ class ChunkEncoder:
             head, ids, tail = self.chunk(data[start:stop])
             stretch.append(head)
             if ids is not None:
-                out += [self.tokens.ordinary(b"".join(stretch).decode()), ids]
+                out += [self.join(b"".join(stretch)), ids]
                 stretch = [tail]
-        return [*out, self.tokens.ordinary(b"".join(stretch).decode())]
+        return [*out, self.join(b"".join(stretch))]
 
     def encode(self, text: str) -> np.ndarray:
         if self.tokens.fast is None:
@@ -113,6 +151,7 @@ def similar_together(df: DataFrame, text: str, salt: str, n: int | None = None)
             for i, (start, stop) in enumerate(zip(rows, rows[1:], strict=False)):
                 own = hashes[start : stop - WINDOW + 1]
                 keys[i] = own.min() if stop - start >= WINDOW else 0
+            keys = mix64(keys ^ SECOND_MIX)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys.view(np.int64))], [*batch.schema.names, "_alike"])
 
     schema = StructType([*df.schema, StructField("_alike", LongType())])

@@ -15,7 +15,7 @@ from docferry.session import scratch_dir
 
 from odd_data import ODD_TEXTS, sentence
 
-PARTS = ["a", "b", "the ", " ", "  ", "\n", "\n\n", "\t", " '", "'re", "'r", "'ve", "'ll", "'s", "1", "23", "é", "ß", "　", "\x1c", "\x85", "\xa0", "😀", "<|endoftext|>", "<|endo", "!!", "...", "-", " x", "hello world ", "日本"]
+PARTS = ["a", "b", "the ", " ", "  ", "\n", "\n\n", "\t", " '", "'re", "'r", "'ve", "'ll", "'s", "1", "23", "é", "ß", "　", "\x1c", "\x85", "\xa0", "😀", "<|endoftext|>", "<|endo", "!!", "...", "-", " x", "hello world ", "日本", "，", "。", "。'", "привет", " мир", "3.14", ".", ",'", "Ω", "²", "한국"]
 TEXTS = st.lists(st.sampled_from(PARTS), max_size=25).map("".join) | st.text(max_size=60)
 
 
@@ -52,6 +52,33 @@ def test_chunks_of_copies_are_reused_and_exact(tokens):
     assert encoder.n_reused > encoder.n_chunks / 3
 
 
+def written_in(letters, n, seed):
+    """Words of some script, with and without blanks and marks between them."""
+    rng = np.random.default_rng(seed)
+    words = ["".join(rng.choice(list(letters), rng.integers(2, 9))) for _ in range(n)]
+    return "".join(w + m for w, m in zip(words, rng.choice([" ", ", ", "。", "'", "\n", " (", "7"], n), strict=True))
+
+
+@pytest.mark.parametrize("letters", ["абвгдежзиклмнопрстуф", "日本語中文字学校山川田一二三", "éèàüößñçåø", "0123456789", "abcdefgh", "가나다라마바사"])
+def test_copies_in_any_script_are_encoded_once(tokens, letters):
+    text, encoder = written_in(letters, 3000, 1), chunked_bpe.ChunkEncoder(tokens)
+    assert encoder.encode(text).tolist() == ids_of(tokens, text)
+    once = encoder.n_encoded
+    assert once <= len(text)
+    other = "Перед этим. " + text + written_in(letters, 50, 2)
+    assert encoder.encode(text).tolist() == ids_of(tokens, text)
+    assert encoder.n_encoded == once
+    assert encoder.encode(other).tolist() == ids_of(tokens, other)
+    assert encoder.n_encoded < once + 3000
+
+
+def test_a_text_without_borders_is_one_stretch(tokens):
+    text, encoder = "語" * 20_000, chunked_bpe.ChunkEncoder(tokens)
+    for _ in range(2):
+        assert encoder.encode(text).tolist() == ids_of(tokens, text)
+    assert encoder.n_encoded == len(text)
+
+
 def test_full_caches_start_anew(tokens):
     encoder = chunked_bpe.ChunkEncoder(tokens, keep_bytes=2000)
     counter = prefix_counts.PrefixCounter(tokens, keep=50)
