@@ -9,7 +9,7 @@ from docferry.operators.mutate import (
     modified_count,
     update,
 )
-from docferry.operators.profile import profile_columns, profile_documents
+from docferry.operators.profile import map_paths, profile_columns, profile_documents
 from docferry.operators.shape import (
     align_schemas,
     flatten,
@@ -29,6 +29,7 @@ __all__ = [
     "find",
     "flatten",
     "map_fields",
+    "map_paths",
     "matches",
     "modified_count",
     "pack_documents",

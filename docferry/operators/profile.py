@@ -16,9 +16,14 @@ from pyspark.sql import types as T
 from docferry.functions.values import convert_column, is_date_text, is_integer_text, is_number_text
 from docferry.operators import leaves
 from docferry.operators.leaves import at_path, is_nested, kind_of, shape_of, text_of
-
-# Levels of nesting the first pass unfolds; only documents that go deeper make it go on.
-DEFAULT_DEPTH = 6
+from docferry.session import remove_path, written
+
+# This many levels in a loop of this many reach the 1,000 that the JSON parser reads at most.
+LEVELS = 32
+# More members than a relational table may have columns: an object of so many is a map, whose keys are data.
+MAX_KEYS = 4096
+# A profile of more rows than this is searched for maps where it is and not on the driver.
+ROWS_AT_ONCE = 16_384
 INT_LIMIT = 2_147_483_647
 LONG_LIMIT = 9_223_372_036_854_775_807
 # Integers up to here are exact in a double.
@@ -43,17 +48,55 @@ def kept_whole(as_json: Iterable[Iterable[str]]) -> Column:
     return reduce(lambda a, b: a | b, (F.col("path") == F.array(*map(F.lit, p)) for p in as_json), F.lit(False))
 
 
+def _opened(values: Column, as_json: Iterable[Iterable[str]]) -> Column:
+    """One level deeper: the members of the objects among ``open`` join ``done``, or ``open`` if they are objects themselves."""
+
+    def is_open(leaf: Column) -> Column:
+        path, shape = leaf["path"], leaf["shape"]
+        nested = shape.startswith("OBJECT<") & ~shape.startswith("OBJECT<`$") & (shape != "OBJECT<>")
+        return reduce(lambda a, b: a & b, (path != F.array(*map(F.lit, p)) for p in as_json), nested)
+
+    def members(leaf: Column) -> Column:
+        entries = F.map_entries(F.try_variant_get(leaf["v"], "$", "map<string,variant>"))
+        return F.transform(entries, lambda e: F.struct(
+            F.array_append(leaf["path"], e["key"]).alias("path"), e["value"].alias("v"), F.schema_of_variant(e["value"]).alias("shape"),
+        ))
+
+    # Going through an array evaluates the members once, not once for each of the two lists.
+    level = F.array(F.flatten(F.transform(values["open"], members)))
+    split = F.transform(level, lambda found: F.struct(
+        F.concat(values["done"], F.filter(found, lambda leaf: ~is_open(leaf))).alias("done"), F.filter(found, is_open).alias("open"),
+    ))
+    return F.element_at(split, 1)
+
+
+def _to_the_end(values: Column, as_json: Iterable[Iterable[str]], levels: int | None) -> Column:
+    """Open level after level while there is something to open; without ``levels``, to the deepest the parser of documents reads."""
+
+    def some(at_most: int, state: Column) -> Column:
+        return F.when(F.size(state["open"]) > 0, F.sequence(F.lit(1), F.lit(at_most))).otherwise(F.expr("array()").cast("array<int>"))
+
+    def step(state: Column, _: Column) -> Column:
+        return F.when(F.size(state["open"]) > 0, _opened(state, as_json)).otherwise(state)
+
+    if levels is not None:
+        return F.aggregate(some(levels, values), values, step)
+    return F.aggregate(some(LEVELS, values), values, lambda state, _: F.aggregate(some(LEVELS, state), state, step))
+
+
 def unfold(
-    docs: DataFrame, depth: int = DEFAULT_DEPTH, order_by: str | None = None, as_json: Iterable[Iterable[str]] = ()
+    docs: DataFrame, depth: int | None = None, order_by: str | None = None, as_json: Iterable[Iterable[str]] = ()
 ) -> DataFrame:
     """One row per leaf: ``path``, ``v`` (variant), ``shape`` and, on request, the document's ``ord``.
 
-    ``docs`` holds one VARIANT column; objects at the paths ``as_json`` are not unfolded.
+    ``docs`` holds one VARIANT column; objects at the paths ``as_json`` are not unfolded. Every top-level member goes as deep as it
+    is itself, in one pass: members that are no objects cost nothing at deeper levels. With a ``depth`` objects below stay as they are.
     """
     spark = docs.sparkSession
     doc = F.col(docs.columns[0])
     if not isinstance(docs.schema[0].dataType, T.VariantType):
         raise TypeError("expected documents in one VARIANT column; read_collection(as_variant=True) gives one")
+    as_json = [list(p) for p in as_json]
     extra = ", ord" if order_by else ""
     base = docs.select(doc.alias("doc"))
     if order_by:
@@ -62,16 +105,15 @@ def unfold(
         f"SELECT array(e.key) AS path, e.value AS v{extra} FROM {{base}}, LATERAL variant_explode(doc) AS e",
         base=base,
     ).withColumn("shape", shape_of("v"))
-    for _ in range(depth - 1):
-        step = rows.withColumn("inner", F.when(is_nested("shape") & ~kept_whole(as_json), F.col("v")))
-        rows = spark.sql(
-            f"""SELECT if(e.key IS NULL, path, array_append(path, e.key)) AS path,
-                       coalesce(e.value, v) AS v,
-                       if(e.key IS NULL, shape, schema_of_variant(e.value)) AS shape{extra}
-                FROM {{step}}, LATERAL variant_explode_outer(inner) AS e""",
-            step=step,
-        )
-    return rows
+    if depth == 1:
+        return rows
+    more = ["ord"] if order_by else []
+    whole = F.array(F.struct("path", "v", "shape"))
+    none = F.filter(whole, lambda leaf: F.lit(False))
+    found = _to_the_end(F.struct(none.alias("done"), whole.alias("open")), as_json, depth and depth - 1)
+    found = F.flatten(F.transform(F.array(found), lambda state: F.concat(state["done"], state["open"])))
+    leaves_of = F.when(is_nested("shape") & ~kept_whole(as_json), found).otherwise(whole)
+    return rows.select(*more, F.inline(leaves_of)).select("path", "v", *more, "shape")
 
 
 def measures() -> list[Column]:
@@ -98,7 +140,7 @@ def measures() -> list[Column]:
 
 def leaf_rows(
     docs: DataFrame,
-    depth: int = DEFAULT_DEPTH,
+    depth: int | None = None,
     order_by: str | None = None,
     wanted: Column | None = None,
     as_json: Iterable[Iterable[str]] = (),
@@ -122,7 +164,9 @@ def leaf_rows(
     return rows.select("path", "type_tag", "text", F.coalesce(hoist, F.lit(False)).alias("is_hoist"), *(["ord"] if order_by else []))
 
 
-def profile_documents(docs: DataFrame, depth: int | None = None, as_json: Iterable[Iterable[str]] = ()) -> DataFrame:
+def profile_documents(
+    docs: DataFrame, depth: int | None = None, as_json: Iterable[Iterable[str]] = (), max_keys: int | None = MAX_KEYS
+) -> DataFrame:
     """Count and measure every (path, kind) of VARIANT documents, at whatever level they are.
 
     Columns: ``path`` (array of keys), ``type_tag``, ``n_docs``, ``n_null``, ``max_chars`` and
@@ -131,47 +175,105 @@ def profile_documents(docs: DataFrame, depth: int | None = None, as_json: Iterab
     ``max_scale`` (digits before and after the decimal point), ``n_bad_int`` / ``n_bad_number`` / ``n_bad_date`` (texts an integer, number or
     datetime column would refuse), ``n_hoist`` (values equal to the key of the object they are in).
 
-    The result is one row per path and kind, already computed, as it takes another pass for each documents that are
-    deeper than the last one went. With a ``depth`` it is one lazy pass, and objects below show as kind OBJECT. Objects used
-    as maps, whose keys are data, have no end of paths: name them in ``as_json`` and each is one value of kind OTHER, its JSON text.
+    The result is one row per path and kind, already computed. Objects used as maps, whose keys are data, have no end of paths: those
+    named in ``as_json``, and those with more than ``max_keys`` different keys, are one value of kind OTHER each, their JSON text. With
+    a ``depth`` it is one lazy pass: objects below show as kind OBJECT, and none is looked for.
     """
     if depth is None:
-        rows, schema, _ = complete_profile(docs, as_json)
+        rows, schema, _ = complete_profile(docs, as_json, max_keys)
         return docs.sparkSession.createDataFrame(rows, schema)
+    return _measured(leaf_rows(docs, depth, as_json=as_json))
+
+
+def _measured(rows: DataFrame) -> DataFrame:
+    """The profile of leaves."""
     kind, text = F.col("type_tag"), F.col("text")
     content = F.when(kind == leaves.BINARY, F.octet_length(F.unbase64(text))).otherwise(F.octet_length(text))
     whole = kind.isin(leaves.INT, leaves.LONG) | ((kind == leaves.STRING) & is_integer_text(text))
-    exact = F.abs(text.try_cast("decimal(38,0)"))
-    number = kind.isin(leaves.INT, leaves.LONG, leaves.DOUBLE, leaves.DECIMAL) | ((kind == leaves.STRING) & is_number_text(text))
+    exact, is_whole, mantissa = F.col("exact"), F.col("is_whole"), F.col("mantissa")
+    number = kind.isin(leaves.INT, leaves.LONG) | (kind.isin(leaves.STRING, leaves.DOUBLE, leaves.DECIMAL) & is_number_text(text))
     # digits of plain and of exponential forms: 1.5E3 has four and none after the point
-    exponent = F.coalesce(F.regexp_extract(text, "[eE]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
-    before = F.length(F.regexp_extract(text, "^[+-]?0*([0-9]*)", 1))
-    after = F.length(F.regexp_extract(text, "[.]([0-9]*?)0*([eE]|$)", 1))
-    rows = leaf_rows(docs, depth, as_json=as_json).withColumns({
+    exponent = F.when(F.contains(F.lower(text), F.lit("e")), F.coalesce(F.substring_index(F.lower(text), "e", -1).try_cast("int"), F.lit(0))).otherwise(F.lit(0))
+    before = F.length(F.ltrim(F.substring_index(mantissa, ".", 1), F.lit("+-0")))
+    after = F.when(F.contains(mantissa, F.lit(".")), F.length(F.rtrim(F.substring_index(mantissa, ".", -1), F.lit("0")))).otherwise(F.lit(0))
+    not_finite = F.when(kind.isin(leaves.DOUBLE, leaves.DECIMAL), F.lit(0))
+    rows = rows.withColumns({"is_whole": whole, "mantissa": F.when(number, F.substring_index(F.lower(text), "e", 1))})
+    rows = rows.withColumns({"exact": F.when(is_whole, F.abs(text.try_cast("decimal(38,0)"))), "exponent": F.when(mantissa.isNotNull(), exponent)})
+    rows = rows.withColumns({
         "octets": content,
-        "is_wide": F.when(whole, F.coalesce(exact > INT_LIMIT, F.lit(True))),
-        "is_beyond": F.when(whole, F.coalesce(exact > LONG_LIMIT, F.lit(True))),
-        "is_inexact": F.when(whole, F.coalesce(exact > DOUBLE_LIMIT, F.lit(True))),
-        "digits": F.when(number, F.greatest(F.lit(0), before + exponent)),
-        "scale": F.when(number, F.greatest(F.lit(0), after - exponent)),
+        "is_wide": F.when(is_whole, F.coalesce(exact > INT_LIMIT, F.lit(True))),
+        "is_beyond": F.when(is_whole, F.coalesce(exact > LONG_LIMIT, F.lit(True))),
+        "is_inexact": F.when(is_whole, F.coalesce(exact > DOUBLE_LIMIT, F.lit(True))),
+        "digits": F.when(mantissa.isNotNull(), F.greatest(F.lit(0), before + F.col("exponent"))).otherwise(not_finite),
+        "scale": F.when(mantissa.isNotNull(), F.greatest(F.lit(0), after - F.col("exponent"))).otherwise(not_finite),
     })
     return rows.groupBy("path", "type_tag").agg(*measures())
 
 
-def complete_profile(docs: DataFrame, as_json: Iterable[Iterable[str]] = ()) -> tuple[list[Row], T.StructType, int]:
-    """Rows and schema of the profile to the full depth of the documents, and that depth."""
-    depth = DEFAULT_DEPTH
-    while True:
-        found = profile_documents(docs, depth, as_json)
-        rows = found.collect()
-        if not any(r.type_tag == leaves.OBJECT for r in rows):
-            return rows, found.schema, depth
-        depth *= 3
+def complete_profile(
+    docs: DataFrame, as_json: Iterable[Iterable[str]] = (), max_keys: int | None = MAX_KEYS
+) -> tuple[list[Row], T.StructType, list[list[str]]]:
+    """Rows and schema of the profile to the full depth of the documents, and the objects that stay whole.
 
-
-def first_values(
-    docs: DataFrame, depth: int, order_by: str, wanted: Column, as_json: Iterable[Iterable[str]] = ()
-) -> DataFrame:
+    The driver sees few rows: a profile of more than ``ROWS_AT_ONCE`` is written first, and the objects used as maps are found in that
+    table. Where there are any, one more pass takes them whole. Documents with more than ``max_keys`` fields of their own fit no table
+    and are an error.
+    """
+    as_json = [list(p) for p in as_json]
+    found = _measured(leaf_rows(docs, as_json=as_json))
+    rows = found.limit(ROWS_AT_ONCE + 1).collect() if max_keys is not None else found.collect()
+    if max_keys is None:
+        maps = []
+    elif len(rows) <= ROWS_AT_ONCE:
+        maps = _maps_among([tuple(r.path) for r in rows], max_keys)
+    else:
+        kept, path = written(found, "profile")
+        maps = map_paths(kept, max_keys)
+        rows = [] if maps else kept.collect()
+        remove_path(docs.sparkSession, path)
+    if [] in maps:
+        raise ValueError(f"the documents have more than {max_keys} different fields")
+    if maps:
+        return complete_profile(docs, as_json + maps, max_keys)
+    if any(r.type_tag == leaves.OBJECT for r in rows):
+        raise ValueError(f"documents nest deeper than {LEVELS * LEVELS} levels")
+    return rows, found.schema, as_json
+
+
+def _maps_among(paths: list[tuple[str, ...]], max_keys: int) -> list[list[str]]:
+    keys: dict[tuple[str, ...], set[str]] = {}
+    for path in paths:
+        for i, key in enumerate(path):
+            keys.setdefault(path[:i], set()).add(key)
+    wide = {path for path, found in keys.items() if len(found) > max_keys}
+    return sorted(list(path) for path in wide if not any(path[:i] in wide for i in range(len(path))))
+
+
+def map_paths(profile: DataFrame, max_keys: int = MAX_KEYS) -> list[list[str]]:
+    """Objects with more than ``max_keys`` different keys, the outermost only, out of a profile of any size.
+
+    Keys are counted by one aggregate over the rows of the profile. Maps within maps may be as many as the data has keys, so the
+    outermost are taken level by level and only these reach the driver: no object around them has more than ``max_keys`` members.
+    """
+    steps = F.transform(
+        F.sequence(F.lit(0), F.size("path") - 1),
+        lambda i: F.struct(F.slice("path", F.lit(1), i).alias("parent"), F.element_at("path", i + 1).alias("key")),
+    )
+    members = profile.select(F.explode(steps).alias("step")).select("step.parent", "step.key").distinct()
+    wide, path = written(members.groupBy("parent").agg(F.count("*").alias("n_keys")).where(F.col("n_keys") > max_keys), "maps")
+    found: list[list[str]] = []
+    left = wide
+    while (level := left.agg(F.min(F.size("parent"))).head()[0]) is not None:
+        found += [list(r.parent) for r in left.where(F.size("parent") == level).select("parent").collect()]
+        if level == 0:
+            break
+        outside = (F.slice("parent", 1, len(p)) != F.array(*map(F.lit, p)) for p in found)
+        left = wide.where(reduce(lambda a, b: a & b, outside, F.size("parent") > level))
+    remove_path(profile.sparkSession, path)
+    return sorted(found)
+
+
+def first_values(docs: DataFrame, order_by: str, wanted: Column, as_json: Iterable[Iterable[str]] = ()) -> DataFrame:
     """First leaf of each path among the ``wanted`` ones, by document order: ``path, is_bad, first``.
 
     ``wanted`` is a condition on ``path``. ``is_bad`` splits values a datetime column would refuse from the others. A minimum over
@@ -180,7 +282,7 @@ def first_values(
     kind, text = F.col("type_tag"), F.col("text")
     is_date = (kind == leaves.DATE) | ((kind == leaves.STRING) & is_date_text(text))
     bad = ~is_date & ~kind.isin(leaves.NULL, leaves.EMPTY)
-    rows = leaf_rows(docs, depth, order_by, wanted, as_json).withColumn("is_bad", bad)
+    rows = leaf_rows(docs, None, order_by, wanted, as_json).withColumn("is_bad", bad)
     first = F.when(kind != leaves.EMPTY, F.struct("ord", "type_tag", F.length(text).alias("chars"), "is_hoist"))
     return rows.groupBy("path", "is_bad").agg(F.min(first).alias("first")).where("first IS NOT NULL")
 

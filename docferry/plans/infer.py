@@ -3,7 +3,7 @@
 A plan is a DataFrame with one row per target column, in column order:
 ``position, column, paths, kinds, role, sql_type, spark_type, max_chars, max_bytes``.
 It has as many rows as the table has columns. Objects whose keys are data would make a column of each key; such
-objects are named in ``as_json`` and become one text column each.
+objects, named in ``as_json`` or known by the number of their keys, become one text column each.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from docferry.functions.naming import join_parts, snake_case
 from docferry.functions.widths import TEXT_BYTES, text_type, varchar, varchar_type, varchar_width, widen
 from docferry.operators import leaves
 from docferry.operators.leaves import at_path
-from docferry.operators.profile import INT_LIMIT, complete_profile, first_values, leaf_rows, profile_columns, with_order
+from docferry.operators.profile import INT_LIMIT, MAX_KEYS, complete_profile, first_values, leaf_rows, profile_columns, with_order
 
 SKIP_METADATA = ("_id", "_class")
 KEY_COLUMN = "id"
@@ -49,19 +49,20 @@ def spark_type(sql_type: str) -> str:
     return SPARK_TYPES.get(sql_type, "string")
 
 
-def collect_profile(docs: DataFrame, order_by: str | None = None, as_json: Iterable[Iterable[str]] = ()) -> DataFrame:
+def collect_profile(
+    docs: DataFrame, order_by: str | None = None, as_json: Iterable[Iterable[str]] = (), max_keys: int | None = MAX_KEYS
+) -> DataFrame:
     """Profile a collection to its full depth, as a small local DataFrame.
 
-    Documents nested deeper than one pass unfolds are rare; only then the pass is
-    repeated with more levels. ``order_by`` names the key that says which document is the sample
+    Objects with more than ``max_keys`` different keys stay whole like those in ``as_json``. ``order_by`` names the key that says which document is the sample
     and which one brings a field first; it adds ``in_sample, first_rank, first_chars,
     first_hoist`` (set on the kind that came first) and ``bad_chars``.
     """
     spark = docs.sparkSession
-    rows, found, depth = complete_profile(docs, as_json)
+    rows, found, as_json = complete_profile(docs, as_json, max_keys)
     if order_by is None:
         return spark.createDataFrame(rows, found)
-    firsts, bad_chars, sample_ord = _first_facts(docs, rows, depth, order_by, as_json)
+    firsts, bad_chars, sample_ord = _first_facts(docs, rows, order_by, as_json)
     ranks = {o: i for i, o in enumerate(sorted({f.ord for f in firsts.values()}))}
 
     def facts(row: Row) -> tuple:
@@ -76,7 +77,7 @@ def collect_profile(docs: DataFrame, order_by: str | None = None, as_json: Itera
     return spark.createDataFrame([facts(r) for r in rows], schema)
 
 
-def _first_facts(docs: DataFrame, rows: list[Row], depth: int, order_by: str, as_json: Iterable[Iterable[str]]) -> tuple[dict, dict, Row | None]:
+def _first_facts(docs: DataFrame, rows: list[Row], order_by: str, as_json: Iterable[Iterable[str]]) -> tuple[dict, dict, Row | None]:
     """First value of every path, length of the first bad value of date paths, order of the sample.
 
     The sample document answers most paths; one further pass looks only at the paths it lacks
@@ -88,7 +89,7 @@ def _first_facts(docs: DataFrame, rows: list[Row], depth: int, order_by: str, as
     if not sample:
         return {}, {}, None
     one = docs.sparkSession.createDataFrame([(sample[0]["text"],)], "text string").select(F.parse_json("text").alias(doc))
-    own = leaf_rows(one, depth, order_by, as_json=as_json).select("path", "ord", "type_tag", F.length("text").alias("chars"), "is_hoist")
+    own = leaf_rows(one, None, order_by, as_json=as_json).select("path", "ord", "type_tag", F.length("text").alias("chars"), "is_hoist")
     firsts = {tuple(r.path): r for r in own.collect() if r.type_tag != leaves.EMPTY}
     kinds: dict[tuple, set] = {}
     for r in rows:
@@ -98,7 +99,7 @@ def _first_facts(docs: DataFrame, rows: list[Row], depth: int, order_by: str, as
     bad_chars = {}
     if late or dates:
         wanted = F.col("path").isin(*(F.array(*map(F.lit, p)) for p in late + dates))
-        for r in first_values(docs, depth, order_by, wanted, as_json).collect():
+        for r in first_values(docs, order_by, wanted, as_json).collect():
             path = tuple(r.path)
             if path not in dates and (path not in firsts or r.first.ord < firsts[path].ord):
                 firsts[path] = r.first
@@ -400,14 +401,16 @@ def plan_documents(
     keep_parent: bool = False,
     order_by: str = "_id",
     as_json: Iterable[str] = (),
+    max_keys: int | None = MAX_KEYS,
     **options,
 ) -> DataFrame:
     """Profile a collection and infer its plan, object columns included.
 
-    ``as_json`` names objects (dotted) that are kept whole, as the JSON text of one column.
+    ``as_json`` names objects (dotted) that are kept whole, as the JSON text of one column. Objects with more than ``max_keys``
+    different keys in all documents are maps, whose keys are data, and kept whole too (None: no limit).
     """
     needs_order = mode == "sample" or hoist == "sample"
-    profile = collect_profile(docs, order_by if needs_order else None, [p.split(".") for p in as_json])
+    profile = collect_profile(docs, order_by if needs_order else None, [p.split(".") for p in as_json], max_keys)
     rows = profile.collect()
     hoisted = _hoisted_paths(rows, hoist)
     inner = {tuple(r.path[: i + 1]) for r in rows for i in range(len(r.path) - 1)}

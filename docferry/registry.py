@@ -1157,9 +1157,9 @@ def migrate_mixed_decimals(spark, sf_dir):
 
 @query("SELECT CAST(event_id AS VARCHAR) AS _id, '{\"u' || user_id || '\":' || event_id || '}' AS by_user FROM events")
 def migrate_map_like(spark, sf_dir):
-    """An object whose keys are data is one column, not one for each key."""
+    """An object whose keys are data is known by their number: one column, not one for each key."""
     parts = """concat('{"_id":', event_id, ',"byUser":{"u', user_id, '":', event_id, '}}')"""
-    return migrated(spark, table(spark, sf_dir, "events").select(F.expr(parts)), as_json=["byUser"])
+    return migrated(spark, table(spark, sf_dir, "events").select(F.expr(parts)), max_keys=16)
 
 
 @query("SELECT o_orderkey AS _id, o_totalprice AS total_price, o_orderstatus AS status FROM orders")

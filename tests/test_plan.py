@@ -7,7 +7,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from docferry.operators.profile import profile_documents
+from docferry.operators import profile
+from docferry.operators.profile import map_paths, profile_documents
 from docferry.plans import apply_plan, collect_profile, diff_schema, infer_plan, plan_columns, plan_documents, reject_rows, render_additions, render_ddl
 
 OID = "64b000000000000000000%03x"
@@ -304,12 +305,42 @@ def test_objects_used_as_maps_stay_whole(docs_of):
     assert len(types(plan_documents(docs))) == 32
 
 
+def test_objects_used_as_maps_are_found(docs_of, monkeypatch):
+    lines = [json.dumps({"_id": i, "by": {f"k{i}": {f"n{i}": i}}, "o": {"m": {f"x{i}": {f"y{j}": 1 for j in range(9)}}, "few": {"a": i}}}) for i in range(30)]
+    docs = docs_of(lines)
+    for rows_at_once in (16_384, 8):  # on the driver, and in a table of the profile
+        monkeypatch.setattr(profile, "ROWS_AT_ONCE", rows_at_once)
+        plan = plan_documents(docs, max_keys=8)
+        assert types(plan) == {"id": "INT", "_id": "INT", "by": "VARCHAR(255)", "o_few_a": "INT", "o_m": "VARCHAR(255)"}
+        rows = {r._id: (json.loads(r.by), json.loads(r.o_m)) for r in apply_plan(docs, plan).collect()}
+        assert rows == {d["_id"]: (d["by"], d["o"]["m"]) for d in map(json.loads, lines)}
+        with pytest.raises(ValueError, match="more than 2 different fields"):
+            plan_documents(docs, max_keys=2)
+    found = profile_documents(docs, 9)
+    assert map_paths(found, 8) == [["by"], ["o", "m"]] and map_paths(found, 30) == [["o", "m"]][:0]
+    assert len(types(plan_documents(docs, max_keys=None))) == 2 + 30 + 1 + 30 * 9
+
+
+def test_members_deepen_one_by_one(docs_of):
+    """Empty objects, Extended JSON, nulls, arrays and odd keys at several levels of one document; no level is unfolded for leaves."""
+    doc = {"a": 1, "b": {"c": {"d": {}, "e.f": None, "g`": {"$oid": "7"}}, "h": [{"x": 1}]}, "i": {}, "j": {"$date": "2024-01-01T00:00:00Z"}}
+    docs = docs_of([json.dumps(doc)])
+    rows = {(tuple(r.path), r.type_tag) for r in profile_documents(docs).collect()}
+    assert rows == {
+        (("a",), "INT"), (("b", "c", "d"), "EMPTY"), (("b", "c", "e.f"), "NULL"), (("b", "c", "g`"), "OBJECT_ID"),
+        (("b", "h"), "LIST"), (("i",), "EMPTY"), (("j",), "DATE"),
+    }
+    cut = {(tuple(r.path), r.type_tag) for r in profile_documents(docs, 2).collect()}
+    assert (("b", "c"), "OBJECT") in cut and (("b", "h"), "LIST") in cut
+    assert profile.unfold(docs)._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 2
+
+
 def test_deep_documents_are_profiled_to_the_end(docs_of):
     deep = {"v": 1}
-    for k in range(25):
+    for k in range(300):
         deep = {f"l{k}": deep}
     rows = profile_documents(docs_of([json.dumps(deep)])).collect()
-    assert [(len(r.path), r.type_tag) for r in rows] == [(26, "INT")]
+    assert [(len(r.path), r.type_tag) for r in rows] == [(301, "INT")]
 
 
 @pytest.mark.parametrize(
