@@ -1159,7 +1159,7 @@ def migrate_mixed_decimals(spark, sf_dir):
 def migrate_map_like(spark, sf_dir):
     """An object whose keys are data is known by their number: one column, not one for each key."""
     parts = """concat('{"_id":', event_id, ',"byUser":{"u', user_id, '":', event_id, '}}')"""
-    return migrated(spark, table(spark, sf_dir, "events").select(F.expr(parts)), max_keys=16)
+    return migrated(spark, table(spark, sf_dir, "events").select(F.expr(parts)), max_keys=8)
 
 
 @query("SELECT o_orderkey AS _id, o_totalprice AS total_price, o_orderstatus AS status FROM orders")
