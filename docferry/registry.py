@@ -337,12 +337,31 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.select(F.parse_json(F.to_json(F.struct("*"))).alias("doc"))
 
 
-@query(
-    "SELECT 'props.k' AS path, 'INT' AS type_tag, count(*) AS n_docs, 0 AS n_null, max(length(k)) AS max_chars, "
-    "max(strlen(k)) AS max_bytes FROM (SELECT json_extract_string(props, '$.k') AS k FROM events)"
-)
+NESTED_TEXTS = {
+    "_id": ("INT", "CAST(event_id AS VARCHAR)"),
+    "createdAt": ("DATE", "strftime(ts, '%Y-%m-%d %H:%M:%S')"),
+    "userId": ("INT", "CAST(user_id AS VARCHAR)"),
+    "eventType": ("STRING", "event_type"),
+    "value": ("DOUBLE", "CAST(value AS VARCHAR)"),
+    "props.k": ("INT", "json_extract_string(props, '$.k')"),
+}
+
+
+def digits_sql(relation: str, columns: dict[str, tuple[str, str]]) -> str:
+    """Most digits before and after the decimal point of the columns that are numbers, NULL for the others."""
+    parts = []
+    for path, (kind, text) in columns.items():
+        before, after = f"max(length(ltrim(split_part({text}, '.', 1), '-0')))", f"max(length(rtrim(split_part({text}, '.', 2), '0')))"
+        measured = (before, after) if kind in ("INT", "LONG", "DOUBLE") else ("max(CAST(NULL AS INTEGER))",) * 2
+        parts.append(f"SELECT '{path}' AS path, {measured[0]} AS max_digits, {measured[1]} AS max_scale FROM {relation}")
+    return " UNION ALL ".join(parts)
+
+
+@query(f"SELECT * FROM ({profile_sql('events', NESTED_TEXTS)}) JOIN ({digits_sql('events', NESTED_TEXTS)}) USING (path)")
 def profile_props(spark, sf_dir):
-    return profile_view(profile_documents(event_documents(spark, sf_dir))).where("path = 'props.k'")
+    """All paths of documents with a nested object, with sizes and digits."""
+    found = profile_documents(event_documents(spark, sf_dir))
+    return profile_view(found, "n_wide_int", "n_bad_int", "max_digits", "max_scale")
 
 
 @query(
