@@ -15,13 +15,17 @@ from docferry.operators.shape import pack_documents
 from docferry.session import list_names, make_dir, path_exists, remove_path, rename_path, written
 
 DOC = "doc"
+#: How collections of JSON Lines are packed; Spark and other readers on Hadoop open them by their ending.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+LINES_PER_FILE = 250_000
 
 
 @dataclass(frozen=True)
 class DocumentStore:
     """Where collections live.
 
-    ``format="json"``: ``location`` is a folder with one folder of JSON Lines per collection.
+    ``format="json"``: ``location`` is a folder with one folder of JSON Lines per collection,
+    written with gzip, read with or without it.
     Any other format is a Spark connector (``mongodb``); ``location`` is the database name and
     ``options`` go to the connector, kept out of ``repr`` as they may hold a connection string.
     """
@@ -143,5 +147,7 @@ def write_collection(df: DataFrame, store: DocumentStore, name: str, mode: str =
         lines = df.select(F.to_json(df.columns[0]).alias("value"))
     else:
         lines = pack_documents(df, "value", typed=True)
-    lines.write.mode(mode).text(store.path(name))
+    # lines repeat every field name; a packed file cannot be split by its readers, so none gets long
+    writer = lines.write.mode(mode).option("maxRecordsPerFile", LINES_PER_FILE).options(**PACKED)
+    writer.text(store.path(name))
     make_dir(df.sparkSession, store.path(name))

@@ -130,6 +130,23 @@ def test_collections(spark, tmp_path):
         list_collections(spark, DocumentStore("db", "mongodb"))
 
 
+def test_collections_are_packed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("docferry.sources.documents.LINES_PER_FILE", 1000)
+    tables, store = FileTables(str(tmp_path / "tables")), DocumentStore(str(tmp_path / "db"))
+    rows = spark.range(4000, numPartitions=1).select("id", F.lit("é").alias("textOfName"), (F.col("id") / 3).alias("third"))
+    write_table(rows, tables, "things")
+    assert migrate_table(spark, tables, "things", store)[2:5] == ("migrated", 4000, 4000)
+    files = [f for f in (tmp_path / "db" / "things").iterdir() if f.name.startswith("part-")]
+    assert len(files) == 4
+    text = sum(len(json.dumps({"id": {"$numberLong": str(i)}, "textOfName": "é", "third": i / 3})) for i in range(4000))
+    assert sum(f.stat().st_size for f in files) < text / 3
+    # lines that somebody else left there as plain text are read with them
+    (tmp_path / "db" / "things" / "more.json").write_text('{"id": 4000, "textOfName": "x", "third": 0.5}\n')
+    docs = read_collection(spark, store, "things", as_variant=True)
+    found = docs.selectExpr("coalesce(try_variant_get(doc, '$.id[\"$numberLong\"]', 'long'), try_variant_get(doc, '$.id', 'long')) AS id", "variant_get(doc, '$.textOfName', 'string') AS t", "variant_get(doc, '$.third', 'double') AS v")
+    assert sorted(map(tuple, found.collect())) == [*((i, "é", i / 3) for i in range(4000)), (4000, "x", 0.5)]
+
+
 def test_sample_document(spark, docs_of):
     df = spark.createDataFrame([(None, 1), (3, 2), (2, 3)], "_id int, v int")
     assert sample_document(df).head().v == 3
