@@ -16,6 +16,8 @@ gives no rows; other columns of the input do not matter.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import regex
@@ -25,8 +27,10 @@ from pyspark.sql import functions as F
 from docferry.llm.bpe import Codec, codec, pre_tokens, white_space
 from docferry.llm.common import slices
 
-#: Distinct groups that a task keeps, and as many pairs of tokens; when full, it starts anew.
-KEEP = 400_000
+#: Distinct groups that a worker keeps, and as many pairs of tokens, and characters of those groups; when full, it starts
+#: anew, but for the groups that its present texts have.
+KEEP = 600_000
+KEEP_CHARS = 32 << 20
 #: Bytes of texts whose new groups are worked out together.
 STEP_BYTES = 4 << 20
 
@@ -45,13 +49,21 @@ class PrefixCounter:
         self.tokens, self.keep = tokens, keep
         specials = set(tokens.specials.values())
         self.ids = {p: i for i, p in enumerate(tokens.pieces) if i not in specials}
-        #: By the last three bytes of a token, the lengths that tokens with that end have, and 2 and 1; longest first.
-        ends: dict[bytes, set[int]] = {}
+        #: All beginnings of tokens and their numbers; as states of an Aho-Corasick automaton they tell which tokens end at a place.
+        self.begins = {b"": 0}
         for piece in self.ids:
-            if len(piece) > 2:
-                ends.setdefault(piece[-3:], {1, 2}).add(len(piece))
-        self.lengths = {end: tuple(sorted(own, reverse=True)) for end, own in ends.items()}
+            for k in range(len(piece), 0, -1):
+                if piece[:k] in self.begins:
+                    break
+                self.begins[piece[:k]] = len(self.begins)
+        self.names = list(self.begins)
+        #: Of states met so far, the tokens that their bytes end with, longest first, with their lengths.
+        self.ends: list[tuple | None] = [None] * len(self.names)
+        self.moves: dict[int, int] = {}
         self.steps: dict[str, bytes] = {}
+        self.chars = 0
+        #: One object for equal steps; there are far fewer than groups.
+        self.equal: dict[bytes, bytes] = {}
         self.fits: dict[int, bool] = {}
         self.split = pre_tokens().findall
 
@@ -63,43 +75,65 @@ class PrefixCounter:
         self.fits[a << _TOKEN_BITS | b] = known
         return known
 
-    def _extend(self, data: bytes, counts: list[int], last: list[int]) -> None:
-        """Counts and last tokens of all prefixes of ``data``, given those of the first ones (entry 0: nothing)."""
-        ids, fits, lengths = self.ids, self.fits, self.lengths
-        for end in range(len(counts), len(data) + 1):
-            for length in lengths.get(data[max(end - 3, 0) : end], (2, 1)):
-                start = end - length
-                token = ids.get(data[start:end]) if start >= 0 else None
-                if token is None:
-                    continue
-                before = last[start]
-                may = start == 0 or fits.get(before << _TOKEN_BITS | token)
+    def _move(self, state: int, byte: int) -> int:
+        """The longest beginning of a token that the bytes of a state and one more end with; ``moves`` keeps the answer."""
+        if len(self.moves) > self.keep:
+            self.moves.clear()
+        name = self.names[state] + bytes([byte])
+        to = next(self.begins[name[k:]] for k in range(len(name)) if name[k:] in self.begins)
+        if self.ends[to] is None:
+            own = self.names[to]
+            self.ends[to] = tuple((len(own) - k, self.ids[own[k:]]) for k in range(len(own)) if own[k:] in self.ids)
+        self.moves[state << 8 | byte] = to
+        return to
+
+    def _extend(self, data: bytes, counts: list[int], last: list[int], states: list[int]) -> None:
+        """Counts, last tokens and states of all prefixes of ``data``, given those of the first ones (entry 0: nothing)."""
+        fits_of, move_of, ends = self.fits.get, self.moves.get, self.ends
+        add_count, add_last, add_state = counts.append, last.append, states.append
+        state = states[-1]
+        for byte in data[len(counts) - 1 :]:
+            to = move_of(state << 8 | byte)
+            state = self._move(state, byte) if to is None else to
+            add_state(state)
+            for length, token in ends[state]:
+                before = last[-length]
+                may = before < 0 or fits_of(before << _TOKEN_BITS | token)
                 if may or may is None and self._may_follow(before, token):
-                    counts.append(counts[start] + 1)
-                    last.append(token)
+                    add_count(counts[-length] + 1)
+                    add_last(token)
                     break
 
     def learn(self, groups: set[str]) -> None:
         """Work out the steps of new groups; in order of their bytes, so that each goes on from what it shares with the one before."""
-        before, counts, last = b"", [0], [-1]
-        for data, group in sorted((g.encode(), g) for g in groups):
-            shared = 0
-            for x, y in zip(before, data, strict=False):
-                if x != y:
-                    break
-                shared += 1
-            del counts[shared + 1 :], last[shared + 1 :]
-            self._extend(data, counts, last)
-            before = data
-            own = counts if len(group) == len(data) else [0, *(c for k, c in enumerate(counts) if k and (k == len(data) or data[k] & 0xC0 != 0x80))]
+        if not groups:
+            return
+        ordered = sorted(groups)  # in order of their bytes too
+        encoded = [g.encode() for g in ordered]
+        counts, last, states, found = [0], [-1], [0], []
+        for data, shared in zip(encoded, _shared(encoded), strict=True):
+            del counts[shared + 1 :], last[shared + 1 :], states[shared + 1 :]
+            self._extend(data, counts, last, states)
+            found += counts[1:]
+        # of the counts after every byte, those at the end of a character
+        begins = (np.frombuffer(b"".join([*encoded, b" "]), np.uint8) & 0xC0) != 0x80
+        at_ends = np.asarray(found, np.int64)[begins[1:]]
+        stops = np.cumsum([len(g) for g in ordered]).tolist()
+        before = np.concatenate([[0], at_ends[:-1]])
+        before[[0, *stops[:-1]]] = 0
+        whole, start = (at_ends - before).astype(np.int8).tobytes(), 0
+        for group, stop in zip(ordered, stops, strict=True):
+            steps, start = whole[start:stop], stop
             if group in _CONTRACTIONS:
-                own = [0, own[1], own[1] + 1, own[3]]
-            self.steps[group] = bytes([(b - a) & 255 for a, b in zip(own, own[1:], strict=False)])
+                one, two, three = steps
+                steps = bytes([one, 1, two + three - 1 & 255])
+            self.steps[group] = self.equal.setdefault(steps, steps)
+        self.chars += len(whole)
 
     def group_count(self, group: str) -> int:
         """Tokens of one group."""
-        counts, last = [0], [-1]
-        self._extend(group.encode(), counts, last)
+        counts = [0]
+        self._extend(group.encode(), counts, [-1], [0])
         return counts[-1]
 
     def ordinary_steps(self, text: str, groups: list[str]) -> bytes:
@@ -127,9 +161,11 @@ class PrefixCounter:
         new = set()
         for own in groups:
             new.update(*own)
-        if len(self.steps) + len(new) > self.keep:
-            self.steps.clear()
-        new.difference_update(self.steps)
+        known = new.intersection(self.steps)
+        new -= known
+        if len(self.steps) + len(new) > self.keep or self.chars > KEEP_CHARS:
+            self.steps, self.chars = {g: self.steps[g] for g in known}, sum(map(len, known))
+            self.equal = {steps: steps for steps in self.steps.values()}
         self.learn(new)
         return [self._steps(*own) for own in zip(parts, groups, strict=True)]
 
@@ -155,6 +191,15 @@ class PrefixCounter:
         return out
 
 
+def _shared(ordered: list[bytes], most: int = 24) -> list[int]:
+    """How many first bytes, ``most`` at most, each string has in common with the one before."""
+    rows = np.array(ordered, f"S{most}").view(np.uint8).reshape(-1, most)
+    differ = rows[1:] != rows[:-1]
+    common = np.where(differ.any(axis=1), differ.argmax(axis=1), most)
+    size = np.fromiter(map(len, ordered), np.int64, len(ordered))
+    return [0, *np.minimum(common, np.minimum(size[1:], size[:-1])).tolist()]
+
+
 def _shifted(steps: bytes, at: int, by: int) -> bytes:
     changed = np.frombuffer(steps, np.int8).astype(np.int64)
     changed[at] += by
@@ -166,6 +211,12 @@ def fitting_prefix(counts: np.ndarray, limit: int) -> int:
     return int(np.flatnonzero(counts <= limit)[-1])
 
 
+@functools.lru_cache(maxsize=1)
+def counter(path: str) -> PrefixCounter:
+    """The counter of a file with what it has learned, for all tasks of a worker."""
+    return PrefixCounter(codec(path))
+
+
 def count_tokens(df: DataFrame, tokenizer: str, *, limit: int, doc_id: str = "doc_id", text: str = "text", keep_steps: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit, fit_chars (longest prefix within ``limit`` tokens), and with ``keep_steps``
     the steps (binary, a signed byte a character), from which ``counts_of`` answers any later question."""
@@ -173,10 +224,10 @@ def count_tokens(df: DataFrame, tokenizer: str, *, limit: int, doc_id: str = "do
     kind = dict(rows.dtypes)["doc_id"]
 
     def count(batches):
-        counter = PrefixCounter(codec(tokenizer))
+        prefixes = counter(tokenizer)
         for batch in slices(batches, "text", STEP_BYTES):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            counts = counter.prefix_counts(texts)
+            counts = prefixes.prefix_counts(texts)
             n_bytes, n_tokens = [len(t.encode()) for t in texts], [int(c[-1]) for c in counts]
             fit = [len(t) if c[-1] <= limit else fitting_prefix(c, limit) for t, c in zip(texts, counts, strict=True)]
             kept = [np.diff(c).astype(np.int8).tobytes() for c in counts] if keep_steps else []

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from docferry.llm import chunked_bpe, prefix_counts, token_files
-from docferry.llm.bpe import codec
+from docferry.llm.bpe import codec, pre_tokens
 from docferry.session import scratch_dir
 
 from odd_data import ODD_TEXTS, sentence
@@ -88,6 +88,20 @@ def test_full_caches_start_anew(tokens):
         assert counter.prefix_counts([text])[0][-1] == len(ids_of(tokens, text))
 
 
+def test_prefix_counter_learns_a_group_once(tokens, byte_bpe, monkeypatch):
+    texts = [sentence(1, 60), "жаба 語語 é're don't  \n x" + sentence(2, 20)]
+    n_groups = len({g for t in texts for g in pre_tokens().findall(t)})
+    counter, learned = prefix_counts.PrefixCounter(tokens, keep=n_groups + 5), []
+    learn = counter.learn
+    monkeypatch.setattr(counter, "learn", lambda groups: (learned.append(len(groups)), learn(groups)))
+    # other texts drive out what the present ones do not need
+    for text, new in ((texts, n_groups), (texts, 0), ([texts[0], " and otherwords here asit were wasnot"], None), (texts[:1], 0)):
+        for counts, t in zip(counter.prefix_counts(text), text, strict=True):
+            assert counts.tolist() == [len(ids_of(tokens, t[:k])) for k in range(len(t) + 1)]
+        assert new is None or learned[-1] == new
+    assert prefix_counts.counter(byte_bpe) is prefix_counts.counter(byte_bpe)
+
+
 def test_encode_documents(tokens, byte_bpe, odd_documents, no_documents):
     rows = chunked_bpe.encode_documents(odd_documents, byte_bpe).collect()
     want = sorted(((i, ids_of(tokens, t)) for i, t in ODD_TEXTS), key=str)
