@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import dataclasses
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,12 @@ MAX_BYTES = 24 << 20
 THRESHOLD = 0.3
 #: Bytes of text that are scored together; their n-grams take some 200 times as much.
 SCORE_BYTES = 1 << 18
+#: The same in training, on the driver.
+TRAIN_BYTES = 1 << 16
+#: Words whose n-grams are averaged together.
+MEAN_WORDS = 1 << 14
+#: Rows of the embedding table that are drawn together.
+DRAWN_ROWS = 1 << 14
 
 
 @dataclasses.dataclass(frozen=True)
@@ -134,20 +141,31 @@ def _word_means(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 class Words:
     """The distinct words of the training texts with their n-grams, and each text as numbers of words."""
 
-    def __init__(self, texts: pa.Array, settings: Settings):
-        numbers: dict[int, int] = {}
+    def __init__(self, texts: pa.Array | pa.ChunkedArray, settings: Settings):
+        known, numbers, n_known = np.zeros(0, np.uint64), np.zeros(0, np.int32), 0
         self.texts: list[np.ndarray] = []
         found_all, sizes = bytearray(), [np.zeros(0, np.int64)]
-        for start in range(0, len(texts), settings.batch):
-            buckets, first, rows, keys = grams(texts[start : start + settings.batch], settings)
+        for part, goes_on in _steps(texts, settings.batch):
+            buckets, first, rows, keys = grams(part, settings)
             distinct, at, where = np.unique(keys, return_index=True, return_inverse=True)
-            new = at[[k not in numbers for k in distinct.tolist()]] if len(keys) else at
-            numbers.update(zip(keys[new].tolist(), range(len(numbers), len(numbers) + len(new)), strict=True))
-            found, n = _gathered(buckets, first, new)
+            # sorted arrays: a dictionary of all words would take several times as much
+            place = np.searchsorted(known, distinct)
+            new = np.ones(len(distinct), bool)
+            inside = place < n_known
+            new[inside] = known[place[inside]] != distinct[inside]
+            own = np.empty(len(distinct), np.int32)
+            own[~new] = numbers[place[~new]]
+            own[new] = np.arange(n_known, n_known + new.sum())
+            known, numbers = np.insert(known, place[new], distinct[new]), np.insert(numbers, place[new], own[new])
+            n_known = len(known)
+            found, n = _gathered(buckets, first, at[new])
             found_all += found.astype(np.int32).tobytes()
             sizes.append(n)
-            own = np.asarray([numbers[k] for k in distinct.tolist()], np.int32)[where]
-            self.texts += [own[a:b].copy() for a, b in zip(rows, rows[1:], strict=False)]
+            own = own[where]
+            of_rows = [own[a:b].copy() for a, b in zip(rows, rows[1:], strict=False)]
+            if goes_on:
+                self.texts[-1] = np.concatenate([self.texts[-1], of_rows.pop(0)])
+            self.texts += of_rows
         self.grams = np.frombuffer(found_all, np.int32)
         self.first = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64)
 
@@ -157,7 +175,33 @@ class Words:
 
     def means(self, values: np.ndarray) -> np.ndarray:
         """The mean over each word's n-grams of a number per bucket."""
-        return np.add.reduceat(values[self.grams], self.first[:-1]) / np.diff(self.first) if len(self.grams) else np.zeros(0)
+        out = np.zeros(len(self.first) - 1)
+        for start in range(0, len(out), MEAN_WORDS):
+            first = self.first[start : start + MEAN_WORDS + 1]
+            own = values[self.grams[first[0] : first[-1]]]
+            out[start : start + MEAN_WORDS] = np.add.reduceat(own, first[:-1] - first[0]) / np.diff(first)
+        return out
+
+
+def _steps(texts: pa.Array | pa.ChunkedArray, batch: int) -> Iterator[tuple[pa.Array, bool]]:
+    """The texts in parts of at most ``batch`` rows and TRAIN_BYTES; whether the first row goes on with the text before.
+
+    A longer text is cut between words.
+    """
+    for chunk in texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]:
+        for start in range(0, len(chunk), batch):
+            rows = pa.RecordBatch.from_arrays([chunk[start : start + batch]], ["text"])
+            for part in slices([rows], "text", TRAIN_BYTES):
+                part = part.column("text")
+                data, _ = utf8_bytes(part)
+                if len(part) > 1 or len(data) <= TRAIN_BYTES:
+                    yield part, False
+                    continue
+                between = np.flatnonzero(_BETWEEN[data])
+                wanted = np.searchsorted(between, np.arange(TRAIN_BYTES, len(data), TRAIN_BYTES))
+                cuts = [0, *np.unique(between[wanted[wanted < len(between)]]).tolist(), len(data)]
+                for a, b in zip(cuts, cuts[1:], strict=False):
+                    yield pa.array([data[a:b].tobytes()], pa.large_binary()), a > 0
 
 
 def _gathered(values: np.ndarray, first: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,15 +215,17 @@ def _gathered(values: np.ndarray, first: np.ndarray, at: np.ndarray) -> tuple[np
 JUDGE_STEPS = 16
 
 
-def fit(texts: pa.Array, labels: np.ndarray, settings: Settings) -> Model:
+def fit(words: Words, labels: np.ndarray, settings: Settings) -> Model:
     """Embeddings and linear softmax, learned together."""
     share = float(labels.mean()) if len(labels) else 0.0
     constant = Model(settings, np.zeros(settings.buckets, np.float32), float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
     if len(labels) == 0 or share in (0.0, 1.0):
         return constant
-    words = Words(texts, settings)
     rng = np.random.default_rng(settings.seed)
-    table = rng.normal(0, 0.1, (settings.buckets, settings.dim)).astype(np.float32)
+    table = np.empty((settings.buckets, settings.dim), np.float32)
+    for start in range(0, settings.buckets, DRAWN_ROWS):
+        rows = table[start : start + DRAWN_ROWS]
+        rows[:] = rng.normal(0, 0.1, rows.shape)
     weights = rng.normal(0, 0.1, (settings.dim, 2)).astype(np.float32)
     bias = np.log(np.asarray([1 - share, share], np.float32))
     squares = [np.full(settings.buckets, 1e-8, np.float32), np.full_like(weights, 1e-8), np.full_like(bias, 1e-8)]
@@ -226,7 +272,7 @@ def fit(texts: pa.Array, labels: np.ndarray, settings: Settings) -> Model:
     return Model(settings, table @ (weights[:, 1] - weights[:, 0]), float(bias[1] - bias[0]))
 
 
-def training_rows(df: DataFrame, labels: DataFrame, *, doc_id: str, text: str, label: str, usable: Column | None, max_rows: int, max_bytes: int) -> tuple[pa.Array, np.ndarray]:
+def training_rows(df: DataFrame, labels: DataFrame, *, doc_id: str, text: str, label: str, usable: Column | None, max_rows: int, max_bytes: int) -> tuple[pa.ChunkedArray, np.ndarray]:
     """At most ``max_rows`` labelled texts, half of the rarer class if there are as many, in order of the hash of their ids.
 
     Ids are chosen first, from narrow columns; texts are read for the chosen ones only.
@@ -238,7 +284,7 @@ def training_rows(df: DataFrame, labels: DataFrame, *, doc_id: str, text: str, l
     by_class = [ranked.where(F.col("mark") == m).orderBy("order", "id").limit(max_rows).collect() for m in (0, 1)]
     half = max_rows // 2
     chosen = [r for m in (0, 1) for r in by_class[m][: max(half, max_rows - len(by_class[1 - m]))]]
-    nothing = pa.array([], pa.string()), np.zeros(0, np.int64)
+    nothing = pa.chunked_array([], pa.string()), np.zeros(0, np.int64)
     if not chosen:
         return nothing
     ids = spark.createDataFrame(chosen, ranked.schema)
@@ -259,12 +305,17 @@ def training_rows(df: DataFrame, labels: DataFrame, *, doc_id: str, text: str, l
     place = F.row_number().over(Window.partitionBy("order", "size").orderBy("value"))
     found = sized.join(F.broadcast(taken), ["order", "size"]).withColumn("place", place).where((F.col("place") <= max_rows) & (F.col("place") <= F.col("n_taken")))
     texts = found.orderBy("order", "size", "value").select("mark", "value").toArrow()
-    return texts.column("value").combine_chunks(), texts.column("mark").to_numpy()
+    return texts.column("value"), texts.column("mark").to_numpy()
 
 
 def train(df: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", usable: Column | None = None, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, settings: Settings = Settings()) -> Model:
     """A model from the labelled rows of ``df`` for which ``usable`` holds."""
-    return fit(*training_rows(df, labels, doc_id=doc_id, text=text, label=label, usable=usable, max_rows=max_rows, max_bytes=max_bytes), settings)
+    texts, marks = training_rows(df, labels, doc_id=doc_id, text=text, label=label, usable=usable, max_rows=max_rows, max_bytes=max_bytes)
+    words = Words(texts if 0 < marks.sum() < len(marks) else texts[:0], settings)
+    # the driver keeps word numbers only while it learns
+    del texts
+    pa.default_memory_pool().release_unused()
+    return fit(words, marks, settings)
 
 
 def score(df: DataFrame, model: Model, *, text: str = "text", into: str = "score") -> DataFrame:

@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -199,3 +200,24 @@ def test_score_replaces_a_column(spark):
     df = spark.createDataFrame([("a b", 9.0)], "text string, score double")
     model = toxicity.Model(SMALL, np.zeros(SMALL.buckets, np.float32), 0.0)
     assert toxicity.score(df, model).select(F.col("score")).first().score == 0.5
+
+
+def test_training_texts_take_little_memory():
+    """Their n-grams take some 200 times as much as the texts, so the driver makes them of a few at a time, of long texts in pieces."""
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=rng.randrange(1, 7))) for _ in range(n)) for n in (300, 200_000, *[3000] * 40, 1)]
+    texts = [*texts, "", "é" * 90_000 + " end", None, " ", "a.b " * 20_000]
+    column = pa.chunked_array([texts[:3], texts[3:]], pa.string())
+    tracemalloc.start()
+    words = toxicity.Words(column if hasattr(toxicity, "TRAIN_BYTES") else column.combine_chunks(), SMALL)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    assert len(words.texts) == len(texts)
+    for i in (0, 1, 2, *range(len(texts) - 6, len(texts))):
+        buckets, first, _, _ = toxicity.grams(pa.array([texts[i]], pa.string()), SMALL)
+        own, sizes = words.of(words.texts[i])
+        assert own.tolist() == buckets.tolist() and sizes.tolist() == np.diff(first).tolist()
+    values = rng.choices(range(100), k=SMALL.buckets)
+    values = np.asarray(values, np.float32)
+    assert words.means(values).tolist() == (np.add.reduceat(values[words.grams], words.first[:-1]) / np.diff(words.first)).tolist()
