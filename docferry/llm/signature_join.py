@@ -69,10 +69,13 @@ SALTS = 64
 #: Members of a block in exact comparison, and bits for each token there.
 BLOCK = 256
 WIDE = 8
-#: Node pairs worked on at once.
+#: Node pairs worked on at once, and 64-bit words of their bitmaps.
 FRONTIER = 100_000
+AT_ONCE = 1 << 20
 #: Rows of an id table that goes to all tasks; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
+#: Rows of an id table that one task writes.
+ID_ROWS = 100_000
 
 _SEEDS = mix64(np.arange(1, MINHASHES + 1, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
@@ -148,9 +151,9 @@ def _describe(batches) -> Iterator[pa.RecordBatch]:
 
     def counted(parts: list[np.ndarray]) -> pa.RecordBatch:
         values, n = np.unique(np.concatenate(parts), return_counts=True)
-        often = [{"hash": int(h), "n": int(c)} for h, c in zip(values[n > 2].view(np.int64), n[n > 2], strict=True)]
+        often = pa.StructArray.from_arrays([pa.array(values[n > 2].view(np.int64)), pa.array(n[n > 2])], ["hash", "n"])
         empty = [pa.array([None], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())]
-        return pa.RecordBatch.from_arrays([*empty, pa.array([often], _OFTEN)], _NAMES)
+        return pa.RecordBatch.from_arrays([*empty, pa.ListArray.from_arrays(pa.array([0, len(often)], pa.int32()), often)], _NAMES)
 
     for batch in slices(batches, "text"):
         hashes, of, words, rows = shingles(batch.column("text"))
@@ -188,15 +191,24 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def id_files(df: DataFrame) -> int:
+    """Files for a table of a few ids for each row of ``df``.
+
+    Without this, each of the shuffle's tasks writes a file of some rows, and its buffers and the file system's calls add up.
+    """
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ID_ROWS))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label: the least node that each node of the edges (a, b) reaches."""
-    both, _ = written(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels, _ = written(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")), "labels")
+    files = id_files(edges)
+    both, _ = written(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges", files)
+    labels, _ = written(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")), "labels", files)
     while True:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy(F.col("a").alias("at")).agg(F.min("label").alias("other"))
         hooked = labels.join(near, F.col("node") == F.col("at")).select("node", "label", F.least("label", "other").alias("next"))
         jump = labels.select(F.col("node").alias("to"), F.col("label").alias("further"))
-        moved, _ = written(hooked.join(jump, F.col("next") == F.col("to")).select("node", "label", F.least("next", "further").alias("next")), "labels")
+        moved, _ = written(hooked.join(jump, F.col("next") == F.col("to")).select("node", "label", F.least("next", "further").alias("next")), "labels", files)
         done = moved.where("label <> next").isEmpty()
         labels = moved.select("node", F.col("next").alias("label"))
         if done:
@@ -225,7 +237,7 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) that link."""
-    ids, _ = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "pair-ids")
+    ids, _ = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "pair-ids", id_files(pairs))
     sets, _ = written(_sets(docs, ids), "pair-sets")
 
     def compare(batches):
@@ -253,6 +265,15 @@ def _overlap(x: np.ndarray, y: np.ndarray) -> int:
 # --- signature trees -------------------------------------------------------------------------
 
 
+def _shared(bits: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits that the bitmaps of each pair share, AT_ONCE words of them at a time."""
+    out, step = np.empty(len(a), np.int64), max(1, AT_ONCE // bits.shape[1])
+    for start in range(0, len(a), step):
+        x, y = a[start : start + step], b[start : start + step]
+        out[start : start + step] = np.bitwise_count(bits[x] & bits[y]).sum(axis=1)
+    return out
+
+
 class Members:
     """Classes with sizes, components and bitmaps; bitmaps are folded to the width that two of them have in common."""
 
@@ -282,9 +303,7 @@ class Members:
         for w in np.unique(width):
             rows = np.flatnonzero(width == w)
             bits, beyond = self.at(int(w))
-            for part in np.array_split(rows, -(-len(rows) * int(w) // (1 << 26))):
-                shared = np.bitwise_count(bits[a[part]] & bits[b[part]]).sum(axis=1).astype(np.int64)
-                most[part] = shared + np.minimum(beyond[a[part]], beyond[b[part]])
+            most[rows] = _shared(bits, a[rows], b[rows]) + np.minimum(beyond[a[rows]], beyond[b[rows]])
         most = np.minimum(most, np.minimum(self.sizes[a], self.sizes[b]))
         keep = links(most, self.sizes[a], self.sizes[b])
         return a[keep], b[keep], most[keep]
@@ -347,8 +366,7 @@ class SignatureTree:
         one = (first[a] == last[a]) & (first[b] == last[b]) & (first[a] == first[b])
         sizes = (high[a] >= needed(low[b])) & (high[b] >= needed(low[a])) & ~one
         a, b = a[sizes], b[sizes]
-        shared = np.bitwise_count(bits[a] & bits[b]).sum(axis=1).astype(np.int64)
-        most = np.minimum(shared + np.minimum(beyond[a], beyond[b]), np.minimum(high[a], high[b]))
+        most = np.minimum(_shared(bits, a, b) + np.minimum(beyond[a], beyond[b]), np.minimum(high[a], high[b]))
         sizes[sizes] = links(most, low[a], low[b])
         return sizes
 
@@ -519,7 +537,7 @@ def _stars(docs: DataFrame, classes: DataFrame) -> DataFrame:
     alike = met.join(mine, "id").join(theirs, "center").where(sized).select("id", "center", "weight", agree.alias("agree")).where(F.col("agree") >= ALIKE)
     best = alike.groupBy("id").agg(F.max(F.struct("weight", "center"))["center"].alias("first"), F.max(F.struct("agree", "center"))["center"].alias("best"))
     pairs = best.select(F.explode(F.array_distinct(F.array("first", "best"))).alias("a"), F.col("id").alias("b"))
-    pairs, _ = written(pairs, "star-pairs")
+    pairs, _ = written(pairs, "star-pairs", id_files(classes))
     return _verified(docs, pairs)
 
 
@@ -636,9 +654,9 @@ def _group_links(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> Data
 def _bucket_links(docs: DataFrame, classes: DataFrame, labels: DataFrame | None, frequent: np.ndarray) -> DataFrame:
     """The classes with their last component, once no two components hold classes that link (steps 2 to 4)."""
     named, _ = written(_with_component(classes, labels), "shingle-classes")
-    mixed, deep = _mixed(docs, named, frequent), False
+    mixed, deep, files = _mixed(docs, named, frequent), False, id_files(named)
     while True:
-        pairs, _ = written(_candidates(mixed, named, deep), "candidates")
+        pairs, _ = written(_candidates(mixed, named, deep), "candidates", files)
         n_pairs, n_new, before = pairs.count(), 0, named
         if n_pairs:
             new, _ = written(_verified(docs, pairs.select("a", "b")), "links")

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -181,3 +182,44 @@ def test_words_that_collide_in_polynomials(spark):
     assert len(set(keys[:2].tolist())) == 2
     own = join._sequence_keys(*join.shingles(pa.array(texts))[2:])
     assert all(len(set(k.tolist())) == 4 for k in own)
+
+
+def test_files_of_ids(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    edges = spark.createDataFrame([(k, k + 1) for k in range(0, 900, 3)], "a long, b long")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        labels = join.components(edges)
+        assert len(labels.inputFiles()) <= spark.sparkContext.defaultParallelism
+        assert sorted(labels.collect()) == sorted((n, k) for k in range(0, 900, 3) for n in (k, k + 1))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_memory_of_wide_bitmaps():
+    rng = np.random.default_rng(5)
+    n, words = 400, 1024
+    base = rng.bytes(8 * words)
+    bits = [base[:k] + bytes([base[k] ^ 1]) + base[k + 1 :] for k in range(n)]
+    sizes = np.full(n, 4 * 8 * words)
+    members = join.Members(np.arange(n), sizes, np.arange(n), bits)
+    tree = join.SignatureTree(members, np.arange(n))
+    tracemalloc.start()
+    try:
+        assert sum(len(a) for a, _ in tree.pairs()) == n * (n - 1) // 2
+        assert tracemalloc.get_traced_memory()[1] < 100e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_counts_of_frequent_shingles():
+    texts = [" ".join(f"w{t}x{k}" for k in range(4000)) for t in range(30)] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    rows = list(join._describe(iter([batch])))
+    found = np.concatenate([np.unique(s) for s in join.shingle_sets(pa.array(texts[:30]))])
+    often = rows[-1].column("often")
+    assert rows[-1].schema.field("often").type == join._OFTEN
+    assert sorted(o["hash"] for o in often[0].as_py()) == sorted(found[found < np.uint64(1 << 63)].view(np.int64).tolist())
+    assert {o["n"] for o in often[0].as_py()} == {3}
