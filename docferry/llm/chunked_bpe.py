@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from docferry.llm.bpe import Codec, codec
-from docferry.llm.common import mix64, named, powers, running_hash, shuffle_partitions, slices, utf8_bytes
+from docferry.llm.common import give_back, mix64, named, powers, running_hash, shuffle_partitions, slices, utf8_bytes
 
 WINDOW = 24
 #: A chunk has 2 ** CUT_BITS bytes on average.
@@ -153,6 +153,7 @@ def similar_together(df: DataFrame, text: str, salt: str, n: int | None = None)
                 keys[i] = own.min() if stop - start >= WINDOW else 0
             keys = mix64(keys ^ SECOND_MIX)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys.view(np.int64))], [*batch.schema.names, "_alike"])
+        give_back()
 
     schema = StructType([*df.schema, StructField("_alike", LongType())])
     keyed = df.mapInArrow(least, schema)
@@ -176,6 +177,8 @@ def encode_documents(df: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", t
             if keep_ids:
                 columns["ids"] = pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_pydict(columns)
+        del encoder
+        give_back()
 
     dealt = similar_together(rows, "text", "doc_id") if gather else rows
     return dealt.mapInArrow(encode, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docferry.llm.common import named, slices
+from docferry.llm.common import give_back, named, slices
 
 WINDOW = 10
 #: Words of a block.
@@ -160,6 +160,7 @@ def find_passages(df: DataFrame, benchmark: DataFrame, *, text: str = "text", it
                     items.append(sorted({*(i for i in found if i is not None), *old_items}))
                 kept = [batch.column(c) for c in names]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(n_words, pa.int64()), pa.array(hits, ranges), pa.array(items, pa.list_(pa.string()))], [*names, "n_words", "hits", "items"])
+            give_back()
 
         out = out.mapInArrow(search, out.schema)
     return out

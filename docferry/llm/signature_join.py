@@ -41,10 +41,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docferry.llm.common import BASE, mix64, slices, sums_of, unused, word_hashes
+from docferry.llm.common import BASE, give_back, mix64, slices, sums_of, unused, word_hashes
 from docferry.session import written
 
 WORDS = 5
+#: Bytes of text whose shingles are taken together; they take some 100 times as much.
+TEXT_BYTES = 1 << 18
 #: Links need 4 * overlap >= 3 * union: 75 of 100.
 PARTS = 3
 WHOLE = 4
@@ -155,7 +157,7 @@ def _describe(batches) -> Iterator[pa.RecordBatch]:
         empty = [pa.array([None], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())]
         return pa.RecordBatch.from_arrays([*empty, pa.ListArray.from_arrays(pa.array([0, len(often)], pa.int32()), often)], _NAMES)
 
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", TEXT_BYTES):
         hashes, of, words, rows = shingles(batch.column("text"))
         key1, key2 = _sequence_keys(words, rows)
         bounds = np.searchsorted(of, np.arange(batch.num_rows + 1))
@@ -178,6 +180,8 @@ def _describe(batches) -> Iterator[pa.RecordBatch]:
             pending, n_pending = [], 0
     if pending:
         yield counted(pending)
+        del pending
+    give_back()
 
 
 _NAMES = ["doc_id", "n", "key1", "key2", "least", "bits", "often"]
@@ -229,8 +233,9 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """id, items: the sorted shingle hashes of the wanted documents."""
 
     def collect(batches):
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_BYTES):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in shingle_sets(batch.column("text"))], pa.binary())], ["id", "items"])
+        give_back()
 
     return docs.join(small(ids.select(F.col("id").alias("doc_id"))), "doc_id", "left_semi").mapInArrow(collect, "id long, items binary")
 
@@ -555,7 +560,7 @@ def _entries(docs: DataFrame, classes: DataFrame, frequent: np.ndarray) -> DataF
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def first(batches):
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_BYTES):
             buckets, marks, often = [], [np.zeros(0, bool)], shared.value
             for items in shingle_sets(batch.column("text")):
                 n = len(items) - int(needed(len(items))) + 1 if len(items) else 0
@@ -572,6 +577,7 @@ def _entries(docs: DataFrame, classes: DataFrame, frequent: np.ndarray) -> DataF
             sizes = [len(b) for b in buckets]
             ids, comps = (np.repeat(batch.column(c).to_numpy(), sizes) for c in ("doc_id", "comp"))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(buckets).view(np.int64)), pa.array(np.concatenate(marks)), pa.array(ids), pa.array(comps)], ["bucket", "often", "id", "comp"])
+        give_back()
 
     mine = docs.join(small(classes.select(F.col("id").alias("doc_id"), "comp")), "doc_id")
     return mine.select("doc_id", "text", "comp").mapInArrow(first, "bucket long, often boolean, id long, comp long")

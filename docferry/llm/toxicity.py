@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from docferry.llm.common import LOWER, id_remainder, mix64, named, powers, running_hash, slices, utf8_bytes, word_bounds
+from docferry.llm.common import LOWER, give_back, id_remainder, mix64, named, powers, running_hash, slices, utf8_bytes, word_bounds
 
 MAX_ROWS = 8_000
 MAX_BYTES = 24 << 20
@@ -314,8 +314,11 @@ def train(df: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     words = Words(texts if 0 < marks.sum() < len(marks) else texts[:0], settings)
     # the driver keeps word numbers only while it learns
     del texts
-    pa.default_memory_pool().release_unused()
-    return fit(words, marks, settings)
+    give_back()
+    model = fit(words, marks, settings)
+    del words
+    give_back()
+    return model
 
 
 def score(df: DataFrame, model: Model, *, text: str = "text", into: str = "score") -> DataFrame:
@@ -330,6 +333,7 @@ def score(df: DataFrame, model: Model, *, text: str = "text", into: str = "score
     def add(batches):
         for batch in slices(batches, place, SCORE_BYTES):
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.score(batch.column(place)))], schema.names)
+        give_back()
 
     return base.mapInArrow(add, schema).toDF(*names, into)
 

@@ -2,6 +2,7 @@
 
 import collections
 import math
+import pathlib
 import random
 import re
 import tracemalloc
@@ -12,8 +13,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from docferry.llm import common, toxicity
 from docferry.llm import lattice_lm as lm
-from docferry.llm import toxicity
 
 from odd_data import ODD_TEXTS
 
@@ -221,3 +222,15 @@ def test_training_texts_take_little_memory():
     values = rng.choices(range(100), k=SMALL.buckets)
     values = np.asarray(values, np.float32)
     assert words.means(values).tolist() == (np.add.reduceat(values[words.grams], words.first[:-1]) / np.diff(words.first)).tolist()
+
+
+def test_freed_memory_goes_back():
+    def used():
+        return int(re.search(r"VmRSS:\s+(\d+)", pathlib.Path("/proc/self/status").read_text())[1]) / 1024
+
+    blocks = [b"x" * 60_000 + b"%d" % k for k in range(2_000)]
+    last = blocks[-1]  # what lies below it is not handed back by itself
+    del blocks
+    before = used()
+    common.give_back()
+    assert last and before - used() > 50
