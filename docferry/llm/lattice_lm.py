@@ -26,6 +26,7 @@ from __future__ import annotations
 import dataclasses
 import functools
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docferry.llm.bpe import Codec, codec
-from docferry.llm.common import BASE, LOWER, id_remainder, mix64, powers, range_hashes, running_hash, slices, utf8_bytes, word_bounds
+from docferry.llm.common import BASE, LOWER, give_back, id_remainder, mix64, powers, range_hashes, running_hash, slices, utf8_bytes, word_bounds
 from docferry.session import written
 
 RANK = 100.0
@@ -44,9 +45,11 @@ FREQUENT = 1 << 18
 WORD_PIECES = 1 << 16
 #: Longest word, in bytes, that is a piece.
 PIECE_BYTES = 32
-#: Bytes of text whose words are counted together, and of distinct words whose lattices are worked on together.
-COUNT_BYTES = 2 << 20
-LATTICE_BYTES = 1 << 18
+#: Bytes of text whose words are found together, of distinct words that a task counts before it hands them on, and of
+#: those whose lattices are worked on together.
+COUNT_BYTES = 1 << 18
+HELD_BYTES = 8 << 20
+LATTICE_BYTES = 1 << 17
 #: Bits of the table that finds pieces.
 TABLE_BITS = 18
 LN10 = math.log(10)
@@ -103,7 +106,7 @@ class Pieces:
 
 @functools.lru_cache(maxsize=2)
 def pieces(path: str, words: tuple[bytes, ...] = ()) -> Pieces:
-    """The pieces of a vocabulary file and of some words, built once per worker."""
+    """The pieces of a vocabulary file and of some words, built once."""
     return Pieces(codec(path), list(words))
 
 
@@ -181,7 +184,7 @@ class Lattices:
 # --- counts ----------------------------------------------------------------------------------
 
 
-def _distinct_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lower-cased bytes, hash of each word, the words before each row, and start and end of each word."""
     data, rows = utf8_bytes(column)
     data = LOWER[data]
@@ -197,32 +200,65 @@ def _slices_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Arr
     return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data[place].tobytes())])
 
 
+def _merged(counted: list[tuple[np.ndarray, pa.Array, np.ndarray]]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Hash, word and count of several lists as one, each word once."""
+    hashes = np.concatenate([h for h, _, _ in counted])
+    hashes, first, where = np.unique(hashes, return_index=True, return_inverse=True)
+    c = np.zeros(len(hashes), np.int64)
+    np.add.at(c, where, np.concatenate([n for _, _, n in counted]))
+    return hashes, pa.concat_arrays([w for _, w, _ in counted]).take(pa.array(first)), c
+
+
+def _counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """word, c of many slices of text; some HELD_BYTES of words are held at once."""
+    held, size = [], 0
+
+    def out():
+        _, words, c = _merged(held)
+        for begin in range(0, len(c), 1 << 15):
+            yield pa.RecordBatch.from_arrays([words.slice(begin, 1 << 15), pa.array(c[begin : begin + (1 << 15)])], ["word", "c"])
+
+    for batch in parts:
+        data, hashes, words, starts, ends = _words(batch.column("text"))
+        weights = np.repeat(batch.column("training").to_numpy(zero_copy_only=False), np.diff(words))
+        own, first, where = np.unique(hashes, return_index=True, return_inverse=True)
+        c = np.bincount(where, weights=weights, minlength=len(first)).astype(np.int64)
+        held.append((own, _slices_of(data, starts[first], ends[first]), c))
+        size += held[-1][1].nbytes
+        if size > HELD_BYTES:
+            held = [_merged(held)]
+            size = held[0][1].nbytes
+            if size > HELD_BYTES // 2:
+                yield from out()
+                held, size = [], 0
+    if held:
+        yield from out()
+
+
 def count_words(df: DataFrame, text: str, training: Column) -> DataFrame:
     """word (binary, lower-cased), c: its count in the rows for which ``training`` holds; words of all rows."""
 
     def count(batches):
-        for batch in slices(batches, "text", COUNT_BYTES):
-            data, hashes, words, starts, ends = _distinct_words(batch.column("text"))
-            weights = np.repeat(batch.column("training").to_numpy(zero_copy_only=False), np.diff(words))
-            _, first, where = np.unique(hashes, return_index=True, return_inverse=True)
-            c = np.bincount(where, weights=weights, minlength=len(first)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([_slices_of(data, starts[first], ends[first]), pa.array(c)], ["word", "c"])
+        yield from _counted(slices(batches, "text", COUNT_BYTES))
+        give_back()
 
     rows = df.select(F.col(text).alias("text"), training.cast("long").alias("training"))
     return rows.mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def expected_use(words: DataFrame, path: str, known: tuple[bytes, ...], log_p: np.ndarray) -> np.ndarray:
+def expected_use(words: DataFrame, table: Pieces, log_p: np.ndarray) -> np.ndarray:
     """Expected use of each piece in the spelling of all ``words``."""
-    shared = words.sparkSession.sparkContext.broadcast((known, log_p))
+    # tasks get the table: they would keep the whole vocabulary to build it
+    shared = words.sparkSession.sparkContext.broadcast((table, log_p))
 
     def use(batches):
-        known, log_p = shared.value
-        table, total = pieces(path, known), np.zeros(len(log_p))
+        table, log_p = shared.value
+        total = np.zeros(len(log_p))
         for batch in slices(batches, "word", LATTICE_BYTES):
             total += Lattices(table, batch.column("word").to_pylist()).expected(log_p)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["piece", "used"])
+        give_back()
 
     # a row per piece at most
     sums = words.select("word").mapInArrow(use, "piece long, used double").groupBy("piece").agg(F.sum("used").alias("used")).toArrow()
@@ -231,12 +267,11 @@ def expected_use(words: DataFrame, path: str, known: tuple[bytes, ...], log_p: n
     return out
 
 
-def fit_pieces(words: DataFrame, path: str, known: tuple[bytes, ...], rounds: int = ROUNDS) -> np.ndarray:
+def fit_pieces(words: DataFrame, table: Pieces, rounds: int = ROUNDS) -> np.ndarray:
     """Log probability of each piece after ``rounds`` over the training words."""
-    table = pieces(path, known)
     p = table.prior
     for _ in range(rounds):
-        used = np.where(table.usable, expected_use(words.where("c > 0"), path, known, _log(p)) + PSEUDO, 0)
+        used = np.where(table.usable, expected_use(words.where("c > 0"), table, _log(p)) + PSEUDO, 0)
         p = used / used.sum()
     return _log(p)
 
@@ -267,19 +302,19 @@ class Mixture:
 # --- documents -------------------------------------------------------------------------------
 
 
-def _word_table(words: DataFrame, path: str, known: tuple[bytes, ...], log_p: np.ndarray, mixture: Mixture) -> DataFrame:
+def _word_table(words: DataFrame, table: Pieces, log_p: np.ndarray, mixture: Mixture) -> DataFrame:
     """hash, c, lattice (log10 probability) of each word."""
-    shared = words.sparkSession.sparkContext.broadcast((known, log_p))
+    shared = words.sparkSession.sparkContext.broadcast((table, log_p))
 
     def weigh(batches):
-        known, log_p = shared.value
-        table = pieces(path, known)
+        table, log_p = shared.value
         for batch in slices(batches, "word", LATTICE_BYTES):
             data, rows = utf8_bytes(batch.column("word"))
             hashes = range_hashes(data, rows[:-1], rows[1:])
             spelled = Lattices(table, batch.column("word").to_pylist()).probabilities(log_p)
             values = mixture.word(batch.column("c").to_numpy(), spelled)
             yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), batch.column("c"), pa.array(values)], ["hash", "c", "lattice"])
+        give_back()
 
     return words.mapInArrow(weigh, "hash long, c long, lattice double")
 
@@ -313,7 +348,7 @@ def _documents(rows: DataFrame, kind: str, frequent: pa.Table, base_of) -> DataF
         known, base, lattice = shared.value
         n = TaskContext.get().partitionId() << 33
         for batch in slices(batches, "text", COUNT_BYTES):
-            _, own, words, _, _ = _distinct_words(batch.column("text"))
+            _, own, words, _, _ = _words(batch.column("text"))
             counts = np.diff(words)
             doc = np.repeat(np.arange(batch.num_rows), counts)
             at = np.searchsorted(known, own)
@@ -333,6 +368,7 @@ def _documents(rows: DataFrame, kind: str, frequent: pa.Table, base_of) -> DataF
                 ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "lattice", "rare"],
             )
             n += batch.num_rows
+        give_back()
 
     return rows.mapInArrow(add, DOC.format(kind=kind))
 
@@ -354,8 +390,9 @@ def score_documents(df: DataFrame, vocabulary: str, *, doc_id: str = "doc_id", t
     common = _frequent(words.where(F.octet_length("word") <= PIECE_BYTES), word_pieces)
     order = np.lexsort((common.column("word").to_numpy(), -common.column("c").to_numpy()))
     known = tuple(common.column("word")[int(i)].as_py() for i in order)
-    log_p = fit_pieces(words, vocabulary, known, rounds)
-    table, _ = written(_word_table(words, vocabulary, known, log_p, mixture), "lm-table")
+    found = pieces(vocabulary, known)
+    log_p = fit_pieces(words, found, rounds)
+    table, _ = written(_word_table(words, found, log_p, mixture), "lm-table")
     docs, _ = written(_documents(rows, dict(rows.dtypes)["doc_id"], _frequent(table, frequent), base_of), "lm-documents")
 
     rare = docs.select("row", F.explode("rare").alias("w")).select("row", "w.hash", "w.n").join(table, "hash")

@@ -234,3 +234,26 @@ def test_freed_memory_goes_back():
     before = used()
     common.give_back()
     assert last and before - used() > 50
+
+
+def test_words_are_counted_in_little_memory(monkeypatch):
+    rng = random.Random(1)
+    texts = [" ".join(f"w{rng.randrange(200_000)}" for _ in range(20_000)) for _ in range(20)] + [None, "", "W1 w1\tw1"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([i % 3 for i in range(len(texts))])], ["text", "training"])
+    want = collections.Counter()
+    for i, t in enumerate(texts):
+        for w in words_of(t):
+            want[w.encode()] += i % 3
+    for held in (lm.HELD_BYTES, 1 << 20):
+        monkeypatch.setattr(lm, "HELD_BYTES", held)
+        tracemalloc.start()
+        out = list(lm._counted(common.slices(iter([batch]), "text", lm.COUNT_BYTES)))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        # slices of 2 MB took some 100 MB
+        assert peak < 40 << 20
+        got = collections.Counter()
+        for b in out:
+            for w, c in zip(b.column("word").to_pylist(), b.column("c").to_pylist(), strict=True):
+                got[w] += c
+        assert got == want
