@@ -91,3 +91,33 @@ def test_odd_documents(spark, odd_documents, no_documents):
     assert kept(no_documents) == []
     with pytest.raises(ValueError, match="keep"):
         sd.remove_repeats(odd_documents, keep="last")
+
+
+def test_buckets_have_suffix_arrays_of_their_own():
+    """The factors of each bucket as if it stood alone, sorted together with others in fewer steps."""
+    rng = random.Random(7)
+    groups = [[bytes(rng.choice(b"ab") for _ in range(rng.randint(16, 40))) for _ in range(rng.randint(1, 5))] for _ in range(20)]
+    contexts = [c for g in groups for c in g]
+    starts = [len(c) - 15 for c in contexts]
+    previous, following = sd.suffix_factors(contexts, starts, 16, [len(g) for g in groups])
+    alone = [sd.suffix_factors(g, [len(c) - 15 for c in g], 16) for g in groups]
+    assert previous.tolist() == [x for p, _ in alone for x in p]
+    assert following.tolist() == [x for _, f in alone for x in f]
+
+
+@pytest.mark.parametrize("length", [5, 8, 16])
+def test_bytes_in_common(length):
+    rng = random.Random(length)
+    rows = [bytes(rng.choice(b"ab") for _ in range(length)) for _ in range(50)]
+    rows += [rows[-1], rows[-1][:-1] + b"z"]
+    want = [next((i for i in range(length) if a[i] != b[i]), length) for a, b in zip(rows, rows[1:], strict=False)]
+    assert sd._in_common(b"".join(rows), length).tolist() == want
+
+
+def test_occurrences_end_with_their_text():
+    """Also over texts shorter than the length, and where a long text is worked on in pieces."""
+    texts = ["", "abcabcabc", None, "xy", "abcabcabc" * 4, "q" * 6]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    found = sd._occurrences(batch, 6)
+    seen = [(t, s) for t, first, n in zip(found["text"].tolist(), found["first"].tolist(), found["starts"].tolist(), strict=True) for s in range(first, first + n)]
+    assert seen == [(i, s) for i, t in enumerate(texts) for s in range(len(t or "") - 5)]
